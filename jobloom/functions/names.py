@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from jobloom.functions.subsequence import common_subsequence_length
 from jobloom.functions.terms import WORD_CHAR
 from jobloom.functions.text import SPACE
 from jobloom.lexicon import NAME_NOISE
@@ -43,27 +44,6 @@ def sort_tokens(text: Column) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-def common_subsequence_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence, one table row per character of ``a``."""
-    chars_a, chars_b = F.split(a, ""), F.split(b, "")
-    start = F.transform(chars_b, lambda _: F.lit(0))
-
-    def next_row(row: Column, ca: Column) -> Column:
-        def step(acc: Column, pos: Column) -> Column:
-            left = F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0))
-            diagonal = F.when(pos > 0, F.get(row, pos - 1)).otherwise(F.lit(0))
-            best = F.when(F.get(chars_b, pos) == ca, diagonal + 1).otherwise(F.greatest(left, F.get(row, pos)))
-            return F.concat(acc, F.array(best))
-
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(chars_b) - 1), F.array().cast("array<int>"), step
-        )
-
-    last = F.aggregate(chars_a, start, next_row)
-    both = (F.length(a) > 0) & (F.length(b) > 0)
-    return F.when(both, F.element_at(last, -1)).when(a.isNotNull() & b.isNotNull(), F.lit(0))
-
-
 def similarity(a: Column, b: Column) -> Column:
     """100 x (1 - insertions and deletions / total length)."""
     total = F.length(a) + F.length(b)

@@ -7,9 +7,14 @@ at least ``t`` bounds ``n`` by ``floor(2 (1 - t) a / t)`` for either length, the
 * Budget 1 or 2: two strings are within ``n`` edits if deleting ``i`` characters of one and ``n - i`` of the other gives the
   same string. Both sides emit these variants. The directory side is reduced to its first name per variant before the
   join, so a probe row meets at most three rows and no group is paired with itself.
-* Budget 3 and more: the directory string is cut into budget + 2 pieces; at least two survive the edits, displaced by no
-  more than the edits allow. Both sides emit pairs of pieces with their places and meet in an equi-join whose
-  condition also compares a 64-bit signature; what remains is scored.
+* Budget 3 and more: the directory string is cut into budget + 1 pieces, of which at least one survives the edits,
+  displaced by no more than the edits allow. The characters are likewise dealt into budget + 1 classes; in at least one of
+  them every character occurs on both sides with the same parity. Both sides emit a piece with its place and the
+  parities of a class, and meet in an equi-join whose condition also compares the parities of all classes; what
+  remains is scored. Names made after one template share pieces but not parities, so they do not meet.
+
+Joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
+could be chosen for a table many times larger than the limit. A skewed key is split by adaptive execution.
 
 Every branch is lossless, so the result is that of comparing every pair.
 """
@@ -24,21 +29,26 @@ from jobloom.operators.metrics import value_counts
 from jobloom.scratch import materialize
 
 VARIANT_BUDGET = 2
-SPARE_PIECES = 2
 
 
 def _budget(length: Column, t: float) -> Column:
     return F.floor(length * (2 * (1 - t) / t) + 1e-9).cast("int")
 
 
-def _signature(text: Column) -> Column:
-    """One bit per character class, flipped by each occurrence: an edit changes exactly one bit."""
-    bits = F.transform(F.split(text, ""), _bit)
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseXOR(bit))
+def _bit_number(char: Column) -> Column:
+    """Which of 37 bits a character flips; the modulus keeps the letters and digits of cleaned names apart."""
+    return F.pmod(F.ascii(char), F.lit(37)).cast("int")
+
+
+def _parities(text: Column, class_no: Column | None = None, classes: Column | None = None) -> Column:
+    """One bit per character, flipped by each occurrence, so an edit changes one bit; optionally of one class only."""
 
+    def flip(bits: Column, char: Column) -> Column:
+        number = _bit_number(char)
+        flipped = bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), number))
+        return flipped if class_no is None else F.when(F.pmod(number, classes) == class_no, flipped).otherwise(bits)
 
-def _bit(char: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.ascii(char), F.lit(64)).cast("int"))
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), flip)
 
 
 def _deletions(text: Column, count: int) -> Column:
@@ -91,88 +101,78 @@ def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
 def _variant_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
     """(form, score, first) for probes with a small budget."""
     keys = _probe_variants(probes, t)
-    hits = _directory_variants(directory, t).join(keys.select("variant").distinct(), "variant", "left_semi")
+    wanted = keys.select("variant").distinct().hint("merge")
+    hits = _directory_variants(directory, t).join(wanted, "variant", "left_semi")
     firsts = hits.groupBy("variant", "removed").agg(F.min("first").alias("first"))
     edits = F.col("cut") + F.col("removed")
     total = 2 * F.col("size") - F.col("cut") + F.col("removed")
     return (
-        keys.join(firsts, "variant")
+        keys.join(firsts.hint("merge"), "variant")
         .filter((edits <= _budget(F.col("size"), t)) & (total * (1 - t) + 1e-9 >= edits))
         .select("form", (100.0 - edits * 100.0 / total).alias("score"), "first")
     )
 
 
-def _piece(i: Column, size: Column, pieces: Column) -> tuple[Column, Column]:
-    """Start (from 0) and length of piece ``i`` of a string cut into near-equal pieces, the longer ones last."""
-    short = F.floor(size / pieces).cast("int")
-    longer = size % pieces
-    first_long = pieces - longer
-    start = i * short + F.greatest(F.lit(0), i - first_long)
-    return start, short + F.when(i >= first_long, 1).otherwise(0)
-
-
-def _with_piece_pairs(rows: DataFrame, size: Column, t: float) -> DataFrame:
-    """A row per pair of pieces of a directory string of length ``size``, with the places of both."""
-    out = rows.withColumn("_pieces", _budget(size, t) + SPARE_PIECES)
-    out = out.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 2)))
-    out = out.withColumn("j", F.explode(F.sequence(F.col("i") + 1, F.col("_pieces") - 1)))
-    for name in ("i", "j"):
-        start, length = _piece(F.col(name), size, F.col("_pieces"))
-        out = out.withColumns({f"{name}_start": start, f"{name}_length": length})
-    return out
+def _with_classes(rows: DataFrame, text: str, size: Column, t: float) -> DataFrame:
+    """A row per character class, for a directory string of length ``size``, with the parities of ``text`` in it."""
+    classes = _budget(size, t) + 1
+    numbered = rows.withColumn("class_no", F.explode(F.sequence(F.lit(0), classes - 1)))
+    return numbered.withColumn("class_bits", _parities(F.col(text), F.col("class_no"), classes))
 
 
-def _cut(form: Column, start: Column, length: Column) -> Column:
-    return F.substring(form, start + 1, length)
+def _with_pieces(rows: DataFrame, size: Column, t: float) -> DataFrame:
+    """A row per piece of a directory string of length ``size``: number, start (from 0) and length, longer ones last."""
+    pieces = _budget(size, t) + 1
+    short = F.floor(size / pieces).cast("int")
+    first_long = pieces - size % pieces
+    piece = F.col("piece")
+    return rows.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumns(
+        {
+            "start": piece * short + F.greatest(F.lit(0), piece - first_long),
+            "length": short + F.when(piece >= first_long, 1).otherwise(0),
+        }
+    )
 
 
 def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
     """(form, score, first) for probes with a larger budget."""
-    size, other = F.col("size"), F.col("other_size")
-    least = F.least(_budget(size, t), _budget(other, t))
-    big = probes.filter(_budget(size, t) > VARIANT_BUDGET).withColumn("signature", _signature(F.col("form")))
-    sized = big.withColumn(
-        "other_size", F.explode(F.sequence(size - _budget(size, t), size + _budget(size, t)))
-    ).filter(F.abs(size - other) <= least)
-    # Edits before, between and after the two pieces add up to at least these displacements.
-    left_over = F.col("edits") - F.abs("i_shift")
-    moved = (
-        F.abs("i_shift") + F.abs(F.col("j_shift") - F.col("i_shift")) + F.abs(size - other - F.col("j_shift"))
+    size, other, shift, edits = F.col("size"), F.col("other_size"), F.col("shift"), F.col("edits")
+    budget = _budget(size, t)
+    sized = (
+        probes.filter(budget > VARIANT_BUDGET)
+        .withColumn("other_size", F.explode(F.sequence(size - budget, size + budget)))
+        .withColumn("edits", F.least(budget, _budget(other, t)))
+        .filter(F.abs(size - other) <= edits)
+        .withColumn("bits", _parities(F.col("form")))
     )
-    shifted = (
-        sized.withColumn("edits", least)
-        .withColumn("i_shift", F.explode(F.sequence(-F.col("edits"), F.col("edits"))))
-        .withColumn("j_shift", F.explode(F.sequence(F.col("i_shift") - left_over, F.col("i_shift") + left_over)))
-        .filter(moved <= F.col("edits"))
+    # The edits before and after the piece add up to at least its displacement and what is left of the difference.
+    shifted = _with_classes(sized, "form", other, t).withColumn(
+        "shift", F.explode(F.sequence(-edits, edits))
+    ).filter(F.abs(shift) + F.abs(size - other - shift) <= edits)
+    start = F.col("start") + shift
+    keys = (
+        _with_pieces(shifted, other, t)
+        .filter((start >= 0) & (start + F.col("length") <= size))
+        .select(
+            "form", "bits", "edits", "other_size", "piece", "class_no", "class_bits",
+            F.substring("form", start + 1, F.col("length")).alias("piece_text"),
+        )
     )
-    placed = _with_piece_pairs(shifted, other, t)
-    i_start, j_start = F.col("i_start") + F.col("i_shift"), F.col("j_start") + F.col("j_shift")
-    fits = (i_start >= 0) & (j_start >= i_start + F.col("i_length")) & (j_start + F.col("j_length") <= size)
-    keys = placed.filter(fits).select(
-        "form", "signature", "edits", "other_size", "i", "j",
-        _cut(F.col("form"), i_start, F.col("i_length")).alias("i_text"),
-        _cut(F.col("form"), j_start, F.col("j_length")).alias("j_text"),
+    # Directory strings that only probes with a small budget can reach are not needed here.
+    reach = _budget(size + budget, t) > VARIANT_BUDGET
+    sides = directory.filter(reach).select(
+        F.col("form").alias("entry"), size.alias("other_size"), "first", _parities(F.col("form")).alias("entry_bits")
     )
-    # Directory strings short enough to belong to small budgets only are not needed here.
-    reach = _budget(size + _budget(size, t), t) > VARIANT_BUDGET
-    entries = _with_piece_pairs(
-        directory.filter(reach).select(
-            F.col("form").alias("entry"), size.alias("other_size"), "first", _signature(F.col("form")).alias("sig")
-        ),
-        other,
-        t,
-    ).select(
-        "entry", "sig", "first", "other_size", "i", "j",
-        _cut(F.col("entry"), F.col("i_start"), F.col("i_length")).alias("i_text"),
-        _cut(F.col("entry"), F.col("j_start"), F.col("j_length")).alias("j_text"),
+    entries = _with_pieces(_with_classes(sides, "entry", other, t), other, t).select(
+        "entry", "entry_bits", "first", "other_size", "piece", "class_no", "class_bits",
+        F.substring("entry", F.col("start") + 1, F.col("length")).alias("piece_text"),
     )
-    on = ["other_size", "i", "j", "i_text", "j_text"]
     left, right = keys.alias("l"), entries.alias("r")
-    same = F.bit_count(F.col("l.signature").bitwiseXOR(F.col("r.sig"))) <= F.col("l.edits")
-    for c in on:
-        same = same & (F.col(f"l.{c}") == F.col(f"r.{c}"))
+    meet = F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.entry_bits"))) <= F.col("l.edits")
+    for c in ("other_size", "piece", "class_no", "class_bits", "piece_text"):
+        meet = meet & (F.col(f"l.{c}") == F.col(f"r.{c}"))
     close = (
-        left.join(right, same)
+        left.join(right.hint("merge"), meet)
         .filter(F.levenshtein("l.form", "r.entry") <= F.col("l.edits"))
         .select("l.form", "r.entry", "r.first")
         .distinct()
@@ -181,6 +181,11 @@ def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFra
     return scored.filter(F.col("score") >= t * 100 - 1e-9).select("form", "score", "first")
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows over all shuffle partitions: few bytes now, many rows once they are unfolded."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def best_matches(
     names: DataFrame,
     directory: DataFrame,
@@ -193,7 +198,8 @@ def best_matches(
 
     ``matches`` is the cleaned form of the entry, empty if none reaches the threshold. Equal scores go to the entry that
     is first by ``entry_order``, by default the entry itself. Names and entries that are null or empty after cleaning
-    take no part. The cleaned names of both sides are written once, as every branch reads them.
+    take no part. The cleaned names of both sides are written once, as every branch reads them. The work per long name
+    grows steeply as the threshold falls below 90.
     """
     if not 80 <= threshold <= 100:
         raise ValueError("threshold must lie between 80 and 100; below, pieces get too short to select anything")
@@ -219,8 +225,9 @@ def best_matches(
     exact = probes.join(entries, "form").select("form", F.lit(100.0).alias("score"), "first")
     found = exact
     if t < 1:
-        rest = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
-        found = exact.unionByName(_variant_matches(rest, entries, t)).unionByName(_piece_matches(rest, entries, t))
+        left_over = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
+        rest, others = _spread(left_over, "form"), _spread(entries, "form")
+        found = exact.unionByName(_variant_matches(rest, others, t)).unionByName(_piece_matches(rest, others, t))
     best = (
         found.groupBy("form")
         .agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))
