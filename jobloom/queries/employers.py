@@ -41,6 +41,7 @@ POSTED = Derived(
             WHEN 2 THEN {_TYPO} || ', Inc.' WHEN 3 THEN replace({_TYPO}, ' ', ' & ')
             WHEN 4 THEN CASE WHEN p_partkey % 60 = 4 THEN NULL ELSE {_TYPO} END ELSE {_TYPO} END""",
     },
+    costly=True,
 )
 
 

@@ -31,6 +31,7 @@ POSTINGS = Derived(
             WHEN 5 THEN ' Written and Oral Communication; big data, aws, azure, gcp; kafka. use r and  C  git '
             ELSE '' END""",
     },
+    costly=True,
 )
 
 _SPECIAL = re.compile(r"([\\^$.|?*+()\[\]{}])")
@@ -288,6 +289,7 @@ OFFERS = Derived(
                 || CAST(CAST(floor(l_quantity) AS INT) AS STRING) || ' per hour'
             WHEN 1 THEN '$' || CAST(CAST(floor(l_quantity) AS INT) AS STRING) || ' a month' ELSE '$1,200–$2,000 per week' END""",
     },
+    costly=True,
 )
 
 

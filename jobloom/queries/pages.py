@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from jobloom import lexicon
 from jobloom.functions import text
 from jobloom.functions.names import company_slug
+from jobloom.once import computed_once
 from jobloom.queries.extraction import COMMON_WORDS, POSTINGS, _list_sql, _word_test
 from jobloom.queries.registry import Derived, literal, query, table
 from jobloom.scratch import scratch_path
@@ -24,7 +25,7 @@ def _clean_sql(html: str) -> str:
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS body FROM pages")
 def clean_html(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("body"))
+    return table(spark, sf_dir, "pages", costly=True).select("page_id", text.clean_text(F.col("html")).alias("body"))
 
 
 @query(
@@ -57,7 +58,7 @@ def _tag_sql(pattern: str) -> str:
 @query(f"SELECT page_id, {_tag_sql(_TITLE)} AS title, {_tag_sql(_H1)} AS heading FROM pages")
 def page_titles(spark, sf_dir):
     html = F.col("html")
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", costly=True).select(
         "page_id", boards.first_tag_text(html, "title").alias("title"), boards.first_tag_text(html, "h1").alias("heading")
     )
 
@@ -77,7 +78,7 @@ RECORD_PAGES = {
         || CASE doc_id % 4 WHEN 0 THEN '' ELSE '<div class="jd-company-desc ng-box"><p class="heading">'
         || source || '</p></div>' END || '</body></html>'""",
 }
-_RECORDS = Derived("documents", RECORD_PAGES)
+_RECORDS = Derived("documents", RECORD_PAGES, costly=True)
 
 
 @query(
@@ -128,7 +129,7 @@ def _cards(spark, sf_dir):
         F.lit("<html>"), _script('window.mosaic.providerData["mosaic-provider-jobcards"]=', broken),
         F.when(p % 11 == 0, F.lit("")).otherwise(_script("window._initialData=", info)), F.lit("</html>"),
     )
-    return table(spark, sf_dir, "part").select("p_partkey", html.alias("html"))
+    return computed_once(table(spark, sf_dir, "part", costly=True), {"html": html}, ["p_partkey"])
 
 
 @query(
@@ -176,7 +177,7 @@ def _detail_pages(spark, sf_dir):
     )
     json = F.to_json(data)
     broken = F.when(d % 11 == 0, F.substring(json, F.lit(2), F.length(json))).otherwise(json)
-    return POSTINGS.frame(spark, sf_dir).select("doc_id", _script("window._initialData=", broken).alias("html"))
+    return computed_once(POSTINGS.frame(spark, sf_dir), {"html": _script("window._initialData=", broken)}, ["doc_id"])
 
 
 _ABOUT = "'<b>' || description || '</b> pays $10 per hour for 3+ years'"
@@ -303,7 +304,7 @@ def _company_pages(spark, sf_dir):
     )
     page = F.when(c % 17 == 2, F.lit("<body></body>")).otherwise(_state_page(json, c % 2 == 1))
     url = F.concat(F.lit("https://dir.example/organization/"), key)
-    return table(spark, sf_dir, "customer").select(url.alias("url"), page.alias("html"))
+    return computed_once(table(spark, sf_dir, "customer", costly=True), {"url": url, "html": page}, [])
 
 
 _URL = "'https://dir.example/organization/' || c_custkey"
@@ -389,7 +390,7 @@ def _person_pages(spark, sf_dir):
     )
     entry = F.to_json(F.struct(person.alias("data")))
     json = F.concat(F.lit('{"HttpState":{"GET/v4/data/entities/people/x":'), entry, F.lit("}}"))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", _state_page(json, s % 2 == 0).alias("html"))
+    return computed_once(table(spark, sf_dir, "supplier"), {"html": _state_page(json, s % 2 == 0)}, ["s_suppkey"])
 
 
 @query(

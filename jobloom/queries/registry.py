@@ -29,19 +29,25 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) -> DataFrame:
+    """A standard table. With ``costly`` work per row ahead, one in fewer parts than cores is dealt out to all cores.
+
+    A table of more parts, as any large one is, stays as it is read, without a shuffle.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if costly and rows.rdd.getNumPartitions() < cores else rows
 
 
 class Derived:
     """Input columns computed from a table by expressions that both SQL dialects read alike."""
 
-    def __init__(self, source: str, columns: Mapping[str, str]):
-        self.source, self.columns = source, dict(columns)
+    def __init__(self, source: str, columns: Mapping[str, str], costly: bool = False):
+        self.source, self.columns, self.costly = source, dict(columns), costly
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         exprs = [f"{expression} AS `{name}`" for name, expression in self.columns.items()]
-        return table(spark, sf_dir, self.source).selectExpr(*exprs)
+        return table(spark, sf_dir, self.source, self.costly).selectExpr(*exprs)
 
     def sql(self) -> str:
         exprs = ", ".join(f'{expression} AS "{name}"' for name, expression in self.columns.items())

@@ -12,6 +12,7 @@ from jobloom.functions.terms import word_term_groups
 from jobloom.functions.text import (
     clean_text, days_since_posted, experience_years, prefixed, salaries, without_employer,
 )
+from jobloom.once import computed_once
 from jobloom.sources.job_page import job_page_fields
 
 # Where board A pages carry their data. (?d) makes the dot stop at line feeds only.
@@ -33,12 +34,12 @@ def embedded(html: Column, pattern: str) -> Column:
 
 def parse_listing_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``listing`` (job cards and total) and ``parse_error`` to stored search pages."""
-    parsed = pages.withColumns(
-        {
-            "_cards": parse_json(embedded(F.col(html), LISTING_DATA), schemas.LISTING_STATE),
-            "_info": parse_json(embedded(F.col(html), LISTING_TOTAL), schemas.LISTING_INFO),
-        }
-    )
+    kept = [c for c in pages.columns if c != html]
+    columns = {
+        "_cards": parse_json(embedded(F.col(html), LISTING_DATA), schemas.LISTING_STATE),
+        "_info": parse_json(embedded(F.col(html), LISTING_TOTAL), schemas.LISTING_INFO),
+    }
+    parsed = computed_once(pages, columns, kept)
     missing = F.col("_cards").isNull() | F.col("_info").isNull()
     broken = F.col("_cards._bad").isNotNull() | F.col("_info._bad").isNotNull()
     return parsed.withColumns(
@@ -51,7 +52,7 @@ def parse_listing_pages(pages: DataFrame, html: str = "html") -> DataFrame:
                 F.col("_info.searchTitleBarModel.totalNumResults").alias("total"),
             ),
         }
-    ).drop("_cards", "_info", html)
+    ).drop("_cards", "_info")
 
 
 def listing_rows(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -82,8 +83,10 @@ def parse_detail_pages(
 
     ``site`` precedes the employer's relative address in ``link``. The description is read once for the four lists.
     """
-    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
-    state = pages.select(*kept, parse_json(embedded(F.col(html), DETAIL_DATA), schemas.DETAIL_STATE).alias("state"))
+    names = [c for c in pages.columns if c != html]
+    kept = [F.col(f"`{c}`") for c in names]
+    parsed = parse_json(embedded(F.col(html), DETAIL_DATA), schemas.DETAIL_STATE)
+    state = computed_once(pages, {"state": parsed}, names)
     valid = F.col("state").isNotNull() & F.col("state._bad").isNull()
     info, employer_page = "state.jobInfoWrapperModel.jobInfoModel", (
         F.col("state.hostQueryExecutionResult.data.jobData.results")[0]["job"]
@@ -91,7 +94,7 @@ def parse_detail_pages(
     groups = {
         "Tools": tools, "Soft Skills": soft_skills, "Industry Skills": industry_skills, "education": education,
     }
-    flat = state.select(
+    fields = state.select(
         *kept,
         valid.alias("_valid"),
         F.col("state.jobKey").alias("key"),
@@ -102,7 +105,8 @@ def parse_detail_pages(
         employer_page["url"].alias("feed"),
         F.coalesce(employer_page["employer"]["relativeCompanyPageUrl"], F.lit("")).alias("_employer_page"),
         F.coalesce(F.col(f"{info}.sanitizedJobDescription"), F.lit("")).alias("_about"),
-    ).withColumn("_terms", word_term_groups(F.col("_about"), groups))
+    )
+    flat = computed_once(fields, {"_terms": word_term_groups(F.col("_about"), groups)})
     ok = F.col("_valid")
     columns = {
         "key": F.col("key"),

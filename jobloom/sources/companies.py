@@ -12,6 +12,7 @@ from jobloom import schemas
 from jobloom.functions.dates import iso_timestamp
 from jobloom.functions.names import company_slug, unescape_state
 from jobloom.functions.text import percent, prefixed
+from jobloom.once import computed_once
 from jobloom.sources.boards import embedded, parse_json
 
 # The two places of the state, the keys of its parts, the messages of the error table.
@@ -47,20 +48,15 @@ def values_of(items: Column) -> Column:
 
 def parse_company_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Add ``organization`` and ``employees`` structs and ``error`` to stored company pages; the page text is dropped."""
-    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
-    state = pages.select(*kept, parse_json(page_state(F.col(html)), _CACHE).alias("state"))
-    parts = state.select(
-        *kept,
-        (F.col("state").isNull() | F.col("state._bad").isNotNull()).alias("_invalid"),
-        F.col("state.HttpState").isNull().alias("_no_state"),
-        cache_entry(F.col("state.HttpState"), ORGANIZATION_KEY).alias("_organization"),
-        cache_entry(F.col("state.HttpState"), PEOPLE_KEY).alias("_people"),
-    )
-    parsed = parts.select(
-        *kept, "_invalid", "_no_state",
-        parse_json(F.col("_organization"), schemas.ORGANIZATION).alias("organization"),
-        parse_json(F.col("_people"), schemas.EMPLOYEES).alias("employees"),
-    )
+    kept = [c for c in pages.columns if c != html]
+    state = computed_once(pages, {"state": parse_json(page_state(F.col(html)), _CACHE)}, kept)
+    documents = {
+        "organization": parse_json(cache_entry(F.col("state.HttpState"), ORGANIZATION_KEY), schemas.ORGANIZATION),
+        "employees": parse_json(cache_entry(F.col("state.HttpState"), PEOPLE_KEY), schemas.EMPLOYEES),
+        "_invalid": F.col("state").isNull() | F.col("state._bad").isNotNull(),
+        "_no_state": F.col("state.HttpState").isNull(),
+    }
+    parsed = computed_once(state, documents, kept)
     broken = F.col("organization._bad").isNotNull() | F.col("employees._bad").isNotNull()
     error = (
         F.when(F.col("_invalid"), F.lit(INVALID))
@@ -200,11 +196,11 @@ def page_errors(parsed: DataFrame, url: str = "url") -> DataFrame:
 
 def parse_person_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Person pages to the eighteen fields of a person document."""
-    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
-    state = pages.select(*kept, parse_json(page_state(F.col(html)), _CACHE).alias("state"))
-    person = state.select(
-        *kept, parse_json(cache_entry(F.col("state.HttpState"), PERSON_KEY), schemas.PERSON).alias("p")
-    )
+    names = [c for c in pages.columns if c != html]
+    kept = [F.col(f"`{c}`") for c in names]
+    state = computed_once(pages, {"state": parse_json(page_state(F.col(html)), _CACHE)}, names)
+    document = parse_json(cache_entry(F.col("state.HttpState"), PERSON_KEY), schemas.PERSON)
+    person = computed_once(state, {"p": document}, names)
     props, overview = "p.properties", "p.cards.overview_fields"
     social, headline = "p.cards.overview_fields2", "p.cards.investor_overview_headline"
     return person.select(
