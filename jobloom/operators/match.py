@@ -101,9 +101,9 @@ def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
 def _variant_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
     """(form, score, first) for probes with a small budget."""
     keys = _probe_variants(probes, t)
-    wanted = keys.select("variant").distinct().hint("merge")
-    hits = _directory_variants(directory, t).join(wanted, "variant", "left_semi")
-    firsts = hits.groupBy("variant", "removed").agg(F.min("first").alias("first"))
+    # Partitioned by the variant alone, which serves the grouping and the join after it.
+    variants = _spread(_directory_variants(directory, t), "variant")
+    firsts = variants.groupBy("variant", "removed").agg(F.min("first").alias("first"))
     edits = F.col("cut") + F.col("removed")
     total = 2 * F.col("size") - F.col("cut") + F.col("removed")
     return (
@@ -134,6 +134,11 @@ def _with_pieces(rows: DataFrame, size: Column, t: float) -> DataFrame:
     )
 
 
+def _meeting_place(text: Column) -> Column:
+    """The join key of a piece and a class. Two keys that collide only make a pair more to be scored."""
+    return F.xxhash64("other_size", "piece", text, "class_no", "class_bits").alias("place")
+
+
 def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
     """(form, score, first) for probes with a larger budget."""
     size, other, shift, edits = F.col("size"), F.col("other_size"), F.col("shift"), F.col("edits")
@@ -154,8 +159,7 @@ def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFra
         _with_pieces(shifted, other, t)
         .filter((start >= 0) & (start + F.col("length") <= size))
         .select(
-            "form", "bits", "edits", "other_size", "piece", "class_no", "class_bits",
-            F.substring("form", start + 1, F.col("length")).alias("piece_text"),
+            "form", "bits", "edits", _meeting_place(F.substring("form", start + 1, F.col("length")))
         )
     )
     # Directory strings that only probes with a small budget can reach are not needed here.
@@ -164,20 +168,15 @@ def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFra
         F.col("form").alias("entry"), size.alias("other_size"), "first", _parities(F.col("form")).alias("entry_bits")
     )
     entries = _with_pieces(_with_classes(sides, "entry", other, t), other, t).select(
-        "entry", "entry_bits", "first", "other_size", "piece", "class_no", "class_bits",
-        F.substring("entry", F.col("start") + 1, F.col("length")).alias("piece_text"),
+        "entry", "entry_bits", "first", _meeting_place(F.substring("entry", F.col("start") + 1, F.col("length")))
     )
-    left, right = keys.alias("l"), entries.alias("r")
-    meet = F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.entry_bits"))) <= F.col("l.edits")
-    for c in ("other_size", "piece", "class_no", "class_bits", "piece_text"):
-        meet = meet & (F.col(f"l.{c}") == F.col(f"r.{c}"))
-    close = (
-        left.join(right.hint("merge"), meet)
-        .filter(F.levenshtein("l.form", "r.entry") <= F.col("l.edits"))
-        .select("l.form", "r.entry", "r.first")
+    near = F.bit_count(F.col("bits").bitwiseXOR(F.col("entry_bits"))) <= edits
+    pairs = (
+        keys.alias("l").join(entries.hint("merge").alias("r"), (F.col("l.place") == F.col("r.place")) & near)
+        .select("form", "entry", "first")
         .distinct()
     )
-    scored = close.withColumn("score", similarity(F.col("form"), F.col("entry")))
+    scored = pairs.withColumn("score", similarity(F.col("form"), F.col("entry")))
     return scored.filter(F.col("score") >= t * 100 - 1e-9).select("form", "score", "first")
 
 
