@@ -14,6 +14,7 @@ from jobloom.scratch import materialize
 # Quotes are doubled inside quoted fields, which may span lines.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 BAD_ROW = "_bad_row"
+ROW_INDEX = "_row_index"
 
 
 def _struct(schema: str | T.StructType) -> T.StructType:
@@ -24,14 +25,17 @@ def _is_list(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.ArrayType)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType, header: bool = True) -> DataFrame:
-    """CSV files under one schema; list columns are read from their text form."""
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType, header: bool = True, row_index: bool = False
+) -> DataFrame:
+    """CSV files under one schema; list columns are read from their text form, a leading row index is dropped."""
     fields = _struct(schema).fields
     text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if _is_list(f) else f.dataType) for f in fields]
+        ([T.StructField(ROW_INDEX, T.StringType())] if row_index else [])
+        + [T.StructField(f.name, T.StringType() if _is_list(f) else f.dataType) for f in fields]
     )
     raw = spark.read.options(**{**CSV_OPTIONS, "header": str(header).lower()}).schema(text_schema).csv(path)
-    return _lists_from_text(raw, fields)
+    return _lists_from_text(raw.drop(ROW_INDEX), fields)
 
 
 def _lists_from_text(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
