@@ -98,15 +98,14 @@ def _delimited_holds(term: str, following: str) -> bool:
 
 
 def _present(text: Column, pattern: str, implied: Mapping[str, Sequence[str]]) -> Column:
+    """Distinct terms of the text: those captured and those implied by them."""
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-    if implied:
-        pairs = [F.lit(k) for k in implied], [F.array(*[F.lit(t) for t in v]) for v in implied.values()]
-        inner = F.map_from_arrays(F.array(*pairs[0]), F.array(*pairs[1]))
-        extra = F.flatten(
-            F.transform(found, lambda t: F.coalesce(inner[t], F.array().cast("array<string>")))
-        )
-        found = F.array_union(found, extra)
-    return found
+    if not implied:
+        return found
+    together = F.map_from_arrays(
+        F.array(*[F.lit(t) for t in implied]), F.array(*[F.array(*map(F.lit, (t, *v))) for t, v in implied.items()])
+    )
+    return F.array_distinct(F.flatten(F.transform(found, lambda t: F.coalesce(together[t], F.array(t)))))
 
 
 def _rename(found: Column, names: Mapping[str, str]) -> Column:

@@ -14,6 +14,7 @@ from jobloom.functions.terms import (
     delimited_terms, delimited_terms_squeezed, role_term_count, substring_terms,
 )
 from jobloom.functions.text import experience_range
+from jobloom.once import computed_once
 from jobloom.operators import dedupe, facts, incremental
 from jobloom.sources import boards
 from jobloom.sources.files import write_table
@@ -33,12 +34,9 @@ def postings_a(
     The relevance filter comes first, so the tools are looked for only in the postings that stay.
     """
     text, role = F.col("description"), F.col("Job Role")
-    counted = details.withColumns(
-        {"Job_ind": facts.lookup(role, lexicon.ROLE_INDEX_A), "keyword_count": role_term_count(text, role, role_terms)}
-    )
-    return with_date_parts(
-        facts.relevant(counted, more_than).withColumn("Tools", delimited_terms(text, tools))
-    )
+    counted = computed_once(details, {"keyword_count": role_term_count(text, role, role_terms)})
+    indexed = facts.relevant(counted, more_than).withColumn("Job_ind", facts.lookup(role, lexicon.ROLE_INDEX_A))
+    return computed_once(with_date_parts(indexed), {"Tools": delimited_terms(text, tools)})
 
 
 def consolidate_a(postings: DataFrame, out: str, tiebreak: Sequence[str], include_year: bool = False) -> dict[str, str]:
@@ -65,11 +63,10 @@ def postings_b(
 ) -> DataFrame:
     """Board B detail rows with ``date_of_scrape`` and ``Job Role`` to relevant postings."""
     text, role = F.col("description"), F.col("Job Role")
-    counted = details.withColumns(
-        {"Job_ind": facts.lookup(role, lexicon.ROLE_INDEX_B), "keyword_count": role_term_count(text, role, role_terms)}
-    )
+    counted = computed_once(details, {"keyword_count": role_term_count(text, role, role_terms)})
     extracted = facts.relevant(counted, more_than).withColumns(
         {
+            "Job_ind": facts.lookup(role, lexicon.ROLE_INDEX_B),
             "days_ago": days_since_posted_text(F.col("posted"), ref_date, year),
             "experience_years": experience_range(F.col("Experience")),
             "Tools": delimited_terms_squeezed(text, lexicon.TOOLS),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jobloom import lexicon
 from jobloom.functions import dates, terms, text
+from jobloom.once import computed_once
 from jobloom.operators import dedupe, facts
 from jobloom.plans import postings as plans
 from jobloom.queries.registry import Derived, literal, query, table
@@ -78,9 +79,8 @@ def _relevant_sql(role_terms, index, more_than: int) -> str:
 
 def _relevant(spark, sf_dir, role_terms, index, more_than):
     role = F.col("job_role")
-    rows = POSTINGS.frame(spark, sf_dir).withColumn(
-        "keyword_count", terms.role_term_count(F.col("description"), role, role_terms).cast("bigint")
-    )
+    count = terms.role_term_count(F.col("description"), role, role_terms).cast("bigint")
+    rows = computed_once(POSTINGS.frame(spark, sf_dir), {"keyword_count": count}, ["doc_id", "job_role"])
     return facts.relevant(rows, more_than).select(
         "doc_id", "job_role", facts.lookup(role, index).cast("bigint").alias("job_ind"), "keyword_count"
     )
@@ -171,11 +171,15 @@ def _details(spark, sf_dir):
 
 
 def _outputs(spark, sf_dir):
-    """Relevant postings, one per key, month and role, with their skills."""
-    relevant = dedupe.one_per_role_and_month(plans.postings_a(_details(spark, sf_dir)), ["doc_id"])
+    """Relevant postings, one per key, month and role, with their skills.
+
+    The skills are found before the postings are brought together by key, so the texts stay where they were read.
+    """
     groups = {"Soft Skills": lexicon.SOFT_SKILLS, "Industry Skills": lexicon.INDUSTRY_SKILLS}
-    found = relevant.withColumn("g", terms.word_term_groups(F.col("description"), groups))
-    return found.withColumns({n: F.col(f"g.`{n}`") for n in groups}).drop("g", "description")
+    postings = plans.postings_a(_details(spark, sf_dir))
+    found = computed_once(postings, {"g": terms.word_term_groups(F.col("description"), groups)})
+    skilled = found.withColumns({n: F.col(f"g.`{n}`") for n in groups}).drop("g", "description")
+    return dedupe.one_per_role_and_month(skilled, ["doc_id"])
 
 
 def _fact_sql(tests: list[tuple[str, str]], column: str, synonyms: bool, keep_empty: bool) -> str:
