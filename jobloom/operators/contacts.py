@@ -5,22 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.operators.joins import left_join
+from jobloom.scratch import materialize
+
 CONTACT = ("Company Name", "Name from URL", "People Name", "Linkedin Profile", "Job Title")
 
 
 def contacts(postings: DataFrame, matched: DataFrame, people: DataFrame) -> DataFrame:
-    """Every employer of the postings with the people of its matched company; nulls where there are none."""
-    names = postings.select("name").distinct()
+    """Every employer of the postings with the people of its matched company; nulls where there are none.
+
+    The employer names are written once, so the postings are read once.
+    """
+    names = materialize(postings.select("name").distinct(), "employers")
     companies = matched.select("employer_name", "company_name")
     who = people.select(*[F.col(f"`{c}`") for c in CONTACT])
-    return (
-        names.join(companies, F.col("name") == F.col("employer_name"), "left")
-        .join(who, F.col("company_name") == F.col("Name from URL"), "left")
-        .select("name", *[F.col(f"`{c}`") for c in CONTACT])
-    )
+    placed = left_join(names, companies, "name", "employer_name")
+    return left_join(placed, who, "company_name", "Name from URL").select("name", *[F.col(f"`{c}`") for c in CONTACT])
 
 
 def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Listings with the details of their page, nulls where the page gave none, newest first."""
+    """Listings with the details of their page, nulls where the page gave none, newest first.
+
+    The key completes the order, so that one frequent age does not end up in a single task.
+    """
     extra = details.filter(F.col("key").isNotNull()).drop("companyName", "parsed")
-    return listings.join(extra, "key", "left").orderBy(F.col("days_ago").asc_nulls_last())
+    return listings.join(extra, "key", "left").orderBy(F.col("days_ago").asc_nulls_last(), F.col("key"))

@@ -52,6 +52,11 @@ def merge_passes(passes: Sequence[DataFrame], tiebreak: Sequence[str] = ()) -> D
     return keep_first(merged, ["key"], ["pass", "name", *tiebreak]).drop("pass")
 
 
+def by_name(listings: DataFrame) -> DataFrame:
+    """Listings in the order of a listing file: by name, nulls last, the key as second criterion."""
+    return listings.orderBy(F.col("name").asc_nulls_last(), F.col("key").asc_nulls_last())
+
+
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many rows repeat an earlier key; null counts as one key."""
     key = F.struct(*[F.col(f"`{k}`") for k in keys])

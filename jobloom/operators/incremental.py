@@ -28,15 +28,17 @@ def new_rows(rows: DataFrame, seen: DataFrame, key: str, seen_key: str | None =
 
 
 def seen_new_counts(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """How many rows have a key in ``seen`` and how many do not."""
-    known = seen.select(F.col(key).alias("_seen")).distinct()
-    return (
-        rows.select(key)
-        .join(known, F.col(key).eqNullSafe(F.col("_seen")), "left")
-        .agg(
-            F.count_if(F.col("_seen").isNotNull()).alias("old_count"),
-            F.count_if(F.col("_seen").isNull()).alias("new_count"),
-        )
+    """How many rows have a key in ``seen`` and how many do not; null counts as a key.
+
+    Rows are counted per key before they meet the seen keys, so a frequent key travels as one row.
+    """
+    known = seen.select(F.col(f"`{key}`").alias("_seen"), F.lit(True).alias("_old")).distinct()
+    per_key = rows.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    counted = per_key.join(known, F.col("_key").eqNullSafe(F.col("_seen")), "left")
+    old = F.coalesce(F.col("_old"), F.lit(False))
+    return counted.agg(
+        F.coalesce(F.sum(F.when(old, F.col("n"))), F.lit(0)).alias("old_count"),
+        F.coalesce(F.sum(F.when(~old, F.col("n"))), F.lit(0)).alias("new_count"),
     )
 
 

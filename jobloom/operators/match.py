@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.names import company_slug, match_form, similarity, sort_tokens
+from jobloom.operators.joins import left_join
 from jobloom.operators.metrics import value_counts
 from jobloom.scratch import materialize
 
@@ -180,9 +181,13 @@ def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFra
     return scored.filter(F.col("score") >= t * 100 - 1e-9).select("form", "score", "first")
 
 
-def _spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows over all shuffle partitions: few bytes now, many rows once they are unfolded."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all shuffle partitions: few bytes now, many rows once they are unfolded.
+
+    The keys must differ from those the rows are already partitioned by. Otherwise the request is dropped as redundant,
+    and adaptive execution joins the small partitions of the earlier shuffle into few.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def best_matches(
@@ -197,7 +202,8 @@ def best_matches(
 
     ``matches`` is the cleaned form of the entry, empty if none reaches the threshold. Equal scores go to the entry that
     is first by ``entry_order``, by default the entry itself. Names and entries that are null or empty after cleaning
-    take no part. The cleaned names of both sides are written once, as every branch reads them. The work per long name
+    take no part. The cleaned names of both sides are written once, as every branch reads them, and so
+    are the best entries; what is returned only joins the written tables. The work per long name
     grows steeply as the threshold falls below 90.
     """
     if not 80 <= threshold <= 100:
@@ -225,16 +231,17 @@ def best_matches(
     found = exact
     if t < 1:
         left_over = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
-        rest, others = _spread(left_over, "form"), _spread(entries, "form")
+        rest, others = _spread(left_over, "form", "size"), _spread(entries, "form", "size")
         found = exact.unionByName(_variant_matches(rest, others, t)).unionByName(_piece_matches(rest, others, t))
-    best = (
+    best = materialize(
         found.groupBy("form")
         .agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))
         .select(
             F.col("form").alias("_form"),
             F.col("best.first.processed").alias("matches"),
             (-F.col("best.loss")).alias("score"),
-        )
+        ),
+        "match-best",
     )
     return (
         left.join(best, "_form", "left")
@@ -261,8 +268,10 @@ def employers(postings: DataFrame, name: str = "name") -> DataFrame:
 
 def merge_matches(matched: DataFrame, directory: DataFrame, name: str = "name") -> DataFrame:
     """Matched employers with every company that has the matched cleaned name."""
-    companies = directory.withColumn("processed_company_name", match_form(F.col("company_name")))
-    hits = matched.filter(F.col("matches") != "")
-    return hits.join(
-        companies, F.col("matches") == F.col("processed_company_name"), "left"
-    ).select(F.col(name).alias("employer_name"), "company_name", "Company_name_url")
+    companies = directory.select(
+        "company_name", "Company_name_url", match_form(F.col("company_name")).alias("processed_company_name")
+    )
+    hits = matched.filter(F.col("matches") != "").select(F.col(name).alias("employer_name"), "matches")
+    return left_join(hits, companies, "matches", "processed_company_name").select(
+        "employer_name", "company_name", "Company_name_url"
+    )

@@ -89,14 +89,12 @@ def run_board_b(pages: DataFrame, table: str, run_date: dt.date, schema: str) ->
     spark = pages.sparkSession
     before = incremental.table_before(spark, table, schema, run_date)
     fresh = incremental.new_rows(pages, before, "url", "feed")
-    roles = fresh.select(F.col("url").alias("feed"), "Job Role").distinct()
-    details = boards.parse_job_pages(fresh.select("url", "html").dropDuplicates(["url"]))
-    dated = details.join(roles, "feed").withColumn("date_of_scrape", F.lit(run_date))
-    rows = postings_b(dated, run_date, run_date.year)
+    details = boards.parse_job_pages(fresh, keep=["Job Role"]).withColumn("date_of_scrape", F.lit(run_date))
+    rows = postings_b(details, run_date, run_date.year)
     incremental.write_run(rows.sortWithinPartitions("Month", "Job_ind"), table, run_date)
 
 
 def production(spark: SparkSession, table: str, run_date: dt.date, schema: str) -> DataFrame:
-    """All postings of the cumulative table as of a run, by month and role index."""
+    """All postings of the cumulative table as of a run, by month and role index; the address spreads equal ones."""
     rows = incremental.table_as_of(spark, table, schema, run_date)
-    return rows.orderBy(F.col("Month").asc_nulls_last(), F.col("Job_ind").asc_nulls_last())
+    return rows.orderBy(F.col("Month").asc_nulls_last(), F.col("Job_ind").asc_nulls_last(), "feed")

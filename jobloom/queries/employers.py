@@ -20,28 +20,39 @@ def _base(selector: str) -> str:
         ELSE p_name || ' ' || {_BRAND} || ' ' || p_type || ' holding company' END"""
 
 
-_SLUG = f"lower(replace({_base('p_partkey % 4')}, ' ', CASE p_partkey % 7 WHEN 0 THEN '' ELSE '-' END))"
+_COMPANIES = Derived("part", {"p_partkey": "p_partkey", "company": f"lower({_base('p_partkey % 4')})"}, costly=True)
+_SLUGS = Derived(
+    _COMPANIES,
+    {"p_partkey": "p_partkey", "slug": "replace(company, ' ', CASE p_partkey % 7 WHEN 0 THEN '' ELSE '-' END)"},
+)
 COMPANY_URLS = Derived(
-    "part",
+    _SLUGS,
     {
-        "Company_name_url": f"""'https://dir.example/' || CASE p_partkey % 50 WHEN 0 THEN 'organization/%e6'
-            WHEN 1 THEN 'organization/' WHEN 2 THEN 'person/' || {_SLUG} ELSE 'organization/' || {_SLUG} END"""
+        "Company_name_url": """'https://dir.example/' || CASE p_partkey % 50 WHEN 0 THEN 'organization/%e6'
+            WHEN 1 THEN 'organization/' WHEN 2 THEN 'person/' || slug ELSE 'organization/' || slug END"""
     },
 )
-_NAME = _base("CAST(floor(p_partkey / 4) AS INT) % 4")
+_NAMES = Derived(
+    "part", {"p_partkey": "p_partkey", "base": _base("CAST(floor(p_partkey / 4) AS INT) % 4")}, costly=True
+)
 # One character lost, one gained, or three changed; then the legal forms and a leading article.
-_TYPO = f"""CASE p_partkey % 5 WHEN 1 THEN substr({_NAME}, 1, 4) || substr({_NAME}, 6)
-    WHEN 2 THEN substr({_NAME}, 1, 6) || 'x' || substr({_NAME}, 7)
-    WHEN 3 THEN 'q' || substr({_NAME}, 1, 3) || substr({_NAME}, 5, 5) || 'z' || substr({_NAME}, 10) ELSE {_NAME} END"""
+_MISTYPED = Derived(
+    _NAMES,
+    {
+        "p_partkey": "p_partkey",
+        "typed": """CASE p_partkey % 5 WHEN 1 THEN substr(base, 1, 4) || substr(base, 6)
+            WHEN 2 THEN substr(base, 1, 6) || 'x' || substr(base, 7)
+            WHEN 3 THEN 'q' || substr(base, 1, 3) || substr(base, 5, 5) || 'z' || substr(base, 10) ELSE base END""",
+    },
+)
 POSTED = Derived(
-    "part",
+    _MISTYPED,
     {
         "p_partkey": "p_partkey",
-        "name": f"""CASE p_partkey % 6 WHEN 0 THEN 'The ' || {_TYPO} WHEN 1 THEN {_TYPO} || ' LLC'
-            WHEN 2 THEN {_TYPO} || ', Inc.' WHEN 3 THEN replace({_TYPO}, ' ', ' & ')
-            WHEN 4 THEN CASE WHEN p_partkey % 60 = 4 THEN NULL ELSE {_TYPO} END ELSE {_TYPO} END""",
+        "name": """CASE p_partkey % 6 WHEN 0 THEN 'The ' || typed WHEN 1 THEN typed || ' LLC'
+            WHEN 2 THEN typed || ', Inc.' WHEN 3 THEN replace(typed, ' ', ' & ')
+            WHEN 4 THEN CASE WHEN p_partkey % 60 = 4 THEN NULL ELSE typed END ELSE typed END""",
     },
-    costly=True,
 )
 
 

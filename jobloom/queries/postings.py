@@ -81,7 +81,8 @@ def two_pass_listings(spark, sf_dir):
     listed = LISTED.frame(spark, sf_dir)
     parity = F.col("o_orderkey") % 2
     first, second = listed.filter(parity == 0), listed.filter((parity == 1) | (F.col("o_orderkey") % 3 == 0))
-    return dedupe.merge_passes([first, second], ["o_orderkey"]).select("o_orderkey", "key", "name", "title")
+    merged = dedupe.by_name(dedupe.merge_passes([first, second], ["o_orderkey"]))
+    return merged.select("o_orderkey", "key", "name", "title")
 
 
 @query(f"SELECT CAST(count(*) - count(DISTINCT coalesce(key, 'none')) AS BIGINT) AS duplicates FROM {LISTED.sql()} l")
@@ -232,13 +233,12 @@ def new_urls_only(spark, sf_dir):
 
 
 @query(
-    f"""SELECT count(*) FILTER (WHERE NOT ({_NEW} OR feed IS NULL)) AS old_count,
-    count(*) FILTER (WHERE {_NEW} OR feed IS NULL) AS new_count FROM {FEEDS.sql()} f WHERE feed IS NOT NULL"""
+    f"""SELECT CAST(sum(CASE WHEN {_NEW} THEN 0 ELSE 1 END) AS BIGINT) AS old_count,
+    CAST(sum(CASE WHEN {_NEW} THEN 1 ELSE 0 END) AS BIGINT) AS new_count FROM {FEEDS.sql()} f"""
 )
 def seen_new_counts(spark, sf_dir):
     feeds, seen = _feeds(spark, sf_dir)
-    known = F.col("feed").isNotNull()
-    return incremental.seen_new_counts(feeds.filter(known), seen.filter(known), "feed")
+    return incremental.seen_new_counts(feeds, seen, "feed")
 
 
 @query(
@@ -382,4 +382,4 @@ def role_index(spark, sf_dir):
 def iso_dates(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("s"))
     parsed = rows.select("o_orderkey", iso_date(F.col("s")).alias("d"))
-    return parsed.orderBy(F.col("d").asc_nulls_last()).select("o_orderkey", F.col("d").cast("string").alias("day"))
+    return parsed.orderBy(F.col("d").asc_nulls_last(), "o_orderkey").select("o_orderkey", F.col("d").cast("string").alias("day"))

@@ -40,18 +40,23 @@ def table(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) ->
 
 
 class Derived:
-    """Input columns computed from a table by expressions that both SQL dialects read alike."""
+    """Input columns computed from a table, or from other such columns, by expressions both SQL dialects read alike."""
 
-    def __init__(self, source: str, columns: Mapping[str, str], costly: bool = False):
+    def __init__(self, source: str | Derived, columns: Mapping[str, str], costly: bool = False):
         self.source, self.columns, self.costly = source, dict(columns), costly
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         exprs = [f"{expression} AS `{name}`" for name, expression in self.columns.items()]
-        return table(spark, sf_dir, self.source, self.costly).selectExpr(*exprs)
+        if isinstance(self.source, Derived):
+            rows = self.source.frame(spark, sf_dir)
+        else:
+            rows = table(spark, sf_dir, self.source, self.costly)
+        return rows.selectExpr(*exprs)
 
     def sql(self) -> str:
         exprs = ", ".join(f'{expression} AS "{name}"' for name, expression in self.columns.items())
-        return f"(SELECT {exprs} FROM {self.source})"
+        source = f"{self.source.sql()} AS s" if isinstance(self.source, Derived) else self.source
+        return f"(SELECT {exprs} FROM {source})"
 
 
 def literal(text: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,10 +153,14 @@ def job_urls(pages: DataFrame, html: str = "html", classes: Sequence[str] = JOB_
     return pages.select(F.explode(targets).alias("job_listing_url")).distinct()
 
 
-def parse_job_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def parse_job_pages(
+    pages: DataFrame, url: str = "url", html: str = "html", keep: Sequence[str] = ()
+) -> DataFrame:
     """Board B job pages to detail rows. The nesting of the fields needs a parser, hence the Arrow-batched function."""
-    record = pages.select(F.col(url).alias("feed"), job_page_fields()(F.col(html)).alias("r"))
+    kept = [F.col(f"`{c}`") for c in keep]
+    record = pages.select(*kept, F.col(url).alias("feed"), job_page_fields()(F.col(html)).alias("r"))
     return record.select(
+        *kept,
         "r.posted", "r.Experience", "r.location", "r.jobType", "r.Education", "r.description", "r.name",
         without_employer(F.col("r.title"), F.col("r.name")).alias("title"), "feed",
     )
@@ -166,10 +170,3 @@ def first_tag_text(html: Column, tag: str) -> Column:
     """Text of the first element with the tag, without inner tags; null if there is none."""
     inner = embedded(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>")
     return F.trim(F.regexp_replace(inner, "<[^>]+>", ""))
-
-
-def discard_empty(rows: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
-    """Rows in which none of the columns is an empty string."""
-    for name in columns:
-        rows = rows.filter(F.col(f"`{name}`") != "")
-    return rows

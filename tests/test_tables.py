@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from jobloom.operators import dedupe, facts, incremental, metrics
+from jobloom.operators.joins import left_join
 from jobloom.sources import files
 from jobloom.streaming.ingest import ingest_new, ingest_within_horizon
 
@@ -87,7 +88,15 @@ def test_new_rows_match_null_to_null(spark):
     assert rows_of(incremental.new_rows(rows, seen, "u")) == [("b",)]
     assert incremental.new_rows(rows, seen.toDF("v"), "u").count() == 3
     assert rows_of(incremental.new_rows(rows, seen.toDF("v"), "u", "v")) == [("b",)]
-    assert tuple(incremental.seen_new_counts(rows.dropna(), seen.dropna(), "u").head()) == (1, 1)
+    assert tuple(incremental.seen_new_counts(rows.union(rows), seen, "u").head()) == (4, 2)
+    assert tuple(incremental.seen_new_counts(rows, seen.limit(0), "u").head()) == (0, 3)
+
+
+def test_left_join_equals_the_built_in_one(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("hot", 5)], "k string, n int")
+    right = spark.createDataFrame([("a", 1), (None, 2)] + [("hot", i) for i in range(50)], "`r key` string, m int")
+    plain = left.join(right, F.col("k") == F.col("r key"), "left")
+    assert rows_of(left_join(left, right, "k", "r key")) == rows_of(plain)
 
 
 def test_upsert_is_idempotent(spark):
