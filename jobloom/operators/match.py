@@ -4,14 +4,17 @@ With ``n`` insertions and deletions between strings of lengths ``a`` and ``b`` t
 at least ``t`` bounds ``n`` by ``floor(2 (1 - t) a / t)`` for either length, the *budget* of that length.
 
 * Names equal after cleaning score 100 and are matched by an equi-join; only the rest goes on.
-* Budget 1 or 2: two strings are within ``n`` edits if deleting ``i`` characters of one and ``n - i`` of the other gives the
-  same string. Both sides emit these variants. The directory side is reduced to its first name per variant before the
-  join, so a probe row meets at most three rows and no group is paired with itself.
-* Budget 3 and more: the directory string is cut into budget + 1 pieces, of which at least one survives the edits,
-  displaced by no more than the edits allow. The characters are likewise dealt into budget + 1 classes; in at least one of
-  them every character occurs on both sides with the same parity. Both sides emit a piece with its place and the
-  parities of a class, and meet in an equi-join whose condition also compares the parities of all classes; what
-  remains is scored. Names made after one template share pieces but not parities, so they do not meet.
+* Two strings are within ``n`` edits if deleting ``i`` characters of one and ``n - i`` of the other gives the same string.
+  Both sides emit such variants: with up to two deletions where the budget is 1 or 2, with up to one where it is larger.
+  The directory side is reduced to its first name per variant before the join, so a probe row meets at most three
+  rows and no group is paired with itself.
+* That settles names with a budget of 1 or 2, and longer ones with a partner one edit away. For a longer name with one
+  character replaced, only an entry two characters longer could still be better; otherwise all lengths are open.
+* Open names: the directory string is cut into budget + 1 pieces, of which at least one survives the edits, displaced by no
+  more than the edits allow. The characters are likewise dealt into budget + 1 classes; in at least one of them every
+  character occurs on both sides with the same parity. Both sides emit a piece with its place and the parities of a
+  class, and meet in an equi-join whose condition also compares the parities of all classes; what remains is scored.
+  Names made after one template share pieces but not parities, so they do not meet.
 
 Joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
 could be chosen for a table many times larger than the limit. A skewed key is split by adaptive execution.
@@ -77,40 +80,48 @@ def _marked_deletions(wanted: Column, count: int, mark: str) -> Column:
 
 
 def _probe_variants(probes: DataFrame, t: float) -> DataFrame:
-    """(form, size, variant, cut): variants of the probe forms with a small budget."""
+    """(form, size, variant, cut): variants of the probe forms."""
     budget = _budget(F.col("size"), t)
     parts = []
     for cut in range(VARIANT_BUDGET + 1):
-        wanted = (budget >= max(cut, 1)) & (budget <= VARIANT_BUDGET) & (F.col("size") > cut)
+        wanted = (budget >= max(cut, 1)) & (F.col("size") > cut)
+        if cut > 1:
+            wanted = wanted & (budget <= VARIANT_BUDGET)
         parts.append(_marked_deletions(wanted, cut, "cut"))
     return probes.select("form", "size", F.inline(F.concat(*parts)))
 
 
 def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
-    """(variant, removed, first): variants of the directory forms that some probe with a small budget could meet."""
+    """(variant, removed, first): variants of the directory forms that some probe could need."""
     parts = []
     for removed in range(VARIANT_BUDGET + 1):
         useful = F.lit(False)
         for cut in range(VARIANT_BUDGET + 1 - removed):
             budget = _budget(F.col("size") - removed + cut, t)
             if cut + removed > 0:
-                useful = useful | ((budget >= cut + removed) & (budget <= VARIANT_BUDGET))
+                enough = budget >= cut + removed
+                useful = useful | (enough if max(cut, removed) <= 1 else enough & (budget <= VARIANT_BUDGET))
         parts.append(_marked_deletions(useful & (F.col("size") > removed), removed, "removed"))
     return directory.select("first", F.inline(F.concat(*parts)))
 
 
 def _variant_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
-    """(form, score, first) for probes with a small budget."""
+    """(form, score, first, edits): the best partner of a probe among those with a common variant."""
     keys = _probe_variants(probes, t)
     # Partitioned by the variant alone, which serves the grouping and the join after it.
     variants = _spread(_directory_variants(directory, t), "variant")
     firsts = variants.groupBy("variant", "removed").agg(F.min("first").alias("first"))
     edits = F.col("cut") + F.col("removed")
     total = 2 * F.col("size") - F.col("cut") + F.col("removed")
-    return (
+    met = (
         keys.join(firsts.hint("merge"), "variant")
         .filter((edits <= _budget(F.col("size"), t)) & (total * (1 - t) + 1e-9 >= edits))
-        .select("form", (100.0 - edits * 100.0 / total).alias("score"), "first")
+        .select("form", (edits * 100.0 / total).alias("loss"), "first", edits.alias("edits"))
+    )
+    return (
+        met.groupBy("form")
+        .agg(F.min(F.struct("loss", "first", "edits")).alias("best"))
+        .select("form", (100.0 - F.col("best.loss")).alias("score"), "best.first", "best.edits")
     )
 
 
@@ -141,14 +152,14 @@ def _meeting_place(text: Column) -> Column:
 
 
 def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
-    """(form, score, first) for probes with a larger budget."""
+    """(form, score, first) for probes with a larger budget; ``settled`` is how far their best partner so far is."""
     size, other, shift, edits = F.col("size"), F.col("other_size"), F.col("shift"), F.col("edits")
     budget = _budget(size, t)
     sized = (
         probes.filter(budget > VARIANT_BUDGET)
         .withColumn("other_size", F.explode(F.sequence(size - budget, size + budget)))
-        .withColumn("edits", F.least(budget, _budget(other, t)))
-        .filter(F.abs(size - other) <= edits)
+        .withColumn("edits", F.coalesce("settled", F.least(budget, _budget(other, t))))
+        .filter((F.abs(size - other) <= edits) & (F.col("settled").isNull() | (other == size + 2)))
         .withColumn("bits", _parities(F.col("form")))
     )
     # The edits before and after the piece add up to at least its displacement and what is left of the difference.
@@ -232,7 +243,12 @@ def best_matches(
     if t < 1:
         left_over = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
         rest, others = _spread(left_over, "form", "size"), _spread(entries, "form", "size")
-        found = exact.unionByName(_variant_matches(rest, others, t)).unionByName(_piece_matches(rest, others, t))
+        close = materialize(_variant_matches(rest, others, t), "match-variants")
+        still_open = rest.join(close.select("form", F.col("edits").alias("settled")), "form", "left").filter(
+            F.col("settled").isNull() | (F.col("settled") > 1)
+        )
+        further = _piece_matches(_spread(still_open, "form", "size"), others, t)
+        found = exact.unionByName(close.drop("edits")).unionByName(further)
     best = materialize(
         found.groupBy("form")
         .agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))
