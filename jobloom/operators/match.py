@@ -16,7 +16,8 @@ at least ``t`` bounds ``n`` by ``floor(2 (1 - t) a / t)`` for either length, the
   class, and meet in an equi-join whose condition also compares the parities of all classes; what remains is scored.
   Names made after one template share pieces but not parities, so they do not meet.
 
-Joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
+Where the probes are few, their variants are sent to all executors, after their number was checked, and directory variants
+that nobody asks for end before the shuffle. Other joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
 could be chosen for a table many times larger than the limit. A skewed key is split by adaptive execution.
 
 Every branch is lossless, so the result is that of comparing every pair.
@@ -33,6 +34,8 @@ from jobloom.operators.metrics import value_counts
 from jobloom.scratch import materialize
 
 VARIANT_BUDGET = 2
+# So many probe variants, of at most some forty bytes each, may be sent to every executor.
+BROADCAST_VARIANTS = 500_000
 
 
 def _budget(length: Column, t: float) -> Column:
@@ -91,6 +94,14 @@ def _probe_variants(probes: DataFrame, t: float) -> DataFrame:
     return probes.select("form", "size", F.inline(F.concat(*parts)))
 
 
+def _extent(probes: DataFrame, t: float) -> tuple[int, int]:
+    """Largest budget of the probes and an upper bound of the number of their variants, from the lengths alone."""
+    size = F.col("size")
+    pairs = F.when(_budget(size, t) <= VARIANT_BUDGET, size * (size - 1) / 2).otherwise(F.lit(0))
+    extent = probes.agg(F.max(_budget(size, t)).alias("budget"), F.sum(1 + size + pairs).alias("variants")).head()
+    return int(extent["budget"] or 0), int(extent["variants"] or 0)
+
+
 def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
     """(variant, removed, first): variants of the directory forms that some probe could need."""
     parts = []
@@ -105,11 +116,18 @@ def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
     return directory.select("first", F.inline(F.concat(*parts)))
 
 
-def _variant_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
-    """(form, score, first, edits): the best partner of a probe among those with a common variant."""
+def _variant_matches(probes: DataFrame, directory: DataFrame, t: float, few: bool) -> DataFrame:
+    """(form, score, first, edits): the best partner of a probe among those with a common variant.
+
+    ``few`` tells that the probe variants are few enough to be sent to every executor.
+    """
     keys = _probe_variants(probes, t)
+    variants = _directory_variants(directory, t)
+    if few:
+        wanted = F.broadcast(keys.select("variant").distinct())
+        variants = variants.join(wanted, "variant", "left_semi")
     # Partitioned by the variant alone, which serves the grouping and the join after it.
-    variants = _spread(_directory_variants(directory, t), "variant")
+    variants = _spread(variants, "variant")
     firsts = variants.groupBy("variant", "removed").agg(F.min("first").alias("first"))
     edits = F.col("cut") + F.col("removed")
     total = 2 * F.col("size") - F.col("cut") + F.col("removed")
@@ -242,13 +260,17 @@ def best_matches(
     found = exact
     if t < 1:
         left_over = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
-        rest, others = _spread(left_over, "form", "size"), _spread(entries, "form", "size")
-        close = materialize(_variant_matches(rest, others, t), "match-variants")
-        still_open = rest.join(close.select("form", F.col("edits").alias("settled")), "form", "left").filter(
-            F.col("settled").isNull() | (F.col("settled") > 1)
-        )
-        further = _piece_matches(_spread(still_open, "form", "size"), others, t)
-        found = exact.unionByName(close.drop("edits")).unionByName(further)
+        rest, others = materialize(_spread(left_over, "form", "size"), "match-open"), _spread(entries, "form", "size")
+        budget, variants = _extent(rest, t)
+        if budget > 0:
+            few = variants <= BROADCAST_VARIANTS
+            close = materialize(_variant_matches(rest, others, t, few), "match-variants")
+            found = found.unionByName(close.drop("edits"))
+        if budget > VARIANT_BUDGET:
+            still_open = rest.join(close.select("form", F.col("edits").alias("settled")), "form", "left").filter(
+                F.col("settled").isNull() | (F.col("settled") > 1)
+            )
+            found = found.unionByName(_piece_matches(_spread(still_open, "form", "size"), others, t))
     best = materialize(
         found.groupBy("form")
         .agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))

@@ -194,7 +194,7 @@ _SKILLS_SQL = ", ".join(
 
 
 @query(
-    f"""SELECT doc_id, ok, CASE WHEN ok THEN key END AS key, CASE WHEN ok THEN key END AS company,
+    f"""SELECT doc_id, CAST(ok AS BIGINT) AS ok, CASE WHEN ok THEN key END AS key, CASE WHEN ok THEN key END AS company,
     CASE WHEN ok THEN job_role END AS job_type, CASE WHEN ok THEN (doc_id % 31) || ' days ago' END AS posted,
     CASE WHEN ok THEN CAST(doc_id % 31 AS BIGINT) END AS days_ago, CASE WHEN ok THEN (doc_id % 5) / 2.0::DOUBLE END AS rating,
     CASE WHEN ok THEN array_to_string(regexp_extract_all({_ABOUT}, '\\b({text.EXPERIENCE}){text.SPACE}*years\\b', 1), '|') END
@@ -211,7 +211,7 @@ def embedded_json_detail(spark, sf_dir):
     )
     statements = F.transform("salary", lambda s: F.concat(s["amount"], F.lit(" "), s["per"], F.lit(" "), s["unit"]))
     return rows.select(
-        "doc_id", F.col("parsed").alias("ok"), "key", F.col("companyName").alias("company"),
+        "doc_id", F.col("parsed").cast("bigint").alias("ok"), "key", F.col("companyName").alias("company"),
         F.col("jobType").alias("job_type"), "posted", F.col("days_ago").cast("bigint").alias("days_ago"), "rating",
         F.array_join("experience", "|").alias("experience"), F.array_join(statements, "|").alias("salary"), "feed", "link",
         "description", F.array_join("Tools", "|").alias("tools"), F.array_join("Soft Skills", "|").alias("soft_skills"),

@@ -97,13 +97,29 @@ def test_threshold_is_checked(spark):
 
 
 def test_no_cross_join_and_no_broadcast_of_unfolded_rows(spark):
-    lefts, rights = random_names(9, 40)
+    lefts, rights = random_names(9, 60)
+    sides = [
+        spark.createDataFrame([(form(x),) for x in names], "form string").withColumn("size", F.length("form"))
+        for names in (lefts, rights)
+    ]
+    probes, entries = sides[0], sides[1].withColumn("first", F.struct(F.col("form").alias("position")))
+    variants = match._variant_matches(probes, entries, 0.95, few=False)
+    pieces = match._piece_matches(probes.withColumn("settled", F.lit(None).cast("int")), entries, 0.95)
+    for found in (variants, pieces):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_few_and_many_probes_give_the_same(spark, monkeypatch):
+    lefts, rights = random_names(11, 45)
     left = spark.createDataFrame([(x,) for x in lefts], "name string")
     right = spark.createDataFrame([(x,) for x in rights], "company_name string")
-    found = match.best_matches(left, right, "name", "company_name")
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert plan.count("SortMergeJoin") >= 2
+    results = []
+    for limit in (0, 10**9):
+        monkeypatch.setattr(match, "BROADCAST_VARIANTS", limit)
+        found = match.best_matches(left, right, "name", "company_name").collect()
+        results.append(sorted((r["name"], r["matches"], r["score"]) for r in found))
+    assert results[0] == results[1]
 
 
 def test_directory_and_counts(spark):
