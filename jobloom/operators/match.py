@@ -36,6 +36,7 @@ from jobloom.scratch import materialize
 VARIANT_BUDGET = 2
 # So many probe variants, of at most some forty bytes each, may be sent to every executor.
 BROADCAST_VARIANTS = 500_000
+UNFOLDED_PER_TASK = 500_000
 
 
 def _budget(length: Column, t: float) -> Column:
@@ -116,18 +117,20 @@ def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
     return directory.select("first", F.inline(F.concat(*parts)))
 
 
-def _variant_matches(probes: DataFrame, directory: DataFrame, t: float, few: bool) -> DataFrame:
+def _variant_matches(
+    probes: DataFrame, directory: DataFrame, t: float, probe_variants: int, directory_variants: int
+) -> DataFrame:
     """(form, score, first, edits): the best partner of a probe among those with a common variant.
 
-    ``few`` tells that the probe variants are few enough to be sent to every executor.
+    The numbers bound how many variants the sides have; a small number of probe variants is sent to every executor.
     """
     keys = _probe_variants(probes, t)
     variants = _directory_variants(directory, t)
-    if few:
-        wanted = F.broadcast(keys.select("variant").distinct())
-        variants = variants.join(wanted, "variant", "left_semi")
+    if probe_variants <= BROADCAST_VARIANTS:
+        variants = variants.join(F.broadcast(keys.select("variant").distinct()), "variant", "left_semi")
+        directory_variants = probe_variants
     # Partitioned by the variant alone, which serves the grouping and the join after it.
-    variants = _spread(variants, "variant")
+    variants = _spread(variants, directory_variants, "variant")
     firsts = variants.groupBy("variant", "removed").agg(F.min("first").alias("first"))
     edits = F.col("cut") + F.col("removed")
     total = 2 * F.col("size") - F.col("cut") + F.col("removed")
@@ -210,13 +213,14 @@ def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFra
     return scored.filter(F.col("score") >= t * 100 - 1e-9).select("form", "score", "first")
 
 
-def _spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all shuffle partitions: few bytes now, many rows once they are unfolded.
+def _spread(rows: DataFrame, unfolded: int, *keys: str) -> DataFrame:
+    """Rows dealt out for the ``unfolded`` rows they become: few bytes now, many rows later, and a task for each part.
 
     The keys must differ from those the rows are already partitioned by. Otherwise the request is dropped as redundant,
     and adaptive execution joins the small partitions of the earlier shuffle into few.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-unfolded // UNFOLDED_PER_TASK)), *keys)
 
 
 def best_matches(
@@ -260,17 +264,18 @@ def best_matches(
     found = exact
     if t < 1:
         left_over = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
-        rest, others = materialize(_spread(left_over, "form", "size"), "match-open"), _spread(entries, "form", "size")
+        rest = materialize(left_over, "match-open")
         budget, variants = _extent(rest, t)
         if budget > 0:
-            few = variants <= BROADCAST_VARIANTS
-            close = materialize(_variant_matches(rest, others, t, few), "match-variants")
+            _, entry_variants = _extent(entries, t)
+            rest, others = _spread(rest, variants, "form"), _spread(entries, entry_variants, "form")
+            close = materialize(_variant_matches(rest, others, t, variants, entry_variants), "match-variants")
             found = found.unionByName(close.drop("edits"))
         if budget > VARIANT_BUDGET:
             still_open = rest.join(close.select("form", F.col("edits").alias("settled")), "form", "left").filter(
                 F.col("settled").isNull() | (F.col("settled") > 1)
             )
-            found = found.unionByName(_piece_matches(_spread(still_open, "form", "size"), others, t))
+            found = found.unionByName(_piece_matches(_spread(still_open, variants, "form", "size"), others, t))
     best = materialize(
         found.groupBy("form")
         .agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))

@@ -28,7 +28,9 @@ def match_employers(
     return incremental.only_run(spark, table, schemas.MATCHED, run_date)
 
 
-def collect_companies(pages: DataFrame, out: str, log: str, run_date: dt.date) -> None:
+def collect_companies(
+    pages: DataFrame, out: str, log: str, run_date: dt.date, keep_without_people: bool = False
+) -> None:
     """Parse stored company pages (url, html) once into the company, people and error tables."""
     parsed = materialize(companies.parse_company_pages(pages), "company-pages")
     people = companies.people(parsed)
@@ -40,7 +42,7 @@ def collect_companies(pages: DataFrame, out: str, log: str, run_date: dt.date) -
         f"{log}/companies_with_people",
     )
     incremental.upsert_run(people, f"{out}/people", run_date)
-    incremental.upsert_run(companies.company_info(parsed), f"{out}/company_info", run_date)
+    incremental.upsert_run(companies.company_info(parsed, keep_without_people=keep_without_people), f"{out}/company_info", run_date)
     incremental.upsert_run(companies.page_errors(parsed), f"{out}/errors", run_date)
 
 

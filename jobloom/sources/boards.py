@@ -128,12 +128,11 @@ def parse_detail_pages(
     return flat.select(*kept, ok.alias("parsed"), *[F.when(ok, c).alias(n) for n, c in columns.items()])
 
 
-def link_targets(html: Column, css_class: str | None = None) -> Column:
-    """Addresses of the links of a page, in page order; with ``css_class``, of the links with that class attribute."""
+def link_targets(html: Column, classes: Sequence[str] | None = None) -> Column:
+    """Addresses of the links of a page, in page order; with ``classes``, of links whose class attribute is one of them."""
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*>"), F.lit(0))
-    if css_class is not None:
-        quoted = F.lit(css_class)
-        tags = F.filter(tags, lambda t: F.regexp_extract(t, r'(?i)\sclass="([^"]*)"', 1) == quoted)
+    if classes is not None:
+        tags = F.filter(tags, lambda t: F.regexp_extract(t, r'(?i)\sclass="([^"]*)"', 1).isin(*classes))
     tags = F.filter(tags, lambda t: t.rlike(r'(?i)\shref="'))
     return F.transform(
         tags, lambda t: F.replace(F.regexp_extract(t, r'(?i)\shref="([^"]*)"', 1), F.lit("&amp;"), F.lit("&"))
@@ -149,8 +148,7 @@ JOB_LINK_CLASSES = (
 
 def job_urls(pages: DataFrame, html: str = "html", classes: Sequence[str] = JOB_LINK_CLASSES) -> DataFrame:
     """Distinct addresses of the job pages linked from board B search pages."""
-    targets = F.concat(*[link_targets(F.col(html), c) for c in classes])
-    return pages.select(F.explode(targets).alias("job_listing_url")).distinct()
+    return pages.select(F.explode(link_targets(F.col(html), classes)).alias("job_listing_url")).distinct()
 
 
 def parse_job_pages(

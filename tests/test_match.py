@@ -103,7 +103,7 @@ def test_no_cross_join_and_no_broadcast_of_unfolded_rows(spark):
         for names in (lefts, rights)
     ]
     probes, entries = sides[0], sides[1].withColumn("first", F.struct(F.col("form").alias("position")))
-    variants = match._variant_matches(probes, entries, 0.95, few=False)
+    variants = match._variant_matches(probes, entries, 0.95, 10**9, 10**6)
     pieces = match._piece_matches(probes.withColumn("settled", F.lit(None).cast("int")), entries, 0.95)
     for found in (variants, pieces):
         plan = found._jdf.queryExecution().executedPlan().toString()

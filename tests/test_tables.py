@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from jobloom.operators import dedupe, facts, incremental, metrics
 from jobloom.operators.joins import left_join
+from jobloom.session import apply_settings
 from jobloom.sources import files
 from jobloom.streaming.ingest import ingest_new, ingest_within_horizon
 
@@ -199,3 +200,12 @@ def test_stream_within_horizon(spark, tmp_path):
     )
     query.awaitTermination()
     assert spark.table("horizon").count() == 5
+
+
+def test_shuffle_partitions_follow_the_data(spark):
+    present = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert apply_settings(spark, 1).conf.get("spark.sql.shuffle.partitions") == present
+        assert apply_settings(spark, 2 * 1024**4).conf.get("spark.sql.shuffle.partitions") == str(2 * 1024**4 // 2**27)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", present)
