@@ -12,20 +12,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+SHARES = 64
+
 
 def _sort_keys(order: Sequence[str | Column]) -> list[Column]:
     """Ascending with nulls last for names; columns as they come."""
     return [F.col(f"`{o}`").asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
-def keep_first_n(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each key; nulls are a key of their own. ``order`` should end in a unique column."""
+def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
     window = W.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*_sort_keys(order))
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
+def keep_first_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of each key; nulls are a key of their own. ``order`` should end in a unique column.
+
+    Every task of the scan may send ``n`` rows of a frequent key, together too many for one task. So the rows of a key
+    are first dealt out by a hash of their place in the order, cut to ``n`` in each share, and only then brought together.
+    """
+    if n > 1:
+        share = F.pmod(F.xxhash64(*[F.col(f"`{o}`") for o in order]), F.lit(SHARES))
+        df = _first_rows(df.withColumn("_share", share), [*keys, "_share"], order, n).drop("_share")
+    return _first_rows(df, keys, order, n)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    return keep_first_n(df, keys, order, 1)
+    return _first_rows(df, keys, order, 1)
 
 
 def _period(include_year: bool) -> list[str]:
