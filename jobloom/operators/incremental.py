@@ -71,10 +71,8 @@ def only_run(spark: SparkSession, path: str, schema: str | T.StructType, run_dat
 
 
 def write_run(rows: DataFrame, path: str, run_date: dt.date) -> None:
-    """Write the rows as the partition of that run, in place of an earlier attempt of the same run."""
-    rows.withColumn(RUN, F.lit(run_date)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(RUN).parquet(path)
+    """Write the rows as the partition of that run, in place of an earlier attempt of the same run, even if empty."""
+    rows.write.mode("overwrite").parquet(f"{path}/{RUN}={run_date.isoformat()}")
 
 
 def add_run(rows: DataFrame, path: str, key: str, run_date: dt.date) -> None:

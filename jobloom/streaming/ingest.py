@@ -21,9 +21,7 @@ def _add_batch(batch: DataFrame, batch_id: int, table: str, key: str, order: Seq
     stored = T.StructType(batch.schema.fields).add(BATCH, T.LongType())
     earlier = table_or_empty(batch.sparkSession, table, stored).filter(F.col(BATCH) < batch_id)
     fresh = keep_first(new_rows(batch, earlier, key), [key], order)
-    fresh.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(BATCH).parquet(table)
+    fresh.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
 
 
 def ingest_new(

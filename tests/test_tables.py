@@ -7,7 +7,7 @@ from jobloom.operators import dedupe, facts, incremental, metrics
 from jobloom.operators.joins import left_join
 from jobloom.session import apply_settings
 from jobloom.sources import files
-from jobloom.streaming.ingest import ingest_new, ingest_within_horizon
+from jobloom.streaming.ingest import _add_batch, ingest_new, ingest_within_horizon
 
 POSTING = "key string, Month int, Year int, `Job Role` string, date_of_scrape date, id int"
 
@@ -120,6 +120,9 @@ def test_runs_of_a_cumulative_table(spark, tmp_path):
     assert rows_of(incremental.table_as_of(spark, path, schema, day[1]).select("k", "v")) == [("a", 1), ("b", 2)]
     assert rows_of(incremental.only_run(spark, path, schema, day[2]).select("k", "v")) == [("c", 3), (None, 3)]
     assert incremental.table_before(spark, path, schema, day[0]).count() == 0
+    incremental.add_run(frames[2].limit(0), path, "k", day[2])
+    assert incremental.only_run(spark, path, schema, day[2]).count() == 0
+    assert incremental.table_as_of(spark, path, schema, day[2]).count() == 2
 
 
 def test_upsert_run_with_lists_and_nulls(spark, tmp_path):
@@ -187,6 +190,14 @@ def test_stream_suppresses_seen_keys(spark, tmp_path):
     assert [arrive(0, 10), arrive(5, 15), arrive(0, 15)] == [10, 15, 15]
 
 
+def test_replayed_batch_adds_nothing(spark, tmp_path):
+    table = str(tmp_path / "table")
+    rows = spark.range(10).selectExpr("id", "id % 7 AS v")
+    for batch_id in (0, 1, 1, 0):
+        _add_batch(rows.filter(F.col("id") < 5 + 5 * batch_id), batch_id, table, "id", ["v"])
+    assert spark.read.parquet(table).groupBy("batch").count().orderBy("batch").collect() == [(0, 5), (1, 5)]
+
+
 def test_stream_within_horizon(spark, tmp_path):
     landing = str(tmp_path / "landing")
     spark.sql("SELECT id % 5 AS k, timestamp'2024-07-01' + make_interval(0,0,0,0,0,0,id) AS at FROM range(20)").write.parquet(
