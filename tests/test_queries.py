@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from jobloom.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = (
@@ -46,7 +47,7 @@ def test_query(spark, duck, name):
 
 
 def test_every_query_has_a_text():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
