@@ -20,8 +20,8 @@ from jobloom.scratch import materialize
 MAX_PATTERNS = 4096
 #: Shares by hash in which the documents of a pattern are added up before single ones are looked at.
 SHARES = 1 << 14
-#: What is left of a quota is filled with documents of at most this part of it.
-FINER = 16
+#: What is left of a quota is filled with documents of at most half of it, so many times.
+ROUNDS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -111,35 +111,36 @@ def fill(rows: DataFrame, quota: Column, order: Sequence[str]) -> DataFrame:
     share = F.shiftrightunsigned("hash", 50).cast("int")
     rows = rows.withColumn("share", share)
     before = Window.partitionBy("pattern").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("pattern", "share").agg(F.sum("size").alias("whole"))
-    sums = sums.withColumn("base", F.coalesce(F.sum("whole").over(before), F.lit(0)))
+    sums = rows.groupBy("pattern", "share").agg(F.sum("size").alias("here"))
+    sums = sums.withColumn("base", F.coalesce(F.sum("here").over(before), F.lit(0)))
     rows = rows.join(sums, ["pattern", "share"])
-    at_end = (F.col("base") < quota) & (F.col("base") + F.col("whole") > quota)
+    at_end = (F.col("base") < quota) & (F.col("base") + F.col("here") > quota)
     within = Window.partitionBy("pattern", "share").orderBy("hash", *order).rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.where(at_end).withColumn("in_", F.col("base") + F.sum("size").over(within) <= quota)
-    outside = rows.where(~at_end).withColumn("in_", F.col("base") + F.col("whole") <= quota)
-    return outside.unionByName(inside).drop("share", "whole", "base")
+    outside = rows.where(~at_end).withColumn("in_", F.col("base") + F.col("here") <= quota)
+    return outside.unionByName(inside).drop("share", "here", "base")
 
 
 def mix(
     docs: DataFrame, key: str, text: str, sources: Column, weights: Sequence[float] = (5, 2, 1),
-    share: float = 1.5, passes: int = 2, seed: int = 42,
+    share: float = 1.5, passes: int = 2, seed: int = 42, keep: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Copies of each document that the mix takes, and the targets of the sources.
 
     ``sources`` is the array of the sources that hold a document; null in it is a source of its own. The first result has
-    the columns of ``docs`` and ``size`` (words), ``copies`` (0 to ``passes``) and ``credited`` (the source of each copy);
-    columns of these names are replaced. The second has ``source``, ``source_size`` and ``target``. A null or wordless text
-    has size 0 and is never taken. Repeated rows are documents of their own. The same rows and seed give the same result,
-    whatever their order. An empty table gives empty results. Documents are taken whole, so what a source gets comes within
-    a sixteenth of one document of its target where it has small documents. More than MAX_PATTERNS patterns are refused.
+    the key, the columns in ``keep`` (which also settle ties), ``size`` (words), ``pattern``, ``copies`` (0 to ``passes``)
+    and ``credited`` (the source of each copy), a row for each document. The second has ``source``, ``source_size`` and
+    ``target``. A null or wordless text has size 0 and is never taken. Repeated rows are documents of their own. The same rows and seed give the same result,
+    whatever their order. An empty table gives empty results. Documents are taken whole, so what a source gets stays
+    below its target by less than a small document where it has small ones left, and never goes above it. More than MAX_PATTERNS patterns are refused.
     """
     spark = docs.sparkSession
-    rows = docs.drop("size", "copies", "credited").withColumns({
-        "size": word_count(F.col(text)), "pattern": F.array_sort(F.array_distinct(sources)),
-        "hash": F.xxhash64(F.lit(seed), F.col(key)),
-    })
-    light = materialize(rows.select(key, "size", "pattern", "hash"), "sizes")
+    ids = [key, *keep]
+    light = docs.select(
+        *ids, word_count(F.col(text)).alias("size"), F.array_sort(F.array_distinct(sources)).alias("pattern"),
+        F.xxhash64(F.lit(seed), F.col(key)).alias("hash"),
+    )
+    light = materialize(light, "sizes")
     totals = light.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(totals) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -164,25 +165,26 @@ def mix(
     kind = "pattern array<string>, whole int, quota double, bounds array<double>"
     plan = F.broadcast(spark.createDataFrame(plan, kind))  # at most MAX_PATTERNS rows
     known = light.join(plan, "pattern").where("size > 0")
-    known = materialize(fill(known, F.col("quota"), [key, "size"]), "filled")
-    # What the last document left open goes to small documents that were not taken yet.
-    got = known.groupBy("pattern").agg(F.sum(F.when(F.col("in_"), F.col("size")).otherwise(0)).alias("got"))
-    rest = known.join(F.broadcast(got), "pattern").withColumn("rest", F.col("quota") - F.col("got"))  # a row a pattern
-    small = ~F.col("in_") & (F.col("size") * FINER <= F.col("rest"))
-    more = fill(rest.where(small).drop("in_"), F.col("rest"), [key, "size"])
-    chosen = rest.where(~small).unionByName(more.select(rest.columns))
+    chosen = materialize(fill(known, F.col("quota"), ["size", *ids]), "filled")
+    for _ in range(ROUNDS):  # what the last document left open goes to smaller documents that were not taken yet
+        got = chosen.groupBy("pattern").agg(F.sum(F.when(F.col("in_"), F.col("size")).otherwise(0)).alias("got"))
+        rest = chosen.join(F.broadcast(got), "pattern")  # a row for each pattern
+        rest = rest.withColumn("rest", F.col("quota") - F.col("got")).drop("got")
+        small = ~F.col("in_") & (F.col("size") * 2 <= F.col("rest"))
+        more = fill(rest.where(small).drop("in_"), F.col("rest"), ["size", *ids])
+        chosen = materialize(rest.where(~small).unionByName(more).drop("rest"), "filled")
     copies = F.col("whole") + F.col("in_").cast("int")
     spot = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(1 << 30)) / (1 << 30)
     owner = F.element_at("pattern", F.least(F.size("pattern"), F.size(F.filter("bounds", lambda b: b <= spot)) + 1))
-    chosen = chosen.select(key, "size", "pattern", copies.alias("copies"), owner.alias("owner"))
+    chosen = chosen.select(*ids, "size", "pattern", copies.alias("copies"), owner.alias("owner"))
     empty = light.where("size = 0").select(
-        key, "size", "pattern", F.lit(0).alias("copies"), F.lit(None).cast("string").alias("owner")
+        *ids, "size", "pattern", F.lit(0).alias("copies"), F.lit(None).cast("string").alias("owner")
     )
     found = chosen.unionByName(empty).withColumn("credited", F.array_repeat("owner", F.col("copies")))
     facts = spark.createDataFrame(
         [(s, sizes[s], wanted[s]) for s in sizes], "source string, source_size long, target double"
     )
-    return found.select(key, "size", "pattern", "copies", "credited"), facts
+    return found.select(*ids, "size", "pattern", "copies", "credited"), facts
 
 
 def mix_documents(documents: DataFrame) -> DataFrame:
