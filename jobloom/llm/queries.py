@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import bpe, language, mixing
+from jobloom.llm import bpe, language, mixing, pii
 from jobloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": lambda spark, sf_dir: language.identify_documents(read(spark, sf_dir, "documents")),
     "op4_bpe": lambda spark, sf_dir: bpe.encode_documents(read(spark, sf_dir, "documents")),
+    "op9_pii": lambda spark, sf_dir: pii.detect_documents(read(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.mix_documents(read(spark, sf_dir, "documents")),
 }
 ORACLE: dict[str, str] = {}
