@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,8 @@ from jobloom.scratch import materialize
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 THRESHOLD = 0.8
+#: Further texts of a bucket that all others of it are compared with.
+PIVOTS = 3
 FRAME_CHARS = 4_000_000
 _GAMMA, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
@@ -120,20 +122,48 @@ def text_id(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """``pairs`` (a, b) of texts with their similarity: the overlap of their multisets of shingles, counted in full.
 
     Bags go along with the second text of a pair, of which a text has few; the first may be that of very many pairs.
     """
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    bags = texts.join(wanted, "node", "left_semi").mapInPandas(_bags, "node binary, bag binary")
-    bags = materialize(bags, "bags")
     pairs = pairs.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b")
     pairs = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")).hint("merge"), "a")
     likeness = F.pandas_udf(_similarity, T.DoubleType())
     return pairs.select("a", "b", likeness("bag_a", "bag_b").alias("similarity"))
 
 
+def _undecided(places: DataFrame, root: DataFrame) -> DataFrame:
+    """Texts of the buckets that hold more than one class, with their class."""
+    rows = places.join(root.withColumnRenamed("vertex", "node"), "node", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "node"))
+    several = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return rows.join(several.select("bucket"), "bucket", "left_semi")
+
+
+def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes after more links."""
+    stars = root.where("vertex <> root").select(F.col("root").alias("a"), F.col("vertex").alias("b"))
+    return materialize(components(stars.unionByName(links), "a", "b"), "roots")
+
+
+def _alone(nodes: DataFrame, bags: DataFrame) -> DataFrame:
+    """For each of ``nodes``, its shingles (n) and those of them (u) that no other of the nodes has."""
+    own = bags.join(nodes.select("node").distinct(), "node", "left_semi")
+    each = own.mapInPandas(_items, "node binary, item long")
+    single = each.groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("k")).where("k = 1")
+    single = single.groupBy("node").agg(F.count("*").alias("u"))
+    sized = own.select("node", (F.length("bag") / 8).cast("long").alias("n"))
+    return sized.join(single, "node", "left").fillna(0, "u")
+
+
+def _items(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        bags = [np.frombuffer(b, np.int64) for b in frame["bag"]]
+        node = np.repeat(frame["node"].to_numpy(), [len(b) for b in bags])
+        yield pd.DataFrame({"node": node, "item": np.concatenate(bags) if bags else np.zeros(0, np.int64)})
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The key of each document and ``class_id``, the least key of the documents it is linked with, over any number of links.
 
@@ -142,38 +172,47 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     and wordless texts are linked with equal ones only. Repeated rows and repeated keys come back as often. An empty table
     gives an empty result.
 
-    Texts of a bucket are first compared with one of them. Only buckets in which several classes are left then compare
-    texts of different classes, where the similarities with the first one leave a link possible (distance is a metric).
+    All texts of a bucket are compared with its first, then with the PIVOTS texts nearest to that, which in a group of
+    copies are the least changed ones. Only pairs of different classes are compared further, and of these only the pairs
+    that may reach the threshold by three sound bounds: distance is a metric, so the distances from the first text differ
+    by the pair's distance at most; and shingles that no other undecided text has are in no overlap.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), text_id(F.col(text)).alias("node"))
     known = rows.where("text IS NOT NULL")
-    texts = known.groupBy("node").agg(F.first("text").alias("text"))  # one copy of a text leaves each task
     banded = known.select("node", "text").mapInPandas(_bands, "node binary, bands array<long>")
     nodes = materialize(banded.groupBy("node").agg(F.first("bands").alias("bands")), "bands")
     places = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = places.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    buckets = places.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("k")).where("k > 1")
     places = materialize(places.join(buckets.select("bucket", "a"), "bucket"), "places")
+    texts = known.groupBy("node").agg(F.first("text").alias("text"))  # one copy of a text leaves each task
+    texts = texts.join(places.select("node").distinct(), "node", "left_semi")
+    bags = materialize(texts.mapInPandas(_bags, "node binary, bag binary"), "bags")
 
     pairs = places.where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    checked = materialize(_verified(pairs, texts), "pairs")
-    links = checked.where(F.col("similarity") >= threshold).select("a", "b")
-    root = materialize(components(links, "a", "b"), "roots")
-
-    open_ = places.join(root.withColumnRenamed("vertex", "node"), "node", "left")
-    open_ = open_.withColumn("root", F.coalesce("root", "node"))
-    mixed_ = open_.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    open_ = open_.join(mixed_.select("bucket"), "bucket", "left_semi").where("node <> a")
+    checked = materialize(_verified(pairs, bags), "pairs")
+    enough = F.col("similarity") >= threshold
+    root = materialize(components(checked.where(enough), "a", "b"), "roots")
+
     far = checked.select("a", F.col("b").alias("node"), (1 - F.col("similarity")).alias("far"))
-    open_ = materialize(open_.join(far, ["a", "node"]).select("bucket", "node", "root", "far"), "open")
+    open_ = materialize(_undecided(places, root).join(far, ["a", "node"]), "open")  # the first texts are done with
+    near = Window.partitionBy("bucket").orderBy("far", "node")
+    pivots = open_.withColumn("r", F.row_number().over(near)).where(F.col("r") <= PIVOTS)
+    pivots = pivots.select("bucket", F.col("node").alias("a"), F.col("root").alias("of"))
+    pairs = open_.drop("a").join(pivots, "bucket").where((F.col("root") != F.col("of")) & (F.col("node") != F.col("a")))
+    pairs = pairs.select(F.col("a"), F.col("node").alias("b")).distinct()
+    root = _joined(root, _verified(pairs, bags).where(enough).select("a", "b"))
+
+    open_ = _undecided(open_.drop("root"), root)
+    open_ = materialize(open_.join(_alone(open_, bags), "node").select("bucket", "node", "root", "far", "n", "u"), "open")
+    open_ = open_.where(F.col("n") - F.col("u") >= threshold * F.col("n"))
     one, two = open_.alias("one"), open_.alias("two")
-    apart = F.abs(F.col("one.far") - F.col("two.far")) <= 1 - threshold + 1e-9
-    more = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.root") != F.col("two.root"))
-                    & (F.col("one.node") < F.col("two.node")) & apart)
-    more = more.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-    more = materialize(more, "more")
-    if more.limit(1).count():
-        late = _verified(more, texts).where(F.col("similarity") >= threshold).select("a", "b")
-        root = materialize(components(links.unionByName(late), "a", "b"), "roots")
+    common = F.least(F.col("one.n") - F.col("one.u"), F.col("two.n") - F.col("two.u"))
+    may = common >= threshold * (F.col("one.n") + F.col("two.n") - common)
+    may &= F.abs(F.col("one.far") - F.col("two.far")) <= 1 - threshold + 1e-9
+    may &= (F.col("one.root") != F.col("two.root")) & (F.col("one.node") < F.col("two.node"))
+    pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & may)
+    pairs = pairs.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
+    root = _joined(root, _verified(pairs, bags).where(enough).select("a", "b"))
 
     # Counts by class first: a class may hold a third of all rows.
     members = rows.select("key", "node").join(root.withColumnRenamed("vertex", "node"), "node", "left")
