@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import bagminhash, bpe, language, mixing, pii
+from jobloom.llm import bagminhash, bpe, language, mixing, pii, quality
 from jobloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bagminhash": lambda spark, sf_dir: bagminhash.class_documents(read(spark, sf_dir, "documents")),
+    "op2_quality": lambda spark, sf_dir: quality.judge_documents(read(spark, sf_dir, "documents")),
     "op3_language": lambda spark, sf_dir: language.identify_documents(read(spark, sf_dir, "documents")),
     "op4_bpe": lambda spark, sf_dir: bpe.encode_documents(read(spark, sf_dir, "documents")),
     "op9_pii": lambda spark, sf_dir: pii.detect_documents(read(spark, sf_dir, "documents")),
