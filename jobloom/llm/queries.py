@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import bagminhash, bpe, language, mixing, pii, quality
+from jobloom.llm import bagminhash, bpe, fingerprints, language, mixing, pii, quality, urls
 from jobloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": lambda spark, sf_dir: quality.judge_documents(read(spark, sf_dir, "documents")),
     "op3_language": lambda spark, sf_dir: language.identify_documents(read(spark, sf_dir, "documents")),
     "op4_bpe": lambda spark, sf_dir: bpe.encode_documents(read(spark, sf_dir, "documents")),
+    "op5_urls": lambda spark, sf_dir: urls.judge_pages(read(spark, sf_dir, "pages")),
+    "op7_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint_documents(read(spark, sf_dir, "documents")),
     "op9_pii": lambda spark, sf_dir: pii.detect_documents(read(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.mix_documents(read(spark, sf_dir, "documents")),
 }
