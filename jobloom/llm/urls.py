@@ -31,7 +31,8 @@ BLOCKED = (
     "https://viagra-shop.test/buy", "http://loan-fast-cash.test/apply", "https://cheap-replica-watches.test/p/4",
     "https://adult-cams.test/live", "http://click-banner-ads.test/track/9", "https://popup-ads.test/land",
     "https://betting-tips.test/free/bets", "http://online-casino-bonus.test/en/casino", "https://pharma-discount-pills.test/rx",
-    "https://crypto-doubler.test/win", "http://prize-winner.test/claim/free",
+    "http://www.spam-farm.example.org/en/9", "https://spam-farm.example.net/fr/31", "https://blog.adult-x.example.org/en/2",
+    "http://adult-x.example.net/es/70", "https://crypto-doubler.test/win", "http://prize-winner.test/claim/free",
 )
 ALLOWED = (
     "https://thher.example.org/en/12", "http://www.tiontion.example.net/de/881", "https://blog.theron.example.org/fr/3.html",
