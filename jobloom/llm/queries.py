@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.llm import bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, urls
+from jobloom.llm import bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, scoring, urls
 from jobloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": lambda spark, sf_dir: language.identify_documents(read(spark, sf_dir, "documents")),
     "op4_bpe": lambda spark, sf_dir: bpe.encode_documents(read(spark, sf_dir, "documents")),
     "op5_urls": lambda spark, sf_dir: urls.judge_pages(read(spark, sf_dir, "pages")),
+    "op6_scoring": lambda spark, sf_dir: scoring.score_documents(read(spark, sf_dir, "documents")),
     "op7_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint_documents(read(spark, sf_dir, "documents")),
     "op8_html": lambda spark, sf_dir: extraction.extract_pages(read(spark, sf_dir, "pages")),
     "op9_pii": lambda spark, sf_dir: pii.detect_documents(read(spark, sf_dir, "documents")),
