@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from jobloom.llm import bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, scoring, urls
 from jobloom.llm.common import read
 
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": lambda spark, sf_dir: extraction.extract_pages(read(spark, sf_dir, "pages")),
     "op9_pii": lambda spark, sf_dir: pii.detect_documents(read(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.mix_documents(read(spark, sf_dir, "documents")),
+    "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
