@@ -21,7 +21,7 @@ MAX_PATTERNS = 4096
 #: Shares by hash in which the documents of a pattern are added up before single ones are looked at.
 SHARES = 1 << 14
 #: What is left of a quota is filled with documents of at most half of it, so many times.
-ROUNDS = 3
+ROUNDS = 6
 
 
 def word_count(text: Column) -> Column:
@@ -161,22 +161,25 @@ def mix(
         for s in p:
             edge += taken[s] / q if q else 0.0
             bounds.append(edge)
-        plan.append((list(p), whole, max(0.0, q - whole * n) if whole < passes else 0.0, bounds))
-    kind = "pattern array<string>, whole int, quota double, bounds array<double>"
+        plan.append((list(p), n, whole, max(0.0, q - whole * n) if whole < passes else 0.0, bounds))
+    kind = "pattern array<string>, n long, whole int, quota double, bounds array<double>"
     plan = F.broadcast(spark.createDataFrame(plan, kind))  # at most MAX_PATTERNS rows
     known = light.join(plan, "pattern").where("size > 0")
-    chosen = materialize(fill(known, F.col("quota"), ["size", *ids]), "filled")
-    for _ in range(ROUNDS):  # what the last document left open goes to smaller documents that were not taken yet
-        got = chosen.groupBy("pattern").agg(F.sum(F.when(F.col("in_"), F.col("size")).otherwise(0)).alias("got"))
+    taken = F.col("whole") + F.col("in_").cast("int")
+    chosen = materialize(fill(known, F.col("quota"), ["size", *ids]).withColumn("copies", taken).drop("in_"), "filled")
+    wanted_of = F.col("whole") * F.col("n") + F.col("quota")
+    for round_ in range(ROUNDS):  # what the last document left open goes to smaller ones, at last also to a further copy
+        most = F.col("whole") + 1 if round_ < ROUNDS // 2 else F.lit(passes)
+        got = chosen.groupBy("pattern").agg(F.sum(F.col("size") * F.col("copies")).alias("got"))
         rest = chosen.join(F.broadcast(got), "pattern")  # a row for each pattern
-        rest = rest.withColumn("rest", F.col("quota") - F.col("got")).drop("got")
-        small = ~F.col("in_") & (F.col("size") * 2 <= F.col("rest"))
-        more = fill(rest.where(small).drop("in_"), F.col("rest"), ["size", *ids])
+        rest = rest.withColumn("rest", wanted_of - F.col("got")).drop("got")
+        small = (F.col("copies") < F.least(most, F.lit(passes))) & (F.col("size") * 2 <= F.col("rest"))
+        more = fill(rest.where(small), F.col("rest"), ["size", *ids])
+        more = more.withColumn("copies", F.col("copies") + F.col("in_").cast("int")).drop("in_")
         chosen = materialize(rest.where(~small).unionByName(more).drop("rest"), "filled")
-    copies = F.col("whole") + F.col("in_").cast("int")
     spot = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(1 << 30)) / (1 << 30)
     owner = F.element_at("pattern", F.least(F.size("pattern"), F.size(F.filter("bounds", lambda b: b <= spot)) + 1))
-    chosen = chosen.select(*ids, "size", "pattern", copies.alias("copies"), owner.alias("owner"))
+    chosen = chosen.select(*ids, "size", "pattern", "copies", owner.alias("owner"))
     empty = light.where("size = 0").select(
         *ids, "size", "pattern", F.lit(0).alias("copies"), F.lit(None).cast("string").alias("owner")
     )

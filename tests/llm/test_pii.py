@@ -1,0 +1,98 @@
+import hashlib
+import random
+import re
+import time
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from jobloom.llm import boosting, pii
+
+BRUTE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def brute(text):
+    found = []
+    for kind, pattern in BRUTE.items():
+        for m in re.finditer(pattern, text):
+            number = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(part) > 255 for part in m.group().split(".")):
+                continue
+            if kind == "card" and not (12 <= len(number) <= 19 and pii.luhn(number)):
+                continue
+            if kind == "phone" and not 9 <= len(number) <= 15:
+                continue
+            found.append((kind, *m.span()))
+    return sorted(found, key=lambda s: (s[1], pii.BASE.index(s[0])))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="0123456789..@@ab-+ ()%é4", max_size=60))
+def test_base_spans_equal_the_plain_patterns(text):
+    assert [(s.kind, s.start, s.stop) for s in pii.base_spans(text)] == brute(text)
+
+
+def test_planted_numbers():
+    text = "mail a.b@c-d.org, host 10.0.0.255 or 10.0.0.256, card 4111 1111 1111 1111 or 4111 1111 1111 1112, call +1 (310) 555-4510."
+    assert [(s.kind, text[s.start : s.stop]) for s in pii.base_spans(text)] == [
+        ("email", "a.b@c-d.org"), ("ip", "10.0.0.255"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (310) 555-4510"),
+    ]
+
+
+def test_held_out_lines():
+    model = pii.trained()
+    lines = pii.labelled_lines(seed=99)
+    hits = wrong = wanted = 0
+    for text, span, label in lines:
+        kinds = {s.kind for s in pii.find(text, model) if s.start < span.stop and s.stop > span.start}
+        hits += label and span.kind in kinds
+        wanted += label
+        wrong += not label and span.kind in kinds
+    assert hits / wanted > 0.9
+    assert wrong / (len(lines) - wanted) < 0.02
+
+
+def test_chosen_spans_do_not_overlap_each_other():
+    r = random.Random(2)
+    model = pii.trained()
+    for _ in range(300):
+        text = " ".join(r.choice(["call", "555-123-4567", "ssn", "123-45-6789", "a@b.co", "+1 (310) 555-4510", "2020-10-10", "x"]) for _ in range(12))
+        spans = pii.find(text, model)
+        base = pii.base_spans(text)
+        assert all(b in spans for b in base)
+        added = [s for s in spans if s.kind in pii.ADDED]
+        for s in added:
+            assert not any(s is not t and s.start < t.stop and t.start < s.stop for t in spans)
+
+
+def test_hostile_texts_take_linear_time():
+    start = time.perf_counter()
+    pii.find("1" * 200_000 + "a.b@" * 30_000 + "+1 " * 30_000 + "a" * 200_000 + " at " * 20_000 + "x dot y", pii.trained())
+    assert time.perf_counter() - start < 10
+
+
+def test_trees_learn_a_rule():
+    g = np.random.default_rng(0)
+    x = g.random((600, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 2] > 0.3)).astype(float)
+    model = boosting.fit(x[:400], y[:400])
+    assert ((model.probability(x[400:]) > 0.5) == (y[400:] > 0.5)).mean() > 0.95
+
+
+def test_result_of_the_query(documents):
+    text = "é a@b.co 10.0.0.1"
+    rows = {r["doc_id"]: r for r in pii.detect_documents(documents([(1, None, "en", "s"), (2, "", "en", "s"), (3, text, "en", "s")])).collect()}
+    assert (rows[3]["n_email"], rows[3]["n_ip"], rows[3]["n_card"], rows[3]["n_phone"]) == (1, 1, 0, 0)
+    assert rows[3]["spans"] == "email:2:8,ip:9:17"
+    assert rows[3]["base_sha256"] == hashlib.sha256(b"email:2:8,ip:9:17").hexdigest()
+    assert rows[1]["spans"] == rows[2]["spans"] == ""
+
+
+def test_redaction(documents):
+    texts = ["é a@b.co, then 10.0.0.1", None, "nothing", "4111 1111 1111 1111"]
+    rows = {r["doc_id"]: r["text"] for r in pii.redact(pii.detect(documents([(k, t, "en", "s") for k, t in enumerate(texts)]))).collect()}
+    assert rows == {0: "é [EMAIL], then [IP]", 1: None, 2: "nothing", 3: "[CARD]"}
