@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 #: A word is a run of characters that are not blanks of ASCII.
 WORD = r"[^\x20\x09-\x0D]+"
-BLANKS = " \t\n\x0b\x0c\r"
 find_words = re.compile(WORD).findall
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import BLANKS
+from jobloom.llm.common import WORD
 from jobloom.once import computed_once
 from jobloom.scratch import materialize
 
@@ -20,9 +20,9 @@ LEAST_WORDS, LEAST_FOR_CLASSES, LEAST_FOR_COMMON = 50, 50, 150
 FAR_CLASSES, FAR_COMMON = 0.30, 0.50
 #: A text fails if windows found again cover more than this share of its words.
 REPEATED_PERCENT = 50
-SYMBOLS = "#*$%&|<>"
 # Character classes, each the complement to delete; what is in none of them is the last class.
-CLASSES = ("[^a-z]+", "[^A-Z]+", r"[a-zA-Z\P{L}]+", "[^0-9]+", r"[^\x20\x09-\x0D]+", "[^.,;:!?'\"()-]+", r"[^#*$%&|<>]+")
+BLANK, SYMBOL = r"[^\x20\x09-\x0D]+", r"[^#*$%&|<>]+"
+CLASSES = ("[^a-z]+", "[^A-Z]+", r"[a-zA-Z\P{L}]+", "[^0-9]+", BLANK, "[^.,;:!?'\"()-]+", SYMBOL)
 # Frequent words of English, German, French and Spanish.
 COMMON = (
     "the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "as", "was", "with", "be", "by", "on", "not", "he", "his", "are",
@@ -42,17 +42,15 @@ def covered_by_repeats(windows: Column, n: int) -> Column:
     Windows are sorted by hash, so equal ones are neighbours; the places of these, sorted, give the words covered.
     """
     def places(w: Column) -> Column:
-        pairs = F.array_sort(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return F.transform(F.array(pairs), lambda s: F.array_sort(F.transform(
-            F.filter(
-                F.transform(s, lambda x, k: F.struct(
-                    x["i"].alias("i"),
-                    ((k > 0) & (F.get(s, k - 1)["h"] == x["h"]) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))).alias("r"),
-                )),
-                lambda x: x["r"],
-            ),
-            lambda x: x["i"],
-        )))[0]
+        pairs = F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+
+        def again(s: Column) -> Column:
+            same = lambda x, k: (
+                F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))
+            )
+            return F.sort_array(F.transform(F.filter(s, same), lambda x: x["i"]))
+
+        return F.transform(F.array(pairs), again)[0]
 
     def length(p: Column) -> Column:
         steps = F.transform(p, lambda x, k: F.coalesce(F.least(F.get(p, k + 1) - x, F.lit(n)), F.lit(n)))
@@ -62,16 +60,44 @@ def covered_by_repeats(windows: Column, n: int) -> Column:
     return F.when(some, F.transform(F.array(places(windows)), length)[0]).otherwise(F.lit(0).cast("long"))
 
 
+def _part(p: Column, q: Column) -> Column:
+    middle = (p + q) / 2
+    one = lambda v: F.when(v > 0, v * F.log2(v / middle)).otherwise(0.0)
+    return (one(p) + one(q)) / 2
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
 def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two histograms of shares; null if either is."""
-    def part(x: Column) -> Column:  # x: struct of both shares
-        middle = (x["p"] + x["q"]) / 2
-        one = lambda v: F.when(v > 0, v * F.log2(v / middle)).otherwise(0.0)
-        return (one(x["p"]) + one(x["q"])) / 2
+    return F.sqrt(F.greatest(_total(F.zip_with(p, q, _part)), F.lit(0.0)))
+
+
+def sparse_distance(p: Column, q: Column) -> Column:
+    """The same of a histogram as (word, share) pairs and a reference as a map of shares; a bin of one side alone adds half."""
+    both = F.transform(p, lambda e: F.struct(e["share"].alias("p"), F.coalesce(F.try_element_at(q, e["word"]), F.lit(0.0)).alias("q")))
 
-    both = F.zip_with(p, q, lambda a, b: F.struct(a.alias("p"), b.alias("q")))
-    total = F.aggregate(F.transform(both, part), F.lit(0.0), lambda a, x: a + x)
-    return F.sqrt(F.greatest(total, F.lit(0.0)))
+    def whole(pairs: Column) -> Column:
+        absent = 1 - _total(F.transform(pairs, lambda x: x["q"]))
+        return F.sqrt(F.greatest(_total(F.transform(pairs, lambda x: _part(x["p"], x["q"]))) + absent / 2, F.lit(0.0)))
+
+    return F.when(q.isNotNull(), F.transform(F.array(both), whole)[0])
+
+
+def word_shares(common: Column, whole: Column) -> Column:
+    """(word, share) pairs of the words in ``common``, and of all others under the empty word; null without a word."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.transform(s, lambda w, i: F.when((i == 0) | (w != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+        return F.transform(F.array(starts), lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("word"), ((F.coalesce(F.get(at, k + 1), F.size(s)) - i) / whole).alias("share"),
+        )))[0]
+
+    rest = F.struct(F.lit("").alias("word"), ((whole - F.size(common)) / whole).alias("share"))
+    found = F.transform(F.array(F.sort_array(common)), runs)[0]
+    return F.when(whole > 0, F.concat(found, F.array(rest)))
 
 
 def shares(counts: Column, whole: Column) -> Column:
@@ -83,34 +109,31 @@ def measured(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = computed_once(rows, {
         "words": words_of(F.col("text")),
-        "lines": F.filter(F.split("text", "\n"), lambda x: F.translate(x, BLANKS, "") != ""),
-        "plain": F.filter(
-            F.split(F.lower(F.regexp_replace("text", r"\P{L}+", " ")), " "), lambda w: w.isin(*COMMON)
-        ),
-        "n_plain": F.regexp_count("text", F.lit(r"\p{L}+")).cast("long"),
+        "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)),
+        "plain": F.split(F.lower(F.regexp_replace("text", r"\P{L}+", " ")), " "),
         "n_chars": F.length("text").cast("long"),
         "classes": F.array(*[F.length(F.regexp_replace("text", c, "")).cast("long") for c in CLASSES]),
-        "word_chars": F.length(F.translate("text", BLANKS, "")).cast("long"),
-        "n_symbols": (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
     }, keep=["key", "lang"])
     n = F.size("words")
     windows = F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-        lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
+        F.slice("words", F.lit(1), F.greatest(n - 2, F.lit(0))),
+        lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
     )
     rows = computed_once(rows, {
         "n_words": n.cast("long"),
+        "word_chars": F.col("n_chars") - F.get("classes", CLASSES.index(BLANK)),
+        "n_symbols": F.get("classes", CLASSES.index(SYMBOL)),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "windows": F.when(n >= 3, windows).otherwise(F.array().cast("array<bigint>")),
-        "common": F.array(*[F.size("plain") - F.size(F.array_remove("plain", w)) for w in COMMON]),
-    }, keep=["key", "lang", "n_plain", "n_chars", "classes", "word_chars", "n_symbols"])
-    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda x, y: x + y)
-    rest = lambda a, whole: F.concat(a, F.array(F.greatest(F.col(whole) - total(a), F.lit(0))))
-    common = F.col("common").cast("array<bigint>")
+        "windows": windows,
+        "common": F.filter("plain", lambda w: w.isin(*COMMON)),
+        "n_plain": F.size(F.array_remove("plain", "")),
+    }, keep=["key", "lang", "n_chars", "classes"])
+    total = F.aggregate("classes", F.lit(0).cast("long"), lambda x, y: x + y)
+    classes = F.concat("classes", F.array(F.greatest(F.col("n_chars") - total, F.lit(0))))
     return computed_once(rows, {
         "n_repeat_words": covered_by_repeats(F.col("windows"), 3),
-        "classes": shares(rest(F.col("classes"), "n_chars"), F.col("n_chars")),
-        "common": shares(rest(common, "n_plain"), F.col("n_plain")),
+        "classes": shares(classes, F.col("n_chars")),
+        "common": word_shares(F.col("common"), F.col("n_plain")),
     }, keep=["key", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines"])
 
 
@@ -125,17 +148,23 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     rows = materialize(rows.withColumn("base_failed", failed), "measured")
     sound = rows.where(~F.col("base_failed"))
-    means = [
-        sound.select("lang", F.posexplode(kind).alias("k", "share")).groupBy("lang", "k").agg(F.avg("share").alias("mean"))
-        .groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "mean"))), lambda x: x["mean"]).alias(f"{kind}_of"))
-        for kind in ("classes", "common")  # as many values for a language as a histogram has
-    ]
-    for mean in means:
+    # As many values for a language as there are classes of characters and common words.
+    classes_of = (
+        sound.select("lang", F.posexplode("classes").alias("k", "share")).groupBy("lang", "k").agg(F.avg("share").alias("mean"))
+        .groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "mean"))), lambda x: x["mean"]).alias("classes_of"))
+    )
+    sizes = sound.where("common IS NOT NULL").groupBy("lang").agg(F.count("*").alias("docs"))
+    sums = sound.select("lang", F.inline("common")).groupBy("lang", "word").agg(F.sum("share").alias("sum"))
+    common_of = (
+        sums.withColumnRenamed("lang", "of").join(sizes, F.col("of").eqNullSafe(F.col("lang")))
+        .groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("word", F.col("sum") / F.col("docs")))).alias("common_of"))
+    )
+    for mean in (classes_of, common_of):
         mean = mean.withColumnRenamed("lang", "of")
         rows = rows.join(mean, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
     rows = computed_once(rows, {
         "class_distance": F.when(F.col("n_words") >= LEAST_FOR_CLASSES, distance(F.col("classes"), F.col("classes_of"))),
-        "common_distance": F.when(F.col("n_words") >= LEAST_FOR_COMMON, distance(F.col("common"), F.col("common_of"))),
+        "common_distance": F.when(F.col("n_words") >= LEAST_FOR_COMMON, sparse_distance(F.col("common"), F.col("common_of"))),
     })
     near = F.coalesce(F.col("class_distance") <= FAR_CLASSES, F.lit(True))
     near &= F.coalesce(F.col("common_distance") <= FAR_COMMON, F.lit(True))
