@@ -30,7 +30,9 @@ REGISTERS = BANDS * ROWS
 THRESHOLD = 0.8
 #: Further texts of a bucket that all others of it are compared with.
 PIVOTS = 3
-FRAME_CHARS = 4_000_000
+#: A block of the last comparison: texts, shingles, and shingles looked at together.
+BLOCK_TEXTS, BLOCK_SHINGLES, COLUMNS = 256, 2_000_000, 8192
+FRAME_CHARS = 2_000_000
 _GAMMA, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -164,6 +166,51 @@ def _items(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": node, "item": np.concatenate(bags) if bags else np.zeros(0, np.int64)})
 
 
+def _overlaps(bags: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the overlaps of all pairs of a block of bags, by products of matrices of bounded size."""
+    owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    _, item, times = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    shared = times[item] > 1
+    owner, item = owner[shared], np.unique(item[shared], return_inverse=True)[1]
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    common = np.zeros((len(bags), len(bags)))
+    for low in range(0, int(item[-1]) + 1 if len(item) else 0, COLUMNS):
+        part = slice(*np.searchsorted(item, [low, low + COLUMNS]))
+        has = np.zeros((len(bags), COLUMNS), np.float32)
+        has[owner[part], item[part] - low] = 1
+        common += has @ has.T
+    return common
+
+
+def _links_of_block(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between texts of different classes in a block; of those from a text to one class, one."""
+    common, n = _overlaps([np.frombuffer(b, np.uint64) for b in frame["bag"]]), frame["n"].to_numpy()
+    root = np.unique(np.array([bytes(r).hex() for r in frame["root"]]), return_inverse=True)[1]
+    linked = common >= threshold * (n[:, None] + n[None, :] - common)
+    one, two = np.nonzero(linked & (root[:, None] != root[None, :]))
+    first = np.unique(one * len(frame) + root[two], return_index=True)[1]
+    node = frame["node"].to_numpy()
+    return pd.DataFrame({"a": node[one[first]], "b": node[two[first]]}, columns=["a", "b"])
+
+
+def _late_links(open_: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Links between the classes of a bucket, found block by block: a block meets itself and each other block of its bucket.
+
+    ``open_`` has bucket, node, root and n. The bound on a block holds for its texts and for their shingles, so one task
+    holds two blocks at most, and nothing but links leaves it.
+    """
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    rows = open_.join(open_.groupBy("bucket").agg(blocks.alias("blocks")), "bucket")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("node", "root", "n", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    found = rows.join(bags, "node").groupBy("bucket", "i", "j").applyInPandas(
+        lambda frame: _links_of_block(frame, threshold), "a binary, b binary"
+    )
+    return found.distinct()
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The key of each document and ``class_id``, the least key of the documents it is linked with, over any number of links.
 
@@ -173,9 +220,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     gives an empty result.
 
     All texts of a bucket are compared with its first, then with the PIVOTS texts nearest to that, which in a group of
-    copies are the least changed ones. Only pairs of different classes are compared further, and of these only the pairs
-    that may reach the threshold by three sound bounds: distance is a metric, so the distances from the first text differ
-    by the pair's distance at most; and shingles that no other undecided text has are in no overlap.
+    copies are the least changed ones. Where a bucket still holds several classes, the texts that may yet have a link
+    (shingles that no other of them has are in no overlap) are compared in blocks, inside tasks.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), text_id(F.col(text)).alias("node"))
     known = rows.where("text IS NOT NULL")
@@ -203,16 +249,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     root = _joined(root, _verified(pairs, bags).where(enough).select("a", "b"))
 
     open_ = _undecided(open_.drop("root"), root)
-    open_ = materialize(open_.join(_alone(open_, bags), "node").select("bucket", "node", "root", "far", "n", "u"), "open")
+    open_ = materialize(open_.join(_alone(open_, bags), "node").select("bucket", "node", "root", "n", "u"), "open")
     open_ = open_.where(F.col("n") - F.col("u") >= threshold * F.col("n"))
-    one, two = open_.alias("one"), open_.alias("two")
-    common = F.least(F.col("one.n") - F.col("one.u"), F.col("two.n") - F.col("two.u"))
-    may = common >= threshold * (F.col("one.n") + F.col("two.n") - common)
-    may &= F.abs(F.col("one.far") - F.col("two.far")) <= 1 - threshold + 1e-9
-    may &= (F.col("one.root") != F.col("two.root")) & (F.col("one.node") < F.col("two.node"))
-    pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & may)
-    pairs = pairs.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-    root = _joined(root, _verified(pairs, bags).where(enough).select("a", "b"))
+    root = _joined(root, _late_links(open_, bags, threshold))
 
     # Counts by class first: a class may hold a third of all rows.
     members = rows.select("key", "node").join(root.withColumnRenamed("vertex", "node"), "node", "left")

@@ -114,3 +114,26 @@ def test_components_of_paths_and_stars(spark):
     roots = {r["vertex"]: r["root"] for r in components.components(frame, "a", "b").collect()}
     assert roots == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), 300: 300, 301: 300}
     assert components.components(frame.where(F.lit(False)), "a", "b").count() == 0
+
+
+def test_blocks_alone_find_every_link(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "PIVOTS", 0)
+    monkeypatch.setattr(bagminhash, "BLOCK_TEXTS", 8)
+    monkeypatch.setattr(bagminhash, "COLUMNS", 16)
+    r = random.Random(9)
+    center = [r.choice(WORDS) for _ in range(80)]
+    rows = []
+    for k in range(70):
+        words = center[:]
+        for _ in range(r.choice([1, 2, 3, 4])):
+            words[r.randrange(len(words))] = r.choice(["x", "y", f"z{k}"])
+        rows.append((k, " ".join(words)))
+    assert found(spark, rows) == brute_classes(rows)
+
+
+def test_overlaps_of_a_block():
+    g = np.random.default_rng(3)
+    bags = [np.unique(g.integers(0, 400, g.integers(1, 200)).astype(np.uint64)) for _ in range(12)]
+    wanted = [[len(set(a.tolist()) & set(b.tolist())) for b in bags] for a in bags]
+    found_ = bagminhash._overlaps(bags)
+    assert all(found_[i][j] == wanted[i][j] for i in range(12) for j in range(12) if i != j)
