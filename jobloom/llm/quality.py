@@ -18,6 +18,8 @@ from jobloom.scratch import materialize
 LEAST_WORDS, LEAST_FOR_CLASSES, LEAST_FOR_COMMON = 50, 50, 150
 #: Greatest Jensen-Shannon distance (base 2, 0 to 1) from the reference.
 FAR_CLASSES, FAR_COMMON = 0.30, 0.50
+#: Languages whose references are sent to all tasks; a reference is some ninety numbers.
+MOST_SENT = 10_000
 #: A text fails if windows found again cover more than this share of its words.
 REPEATED_PERCENT = 50
 # Character classes, each the complement to delete; what is in none of them is the last class.
@@ -160,7 +162,9 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         .groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("word", F.col("sum") / F.col("docs")))).alias("common_of"))
     )
     for mean in (classes_of, common_of):
-        mean = mean.withColumnRenamed("lang", "of")
+        mean = materialize(mean.withColumnRenamed("lang", "of"), "references")
+        if mean.count() <= MOST_SENT:  # else an ordinary join, which a frequent language makes uneven
+            mean = F.broadcast(mean)
         rows = rows.join(mean, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
     rows = computed_once(rows, {
         "class_distance": F.when(F.col("n_words") >= LEAST_FOR_CLASSES, distance(F.col("classes"), F.col("classes_of"))),

@@ -159,7 +159,8 @@ def _counted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(held) > COUNTED:
             yield pd.DataFrame({"token": list(held), "n": list(held.values())})
             held = Counter()
-    yield pd.DataFrame({"token": list(held), "n": list(held.values())}, columns=["token", "n"])
+    if held:
+        yield pd.DataFrame({"token": list(held), "n": list(held.values())})
 
 
 def counts(texts: DataFrame) -> DataFrame:
