@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
 from pyspark.sql import functions as F
 
@@ -325,9 +326,9 @@ def filename_columns(spark, sf_dir):
     folder = scratch_path(spark, "named")
     for parity, name in enumerate(styles):
         files.write_csv(orders.filter(F.col("o_orderkey") % 2 == parity), f"{folder}/{name}")
-    parts = files.read_csv(spark, f"{folder}/*.csv", "o_orderkey bigint")
+    parts = files.read_csv(spark, f"{folder}/*.csv", "o_orderkey bigint", with_file=True)
     # The writer makes a folder of parts per name, so the name is the last but one step of the path.
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    name = F.element_at(F.split("_file", "/"), -2)
     return files.with_file_columns(parts, name).select(
         "o_orderkey", F.col("Job Role").alias("job_role"), F.col("date_of_scrape").cast("string").alias("scraped")
     )
@@ -357,6 +358,51 @@ def csv_bad_rows(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_name END AS c_name,
+    CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer"""
+)
+def csv_by_name(spark, sf_dir):
+    """Three sets of files with swapped, missing and further columns come back under one schema."""
+    path = scratch_path(spark, "unlike")
+    rows, third = table(spark, sf_dir, "customer"), F.col("c_custkey") % 3
+    files.write_csv(rows.filter(third == 0).select("c_acctbal", "c_name", "c_custkey"), f"{path}/swapped")
+    files.write_csv(rows.filter(third == 1).select("c_name", "c_nationkey", "c_custkey"), f"{path}/without")
+    files.write_csv(rows.filter(third == 2).select("c_custkey", "c_mktsegment", "c_acctbal"), f"{path}/other")
+    return files.read_csv(spark, f"{path}/*", "c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query("SELECT c_name, count(*) AS n FROM customer GROUP BY c_name")
+def csv_pruned(spark, sf_dir):
+    """One column by its name, from files that hold it last."""
+    path = scratch_path(spark, "pruned")
+    files.write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_name"), path)
+    return files.read_csv(spark, path, "c_name string").groupBy("c_name").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT count(*) AS n, 'row' AS what FROM customer UNION ALL SELECT 1, 'file cannot be read'
+    UNION ALL SELECT 1, 'file is empty' UNION ALL SELECT 1, 'file does not fit the schema'"""
+)
+def csv_bad_files(spark, sf_dir):
+    """A damaged, a blank and an unlike file beside good ones: all good rows, and a report for each of the three."""
+    path = scratch_path(spark, "bad-files")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    files.write_csv(rows, f"{path}/good")
+    files.write_csv(rows.limit(1).select(F.lit("1").alias("elsewhere")), f"{path}/unlike")
+    # The writer of text can make neither a damaged nor a blank file by itself: bytes go through the session's file system.
+    context = spark.sparkContext
+    packed = gzip.compress(b"c_custkey,c_name\n" + b"1,x\n" * 5000)
+    for name, content in (("damaged/part.csv.gz", packed[: len(packed) // 2]), ("blank/part.csv", b"\n \n")):
+        target = context._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+        stream.write(bytearray(content))
+        stream.close()
+    good, bad = files.read_csv_checked(spark, f"{path}/*", rows.schema)
+    found = good.agg(F.count("*").alias("n")).withColumn("what", F.lit("row"))
+    return found.unionByName(bad.groupBy(F.col("msg").alias("what")).agg(F.count("*").alias("n")))
+
+
 @query("SELECT c_name AS company_url FROM customer")
 def headerless_csv(spark, sf_dir):
     path = scratch_path(spark, "headerless")

@@ -2,6 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import gzip
+import io
+import re
+import sys
+import zlib
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +25,7 @@ from jobloom.scratch import materialize
 # Quotes are doubled inside quoted fields, which may span lines.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 BAD_ROW = "_bad_row"
-ROW_INDEX = "_row_index"
+FILE = "_file"
 
 
 def _struct(schema: str | T.StructType) -> T.StructType:
@@ -26,16 +37,73 @@ def _is_list(field: T.StructField) -> bool:
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: str | T.StructType, header: bool = True, row_index: bool = False
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType, header: bool = True,
+    with_file: bool = False,
 ) -> DataFrame:
-    """CSV files under one schema; list columns are read from their text form, a leading row index is dropped."""
+    """CSV files under one schema; list columns are read from their text form.
+
+    With a header, columns are found by name in each file: their order may differ, a missing one is null, others (a row
+    index, say) are not read. Without one, columns are bound by position. An unreadable file is an error. ``with_file``
+    adds the column ``_file``, the path that a row came from.
+    """
     fields = _struct(schema).fields
-    text_schema = T.StructType(
-        ([T.StructField(ROW_INDEX, T.StringType())] if row_index else [])
-        + [T.StructField(f.name, T.StringType() if _is_list(f) else f.dataType) for f in fields]
+    if header:
+        rows = _by_name(spark, _headers(spark, path), fields, {})
+        return _lists_from_text(rows if with_file else rows.drop(FILE), fields)
+    raw = spark.read.options(**{**CSV_OPTIONS, "header": "false"}).schema(_text_schema(fields)).csv(path)
+    return _lists_from_text(raw, fields)
+
+
+def _text_schema(fields: list[T.StructField]) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if _is_list(f) else f.dataType) for f in fields])
+
+
+def _plain_path(file: str) -> str:
+    """A path to read from a ``_metadata.file_path``, with what a path pattern would take as a sign escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
+def _headers(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
+    """Names of columns and the files that begin with them, for each header line that occurs.
+
+    One pass over the lines finds the first of each file; only distinct headers and file names, which the session lists
+    anyway, reach the driver.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
-    raw = spark.read.options(**{**CSV_OPTIONS, "header": str(header).lower()}).schema(text_schema).csv(path)
-    return _lists_from_text(raw.drop(ROW_INDEX), fields)
+    lines = lines.where(F.trim("value") != "").withColumn("n", F.monotonically_increasing_id())
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "n")).alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return [
+        (next(csv.reader([r["header"].lstrip("\ufeff")])), [_plain_path(f) for f in r["files"]])
+        for r in sorted(groups, key=lambda r: r["header"])
+    ]
+
+
+def _by_name(
+    spark: SparkSession, headers: list[tuple[list[str], list[str]]], fields: list[T.StructField], options: dict[str, str]
+) -> DataFrame:
+    """Rows of all groups of files with one header each, in the columns of ``fields``; others that options add stay."""
+    types = {f.name: f.dataType for f in _text_schema(fields).fields}
+    extra = [T.StructField(options["columnNameOfCorruptRecord"], T.StringType())] if options else []
+    parts = []
+    for names, paths in headers:
+        seen: dict[str, int] = {}
+        columns = []
+        for name in names:  # the first column of a name counts
+            seen[name] = seen.get(name, 0) + 1
+            columns.append(T.StructField(name if seen[name] == 1 and name else f"_unread_{len(columns)}", types.get(name, T.StringType())))
+        read = spark.read.options(**CSV_OPTIONS, **options).schema(T.StructType(columns + extra)).csv(paths)
+        held = set(read.columns)
+        chosen = [_col(f.name) if f.name in held else F.lit(None).cast(types[f.name]).alias(f.name) for f in fields]
+        parts.append(read.select(*chosen, *[_col(f.name) for f in extra], F.col("_metadata.file_path").alias(FILE)))
+    if not parts:
+        return empty_table(spark, T.StructType([*_text_schema(fields).fields, *extra, T.StructField(FILE, T.StringType())]))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
 
 
 def _lists_from_text(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -49,31 +117,59 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _damaged(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Names of the compressed files that cannot be read to their end."""
+    for frame in frames:
+        bad = []
+        for name, content in zip(frame["path"], frame["content"], strict=True):
+            try:
+                with gzip.open(io.BytesIO(content)) as file:
+                    while file.read(1 << 20):
+                        pass
+            except (OSError, EOFError, zlib.error):
+                bad.append(name)
+        if bad:
+            yield pd.DataFrame({"file": bad})
+
+
 def read_csv_checked(
     spark: SparkSession, path: str | list[str], schema: str | T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """Good rows with their file name, and an error row for each row or file that does not fit the schema.
+    """Good rows with their file name, and an error row for each row and each file that does not fit the schema.
 
-    The files are read once into an intermediate table, from which both sides come.
+    A compressed file is opened whole in one task to see whether it is sound, so it should not exceed two gigabytes.
+
+    Columns are found by name, as ``read_csv`` does. A file is reported, and none of its rows read, if it is a compressed
+    file that is damaged, if it holds nothing but blanks, or if its header names no column of the schema. The files are
+    read once into an intermediate table, from which both sides come.
     """
     fields = _struct(schema).fields
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if _is_list(f) else f.dataType) for f in fields]
-        + [T.StructField(BAD_ROW, T.StringType())]
-    )
-    read = (
-        spark.read.options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW)
-        .option("ignoreCorruptFiles", "true")
-        .schema(text_schema)
-        .csv(path)
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "content")
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    packed = listed.where(F.lower("path").endswith(".gz"))
+    damaged = {r["file"] for r in packed.mapInPandas(_damaged, "file string").collect()}
+    every = [r["path"] for r in listed.select("path").collect()]
+    sound = [_plain_path(f) for f in every if f not in damaged]
+    headers = _headers(spark, sound) if sound else []
+    names = {f.name for f in fields}
+    fitting = [(columns, paths) for columns, paths in headers if names & set(columns)]
+    begun = {p for _, paths in headers for p in paths}
+    reports = (
+        [("file cannot be read", f) for f in sorted(damaged)]
+        + [("file does not fit the schema", p) for columns, paths in headers if not names & set(columns) for p in paths]
+        + [("file is empty", p) for p in sound if p not in begun]
     )
-    raw = materialize(read.withColumn("file_name", F.col("_metadata.file_name")), "csv-rows")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW}
+    raw = materialize(_by_name(spark, fitting, fields, options), "csv-rows")
+    name = F.element_at(F.split(FILE, "/"), -1)
+    raw = raw.withColumn("file_name", name).drop(FILE)
     good = _lists_from_text(raw.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW), fields)
     bad = raw.filter(F.col(BAD_ROW).isNotNull()).select(
         F.concat(F.lit("row does not fit the schema: "), F.col(BAD_ROW)).alias("msg"),
         F.col("file_name").alias("urls"),
     )
-    return good, bad
+    files = spark.createDataFrame([(m, f.rsplit("/", 1)[-1]) for m, f in reports], "msg string, urls string")
+    return good, bad.unionByName(files)
 
 
 # Fixed value: how a detail file name carries the role and the date of the scrape.
@@ -81,8 +177,8 @@ FILE_NAME = r"jobs[-_](?:detail_)?(.+)_(\d{4}-\d{2}-\d{2})\.csv$"
 
 
 def with_file_columns(df: DataFrame, file_name: Column | None = None) -> DataFrame:
-    """Add ``date_of_scrape`` and ``Job Role`` from the name of the file a row came from."""
-    name = F.col("_metadata.file_name") if file_name is None else file_name
+    """Add ``date_of_scrape`` and ``Job Role`` from the name of the file a row came from, by default that in ``_file``."""
+    name = F.element_at(F.split(FILE, "/"), -1) if file_name is None else file_name
     return df.withColumns(
         {
             "date_of_scrape": iso_date(F.nullif(F.regexp_extract(name, FILE_NAME, 2), F.lit(""))),

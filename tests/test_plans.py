@@ -38,7 +38,7 @@ def test_board_a_from_pages_to_facts(spark, tmp_path):
         part = next((tmp_path / "parts").glob("*.csv"))
         (folder / f"jobs_detail_{role}_{day}.csv").write_text(part.read_text())
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in details.schema.fields)
-    stored = files.with_file_columns(files.read_csv(spark, str(folder), schema))
+    stored = files.with_file_columns(files.read_csv(spark, str(folder), schema, with_file=True))
     postings = plans.postings_a(stored)
     assert {(r["key"], r["Job Role"], r["Job_ind"]) for r in postings.collect()} == {
         ("k1", "DATA ENGINEER", 2), ("k1", "DATA SCIENTIST", 3),

@@ -155,7 +155,7 @@ def test_csv_exchange(spark, tmp_path):
     (tmp_path / "in.csv").write_text("k,items,n\nz,\"['a', \"\"it's\"\"]\",3\n")
     assert rows_of(files.read_csv(spark, str(tmp_path / "in.csv"), schema)) == [("z", ["a", "it's"], 3)]
     (tmp_path / "indexed.csv").write_text(",k,n\n0,z,3\n")
-    assert rows_of(files.read_csv(spark, str(tmp_path / "indexed.csv"), "k string, n int", row_index=True)) == [("z", 3)]
+    assert rows_of(files.read_csv(spark, str(tmp_path / "indexed.csv"), "k string, n int")) == [("z", 3)]
     (tmp_path / "bare.csv").write_text("u1\nu2\n")
     assert files.read_csv(spark, str(tmp_path / "bare.csv"), "u string", header=False).count() == 2
 
@@ -169,11 +169,23 @@ def test_files_with_role_and_date(spark, tmp_path):
     assert rows_of(named.select("Job Role", F.col("date_of_scrape").cast("string"))) == [
         ("DATA ENGINEER", "2024-07-26"), ("DATA SCIENTIST", "2024-07-22"),
     ]
-    assert bad.count() == 2 and all(r["msg"].endswith("bad,x") for r in bad.collect())
-    direct = files.with_file_columns(files.read_csv(spark, str(tmp_path / "jobs_d*.csv"), "key string, n int"))
+    blank = "jobs_machine_learning_engineer_2024-07-27.csv"
+    errors = [r for r in bad.collect() if r["urls"] != blank]
+    assert len(errors) == 2 and all(r["msg"].endswith("bad,x") for r in errors)
+    assert [r["msg"] for r in bad.collect() if r["urls"] == blank] == ["file is empty"]
+    direct = files.with_file_columns(files.read_csv(spark, str(tmp_path / "jobs_d*.csv"), "key string, n int", with_file=True))
     assert {r["Job Role"] for r in direct.collect()} == {"DATA SCIENTIST"}
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,key\nt1,k1\n")
+    (tmp_path / "b.csv").write_text("\ufeffkey,extra,title\nk2,x,t2\n")
+    (tmp_path / "c [1].csv").write_text("key\nk3\n")
+    found = files.read_csv(spark, str(tmp_path), "key string, title string")
+    assert rows_of(found) == [("k1", "t1"), ("k2", "t2"), ("k3", None)]
+    assert rows_of(files.read_csv(spark, str(tmp_path / "a.csv"), "key string")) == [("k1",)]
+
+
 def test_missing_table_is_empty(spark, tmp_path):
     assert files.table_or_empty(spark, str(tmp_path / "none"), "a int").columns == ["a"]
     assert files.table_or_empty(spark, str(tmp_path / "none"), "a int", "csv").count() == 0
