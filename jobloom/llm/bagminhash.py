@@ -124,29 +124,27 @@ def text_id(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) of texts with their similarity: the overlap of their multisets of shingles, counted in full.
+def _verified(pairs: DataFrame, bags: DataFrame, *keep: str) -> DataFrame:
+    """``pairs`` (a, b, columns to keep) of texts with their similarity: the overlap of their multisets of shingles, counted in full.
 
     Bags go along with the second text of a pair, of which a text has few; the first may be that of very many pairs.
     """
     pairs = pairs.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b")
     pairs = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")).hint("merge"), "a")
     likeness = F.pandas_udf(_similarity, T.DoubleType())
-    return pairs.select("a", "b", likeness("bag_a", "bag_b").alias("similarity"))
+    return pairs.select("a", "b", *keep, likeness("bag_a", "bag_b").alias("similarity"))
 
 
-def _undecided(places: DataFrame, root: DataFrame) -> DataFrame:
-    """Texts of the buckets that hold more than one class, with their class."""
-    rows = places.join(root.withColumnRenamed("vertex", "node"), "node", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "node"))
+def _of_several(rows: DataFrame) -> DataFrame:
+    """``rows`` (bucket, root, ...) of the buckets that hold more than one class."""
     several = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     return rows.join(several.select("bucket"), "bucket", "left_semi")
 
 
-def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
-    """Classes after more links."""
-    stars = root.where("vertex <> root").select(F.col("root").alias("a"), F.col("vertex").alias("b"))
-    return materialize(components(stars.unionByName(links), "a", "b"), "roots")
+def _undecided(places: DataFrame, root: DataFrame) -> DataFrame:
+    """Texts of the buckets that hold more than one class, with their class."""
+    rows = places.join(root.withColumnRenamed("vertex", "node"), "node", "left")
+    return _of_several(rows.withColumn("root", F.coalesce("root", "node")))
 
 
 def _alone(nodes: DataFrame, bags: DataFrame) -> DataFrame:
@@ -237,21 +235,26 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     pairs = places.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     checked = materialize(_verified(pairs, bags), "pairs")
     enough = F.col("similarity") >= threshold
-    root = materialize(components(checked.where(enough), "a", "b"), "roots")
+    first = checked.where(enough).select("a", "b")
+    root = materialize(components(first, "a", "b"), "roots")
 
     far = checked.select("a", F.col("b").alias("node"), (1 - F.col("similarity")).alias("far"))
-    open_ = materialize(_undecided(places, root).join(far, ["a", "node"]), "open")  # the first texts are done with
+    open_ = materialize(_undecided(places, root).join(far, ["a", "node"]).drop("a"), "open")  # first texts are done with
     near = Window.partitionBy("bucket").orderBy("far", "node")
     pivots = open_.withColumn("r", F.row_number().over(near)).where(F.col("r") <= PIVOTS)
     pivots = pivots.select("bucket", F.col("node").alias("a"), F.col("root").alias("of"))
-    pairs = open_.drop("a").join(pivots, "bucket").where((F.col("root") != F.col("of")) & (F.col("node") != F.col("a")))
-    pairs = pairs.select(F.col("a"), F.col("node").alias("b")).distinct()
-    root = _joined(root, _verified(pairs, bags).where(enough).select("a", "b"))
-
-    open_ = _undecided(open_.drop("root"), root)
-    open_ = materialize(open_.join(_alone(open_, bags), "node").select("bucket", "node", "root", "n", "u"), "open")
+    pairs = open_.join(pivots, "bucket").where((F.col("root") != F.col("of")) & (F.col("node") != F.col("a")))
+    pairs = pairs.groupBy("a", F.col("node").alias("b")).agg(F.min("of").alias("of"))
+    second = materialize(_verified(pairs, bags, "of").where(enough), "links")
+
+    # A text linked with a pivot goes by the pivot's class from here on; whole classes are joined at the end.
+    now = second.groupBy(F.col("b").alias("node")).agg(F.min("of").alias("of"))
+    open_ = open_.join(now, "node", "left").withColumn("root", F.coalesce("of", "root"))
+    open_ = _of_several(open_.select("bucket", "node", "root"))
+    open_ = materialize(open_.join(_alone(open_, bags), "node"), "open")
     open_ = open_.where(F.col("n") - F.col("u") >= threshold * F.col("n"))
-    root = _joined(root, _late_links(open_, bags, threshold))
+    third = materialize(_late_links(open_.drop("u"), bags, threshold), "links")
+    root = materialize(components(first.unionByName(second.select("a", "b")).unionByName(third), "a", "b"), "roots")
 
     # Counts by class first: a class may hold a third of all rows.
     members = rows.select("key", "node").join(root.withColumnRenamed("vertex", "node"), "node", "left")
