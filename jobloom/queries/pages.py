@@ -37,7 +37,8 @@ def page_links(spark, sf_dir):
 
 
 _JOB_LINK = """'<div><a class="info-position logo-' || CASE page_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false web-job'
-    ELSE 'other' END || '" href="' || replace(url, '&', '&amp;') || '">x</a><a href="/about">y</a></div>' || html"""
+    ELSE 'other' END || CASE WHEN page_id % 2 = 0 THEN '" href="' || replace(url, '&', '&amp;') || '">x'
+    ELSE '" href=' || chr(39) || replace(url, '&', '&#38;') || chr(39) || '>x' END || '</a><a href="/about">y</a></div>' || html"""
 JOB_PAGES = Derived("pages", {"page_id": "page_id", "url": "url", "html": _JOB_LINK})
 
 
@@ -158,7 +159,7 @@ def _detail_pages(spark, sf_dir):
         F.struct(F.when(d % 5 != 0, F.concat(F.lit("/cmp/"), F.col("key"))).alias("relativeCompanyPageUrl")).alias("employer"),
     )
     info = F.struct(
-        F.concat(F.lit("<b>"), F.col("description"), F.lit("</b> pays $10 per hour for 3+ years")).alias(
+        F.concat(F.lit("<b>"), F.col("description"), F.lit("</b> {x}; pays $10 per hour for 3+ years")).alias(
             "sanitizedJobDescription"
         ),
         F.struct(F.col("job_role").alias("jobType")).alias("jobMetadataHeaderModel"),
@@ -176,14 +177,15 @@ def _detail_pages(spark, sf_dir):
         F.struct(info.alias("jobInfoModel")).alias("jobInfoWrapperModel"),
     )
     json = F.to_json(data)
+    # One number may come as text, and a description may hold what looks like the end of the data.
+    json = F.when(d % 4 == 1, F.regexp_replace(json, r'"rating":([0-9.]+)', '"rating":"$1"')).otherwise(json)
     broken = F.when(d % 11 == 0, F.substring(json, F.lit(2), F.length(json))).otherwise(json)
     return computed_once(POSTINGS.frame(spark, sf_dir), {"html": _script("window._initialData=", broken)}, ["doc_id"])
 
 
-_ABOUT = "'<b>' || description || '</b> pays $10 per hour for 3+ years'"
+_ABOUT = "'<b>' || description || '</b> {x}; pays $10 per hour for 3+ years'"
 _FOLDED_ABOUT = f"lower(translate({_ABOUT}, 'İıſK', 'iisk'))"
-# A description that contains the mark which ends the data cuts the data short; such pages are broken too.
-_DETAIL_OK = "doc_id % 11 <> 0 AND NOT contains(description, '};')"
+_DETAIL_OK = "doc_id % 11 <> 0"
 _SKILLS_SQL = ", ".join(
     f"CASE WHEN ok THEN {_list_sql([(_word_test('low', t), t.lower()) for t in words])} END AS {name}"
     for name, words in (
@@ -291,6 +293,12 @@ def _company_pages(spark, sf_dir):
     people = F.struct(F.struct(F.array(*person).alias("entities")).alias("data"))
     org_key = F.concat(F.lit("GET/v4/data/entities/organizations/"), key)
     entry = F.to_json(F.struct(organization.alias("data")))
+    # The same number comes as a number, as text, or with a fraction.
+    rounds = r'"num_funding_rounds":([0-9]+)'
+    entry = (
+        F.when(c % 3 == 1, F.regexp_replace(entry, rounds, '"num_funding_rounds":"$1"'))
+        .when(c % 3 == 2, F.regexp_replace(entry, rounds, '"num_funding_rounds":$1.0')).otherwise(entry)
+    )
     parts = F.concat_ws(
         ",",
         F.lit('"GET/v4/other":{"data":{}}'),

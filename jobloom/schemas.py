@@ -34,12 +34,13 @@ COMPANY_INFO = (
 )
 
 # --- JSON carried by pages -------------------------------------------------------------------------------------------
+# Every single value is read as text: one that comes as a number here and as text there costs nothing else of its page.
 
 LISTING_STATE = (
     "metaData struct<mosaicProviderJobCardsModel:struct<results:array<"
     "struct<company:string,jobkey:string,displayTitle:string,formattedLocation:string>>>>"
 )
-LISTING_INFO = "searchTitleBarModel struct<totalNumResults:bigint>, pageLinks array<string>"
+LISTING_INFO = "searchTitleBarModel struct<totalNumResults:string>, pageLinks array<string>"
 
 DETAIL_STATE = (
     "jobKey string, hiringInsightsModel struct<age:string>, "
@@ -47,7 +48,7 @@ DETAIL_STATE = (
     "url:string,employer:struct<relativeCompanyPageUrl:string>>>>>>>, "
     "jobInfoWrapperModel struct<jobInfoModel:struct<sanitizedJobDescription:string,"
     "jobMetadataHeaderModel:struct<jobType:string>,"
-    "jobInfoHeaderModel:struct<companyName:string,companyReviewModel:struct<ratingsModel:struct<rating:double>>>>>"
+    "jobInfoHeaderModel:struct<companyName:string,companyReviewModel:struct<ratingsModel:struct<rating:string>>>>>"
 )
 
 _NAMED = "struct<value:string>"
@@ -57,25 +58,25 @@ ORGANIZATION = (
     "cards struct<"
     "overview_description:struct<description:string>,"
     f"company_about_fields2:struct<location_identifiers:array<{_NAMED}>,num_employees_enum:string,website:{_NAMED},"
-    "ipo_status:string,rank_org_company:bigint>,"
+    "ipo_status:string,rank_org_company:string>,"
     "about_short_description:struct<short_description:string>,"
     f"social_fields:struct<linkedin:{_NAMED},facebook:{_NAMED},twitter:{_NAMED}>,"
     "contact_fields:struct<contact_email:string,phone_number:string>,"
-    "semrush_summary:struct<semrush_global_rank:bigint,semrush_visits_latest_month:bigint,"
+    "semrush_summary:struct<semrush_global_rank:string,semrush_visits_latest_month:string,"
     "identifier:struct<permalink:string,uuid:string>>,"
-    "semrush_rank_headline:struct<semrush_visits_mom_pct:double>,"
+    "semrush_rank_headline:struct<semrush_visits_mom_pct:string>,"
     f"overview_fields_extended:struct<categories:array<{_NAMED}>,legal_name:string,operating_status:string,"
     f"last_funding_type:string,founded_on:{_NAMED},location_group_identifiers:array<{_NAMED}>>,"
-    "advisors_headline:struct<num_current_advisor_positions:bigint>,"
+    "advisors_headline:struct<num_current_advisor_positions:string>,"
     f"org_similarity_org_list:array<struct<identifier:{_NAMED}>>,"
-    "funding_rounds_summary:struct<num_funding_rounds:bigint,funding_total:struct<value_usd:double>>,"
+    "funding_rounds_summary:struct<num_funding_rounds:string,funding_total:struct<value_usd:string>>,"
     f"acquisitions_list:array<struct<acquiree_identifier:{_NAMED}>>,"
     f"investments_list:array<struct<organization_identifier:{_NAMED}>>,"
-    "investments_headline:struct<num_lead_investments:bigint>,"
+    "investments_headline:struct<num_lead_investments:string>,"
     f"investors_list:array<struct<investor_identifier:{_NAMED}>>,"
-    "investors_headline:struct<num_lead_investors:bigint>,"
-    "technology_highlights:struct<siftery_num_products:bigint,builtwith_num_technologies_used:bigint>,"
-    "event_appearances_headline:struct<num_event_appearances:bigint>>"
+    "investors_headline:struct<num_lead_investors:string>,"
+    "technology_highlights:struct<siftery_num_products:string,builtwith_num_technologies_used:string>,"
+    "event_appearances_headline:struct<num_event_appearances:string>>"
 )
 
 EMPLOYEES = (
@@ -90,11 +91,11 @@ PERSON = (
     "cards struct<"
     f"overview_fields:struct<gender:string,location_group_identifiers:array<{_NAMED}>,"
     f"location_identifiers:array<{_NAMED}>>,"
-    "jobs_summary:struct<num_current_jobs:bigint,num_past_jobs:bigint>,"
+    "jobs_summary:struct<num_current_jobs:string,num_past_jobs:string>,"
     f"education_image_list:array<struct<school:{_NAMED}>>,"
     f"overview_fields2:struct<linkedin:{_NAMED},twitter:{_NAMED},facebook:{_NAMED}>,"
-    "investor_overview_headline:struct<num_current_advisor_jobs:bigint,num_founded_organizations:bigint,"
-    "num_portfolio_organizations:bigint,rank_principal_investor:bigint>>"
+    "investor_overview_headline:struct<num_current_advisor_jobs:string,num_founded_organizations:string,"
+    "num_portfolio_organizations:string,rank_principal_investor:string>>"
 )
 
 SITEMAP = "loc string, lastmod string"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +16,11 @@ from jobloom.functions.text import (
 from jobloom.once import computed_once
 from jobloom.sources.job_page import job_page_fields
 
-# Where board A pages carry their data. (?d) makes the dot stop at line feeds only.
-LISTING_DATA = r'(?d)window.mosaic.providerData\["mosaic-provider-jobcards"\]=(\{.+?\});'
+# Where board A pages carry their data. (?d) makes the dot stop at line feeds only. Data that may hold any text
+# reach to the end of the script; the JSON reader stops by itself where the value ends.
+LISTING_DATA = r'(?s)window.mosaic.providerData\["mosaic-provider-jobcards"\]=(\{.*?)(?:</script>|\z)'
 LISTING_TOTAL = r'(?d)_initialData=(\{.*"zonedProviders":\{\}\});'
-DETAIL_DATA = r"(?d)_initialData=(\{.+?\});"
+DETAIL_DATA = r"(?s)_initialData=(\{.*?)(?:</script>|\z)"
 
 _STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
 
@@ -28,6 +30,21 @@ def parse_json(text: Column, schema: str) -> Column:
     return F.from_json(text, f"{schema}, _bad string", _STRICT)
 
 
+def is_broken(parsed: str) -> Column:
+    """Whether the text of a parsed column is not JSON at all. A field of another shape than declared is null by itself."""
+    bad = F.col(f"{parsed}._bad")
+    return bad.isNotNull() & F.get_json_object(bad, "$").isNull()
+
+
+def number(text: Column) -> Column:
+    """A number that JSON holds as a number or as text; null if it is none."""
+    return text.try_cast("double")
+
+
+def whole_number(text: Column) -> Column:
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def embedded(html: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
@@ -41,7 +58,7 @@ def parse_listing_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     }
     parsed = computed_once(pages, columns, kept)
     missing = F.col("_cards").isNull() | F.col("_info").isNull()
-    broken = F.col("_cards._bad").isNotNull() | F.col("_info._bad").isNotNull()
+    broken = is_broken("_cards") | is_broken("_info")
     return parsed.withColumns(
         {
             "parse_error": F.when(missing, F.lit("Could not find required data in the result")).when(
@@ -49,7 +66,7 @@ def parse_listing_pages(pages: DataFrame, html: str = "html") -> DataFrame:
             ),
             "listing": F.struct(
                 F.col("_cards.metaData.mosaicProviderJobCardsModel.results").alias("results"),
-                F.col("_info.searchTitleBarModel.totalNumResults").alias("total"),
+                whole_number(F.col("_info.searchTitleBarModel.totalNumResults")).alias("total"),
             ),
         }
     ).drop("_cards", "_info")
@@ -87,7 +104,7 @@ def parse_detail_pages(
     kept = [F.col(f"`{c}`") for c in names]
     parsed = parse_json(embedded(F.col(html), DETAIL_DATA), schemas.DETAIL_STATE)
     state = computed_once(pages, {"state": parsed}, names)
-    valid = F.col("state").isNotNull() & F.col("state._bad").isNull()
+    valid = F.col("state").isNotNull() & ~is_broken("state")
     info, employer_page = "state.jobInfoWrapperModel.jobInfoModel", (
         F.col("state.hostQueryExecutionResult.data.jobData.results")[0]["job"]
     )
@@ -101,7 +118,7 @@ def parse_detail_pages(
         F.col(f"{info}.jobInfoHeaderModel.companyName").alias("companyName"),
         F.col(f"{info}.jobMetadataHeaderModel.jobType").alias("jobType"),
         F.coalesce("state.hiringInsightsModel.age", F.lit("")).alias("posted"),
-        F.col(f"{info}.jobInfoHeaderModel.companyReviewModel.ratingsModel.rating").alias("rating"),
+        number(F.col(f"{info}.jobInfoHeaderModel.companyReviewModel.ratingsModel.rating")).alias("rating"),
         employer_page["url"].alias("feed"),
         F.coalesce(employer_page["employer"]["relativeCompanyPageUrl"], F.lit("")).alias("_employer_page"),
         F.coalesce(F.col(f"{info}.sanitizedJobDescription"), F.lit("")).alias("_about"),
@@ -128,15 +145,28 @@ def parse_detail_pages(
     return flat.select(*kept, ok.alias("parsed"), *[F.when(ok, c).alias(n) for n, c in columns.items()])
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, in double quotes, single quotes or none; empty if there is none."""
+    found = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.regexp_replace(found, r"""^["']|["']$""", "")
+
+
+def _unescaped(text: Column) -> Column:
+    """Character references of addresses decoded: the four of XML, the apostrophe, and numbers below 128."""
+    for code in re.findall(r"\S", "&/=?#%+:;,._-~'\"<>"):  # what addresses write as a number
+        text = F.regexp_replace(text, rf"&#(?:0*{ord(code)}|[xX]0*(?i:{ord(code):x}));", code)
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return text
+
+
 def link_targets(html: Column, classes: Sequence[str] | None = None) -> Column:
     """Addresses of the links of a page, in page order; with ``classes``, of links whose class attribute is one of them."""
-    tags = F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(html, F.lit(r"""(?is)<a\s(?:[^>"']|"[^"]*+"|'[^']*+')*+>"""), F.lit(0))
     if classes is not None:
-        tags = F.filter(tags, lambda t: F.regexp_extract(t, r'(?i)\sclass="([^"]*)"', 1).isin(*classes))
-    tags = F.filter(tags, lambda t: t.rlike(r'(?i)\shref="'))
-    return F.transform(
-        tags, lambda t: F.replace(F.regexp_extract(t, r'(?i)\shref="([^"]*)"', 1), F.lit("&amp;"), F.lit("&"))
-    )
+        tags = F.filter(tags, lambda t: _attribute(t, "class").isin(*classes))
+    tags = F.filter(tags, lambda t: t.rlike(r"(?is)\shref\s*="))
+    return F.transform(tags, lambda t: _unescaped(_attribute(t, "href")))
 
 
 # The classes of the links to job pages on board B.
@@ -146,9 +176,13 @@ JOB_LINK_CLASSES = (
 )
 
 
-def job_urls(pages: DataFrame, html: str = "html", classes: Sequence[str] = JOB_LINK_CLASSES) -> DataFrame:
-    """Distinct addresses of the job pages linked from board B search pages."""
-    return pages.select(F.explode(link_targets(F.col(html), classes)).alias("job_listing_url")).distinct()
+def job_urls(
+    pages: DataFrame, html: str = "html", classes: Sequence[str] = JOB_LINK_CLASSES, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Distinct addresses of the job pages linked from board B search pages; ``keep`` adds the columns (the role, say)
+    within which an address counts once."""
+    kept = [F.col(f"`{c}`") for c in keep]
+    return pages.select(*kept, F.explode(link_targets(F.col(html), classes)).alias("job_listing_url")).distinct()
 
 
 def parse_job_pages(

@@ -13,7 +13,7 @@ from jobloom.functions.dates import iso_timestamp
 from jobloom.functions.names import company_slug, unescape_state
 from jobloom.functions.text import percent, prefixed
 from jobloom.once import computed_once
-from jobloom.sources.boards import embedded, parse_json
+from jobloom.sources.boards import embedded, is_broken, number, parse_json, whole_number
 
 # The two places of the state, the keys of its parts, the messages of the error table.
 STATE = r'(?is)<script[^>]*\bid="ng-state"[^>]*>(.*?)</script>'
@@ -53,11 +53,11 @@ def parse_company_pages(pages: DataFrame, url: str = "url", html: str = "html")
     documents = {
         "organization": parse_json(cache_entry(F.col("state.HttpState"), ORGANIZATION_KEY), schemas.ORGANIZATION),
         "employees": parse_json(cache_entry(F.col("state.HttpState"), PEOPLE_KEY), schemas.EMPLOYEES),
-        "_invalid": F.col("state").isNull() | F.col("state._bad").isNotNull(),
+        "_invalid": F.col("state").isNull() | is_broken("state"),
         "_no_state": F.col("state.HttpState").isNull(),
     }
     parsed = computed_once(state, documents, kept)
-    broken = F.col("organization._bad").isNotNull() | F.col("employees._bad").isNotNull()
+    broken = is_broken("organization") | is_broken("employees")
     error = (
         F.when(F.col("_invalid"), F.lit(INVALID))
         .when(F.col("_no_state"), F.lit(NO_STATE))
@@ -70,6 +70,7 @@ def parse_company_pages(pages: DataFrame, url: str = "url", html: str = "html")
 
 def organization_fields(org: str = "organization") -> dict[str, Column]:
     """The forty fields of an organization document."""
+    # The paths inside the document. Counts and sums come as text there or as numbers, see ``whole_number``.
     cards, about = f"{org}.cards", f"{org}.cards.company_about_fields2"
     extended, semrush = f"{cards}.overview_fields_extended", f"{cards}.semrush_summary"
 
@@ -93,10 +94,10 @@ def organization_fields(org: str = "organization") -> dict[str, Column]:
         "phone": F.col(f"{cards}.contact_fields.phone_number"),
         "website": F.col(f"{about}.website.value"),
         "ipo_status": F.col(f"{about}.ipo_status"),
-        "rank_org_company": F.col(f"{about}.rank_org_company"),
-        "semrush_global_rank": F.col(f"{semrush}.semrush_global_rank"),
-        "semrush_visits_latest_month": F.col(f"{semrush}.semrush_visits_latest_month"),
-        "semrush_visits_latest_month_change": F.col(f"{cards}.semrush_rank_headline.semrush_visits_mom_pct"),
+        "rank_org_company": whole_number(F.col(f"{about}.rank_org_company")),
+        "semrush_global_rank": whole_number(F.col(f"{semrush}.semrush_global_rank")),
+        "semrush_visits_latest_month": whole_number(F.col(f"{semrush}.semrush_visits_latest_month")),
+        "semrush_visits_latest_month_change": number(F.col(f"{cards}.semrush_rank_headline.semrush_visits_mom_pct")),
         "semrush_id": F.col(f"{semrush}.identifier.permalink"),
         "semrush": F.col(f"{semrush}.identifier.uuid"),
         "categories": values_of(F.col(f"{extended}.categories.value")),
@@ -104,19 +105,19 @@ def organization_fields(org: str = "organization") -> dict[str, Column]:
         "operating_status": F.col(f"{extended}.operating_status"),
         "last_funding_type": F.col(f"{extended}.last_funding_type"),
         "founded_on": F.col(f"{extended}.founded_on.value"),
-        "advisors": F.col(f"{cards}.advisors_headline.num_current_advisor_positions"),
+        "advisors": whole_number(F.col(f"{cards}.advisors_headline.num_current_advisor_positions")),
         "similar": values_of(F.col(f"{cards}.org_similarity_org_list.identifier.value")),
-        "funding_rounds": F.col(f"{cards}.funding_rounds_summary.num_funding_rounds"),
-        "funding_usd": F.col(f"{cards}.funding_rounds_summary.funding_total.value_usd"),
+        "funding_rounds": whole_number(F.col(f"{cards}.funding_rounds_summary.num_funding_rounds")),
+        "funding_usd": number(F.col(f"{cards}.funding_rounds_summary.funding_total.value_usd")),
         "acquisitions": values_of(F.col(f"{cards}.acquisitions_list.acquiree_identifier.value")),
         "investments": values_of(F.col(f"{cards}.investments_list.organization_identifier.value")),
-        "lead_investments": F.col(f"{cards}.investments_headline.num_lead_investments"),
+        "lead_investments": whole_number(F.col(f"{cards}.investments_headline.num_lead_investments")),
         "investors": values_of(F.col(f"{cards}.investors_list.investor_identifier.value")),
-        "lead_investors": F.col(f"{cards}.investors_headline.num_lead_investors"),
-        "total_products_active": F.col(f"{cards}.technology_highlights.siftery_num_products"),
-        "active_tech_count": F.col(f"{cards}.technology_highlights.builtwith_num_technologies_used"),
+        "lead_investors": whole_number(F.col(f"{cards}.investors_headline.num_lead_investors")),
+        "total_products_active": whole_number(F.col(f"{cards}.technology_highlights.siftery_num_products")),
+        "active_tech_count": whole_number(F.col(f"{cards}.technology_highlights.builtwith_num_technologies_used")),
         "location_groups": values_of(F.col(f"{extended}.location_group_identifiers.value")),
-        "event_appearances": F.col(f"{cards}.event_appearances_headline.num_event_appearances"),
+        "event_appearances": whole_number(F.col(f"{cards}.event_appearances_headline.num_event_appearances")),
     }
 
 
@@ -194,6 +195,12 @@ def page_errors(parsed: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
+# The fields of a person's investing overview.
+INVESTING = (
+    "num_current_advisor_jobs", "num_founded_organizations", "num_portfolio_organizations", "rank_principal_investor",
+)
+
+
 def parse_person_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Person pages to the eighteen fields of a person document."""
     names = [c for c in pages.columns if c != html]
@@ -212,17 +219,18 @@ def parse_person_pages(pages: DataFrame, html: str = "html") -> DataFrame:
         F.col(f"{overview}.gender").alias("gender"),
         values_of(F.col(f"{overview}.location_group_identifiers.value")).alias("location_groups"),
         values_of(F.col(f"{overview}.location_identifiers.value")).alias("location"),
-        F.col("p.cards.jobs_summary.num_current_jobs").alias("current_jobs"),
-        F.col("p.cards.jobs_summary.num_past_jobs").alias("past_jobs"),
+        whole_number(F.col("p.cards.jobs_summary.num_current_jobs")).alias("current_jobs"),
+        whole_number(F.col("p.cards.jobs_summary.num_past_jobs")).alias("past_jobs"),
         values_of(F.col("p.cards.education_image_list.school")).alias("education"),
-        F.col(headline).alias("investing_overview"),
+        F.when(F.col(headline).isNotNull(), F.struct(*[whole_number(F.col(f"{headline}.{n}")).alias(n) for n in INVESTING]))
+        .alias("investing_overview"),
         F.col(f"{social}.linkedin.value").alias("linkedin"),
         F.col(f"{social}.twitter.value").alias("twitter"),
         F.col(f"{social}.facebook.value").alias("facebook"),
-        F.col(f"{headline}.num_current_advisor_jobs").alias("current_advisor_jobs"),
-        F.col(f"{headline}.num_founded_organizations").alias("founded_orgs"),
-        F.col(f"{headline}.num_portfolio_organizations").alias("portfolio_orgs"),
-        F.col(f"{headline}.rank_principal_investor").alias("rank_principal_investor"),
+        whole_number(F.col(f"{headline}.num_current_advisor_jobs")).alias("current_advisor_jobs"),
+        whole_number(F.col(f"{headline}.num_founded_organizations")).alias("founded_orgs"),
+        whole_number(F.col(f"{headline}.num_portfolio_organizations")).alias("portfolio_orgs"),
+        whole_number(F.col(f"{headline}.rank_principal_investor")).alias("rank_principal_investor"),
     )
 
 
