@@ -32,7 +32,7 @@ THRESHOLD = 0.8
 PIVOTS = 3
 #: A block of the last comparison: texts, shingles, and shingles looked at together.
 BLOCK_TEXTS, BLOCK_SHINGLES, COLUMNS = 256, 2_000_000, 8192
-FRAME_CHARS = 2_000_000
+FRAME_CHARS = 500_000
 _GAMMA, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 

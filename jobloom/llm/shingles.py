@@ -23,7 +23,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Hashes of the runs of five words of each text; a shorter text with a word is one shingle of all its words."""
 
-    def __init__(self, remembered: int = 250_000):
+    def __init__(self, remembered: int = 100_000):
         self.remembered = remembered
         self.places: dict[str, int] = {}
         self.hashes = np.zeros(0, np.uint64)
