@@ -161,8 +161,16 @@ def delimited_terms_squeezed(text: Column, terms: Sequence[str]) -> Column:
 
 
 def substring_terms(text: Column, terms: Sequence[str]) -> Column:
-    """Terms contained anywhere, case-sensitive, in list order and lower case; empty for a null text."""
-    return F.array_compact(F.array(*[F.when(text.contains(t), F.lit(t.lower())) for t in terms]))
+    """Terms contained anywhere, case-sensitive, in list order and lower case; empty for a null text.
+
+    One reading of the text captures the longest term at each position; terms that begin a captured one follow from it.
+    """
+    distinct = list(dict.fromkeys(terms))
+    heads = "".join(sorted({quote(t[0]) for t in distinct}))
+    pattern = f"(?=[{heads}])(?=({_prefix_tree(distinct, lambda _: '')}))"
+    found = _present(F.coalesce(text, F.lit("")), pattern, _implied(distinct, lambda term, following: True))
+    listed = F.array_intersect(F.array(*[F.lit(t) for t in distinct]), found)
+    return F.transform(listed, lambda t: F.lower(t))
 
 
 def term_count(text: Column, terms: Sequence[str]) -> Column:

@@ -19,14 +19,15 @@ def contacts(postings: DataFrame, matched: DataFrame, people: DataFrame) -> Data
     names = materialize(postings.select("name").distinct(), "employers")
     companies = matched.select("employer_name", "company_name")
     who = people.select(*[F.col(f"`{c}`") for c in CONTACT])
-    placed = left_join(names, companies, "name", "employer_name")
+    placed = materialize(left_join(names, companies, "name", "employer_name"), "placed")  # a left join reads its sides twice
     return left_join(placed, who, "company_name", "Name from URL").select("name", *[F.col(f"`{c}`") for c in CONTACT])
 
 
 def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Listings with the details of their page, nulls where the page gave none, newest first.
+    """Listings with the details of their page, nulls where the page gave none, newest first within each part.
 
-    The key completes the order, so that one frequent age does not end up in a single task.
+    A total order would move every description once more; parts in order are what a file of results needs.
     """
     extra = details.filter(F.col("key").isNotNull()).drop("companyName", "parsed")
-    return listings.join(extra, "key", "left").orderBy(F.col("days_ago").asc_nulls_last(), F.col("key"))
+    joined = listings.join(extra, "key", "left")  # a key of very many listings is split, and has one detail page
+    return joined.sortWithinPartitions(F.col("days_ago").asc_nulls_last(), F.col("key"))

@@ -56,13 +56,16 @@ def one_per_month(postings: DataFrame, tiebreak: Sequence[str], include_year: bo
     return keep_first(postings, ["key", *_period(include_year)], ["date_of_scrape", "Job Role", *tiebreak])
 
 
-def merge_passes(passes: Sequence[DataFrame], tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Listings of several passes over a search: one row per key, from the earliest pass, by name within a pass."""
+def merge_passes(
+    passes: Sequence[DataFrame], tiebreak: Sequence[str] = (), within: Sequence[str] = ()
+) -> DataFrame:
+    """Listings of several passes over a search: one row per key (and the columns ``within`` which it counts once, such as
+    the role searched for), from the earliest pass, by name within a pass."""
     numbered = [p.withColumn("pass", F.lit(i)) for i, p in enumerate(passes)]
     merged = numbered[0]
     for other in numbered[1:]:
         merged = merged.unionByName(other)
-    return keep_first(merged, ["key"], ["pass", "name", *tiebreak]).drop("pass")
+    return keep_first(merged, [*within, "key"], ["pass", "name", *tiebreak]).drop("pass")
 
 
 def by_name(listings: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Operators that add to cumulative tables: new-only, append, upsert, snapshots.
 
 A cumulative table is a folder with a partition per run. A run writes its own partition only and never touches the
-others, so a repeated run replaces what it wrote before and nothing that is being read is overwritten.
+others, so a repeated run replaces what it wrote before and nothing that is being read is overwritten. What any other run
+has written, earlier or later, counts as seen, so an early run repeated with more rows adds no key a second time.
 """
 
 from __future__ import annotations
@@ -66,6 +67,11 @@ def table_before(spark: SparkSession, path: str, schema: str | T.StructType, run
     return table_or_empty(spark, path, _with_run(schema)).filter(F.col(RUN) < F.lit(run_date))
 
 
+def table_without(spark: SparkSession, path: str, schema: str | T.StructType, run_date: dt.date) -> DataFrame:
+    """What the other runs have written."""
+    return table_or_empty(spark, path, _with_run(schema)).filter(F.col(RUN) != F.lit(run_date))
+
+
 def only_run(spark: SparkSession, path: str, schema: str | T.StructType, run_date: dt.date) -> DataFrame:
     return table_or_empty(spark, path, _with_run(schema)).filter(F.col(RUN) == F.lit(run_date))
 
@@ -76,15 +82,15 @@ def write_run(rows: DataFrame, path: str, run_date: dt.date) -> None:
 
 
 def add_run(rows: DataFrame, path: str, key: str, run_date: dt.date) -> None:
-    """Write the rows whose key no earlier run has seen."""
-    before = table_before(rows.sparkSession, path, rows.schema, run_date)
-    write_run(new_rows(rows, before, key), path, run_date)
+    """Write the rows whose key no other run has; rows of one run that share a new key are all written."""
+    others = table_without(rows.sparkSession, path, rows.schema, run_date)
+    write_run(new_rows(rows, others, key), path, run_date)
 
 
 def upsert_run(rows: DataFrame, path: str, run_date: dt.date, columns: Sequence[str] | None = None) -> None:
-    """Write the distinct rows that no earlier run has written."""
+    """Write the distinct rows that no other run has written."""
     columns = list(columns or rows.columns)
-    before = table_before(rows.sparkSession, path, rows.schema, run_date).select(*[f"`{c}`" for c in columns])
+    before = table_without(rows.sparkSession, path, rows.schema, run_date).select(*[f"`{c}`" for c in columns])
     fresh = rows.select(*[f"`{c}`" for c in columns]).distinct()
     known = before.distinct().select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(columns)])
     same = F.lit(True)

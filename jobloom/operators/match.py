@@ -16,8 +16,8 @@ at least ``t`` bounds ``n`` by ``floor(2 (1 - t) a / t)`` for either length, the
   class, and meet in an equi-join whose condition also compares the parities of all classes; what remains is scored.
   Names made after one template share pieces but not parities, so they do not meet.
 
-Where the probes are few, their variants are sent to all executors, after their number was checked, and directory variants
-that nobody asks for end before the shuffle. Other joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
+The probes' variants are written once; directory variants that nobody asks for end in a semi-join with that table, the same way
+at every size. Other joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
 could be chosen for a table many times larger than the limit. A skewed key is split by adaptive execution.
 
 Every branch is lossless, so the result is that of comparing every pair.
@@ -34,8 +34,6 @@ from jobloom.operators.metrics import value_counts
 from jobloom.scratch import materialize
 
 VARIANT_BUDGET = 2
-# So many probe variants, of at most some forty bytes each, may be sent to every executor.
-BROADCAST_VARIANTS = 500_000
 UNFOLDED_PER_TASK = 500_000
 
 
@@ -122,13 +120,12 @@ def _variant_matches(
 ) -> DataFrame:
     """(form, score, first, edits): the best partner of a probe among those with a common variant.
 
-    The numbers bound how many variants the sides have; a small number of probe variants is sent to every executor.
+    The numbers bound how many variants the sides have.
     """
-    keys = _probe_variants(probes, t)
-    variants = _directory_variants(directory, t)
-    if probe_variants <= BROADCAST_VARIANTS:
-        variants = variants.join(F.broadcast(keys.select("variant").distinct()), "variant", "left_semi")
-        directory_variants = probe_variants
+    keys = materialize(_probe_variants(probes, t), "match-probe-variants")
+    asked = materialize(keys.select("variant").distinct(), "match-asked")
+    variants = _directory_variants(directory, t).join(asked.hint("shuffle_hash"), "variant", "left_semi")
+    directory_variants = min(directory_variants, probe_variants * (VARIANT_BUDGET + 1))
     # Partitioned by the variant alone, which serves the grouping and the join after it.
     variants = _spread(variants, directory_variants, "variant")
     firsts = variants.groupBy("variant", "removed").agg(F.min("first").alias("first"))

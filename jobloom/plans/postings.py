@@ -15,7 +15,8 @@ from jobloom.functions.terms import (
 )
 from jobloom.functions.text import experience_range
 from jobloom.once import computed_once
-from jobloom.operators import dedupe, facts, incremental
+from jobloom.operators import contacts, dedupe, facts, incremental
+from jobloom.scratch import materialize
 from jobloom.sources import boards
 from jobloom.sources.files import write_table
 
@@ -28,15 +29,17 @@ def postings_a(
     role_terms: Mapping[str, Sequence[str]] = lexicon.ROLE_TERMS_A,
     tools: Sequence[str] = lexicon.TOOLS,
     more_than: int = RELEVANT_A,
+    with_tools: bool = True,
 ) -> DataFrame:
     """Board A detail rows with ``date_of_scrape`` and ``Job Role`` to relevant postings.
 
-    The relevance filter comes first, so the tools are looked for only in the postings that stay.
+    The relevance filter comes first, so the tools are looked for only in the postings that stay, and only if asked for.
     """
     text, role = F.col("description"), F.col("Job Role")
     counted = computed_once(details, {"keyword_count": role_term_count(text, role, role_terms)})
     indexed = facts.relevant(counted, more_than).withColumn("Job_ind", facts.lookup(role, lexicon.ROLE_INDEX_A))
-    return computed_once(with_date_parts(indexed), {"Tools": delimited_terms(text, tools)})
+    dated = with_date_parts(indexed)
+    return computed_once(dated, {"Tools": delimited_terms(text, tools)}) if with_tools else dated
 
 
 def consolidate_a(postings: DataFrame, out: str, tiebreak: Sequence[str], include_year: bool = False) -> dict[str, str]:
@@ -54,6 +57,23 @@ def consolidate_a(postings: DataFrame, out: str, tiebreak: Sequence[str], includ
     return paths
 
 
+def run_board_a(
+    passes: Sequence[DataFrame], details: DataFrame, out: str, run_date: dt.date, tiebreak: Sequence[str] = ("title",),
+    site: str = "",
+) -> dict[str, str]:
+    """From stored pages to the five tables of board A.
+
+    ``passes`` are the search pages (html, ``Job Role``) of each pass, ``details`` the detail pages (html). A listing counts
+    once for a role; its page's details are joined to it, then come relevance, skills and the consolidated tables.
+    """
+    role = ["Job Role"]
+    listed = [boards.listing_rows(boards.parse_listing_pages(pages), [F.col("`Job Role`")]) for pages in passes]
+    listings = dedupe.merge_passes(listed, ["title"], within=role)
+    rows = contacts.with_details(listings, boards.parse_detail_pages(details, site=site))
+    dated = rows.withColumn("date_of_scrape", F.lit(run_date))
+    return consolidate_a(postings_a(dated), out, tiebreak)
+
+
 def postings_b(
     details: DataFrame,
     ref_date: dt.date,
@@ -87,14 +107,16 @@ def run_board_b(pages: DataFrame, table: str, run_date: dt.date, schema: str) ->
     The relevant postings become the run's partition of the cumulative table, which has the given ``schema``.
     """
     spark = pages.sparkSession
-    before = incremental.table_before(spark, table, schema, run_date)
-    fresh = incremental.new_rows(pages, before, "url", "feed")
+    others = incremental.table_without(spark, table, schema, run_date).select(F.col("feed").alias("url")).distinct()
+    # Addresses alone settle what is known. The known ones are few or many; either way no page text is compared.
+    known = materialize(pages.select("url").distinct().join(others, "url", "left_semi"), "known-pages")
+    fresh = pages.join(known, "url", "left_anti")
     details = boards.parse_job_pages(fresh, keep=["Job Role"]).withColumn("date_of_scrape", F.lit(run_date))
     rows = postings_b(details, run_date, run_date.year)
     incremental.write_run(rows.sortWithinPartitions("Month", "Job_ind"), table, run_date)
 
 
 def production(spark: SparkSession, table: str, run_date: dt.date, schema: str) -> DataFrame:
-    """All postings of the cumulative table as of a run, by month and role index; the address spreads equal ones."""
+    """All postings of the cumulative table as of a run, each part by month and role index, as the runs wrote them."""
     rows = incremental.table_as_of(spark, table, schema, run_date)
-    return rows.orderBy(F.col("Month").asc_nulls_last(), F.col("Job_ind").asc_nulls_last(), "feed")
+    return rows.sortWithinPartitions(F.col("Month").asc_nulls_last(), F.col("Job_ind").asc_nulls_last(), "feed")

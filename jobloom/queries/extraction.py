@@ -176,7 +176,7 @@ def _outputs(spark, sf_dir):
     The skills are found before the postings are brought together by key, so the texts stay where they were read.
     """
     groups = {"Soft Skills": lexicon.SOFT_SKILLS, "Industry Skills": lexicon.INDUSTRY_SKILLS}
-    postings = plans.postings_a(_details(spark, sf_dir))
+    postings = plans.postings_a(_details(spark, sf_dir), with_tools=False)
     found = computed_once(postings, {"g": terms.word_term_groups(F.col("description"), groups)})
     skilled = found.withColumns({n: F.col(f"g.`{n}`") for n in groups}).drop("g", "description")
     return dedupe.one_per_role_and_month(skilled, ["doc_id"])

@@ -12,7 +12,7 @@ from jobloom.once import computed_once
 from jobloom.plans import employers as employer_plans
 from jobloom.plans import postings as plans
 from jobloom.queries.extraction import POSTINGS, _count_sql, _delimited_tests, _list_sql
-from jobloom.queries.pages import _URL, _company_pages
+from jobloom.queries.pages import _ABOUT, _URL, _clean_sql, _company_pages, _detail_pages, _script
 from jobloom.queries.registry import Derived, literal, query
 from jobloom.scratch import scratch_path
 
@@ -77,6 +77,64 @@ def board_b_production(spark, sf_dir):
     )
 
 
+# --- board A ---------------------------------------------------------------------------------------------------------
+
+# Two postings share a page, that of the even document; every eleventh detail page is broken.
+_BOARD_A = f"""(SELECT key, job_role, {_count_sql(lexicon.ROLE_TERMS_A)} AS keyword_count, low,
+    {_list_sql(_delimited_tests('low', lambda t: t.strip(' .,;')))} AS tools FROM (
+    SELECT CAST(l.doc_id - l.doc_id % 2 AS STRING) AS key, l.job_role, d.low FROM {POSTINGS.sql()} l
+    JOIN (SELECT doc_id, {_clean_sql(_ABOUT)} AS low FROM {POSTINGS.sql()} p WHERE doc_id % 11 <> 0) d
+    ON d.doc_id = l.doc_id - l.doc_id % 2))"""
+_OUTPUTS_A = f"(SELECT * FROM {_BOARD_A} WHERE keyword_count > {plans.RELEVANT_A})"
+
+
+def _board_a(spark, sf_dir):
+    """Search pages of two passes, the second over all listings, and detail pages, to the five tables."""
+    listed = POSTINGS.frame(spark, sf_dir)
+    card = F.struct(
+        F.lit("employer").alias("company"), (F.col("doc_id") - F.col("doc_id") % 2).cast("string").alias("jobkey"),
+        F.col("job_role").alias("displayTitle"), F.lit("here").alias("formattedLocation"),
+    )
+    cards = F.to_json(F.struct(F.struct(F.struct(F.array(card).alias("results")).alias("mosaicProviderJobCardsModel")).alias("metaData")))
+    html = F.concat(
+        _script('window.mosaic.providerData["mosaic-provider-jobcards"]=', cards),
+        _script("window._initialData=", F.lit('{"searchTitleBarModel":{"totalNumResults":1},"zonedProviders":{}}')),
+    )
+    searches = listed.select("doc_id", F.col("job_role").alias("Job Role"), html.alias("html"))
+    details = _detail_pages(spark, sf_dir, "doc_id").filter(F.col("doc_id") % 2 == 0).select("html")
+    passes = [searches.filter(F.col("doc_id") % 3 > 0).drop("doc_id"), searches.drop("doc_id")]
+    return plans.run_board_a(passes, details, scratch_path(spark, "board-a"), FIRST)
+
+
+def _shown_a(rows):
+    return rows.select(
+        "key", F.col("Job Role").alias("job_role"), F.col("keyword_count").cast("bigint").alias("keyword_count"),
+        F.array_join("Tools", "|").alias("tools"), F.col("date_of_scrape").cast("string").alias("scraped"),
+    )
+
+
+@query(f"SELECT key, job_role, CAST(keyword_count AS BIGINT) AS keyword_count, tools, '{FIRST}' AS scraped FROM {_OUTPUTS_A}")
+def board_a_outputs(spark, sf_dir):
+    return _shown_a(spark.read.parquet(_board_a(spark, sf_dir)["outputs"]))
+
+
+@query(
+    f"""SELECT key, job_role, CAST(keyword_count AS BIGINT) AS keyword_count, tools, '{FIRST}' AS scraped FROM {_OUTPUTS_A}
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY job_role) = 1"""
+)
+def board_a_without_dup(spark, sf_dir):
+    return _shown_a(spark.read.parquet(_board_a(spark, sf_dir)["outputs_without_dup"]))
+
+
+@query(
+    f"""SELECT skill, job_role, count(*) AS n FROM (SELECT job_role, unnest(string_split(nullif(tools, ''), '|')) AS skill
+    FROM {_OUTPUTS_A}) GROUP BY skill, job_role"""
+)
+def board_a_facts(spark, sf_dir):
+    rows = spark.read.parquet(_board_a(spark, sf_dir)["tools"])
+    return rows.groupBy(F.col("Tools").alias("skill"), F.col("Job Role").alias("job_role")).agg(F.count("*").alias("n"))
+
+
 _EMPLOYED = Derived("orders", {"name": "CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE 'The ' || o_custkey || ' LLC' END"})
 _DIRECTORY = Derived("customer", {"Company_name_url": _URL})
 

@@ -151,7 +151,7 @@ def listing_errors(spark, sf_dir):
     return parsed.select("p_partkey", F.col("parse_error").alias("error"), F.col("listing.total").alias("total"))
 
 
-def _detail_pages(spark, sf_dir):
+def _detail_pages(spark, sf_dir, page_key: str = "key"):
     """Detail pages out of the derived postings, the description marked up; every eleventh is broken."""
     d = F.col("doc_id")
     job = F.struct(
@@ -169,7 +169,7 @@ def _detail_pages(spark, sf_dir):
         ).alias("jobInfoHeaderModel"),
     )
     data = F.struct(
-        F.col("key").alias("jobKey"),
+        F.col(page_key).cast("string").alias("jobKey"),
         F.struct(F.concat((d % 31).cast("string"), F.lit(" days ago")).alias("age")).alias("hiringInsightsModel"),
         F.struct(
             F.struct(F.struct(F.array(F.struct(job.alias("job"))).alias("results")).alias("jobData")).alias("data")

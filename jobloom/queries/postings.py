@@ -280,6 +280,30 @@ def snapshot_as_of(spark, sf_dir):
     return state.select("page_id", "feed", F.col("run_date").cast("string").alias("run_date"))
 
 
+@query(f"SELECT page_id, feed, '2024-07-0' || (CASE WHEN run = 2 THEN 1 ELSE run + 1 END) AS run_date FROM {FEEDS.sql()} f")
+def backfill_run(spark, sf_dir):
+    """Two runs, then the first again with more rows: each key is written once."""
+    feeds = FEEDS.frame(spark, sf_dir).select("page_id", "feed", "run")
+    path = scratch_path(spark, "backfill")
+    for day, held in ((1, feeds.filter("run = 0")), (2, feeds.filter("run <= 1")), (1, feeds)):
+        incremental.add_run(held.drop("run"), path, "page_id", dt.date(2024, 7, day))
+    state = incremental.table_as_of(spark, path, "page_id bigint, feed string", dt.date(2024, 7, 2))
+    return state.select("page_id", "feed", F.col("run_date").cast("string").alias("run_date"))
+
+
+@query("SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY user_id")
+def stream_restart(spark, sf_dir):
+    """Two arrivals, then a new checkpoint over the filled table reads both again: each key is there once."""
+    landing, out = (scratch_path(spark, n) for n in ("landing", "restarted"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    first = scratch_path(spark, "checkpoint")
+    for arrival, checkpoint in ((events.filter("event_id % 2 = 0"), first), (events, first), (events.limit(0), None)):
+        arrival.write.mode("append").parquet(landing)
+        checkpoint = checkpoint or scratch_path(spark, "checkpoint")
+        ingest_new(spark, landing, events.schema, out, checkpoint, "user_id", ["event_id"]).awaitTermination()
+    return spark.read.parquet(out).groupBy("user_id").agg(F.count("*").alias("n"))
+
+
 @query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
 def incremental_stream(spark, sf_dir):
     """The events replayed as two arrivals, the second holding the first again; the first event per user is kept."""

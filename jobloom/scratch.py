@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):  # not local-cluster, whose executors are apart
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = _local_roots.get(context.applicationId)
         if root is None:

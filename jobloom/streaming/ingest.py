@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,11 +16,15 @@ BATCH = "batch"
 
 
 def _add_batch(batch: DataFrame, batch_id: int, table: str, key: str, order: Sequence[str]) -> None:
-    """Add the first row of every key that no earlier batch has written; a replay replaces its own partition."""
+    """Add the first row of every key that is not in the table, to the batch's partition.
+
+    Nothing is replaced: a replayed batch finds its keys there, and so does a stream that starts anew over a filled table
+    because its checkpoint was lost.
+    """
     stored = T.StructType(batch.schema.fields).add(BATCH, T.LongType())
-    earlier = table_or_empty(batch.sparkSession, table, stored).filter(F.col(BATCH) < batch_id)
-    fresh = keep_first(new_rows(batch, earlier, key), [key], order)
-    fresh.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+    present = table_or_empty(batch.sparkSession, table, stored)
+    fresh = keep_first(new_rows(batch, present, key), [key], order)
+    fresh.write.mode("append").parquet(f"{table}/{BATCH}={batch_id}")
 
 
 def ingest_new(

@@ -1,10 +1,12 @@
 import datetime as dt
 import gzip
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from jobloom.sources import boards, companies
+from jobloom.sources import boards, companies, job_page
 
 LISTING = {"metaData": {"mosaicProviderJobCardsModel": {"results": [
     {"company": "Acme", "jobkey": "k1", "displayTitle": "Analyst; {x}", "formattedLocation": "Riyadh", "other": [1]},
@@ -204,3 +206,32 @@ def test_parsing_is_evaluated_once(spark):
     parsed = companies.parse_company_pages(spark.createDataFrame([("u", "h")], "url string, html string"))
     plan = companies.page_errors(parsed)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("entities map") + plan.count("from_json(StructField(HttpState") <= 1
+
+
+def test_blocks_end_paragraphs_and_items():
+    page = '<div class="candidate-profile"><p class="value">3 - 5 Years<div>x</div><p class="value">y<p class="value"> z <ul><li>a<li>b</ul></div>'
+    record = job_page._board_b_record(page)
+    assert (record["Experience"], record["Education"]) == ("3 - 5 Years", " z ")
+    items = job_page._Page("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>")
+    assert [items.text(e) for e in items.all("li")] == ["a", "bc", "c", "d"]
+
+
+@pytest.mark.parametrize("tag", ["<li>", "<b>", "<p>x", "<div>x"])
+def test_unclosed_tags_take_linear_time(tag):
+    def seconds(n):
+        start = time.perf_counter()
+        job_page._board_b_record((tag + "text ") * n)
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert min(seconds(8000) for _ in range(3)) < 8 * max(min(seconds(2000) for _ in range(3)), 0.005)
+
+
+def test_links_in_any_quoting(spark):
+    html = """<a class='info-position logo-true' href='/1?a=1&#38;b=2'>x</a><a href=/2 class="info-position logo-true">y</a>
+    <A title=">" CLASS="info-position logo-false" HREF = "/3">z</A><a class="other" href="/4">w</a><abbr href="/5">"""
+    pages = spark.createDataFrame([(html, "R1"), (html, "R1"), (html, "R2")], "html string, role string")
+    found = boards.job_urls(pages, keep=["role"]).collect()
+    assert sorted((r["role"], r["job_listing_url"]) for r in found) == [
+        (role, url) for role in ("R1", "R2") for url in ("/1?a=1&b=2", "/2", "/3")
+    ]
