@@ -21,7 +21,7 @@ HEADLINE = (
     "details_left_join", "experience_a", "salary_extract", "clean_html", "page_links", "page_record",
     "embedded_json_listing", "embedded_json_detail", "app_state_company", "people_explode", "parse_errors",
     "fuzzy_match", "match_merge", "job_counts", "new_urls_only", "upsert_distinct", "snapshot_as_of", "contact_join",
-    "incremental_stream", "csv_roundtrip_lists",
+    "incremental_stream", "csv_roundtrip_lists", "csv_by_name", "board_a_outputs", "board_b_production", "employer_contacts",
 )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom import lexicon
-from jobloom.functions.dates import days_since_posted_text, with_date_parts
+from jobloom.functions.dates import days_since_posted_text, short_stamp, with_date_parts
 from jobloom.functions.terms import (
     delimited_terms, delimited_terms_squeezed, role_term_count, substring_terms,
 )
@@ -18,7 +18,7 @@ from jobloom.once import computed_once
 from jobloom.operators import contacts, dedupe, facts, incremental
 from jobloom.scratch import materialize
 from jobloom.sources import boards
-from jobloom.sources.files import write_table
+from jobloom.sources.files import write_csv, write_table
 
 RELEVANT_A = 3
 RELEVANT_B = 0
@@ -116,6 +116,14 @@ def run_board_b(pages: DataFrame, table: str, run_date: dt.date, schema: str) ->
     incremental.write_run(rows.sortWithinPartitions("Month", "Job_ind"), table, run_date)
 
 
+def export_dated(spark: SparkSession, table: str, out: str, run_date: dt.date, schema: str) -> dict[str, str]:
+    """Write what a run has added, and all postings as of it, as CSV in folders that carry the run's date."""
+    paths = {kind: f"{out}/{kind}_jobs_{short_stamp(run_date)}" for kind in ("new", "all")}
+    write_csv(incremental.only_run(spark, table, schema, run_date), paths["new"])
+    write_csv(incremental.table_as_of(spark, table, schema, run_date), paths["all"])
+    return paths
+
+
 def production(spark: SparkSession, table: str, run_date: dt.date, schema: str) -> DataFrame:
     """All postings of the cumulative table as of a run, each part by month and role index, as the runs wrote them."""
     rows = incremental.table_as_of(spark, table, schema, run_date)

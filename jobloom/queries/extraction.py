@@ -12,6 +12,7 @@ from jobloom.functions import dates, terms, text
 from jobloom.once import computed_once
 from jobloom.operators import dedupe, facts
 from jobloom.plans import postings as plans
+from jobloom.queries import patterns
 from jobloom.queries.registry import Derived, literal, query, table
 
 # Postings out of documents: four known roles and one unknown, term phrases in mixed case, three documents per key.
@@ -299,7 +300,7 @@ OFFERS = Derived(
 
 @query(
     f"""SELECT l_orderkey, l_linenumber, array_to_string(
-    regexp_extract_all(requirement, '\\b({text.EXPERIENCE}){text.SPACE}*years\\b', 1), '|') AS experience
+    regexp_extract_all(requirement, '\\b({patterns.EXPERIENCE}){patterns.SPACE}*years\\b', 1), '|') AS experience
     FROM {OFFERS.sql()} o"""
 )
 def experience_a(spark, sf_dir):
@@ -317,7 +318,7 @@ def experience_b(spark, sf_dir):
 
 
 def _salary_sql(group: int) -> str:
-    return f"array_to_string(regexp_extract_all(pay, {literal(text.SALARY)}, {group}), '|')"
+    return f"array_to_string(regexp_extract_all(pay, {literal(patterns.SALARY)}, {group}), '|')"
 
 
 @query(

@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from jobloom import lexicon
-from jobloom.functions import text
 from jobloom.once import computed_once
 from jobloom.plans import employers as employer_plans
 from jobloom.plans import postings as plans
 from jobloom.queries.extraction import POSTINGS, _count_sql, _delimited_tests, _list_sql
 from jobloom.queries.pages import _ABOUT, _URL, _clean_sql, _company_pages, _detail_pages, _script
+from jobloom.queries import patterns
 from jobloom.queries.registry import Derived, literal, query
 from jobloom.scratch import scratch_path
 
@@ -49,7 +49,7 @@ def _job_pages(spark, sf_dir):
 
 
 _SHOWN = f"""regexp_replace(regexp_replace(replace(replace(description, chr(13), ' '), chr(10), ' '),
-    {literal('^' + text.SPACE + '+')}, ''), {literal(text.SPACE + '+$')}, '')"""
+    {literal('^' + patterns.SPACE + '+')}, ''), {literal(patterns.SPACE + '+$')}, '')"""
 
 
 @query(

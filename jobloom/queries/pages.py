@@ -12,11 +12,12 @@ from jobloom.functions import text
 from jobloom.functions.names import company_slug
 from jobloom.once import computed_once
 from jobloom.queries.extraction import COMMON_WORDS, POSTINGS, _list_sql, _word_test
+from jobloom.queries import patterns
 from jobloom.queries.registry import Derived, literal, query, table
 from jobloom.scratch import scratch_path
 from jobloom.sources import boards, companies
 
-_SPACES = literal(text.SPACE + "+")
+_SPACES = literal(patterns.SPACE + "+")
 
 
 def _clean_sql(html: str) -> str:
@@ -87,7 +88,7 @@ _RECORDS = Derived("documents", RECORD_PAGES, costly=True)
     (doc_id % 9) || ' - ' || (doc_id % 9 + 3) || ' Years' AS experience, lang AS location, 'Full ' || (doc_id % 3) AS job_type,
     'Bachelor, ' || source AS education, CASE WHEN doc_id % 4 <> 0 THEN source END AS name,
     CASE WHEN doc_id % 4 <> 0 THEN 'Analyst' ELSE source || ' Analyst' END AS title,
-    regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^{text.SPACE}+', '') || 'Employment Type' AS description
+    regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^{patterns.SPACE}+', '') || 'Employment Type' AS description
     FROM documents"""
 )
 def page_record(spark, sf_dir):
@@ -199,8 +200,8 @@ _SKILLS_SQL = ", ".join(
     f"""SELECT doc_id, CAST(ok AS BIGINT) AS ok, CASE WHEN ok THEN key END AS key, CASE WHEN ok THEN key END AS company,
     CASE WHEN ok THEN job_role END AS job_type, CASE WHEN ok THEN (doc_id % 31) || ' days ago' END AS posted,
     CASE WHEN ok THEN CAST(doc_id % 31 AS BIGINT) END AS days_ago, CASE WHEN ok THEN (doc_id % 5) / 2.0::DOUBLE END AS rating,
-    CASE WHEN ok THEN array_to_string(regexp_extract_all({_ABOUT}, '\\b({text.EXPERIENCE}){text.SPACE}*years\\b', 1), '|') END
-    AS experience, CASE WHEN ok THEN array_to_string(regexp_extract_all({_ABOUT}, {literal(text.SALARY)}, 0), '|') END AS salary,
+    CASE WHEN ok THEN array_to_string(regexp_extract_all({_ABOUT}, '\\b({patterns.EXPERIENCE}){patterns.SPACE}*years\\b', 1), '|') END
+    AS experience, CASE WHEN ok THEN array_to_string(regexp_extract_all({_ABOUT}, {literal(patterns.SALARY)}, 0), '|') END AS salary,
     CASE WHEN ok THEN '/job/' || doc_id END AS feed,
     CASE WHEN ok THEN 'https://board.example' || CASE WHEN doc_id % 5 <> 0 THEN '/cmp/' || key ELSE '' END END AS link,
     CASE WHEN ok THEN {_clean_sql(_ABOUT)} END AS description, {_SKILLS_SQL}

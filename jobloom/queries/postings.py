@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from jobloom import schemas
 from jobloom.functions.dates import iso_date
 from jobloom.operators import contacts, dedupe, facts, incremental, metrics
+from jobloom.plans import postings as plans
 from jobloom.queries.registry import Derived, query, table
 from jobloom.scratch import scratch_path
 from jobloom.sources import files
@@ -280,6 +281,21 @@ def snapshot_as_of(spark, sf_dir):
     return state.select("page_id", "feed", F.col("run_date").cast("string").alias("run_date"))
 
 
+@query(
+    f"""SELECT page_id, feed, 'new_jobs_2024-7-2' AS export FROM {FEEDS.sql()} f WHERE run = 1
+    UNION ALL SELECT page_id, feed, 'all_jobs_2024-7-2' AS export FROM {FEEDS.sql()} f WHERE run <= 1"""
+)
+def dated_exports(spark, sf_dir):
+    """Three runs; the exports of the second: what it added, and all that was there then."""
+    feeds = FEEDS.frame(spark, sf_dir).select("page_id", "feed", "run")
+    path, out = scratch_path(spark, "dated"), scratch_path(spark, "exports")
+    for run in (0, 1, 2):
+        incremental.add_run(feeds.filter(F.col("run") <= run).drop("run"), path, "page_id", dt.date(2024, 7, 1 + run))
+    exports = plans.export_dated(spark, path, out, dt.date(2024, 7, 2), "page_id bigint, feed string")
+    back = files.read_csv(spark, list(exports.values()), "page_id bigint, feed string", with_file=True)
+    return back.select("page_id", "feed", F.element_at(F.split("_file", "/"), -2).alias("export"))
+
+
 @query(f"SELECT page_id, feed, '2024-07-0' || (CASE WHEN run = 2 THEN 1 ELSE run + 1 END) AS run_date FROM {FEEDS.sql()} f")
 def backfill_run(spark, sf_dir):
     """Two runs, then the first again with more rows: each key is written once."""
