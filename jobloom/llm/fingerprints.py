@@ -9,6 +9,7 @@ sixteen, are allowed for in the likeness of two fingerprints.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,9 +97,13 @@ def _share(key: Column, bounds: list[int]) -> Column:
     return F.when(key.isNull(), -1).otherwise(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), seek))
 
 
-def with_next(rows: DataFrame, key: str, carry: list[str], tie: str) -> DataFrame:
+def with_next(
+    rows: DataFrame, key: str, carry: list[str], tie: str, prepare: Callable[[DataFrame], DataFrame] = lambda r: r
+) -> DataFrame:
     """``rows`` with ``next_<c>`` of each column in ``carry``: its value in the row of the next lower key, circularly.
 
+    ``prepare`` may add costly columns; it works once on each row, while ranges are found from the keys alone.
+
     Keys are dealt out in ranges, as many as there are shuffle partitions; a range is sorted by itself. The first row of
     each range, one a range, is also handed to the range above it. Null keys come last; equal keys are ordered by ``tie``.
     """
@@ -116,7 +121,7 @@ def with_next(rows: DataFrame, key: str, carry: list[str], tie: str) -> DataFram
     best = Window.partitionBy("_share").orderBy(tie)
     first = first.withColumn("_r", F.row_number().over(best)).where("_r = 1")
     first = first.select(*[F.col(c) for c in rows.columns if c != "_share"], F.col("_above").alias("_share"), F.lit(1).alias("_extra"))
-    every = rows.withColumn("_extra", F.lit(0)).unionByName(first)
+    every = prepare(rows.withColumn("_extra", F.lit(0)).unionByName(first))
     order = Window.partitionBy("_share").orderBy("_extra", F.col(key).desc_nulls_last(), tie)
     every = every.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carry])
     return every.where("_extra = 0").drop("_share", "_extra")
@@ -129,8 +134,7 @@ def compare_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     of one key are ordered by text. Repeated rows come back each; an empty table gives an empty result.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = fingerprinted(rows, "text", "print")
-    rows = with_next(rows, "key", ["text", "print"], "text")
+    rows = with_next(rows, "key", ["text", "print"], "text", lambda r: fingerprinted(r, "text", "print"))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
