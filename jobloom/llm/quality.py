@@ -181,4 +181,4 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def judge_documents(documents: DataFrame) -> DataFrame:
     """Result of the query: counts and verdict of every document."""
-    return judge(documents.select("doc_id", "text", "lang"))
+    return judge(documents.select("doc_id", "text", "lang")).drop("class_distance", "common_distance")
