@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from jobloom.llm.common import gathered
 
 #: Characters of text handled at a time, rows given back at a time, and distinct words a task remembers.
-FRAME_CHARS, ROWS, REMEMBERED = 8_000_000, 1000, 400_000
+FRAME_CHARS, ROWS, REMEMBERED = 1_500_000, 300, 200_000
 END = "</w>"
 
 

@@ -26,7 +26,7 @@ HIDDEN = 12
 #: Bounds of the sample that training collects: labelled rows of each language, characters of each, languages.
 SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 150, 3000, 256
 #: Distinct pieces that a task remembers before it starts to forget, and characters handled at a time.
-REMEMBERED, FRAME_CHARS = 400_000, 4_000_000
+REMEMBERED, FRAME_CHARS = 300_000, 2_000_000
 UNDETERMINED = "und"
 _letters = regex.compile(r"\p{L}+").findall
 

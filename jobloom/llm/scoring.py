@@ -29,7 +29,7 @@ SMOOTHING = 0.1
 COMMON_SHARE = 2.0**-20
 #: Bounds of the sample that training collects: texts, and characters of each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 1500, 3000
-FRAME_CHARS, COUNTED = 4_000_000, 400_000
+FRAME_CHARS, COUNTED = 1_500_000, 250_000
 
 
 def tokens(text: str | None) -> list[str]:
