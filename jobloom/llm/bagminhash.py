@@ -15,11 +15,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobloom.llm.common import gathered
+from jobloom.llm.common import gathered, in_slices
 from jobloom.llm.components import components
 from jobloom.llm.shingles import Shingler, mixed, numbered
 from jobloom.scratch import materialize
@@ -86,6 +87,10 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+BANDED = pa.schema([("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
+BAGGED = pa.schema([("node", pa.binary()), ("bag", pa.binary())])
+
+
 def _bands(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
     for frame in gathered(frames, "text", FRAME_CHARS):
@@ -182,14 +187,27 @@ def _overlaps(bags: list[np.ndarray]) -> np.ndarray:
 
 
 def _links_of_block(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links between texts of different classes in a block; of those from a text to one class, one."""
+    """Links between texts of different classes in a block, as many as it takes to join the classes that are linked."""
     common, n = _overlaps([np.frombuffer(b, np.uint64) for b in frame["bag"]]), frame["n"].to_numpy()
     root = np.unique(np.array([bytes(r).hex() for r in frame["root"]]), return_inverse=True)[1]
     linked = common >= threshold * (n[:, None] + n[None, :] - common)
-    one, two = np.nonzero(linked & (root[:, None] != root[None, :]))
-    first = np.unique(one * len(frame) + root[two], return_index=True)[1]
+    one, two = np.nonzero(np.triu(linked & (root[:, None] != root[None, :])))
+    above = list(range(len(frame)))
+
+    def top(k: int) -> int:
+        while above[k] != k:
+            above[k] = above[above[k]]
+            k = above[k]
+        return k
+
+    kept = []
+    for k, (x, y) in enumerate(zip(root[one].tolist(), root[two].tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            above[x] = y
+            kept.append(k)
     node = frame["node"].to_numpy()
-    return pd.DataFrame({"a": node[one[first]], "b": node[two[first]]}, columns=["a", "b"])
+    return pd.DataFrame({"a": node[one[kept]], "b": node[two[kept]]}, columns=["a", "b"])
 
 
 def _late_links(open_: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
@@ -223,14 +241,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), text_id(F.col(text)).alias("node"))
     known = rows.where("text IS NOT NULL")
-    banded = known.select("node", "text").mapInPandas(_bands, "node binary, bands array<long>")
+    banded = known.select("node", "text").mapInArrow(in_slices(_bands, BANDED), "node binary, bands array<long>")
     nodes = materialize(banded.groupBy("node").agg(F.first("bands").alias("bands")), "bands")
     places = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = places.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("k")).where("k > 1")
     places = materialize(places.join(buckets.select("bucket", "a"), "bucket"), "places")
     texts = known.groupBy("node").agg(F.first("text").alias("text"))  # one copy of a text leaves each task
     texts = texts.join(places.select("node").distinct(), "node", "left_semi")
-    bags = materialize(texts.mapInPandas(_bags, "node binary, bag binary"), "bags")
+    bags = materialize(texts.mapInArrow(in_slices(_bags, BAGGED), "node binary, bag binary"), "bags")
 
     pairs = places.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     checked = materialize(_verified(pairs, bags), "pairs")

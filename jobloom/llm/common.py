@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,18 @@ def gathered(batches: Iterable[pd.DataFrame], column: str, chars: int) -> Iterat
                 held, size = [], 0
     if held:
         yield pd.concat(held, ignore_index=True)
+
+
+def in_slices(run: Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]], schema: pa.Schema, rows: int = 256) -> Callable:
+    """``run`` over frames as a function over Arrow batches, of which only a slice at a time becomes Python objects."""
+
+    def frames(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                yield batch.slice(start, rows).to_pandas()
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in run(frames(batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
+
+    return apply
