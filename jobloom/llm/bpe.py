@@ -16,15 +16,15 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import gathered
+from jobloom.llm.common import appended
 
-#: Characters of text handled at a time, rows given back at a time, and distinct words a task remembers.
-FRAME_CHARS, ROWS, REMEMBERED = 1_500_000, 300, 200_000
+#: Characters of text handled at a time, and distinct words a task remembers.
+GROUP_CHARS, REMEMBERED = 1_500_000, 200_000
 END = "</w>"
 
 
@@ -209,26 +209,23 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     ``path`` names the vocabulary file on the driver; its content travels with the job. A null or empty text has no ids and
     an empty decoded text. Repeated rows are encoded each; other columns stay, columns of these three names are replaced.
-    Texts are encoded whole: a frame holds about FRAME_CHARS characters, or one longer text.
+    Texts are encoded whole: a group holds about GROUP_CHARS characters, or one longer text.
     """
     vocab = vocabulary(path)
     rows = docs.drop("n_tokens", "ids", "decoded")
     added = {"n_tokens": F.lit(0).cast("long"), "ids": F.lit(b""), "decoded": F.lit("")}
+    types = {"n_tokens": pa.int64(), "ids": pa.binary(), "decoded": pa.string()}
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocab)
-        for frame in gathered(frames, text, FRAME_CHARS):
-            found = encoder.encode(frame[text])
-            for start in range(0, len(frame), ROWS):
-                part = frame.iloc[start : start + ROWS]
-                pairs = [next(found) for _ in range(len(part))]
-                yield part.assign(
-                    n_tokens=[len(i) for i, _ in pairs],
-                    ids=[i.astype("<u4").tobytes() for i, _ in pairs],
-                    decoded=[d for _, d in pairs],
-                )
-
-    return rows.mapInPandas(run, rows.withColumns(added).schema)
+
+        def run(texts: list) -> dict[str, list]:
+            ids, decoded = zip(*encoder.encode(texts), strict=True)
+            return {"n_tokens": [len(i) for i in ids], "ids": [i.astype("<u4").tobytes() for i in ids], "decoded": list(decoded)}
+
+        return appended(run, text, types, GROUP_CHARS)(batches)
+
+    return rows.mapInArrow(of_task, rows.withColumns(added).schema)
 
 
 def decode(ids: bytes, vocab: Vocabulary) -> str:

@@ -9,6 +9,7 @@ from itertools import pairwise
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +67,37 @@ def in_slices(run: Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]], s
             yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
 
     return apply
+
+
+def appended(
+    run: Callable[[list], dict[str, list]], text: str, types: dict[str, pa.DataType], chars: int
+) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over Arrow batches that adds the columns which ``run`` gives for the texts of a group of rows.
+
+    Groups hold about ``chars`` characters, or one longer text. Other columns pass as they are and never become Python objects.
+    """
+
+    def finished(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        found = run(table.column(text).to_pylist())
+        for name, kind in types.items():
+            table = table.append_column(name, pa.array(found[name], kind))
+        yield from table.to_batches()
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            for stop, length in enumerate(lengths.tolist(), 1):
+                size += length
+                if size >= chars:
+                    yield from finished([*held, batch.slice(start, stop - start)])
+                    held, size, start = [], 0, stop
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield from finished(held)
+
+    return apply

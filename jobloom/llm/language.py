@@ -10,23 +10,24 @@ bounds the steps in time however long a run is.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import gathered, remainder
+from jobloom.llm.common import appended, remainder
 
 PIECE = 24
 HIDDEN = 12
 #: Bounds of the sample that training collects: labelled rows of each language, characters of each, languages.
 SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 150, 3000, 256
 #: Distinct pieces that a task remembers before it starts to forget, and characters handled at a time.
-REMEMBERED, FRAME_CHARS = 300_000, 2_000_000
+REMEMBERED, GROUP_CHARS = 200_000, 1_000_000
 UNDETERMINED = "und"
 _letters = regex.compile(r"\p{L}+").findall
 
@@ -174,46 +175,54 @@ def sample(docs: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, s
     return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], str(r["key"]), r["text"]))]
 
 
-def predictions(network: Network, frames: Iterable[pd.DataFrame], text: str) -> Iterator[pd.DataFrame]:
-    """The frames with ``lang_pred`` and ``score``."""
-    n = len(network.languages)
-    places: dict[str, int] = {}
-    table = np.zeros((0, n + 1))  # of each remembered run: probabilities summed over its positions, and how many
-    for frame in gathered(frames, text, FRAME_CHARS):
-        if len(places) > REMEMBERED:
-            places, table = {}, table[:0]
-        before = len(places)
-        index, count, ends = [], [], []
-        for value in frame[text]:
-            found = Counter(_letters(value.lower())) if isinstance(value, str) else {}
+class Labeller:
+    """Predictions for lists of texts; the labels of runs already met are remembered, up to a bound."""
+
+    def __init__(self, network: Network):
+        self.network = network
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        # Of each remembered run: probabilities summed over its positions, and how many positions it has.
+        self.table = np.zeros((0, len(self.network.languages) + 1))
+
+    def __call__(self, texts: list) -> dict[str, list]:
+        network, n = self.network, len(self.network.languages)
+        if len(self.places) > REMEMBERED:
+            self.forget()
+        places, before = self.places, len(self.places)
+        index, count, ends = [], [], [0]
+        for text in texts:
+            found = Counter(_letters(text.lower())) if isinstance(text, str) else {}
             index += [places.setdefault(run, len(places)) for run in found]
             count += found.values()
             ends.append(len(index))
-        runs = list(places)[before:] if n else []
         pieces, owner = [], []
-        for k, run in enumerate(runs):
+        for k, run in enumerate(islice(places, before, None) if n else ()):
             parts = _pieces(run)
             pieces += parts
             owner += [k] * len(parts)
         fresh, owner = np.zeros((len(places) - before, n + 1)), np.array(owner, np.int64)
         for at, data in _by_length(pieces):
-            for start in range(0, len(at), 8192):
-                p, _ = network.label(data[start : start + 8192])
-                np.add.at(fresh[:, :n], owner[at[start : start + 8192]], p.sum(axis=0))
-                np.add.at(fresh[:, n], owner[at[start : start + 8192]], data.shape[1])
-        table = np.concatenate([table, fresh])
-        ends = np.array([0, *ends])
-        pooled = np.zeros((len(frame), n + 1))
+            for start in range(0, len(at), 4096):
+                p, _ = network.label(data[start : start + 4096])
+                np.add.at(fresh[:, :n], owner[at[start : start + 4096]], p.sum(axis=0))
+                np.add.at(fresh[:, n], owner[at[start : start + 4096]], data.shape[1])
+        self.table = np.concatenate([self.table, fresh])
+        pooled = np.zeros((len(texts), n + 1))
         full = np.flatnonzero(np.diff(ends))
         if len(full):
-            pooled[full] = np.add.reduceat(table[np.array(index)] * np.array(count)[:, None], ends[full], axis=0)
-        p = pooled[:, :n] / pooled[:, n:].clip(1)
-        some = (pooled[:, n] > 0) & (n > 0)
-        best = p.argmax(axis=1) if n else np.zeros(len(frame), int)
-        yield frame.assign(
-            lang_pred=[network.languages[b] if s else UNDETERMINED for b, s in zip(best, some, strict=True)],
-            score=np.where(some, p.max(axis=1), 0.0).clip(0, 1) if n else 0.0,
-        )
+            weighted = self.table[np.array(index)] * np.array(count)[:, None]
+            pooled[full] = np.add.reduceat(weighted, np.array(ends)[full], axis=0)
+        if not n:
+            return {"lang_pred": [UNDETERMINED] * len(texts), "score": [0.0] * len(texts)}
+        p, some = pooled[:, :n] / pooled[:, n:].clip(1), pooled[:, n] > 0
+        best = p.argmax(axis=1)
+        return {
+            "lang_pred": [network.languages[b] if s else UNDETERMINED for b, s in zip(best, some, strict=True)],
+            "score": np.where(some, p.max(axis=1), 0.0).clip(0, 1),
+        }
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", learn_from=None) -> DataFrame:
@@ -227,7 +236,8 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     network = train([t for t, _ in labelled], [x for _, x in labelled])
     rows = docs.drop("lang_pred", "score")
     schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
-    return rows.mapInPandas(lambda frames: predictions(network, frames, text), schema)
+    types = {"lang_pred": pa.string(), "score": pa.float64()}
+    return rows.mapInArrow(lambda batches: appended(Labeller(network), text, types, GROUP_CHARS)(batches), schema)
 
 
 def identify_documents(documents: DataFrame) -> DataFrame:

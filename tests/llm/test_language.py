@@ -57,13 +57,11 @@ def test_held_out_accuracy(documents):
 def test_prediction_ignores_language_source_and_id(documents):
     rows = corpus(200)
     network = language.train([r[1] for r in rows], [r[2] for r in rows], steps=150)
-    import pandas as pd
-
-    frame = pd.DataFrame({"text": [r[1] for r in rows]})
-    once = pd.concat(language.predictions(network, [frame], "text"))
-    single = pd.concat(language.predictions(network, [frame.iloc[k : k + 1] for k in range(len(frame))], "text"))
-    assert (once["lang_pred"].to_numpy() == single["lang_pred"].to_numpy()).all()
-    assert np.allclose(once["score"], single["score"], atol=1e-5)
+    texts = [r[1] for r in rows]
+    once, labeller = language.Labeller(network)(texts), language.Labeller(network)
+    single = [labeller([t]) for t in texts]
+    assert once["lang_pred"] == [s["lang_pred"][0] for s in single]
+    assert np.allclose(once["score"], [s["score"][0] for s in single], atol=1e-5)
 
 
 def test_defined_cases(documents):
