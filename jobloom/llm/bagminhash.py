@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobloom.llm.common import gathered, in_slices
+from jobloom.llm.common import gathered, in_slices, modest_batches
 from jobloom.llm.components import components
 from jobloom.llm.shingles import Shingler, mixed, numbered
 from jobloom.scratch import materialize
@@ -239,6 +239,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     copies are the least changed ones. Where a bucket still holds several classes, the texts that may yet have a link
     (shingles that no other of them has are in no overlap) are compared in blocks, inside tasks.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), text_id(F.col(text)).alias("node"))
     known = rows.where("text IS NOT NULL")
     banded = known.select("node", "text").mapInArrow(in_slices(_bands, BANDED), "node binary, bands array<long>")

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import appended
+from jobloom.llm.common import appended, modest_batches
 
 #: Characters of text handled at a time, and distinct words a task remembers.
 GROUP_CHARS, REMEMBERED = 1_500_000, 200_000
@@ -211,6 +211,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     an empty decoded text. Repeated rows are encoded each; other columns stay, columns of these three names are replaced.
     Texts are encoded whole: a group holds about GROUP_CHARS characters, or one longer text.
     """
+    modest_batches(docs.sparkSession)
     vocab = vocabulary(path)
     rows = docs.drop("n_tokens", "ids", "decoded")
     added = {"n_tokens": F.lit(0).cast("long"), "ids": F.lit(b""), "decoded": F.lit("")}

@@ -101,3 +101,17 @@ def appended(
             yield from finished(held)
 
     return apply
+
+
+#: Rows of a batch between Spark and Python where the session has left Spark's default of ten thousand: whole texts are long.
+BATCH_ROWS = 1000
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Bound the memory of batches of texts; a session that has set its own number of rows keeps it.
+
+    The number is read when a plan is made, after an operator has returned, so it is set in the session for good.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))

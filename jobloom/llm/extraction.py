@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.llm.common import modest_batches
 from jobloom.llm.html_tree import BLOCK, Page, read
 
 # Words in classes, ids and roles, by what they tell.
@@ -253,6 +254,7 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
     A null or empty page, and one without content, has an empty text. Repeated rows are read each; other columns stay. Deep
     nesting and unclosed tags cost time in proportion to the page only.
     """
+    modest_batches(pages.sparkSession)
     model = trained()
     schema = pages.withColumn(text, F.lit("")).schema
 

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import appended, remainder
+from jobloom.llm.common import appended, modest_batches, remainder
 
 PIECE = 24
 HIDDEN = 12
@@ -162,11 +162,11 @@ def sample(docs: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, s
     """(text, language) of a bounded sample of the labelled rows: the rows of each language whose key hashes lowest."""
     w = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")
     rows = (
-        docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+        docs.select(F.col(key).alias("key"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.col(lang).alias("lang"))
         .where("text IS NOT NULL AND lang IS NOT NULL")
         .withColumn("r", F.row_number().over(w))
         .where(F.col("r") <= SAMPLE_ROWS)
-        .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "key")
+        .select("lang", "text", "key")
         .limit(SAMPLE_ROWS * (MAX_LANGUAGES + 1))
         .collect()
     )
@@ -232,6 +232,7 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     A null language is not learnt from. Repeated rows are predicted each. Other columns stay; columns of these two names
     are replaced. The sample brought to the driver is at most SAMPLE_ROWS * MAX_LANGUAGES rows of SAMPLE_CHARS characters.
     """
+    modest_batches(docs.sparkSession)
     labelled = sample(docs if learn_from is None else docs.where(learn_from), key, text, lang)
     network = train([t for t, _ in labelled], [x for _, x in labelled])
     rows = docs.drop("lang_pred", "score")

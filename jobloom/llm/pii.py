@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.llm.boosting import Trees, fit
+from jobloom.llm.common import modest_batches
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("account", "national", "local_phone", "written_email", "ipv6", "mac")
@@ -267,6 +268,7 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     A null or empty text has no spans. Whole texts are searched; repeated rows each get theirs; other columns stay, a column
     ``spans`` is replaced.
     """
+    modest_batches(docs.sparkSession)
     model = trained()
     rows = docs.drop("spans")
     schema = rows.withColumn("spans", F.lit(None).cast(SPAN)).schema

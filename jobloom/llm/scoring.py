@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import find_words, gathered, lower_ascii, remainder
+from jobloom.llm.common import find_words, gathered, lower_ascii, modest_batches, remainder
 from jobloom.scratch import materialize
 
 END = "\n"  # no word holds it
@@ -198,6 +198,7 @@ def score(docs: DataFrame, learn_from, key: str = "doc_id", text: str = "text")
     and has the end alone. Repeated rows are scored each. Without a training text every token is unseen. Rare words are
     looked up by a join with the counts, whose size is not bounded; common ones are sent to the tasks.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found, total, distinct, scorer = learn(rows.where(learn_from), key)
     kind = rows.schema[key].dataType.simpleString()
