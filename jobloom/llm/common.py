@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
@@ -54,6 +56,15 @@ def gathered(batches: Iterable[pd.DataFrame], column: str, chars: int) -> Iterat
         yield pd.concat(held, ignore_index=True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker waits for its next task with what the last one held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def in_slices(run: Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]], schema: pa.Schema, rows: int = 256) -> Callable:
     """``run`` over frames as a function over Arrow batches, of which only a slice at a time becomes Python objects."""
 
@@ -65,6 +76,7 @@ def in_slices(run: Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]], s
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in run(frames(batches)):
             yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
+        give_back()
 
     return apply
 
@@ -99,6 +111,8 @@ def appended(
                 held.append(batch.slice(start))
         if held:
             yield from finished(held)
+        held.clear()
+        give_back()
 
     return apply
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.llm.boosting import Trees, fit
-from jobloom.llm.common import modest_batches
+from jobloom.llm.common import give_back, modest_batches
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("account", "national", "local_phone", "written_email", "ipv6", "mac")
@@ -277,6 +277,7 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
         for frame in frames:
             found = [find(t, model) if isinstance(t, str) else [] for t in frame[text]]
             yield frame.assign(spans=[[s._asdict() for s in spans] for spans in found])
+        give_back()
 
     return rows.mapInPandas(run, schema)
 
