@@ -1,15 +1,19 @@
 """Language-model scores of whole texts by a log-bilinear neural model.
 
-The words of the training texts are counted in full. The commonest ones are classes of their own, all other words make up
-one more class. A log-bilinear model predicts a class from the two before it: context vectors, each weighed by position,
-add up to a prediction whose product with a class vector is the class's score. It is trained in numpy by noise-contrastive
-estimation against the classes' frequencies. For scoring, one batched matrix product gives the normaliser of every pair of
-context classes, so token probabilities are normalised. Inside the class of other words, a word has its share of smoothed
-counts.
+The words of the training texts are counted in full. The commonest ones are classes of their own; all others, unseen words
+too, are dealt by their endings over further classes, whose number grows with the square root of the vocabulary. A
+log-bilinear model predicts a class from the two before it: context vectors, each weighed by position, add up to a prediction
+whose product with a class vector is the class's score. It is trained in numpy by noise-contrastive estimation against the
+classes' frequencies, on the counts of (older, last, word) classes over the whole of all training texts: the first part of
+these in one task, then every further part in a task of its own, from the first one's model on, and the results are averaged. For scoring,
+a matrix product gives the normaliser of every pair of context classes, so token probabilities are normalised. Inside a class
+of several words, a word has its share of smoothed counts.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -19,17 +23,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import find_words, gathered, lower_ascii, modest_batches, remainder
+from jobloom.llm.common import find_words, gathered, give_back, lower_ascii, modest_batches, remainder
 from jobloom.scratch import materialize
 
 END = "\n"  # no word holds it
-CLASSES, DIMENSIONS, NOISE = 511, 24, 12
+CLASSES, DIMENSIONS, NOISE = 511, 24, 64
+ENDING = 3  # characters of a word that choose its class if it has none of its own
 SMOOTHING = 0.1
 #: Words that are sent to all tasks have at least this share of all tokens, so there are at most a million of them.
 COMMON_SHARE = 2.0**-20
-#: Bounds of the sample that training collects: texts, and characters of each.
-SAMPLE_TEXTS, SAMPLE_CHARS = 1500, 3000
-FRAME_CHARS, COUNTED = 1_500_000, 250_000
+#: Tokens of a part that is trained on at a time, least steps of the first part, rows of its steps and of later ones.
+PART_TOKENS, LEAST_STEPS, FIRST_ROWS, LATER_ROWS = 1 << 21, 900, 1024, 4096
+FRAME_CHARS, COUNTED, HELD_CODES = 1_500_000, 250_000, 2_000_000
 
 
 def tokens(text: str | None) -> list[str]:
@@ -37,6 +42,10 @@ def tokens(text: str | None) -> list[str]:
     return [*find_words(lower_ascii(text)), END] if isinstance(text, str) else [END]
 
 
+def ending_class(word: str, endings: int) -> int:
+    return zlib.crc32(word[-ENDING:].encode("utf-8", "surrogatepass")) % endings
+
+
 @dataclass
 class LogBilinear:
     """Vectors of context and of predicted classes; normalisers by the pair of context classes."""
@@ -50,15 +59,16 @@ class LogBilinear:
     def predicted(self, older: np.ndarray, last: np.ndarray) -> np.ndarray:
         return self.context[older] * self.position[0] + self.context[last] * self.position[1]
 
+    @property
+    def weights(self) -> list[np.ndarray]:
+        return [self.context, self.position, self.target, self.bias]
+
     def normalise(self) -> None:
-        """Sum of all classes' weights for each pair of context classes, a row of pairs at a time."""
-        n = len(self.bias)
-        self.normaliser = np.empty((n, n), np.float64)
-        every = np.arange(n)
-        for older in range(n):
-            scores = self.predicted(np.full(n, older), every) @ self.target.T + self.bias
-            top = scores.max(axis=1, keepdims=True)
-            self.normaliser[older] = np.log(np.exp(scores - top).sum(axis=1)) + top[:, 0]
+        """Sum of all classes' weights for each pair of context classes: the weights are products of a part of either."""
+        older, last = ((self.context * weight) @ self.target.T + self.bias / 2 for weight in self.position)
+        tops = [x.max(axis=1, keepdims=True) for x in (older, last)]
+        sums = np.exp(older - tops[0]) @ np.exp(last - tops[1]).T
+        self.normaliser = (np.log(np.maximum(sums, 1e-300)) + tops[0] + tops[1].T).astype(np.float32)
 
     def log_probability(self, older: np.ndarray, last: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Natural logarithms; the model must be normalised."""
@@ -66,41 +76,68 @@ class LogBilinear:
         return score - self.normaliser[older, last]
 
 
-def train(sequences: list[np.ndarray], share: np.ndarray, first: int, steps: int = 900, rows: int = 1024, seed: int = 3) -> LogBilinear:
-    """Fit by noise-contrastive estimation with Adagrad; ``share`` is each class's frequency, ``first`` opens a text."""
+def untrained(share: np.ndarray, seed: int) -> LogBilinear:
     g = np.random.default_rng(seed)
     n, d = len(share), DIMENSIONS
+    return LogBilinear(g.normal(0, 0.1, (n, d)), np.full((2, d), 0.5), g.normal(0, 0.1, (n, d)), np.log(np.maximum(share, 1e-12)))
+
+
+def _added(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Rows of ``values`` added up by their place in ``at``."""
+    return np.stack([np.bincount(at, column, n) for column in values.T], axis=1)
+
+
+def fit(
+    model: LogBilinear, sums: list[np.ndarray], codes: np.ndarray, share: np.ndarray, steps: int, rows: int, rate: float, seed: int
+) -> None:
+    """Steps of noise-contrastive estimation with Adagrad, in place, over ``codes`` in a seeded order, again from its start.
+
+    A code is (older * n + last) * n + word, once for each time that it stands in the texts. A step's rows share their noise.
+    """
+    g = np.random.default_rng(seed)
+    n = len(share)
     log_share = np.log(np.maximum(share, 1e-12))
-    model = LogBilinear(g.normal(0, 0.1, (n, d)), np.full((2, d), 0.5), g.normal(0, 0.1, (n, d)), log_share.copy())
-    opened = [np.concatenate([[first, first], s]) for s in sequences]
-    if opened:
-        older, last, word = (np.concatenate([s[k : len(s) - 2 + k] for s in opened]) for k in range(3))
-    else:
-        steps = 0
     drawn_from = np.cumsum(share) / share.sum()
-    sums = [np.full_like(w, 1e-3) for w in (model.context, model.position, model.target, model.bias)]
+    codes = g.permutation(codes)
     for step in range(steps):
-        at = g.integers(0, len(word), rows)
-        a, b = older[at], last[at]
-        noise = np.searchsorted(drawn_from, g.random((rows, NOISE))).clip(0, n - 1)
-        candidates = np.concatenate([word[at][:, None], noise], axis=1)
+        code = codes.take(np.arange(step * rows, (step + 1) * rows), mode="wrap") if len(codes) < (step + 1) * rows else codes[step * rows : (step + 1) * rows]
+        a, b, word = code // (n * n), code // n % n, code % n
+        noise = np.searchsorted(drawn_from, g.random(NOISE)).clip(0, n - 1)
         predicted = model.predicted(a, b)
-        vectors = model.target[candidates]
-        score = np.einsum("rd,rkd->rk", predicted, vectors) + model.bias[candidates]
-        error = 1 / (1 + np.exp(-(score - np.log(NOISE) - log_share[candidates])))
-        error[:, 0] -= 1
-        error /= rows
-        d_predicted = np.einsum("rk,rkd->rd", error, vectors)
-        grads = [np.zeros_like(w) for w in (model.context, model.position, model.target, model.bias)]
-        np.add.at(grads[0], a, d_predicted * model.position[0])
-        np.add.at(grads[0], b, d_predicted * model.position[1])
-        grads[1][0], grads[1][1] = (d_predicted * model.context[a]).sum(axis=0), (d_predicted * model.context[b]).sum(axis=0)
-        np.add.at(grads[2], candidates.ravel(), (error[:, :, None] * predicted[:, None, :]).reshape(-1, d))
-        np.add.at(grads[3], candidates.ravel(), error.ravel())
-        rate = 0.15 * (1 - step / steps) + 0.01
-        for w, grad, total in zip((model.context, model.position, model.target, model.bias), grads, sums, strict=True):
+        own, others = model.target[word], model.target[noise]
+        right = (predicted * own).sum(axis=1) + model.bias[word] - np.log(NOISE) - log_share[word]
+        wrong = (predicted @ others.T + (model.bias - log_share)[noise] - np.log(NOISE)).astype(np.float32)
+        right = (1 / (1 + np.exp(-right)) - 1) / rows
+        wrong = (1 / (1 + np.exp(-wrong)) / rows).astype(np.float64)
+        d_predicted = right[:, None] * own + wrong @ others
+        grads = [
+            _added(a, d_predicted * model.position[0], n) + _added(b, d_predicted * model.position[1], n),
+            np.stack([(d_predicted * model.context[x]).sum(axis=0) for x in (a, b)]),
+            _added(word, right[:, None] * predicted, n) + _added(noise, wrong.T @ predicted, n),
+            np.bincount(word, right, n) + np.bincount(noise, wrong.sum(axis=0), n),
+        ]
+        now = rate * (1 - step / steps) + 0.01
+        for w, grad, total in zip(model.weights, grads, sums, strict=True):
             total += grad**2
-            w -= rate * grad / np.sqrt(total)
+            w -= now * grad / np.sqrt(total)
+
+
+def begun(codes: np.ndarray, share: np.ndarray, steps: int | None = None, seed: int = 3) -> tuple[LogBilinear, list[np.ndarray]]:
+    """A model that has read all of ``codes`` once at least, and what Adagrad has added up."""
+    model = untrained(share, seed)
+    sums = [np.full_like(w, 1e-3) for w in model.weights]
+    if len(codes):
+        once = -(-len(codes) // FIRST_ROWS)
+        fit(model, sums, codes, share, max(LEAST_STEPS, once) if steps is None else steps, FIRST_ROWS, 0.15, seed)
+    return model, sums
+
+
+def train(sequences: list[np.ndarray], share: np.ndarray, first: int, steps: int | None = None, seed: int = 3) -> LogBilinear:
+    """A model of whole sequences of classes; ``share`` is each class's frequency, ``first`` opens a text."""
+    n = len(share)
+    opened = [np.concatenate([[first, first], s]) for s in sequences]
+    codes = [(s[:-2] * n + s[1:-1]) * n + s[2:] for s in opened]
+    model, _ = begun(np.concatenate(codes) if codes else np.zeros(0, np.int64), share / share.sum(), steps, seed)
     model.normalise()
     return model
 
@@ -111,37 +148,67 @@ class Scorer:
 
     places: dict[str, int]
     log_share: np.ndarray
-    classes: int  # classes with a word of their own; the next number is that of all other words
-    model: LogBilinear
-    inside: float  # log10 of the share of all other words together
+    classes: int  # classes with a word of their own; the next numbers are those of all other words, by ending
+    endings: int
+    class_at: np.ndarray  # class of each common word
+    model: LogBilinear | None = None
+    inside: np.ndarray | None = None  # log10 of the share of all words of a class by ending
 
-    def class_of(self, place: np.ndarray) -> np.ndarray:
-        return np.where((place >= 0) & (place < self.classes), place, self.classes)
+    def class_of(self, word: str, place: int) -> int:
+        return int(self.class_at[place]) if place >= 0 else self.classes + ending_class(word, self.endings)
 
     def first(self) -> int:
-        return int(self.class_of(np.array([self.places.get(END, -1)]))[0])
+        return self.class_of(END, self.places.get(END, -1))
+
+    def read(self, texts: Iterable[str | None]) -> tuple[np.ndarray, list[Counter], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of all words, the rare words of each text, starts of the texts, and the classes (older, last, word)."""
+        places, classes, rare = [], [], []
+        for value in texts:
+            words = tokens(value)
+            place = np.array([self.places.get(w, -1) for w in words], np.int64)
+            found = self.class_at[place] if len(self.class_at) else np.zeros(len(words), np.int64)
+            missing = np.flatnonzero(place < 0).tolist()
+            for k in missing:
+                found[k] = self.class_of(words[k], -1)
+            places.append(place)
+            classes.append(found)
+            rare.append(Counter([words[k] for k in missing]))
+        starts = np.cumsum([0, *(len(p) for p in places)])[:-1]
+        word = np.concatenate(classes) if classes else np.zeros(0, np.int64)
+        last, older = np.roll(word, 1), np.roll(word, 2)
+        older[np.minimum(starts + 1, len(word) - 1)] = last[starts] = older[starts] = self.first()
+        return np.concatenate(places) if places else np.zeros(0, np.int64), rare, starts, older, last, word
+
+    def seen(self, frames: Iterable[pd.DataFrame], text: str) -> Iterator[pd.DataFrame]:
+        """``code`` of the classes (older, last, word), see ``fit``, and ``n``, how often a task has seen it."""
+        n = self.classes + self.endings
+        held: list[np.ndarray] = []
+
+        def added() -> pd.DataFrame:
+            codes, times = np.unique(np.concatenate(held), return_counts=True)
+            return pd.DataFrame({"code": codes, "n": times})
+
+        for frame in gathered(frames, text, FRAME_CHARS):
+            *_, older, last, word = self.read(frame[text])
+            held.append((older * n + last) * n + word)
+            if sum(map(len, held)) > HELD_CODES:
+                yield added()
+                held = []
+        if held:
+            yield added()
+        give_back()
 
     def score(self, frames: Iterable[pd.DataFrame], text: str) -> Iterator[pd.DataFrame]:
         """Per text: tokens, sums over the common words, the model's score but for the rare words, and these with counts."""
         for frame in gathered(frames, text, FRAME_CHARS):
-            places, rare = [], []
-            for value in frame[text]:
-                words = tokens(value)
-                place = np.array([self.places.get(w, -1) for w in words], np.int64)
-                places.append(place)
-                rare.append(Counter([words[k] for k in np.flatnonzero(place < 0).tolist()]))
-            sizes = np.array([len(p) for p in places], np.int64)
-            place = np.concatenate(places) if places else np.zeros(0, np.int64)
-            starts = np.cumsum(sizes) - sizes
-            word = self.class_of(place)
-            last, older = np.roll(word, 1), np.roll(word, 2)
-            older[np.minimum(starts + 1, len(word) - 1)] = last[starts] = older[starts] = self.first()
+            place, rare, starts, older, last, word = self.read(frame[text])
+            sizes = np.diff([*starts, len(place)])
             base = np.where(place >= 0, self.log_share[np.maximum(place, 0)] if len(self.log_share) else 0.0, 0.0)
             chance = np.empty(len(word))
             for k in range(0, len(word), 100_000):
                 part = slice(k, k + 100_000)
                 chance[part] = self.model.log_probability(older[part], last[part], word[part]) / np.log(10)
-            chance += np.where(word == self.classes, base - self.inside, 0.0)
+            chance += np.where(word >= self.classes, base - self.inside[np.maximum(word - self.classes, 0)], 0.0)
             yield pd.DataFrame({
                 **{c: frame[c] for c in frame.columns if c != text},
                 "n_tokens": sizes, "known": np.add.reduceat(place >= 0, starts, dtype=np.int64) if len(frame) else [],
@@ -169,25 +236,86 @@ def counts(texts: DataFrame) -> DataFrame:
     return found.groupBy("token").agg(F.sum("n").alias("c"))
 
 
-def learn(texts: DataFrame, key: str) -> tuple[DataFrame, int, int, Scorer]:
-    """Counts, tokens, distinct tokens and the scorer from all texts; the neural part from a bounded sample of them."""
+def in_parts(seen: DataFrame, parts: int) -> DataFrame:
+    """``part``, ``code``, ``n``: every count dealt evenly over the parts, none left out."""
+    j = F.explode(F.sequence(F.lit(0), F.least("n", F.lit(parts)).cast("int") - 1)).alias("j")
+    dealt = seen.select("code", "n", j)
+    start = F.pmod(F.xxhash64(F.lit(17), F.col("code")), F.lit(parts))
+    return dealt.select(
+        F.pmod(start + F.col("j"), F.lit(parts)).cast("int").alias("part"), "code",
+        (F.floor(F.col("n") / parts) + (F.col("j") < F.col("n") % parts).cast("long")).alias("n"),
+    )
+
+
+def _codes(part: pd.DataFrame) -> np.ndarray:
+    part = part.sort_values("code")
+    return np.repeat(part["code"].to_numpy(np.int64), part["n"].to_numpy(np.int64))
+
+
+def _packed(weights: list[np.ndarray]) -> bytes:
+    return np.concatenate([w.ravel() for w in weights]).tobytes()
+
+
+def _unpacked(packed: bytes | np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    flat = np.frombuffer(packed) if isinstance(packed, bytes | bytearray) else packed
+    return [x.reshape(w.shape).copy() for x, w in zip(np.split(flat, np.cumsum([w.size for w in like])[:-1]), like, strict=True)]
+
+
+def learnt(seen: DataFrame, total: int, share: np.ndarray) -> LogBilinear:
+    """The model from all counts of classes: the first part in a task, each other part once in one from there, then their mean."""
+    parts = max(1, -(-total // PART_TOKENS))
+    dealt = in_parts(seen, parts)
+
+    def first(part: pd.DataFrame) -> pd.DataFrame:
+        model, sums = begun(_codes(part), share)
+        return pd.DataFrame({"weights": [_packed(model.weights)], "sums": [_packed(sums)]})
+
+    model = untrained(share, 3)
+    start = dealt.where("part = 0").groupBy("part").applyInPandas(first, "weights binary, sums binary").first()
+    if start:
+        model = LogBilinear(*_unpacked(start["weights"], model.weights))
+    if parts > 1:
+        like, packed, sums = model.weights, bytes(start["weights"]), bytes(start["sums"])
+
+        def further(part: pd.DataFrame) -> pd.DataFrame:
+            own = LogBilinear(*_unpacked(packed, like))
+            codes, k = _codes(part), int(part["part"].iloc[0])
+            fit(own, _unpacked(sums, like), codes, share, -(-len(codes) // LATER_ROWS), LATER_ROWS, 0.04, k)
+            return pd.DataFrame({"part": [k], "weights": [_packed(own.weights)]})
+
+        models = dealt.where("part > 0").groupBy("part").applyInPandas(further, "part int, weights binary")
+        whole, n = 0.0, 0
+        for row in materialize(models, "models").toLocalIterator():
+            whole, n = whole + np.frombuffer(row["weights"]), n + 1
+        model = LogBilinear(*_unpacked(whole / n, model.weights))
+    model.normalise()
+    return model
+
+
+def learn(texts: DataFrame) -> tuple[DataFrame, int, int, Scorer]:
+    """Counts, tokens, distinct tokens and the scorer, all from the whole of all texts."""
     found = materialize(counts(texts.select("text")), "counts")
     total, distinct = (int(x or 0) for x in found.agg(F.sum("c"), F.count("*")).first())
     common = found.where(F.col("c") >= max(1.0, total * COMMON_SHARE)).collect()  # at most 1 / COMMON_SHARE rows
     common.sort(key=lambda r: (-r["c"], r["token"]))
     whole = total + SMOOTHING * (distinct + 1)
     share = np.array([(r["c"] + SMOOTHING) / whole for r in common])
-    classes = min(CLASSES, len(common))
-    shares = np.append(share[:classes], max(1 - share[:classes].sum(), SMOOTHING / whole))
+    classes, endings = min(CLASSES, len(common)), max(1, math.isqrt(distinct))
     places = {r["token"]: k for k, r in enumerate(common)}
-    scorer = Scorer(places, np.log10(share), classes, None, float(np.log10(shares[-1])))
-    n_texts = common[places[END]]["c"] if END in places else 0
-    part = min(1.0, SAMPLE_TEXTS / max(1, n_texts))
-    drawn = F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(1 << 30)) < int(part * (1 << 30)) + 1
-    sample = texts.where(drawn).select(key, F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * SAMPLE_TEXTS).collect()
-    sample = [r["text"] for r in sorted(sample, key=lambda r: (str(r[key]), r["text"]))]
-    sequences = [scorer.class_of(np.array([places.get(w, -1) for w in tokens(t)], np.int64)) for t in sample]
-    scorer.model = train(sequences, shares, scorer.first())
+    class_at = np.array([k if k < classes else classes + ending_class(r["token"], endings) for k, r in enumerate(common)], np.int64)
+    ending = F.crc32(F.right("token", F.lit(ENDING)).cast("binary")) % endings
+    words, times = np.ones(endings), np.zeros(endings)  # every class has room for an unseen word
+    for r in found.groupBy(ending.alias("k")).agg(F.count("*").alias("words"), F.sum("c").alias("c")).collect():
+        words[r["k"]], times[r["k"]] = words[r["k"]] + r["words"], r["c"]
+    for r in common[:classes]:
+        k = ending_class(r["token"], endings)
+        words[k], times[k] = words[k] - 1, times[k] - r["c"]
+    by_ending = (times + SMOOTHING * words) / whole
+    scorer = Scorer(places, np.log10(share), classes, endings, class_at, inside=np.log10(by_ending))
+    shares = np.append(share[:classes], by_ending)
+    seen = texts.select("text").mapInPandas(lambda frames: scorer.seen(frames, "text"), "code long, n long")
+    seen = materialize(seen.groupBy("code").agg(F.sum("n").alias("n")), "classes")
+    scorer.model = learnt(seen, total, shares / shares.sum())
     return found, total, distinct, scorer
 
 
@@ -200,7 +328,7 @@ def score(docs: DataFrame, learn_from, key: str = "doc_id", text: str = "text")
     """
     modest_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found, total, distinct, scorer = learn(rows.where(learn_from), key)
+    found, total, distinct, scorer = learn(rows.where(learn_from))
     kind = rows.schema[key].dataType.simpleString()
     scored = rows.mapInPandas(
         lambda frames: scorer.score(frames, "text"),

@@ -76,3 +76,40 @@ def test_no_training_text(documents):
     assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (3, 0, 0)
     assert row["base_score"] == pytest.approx(0) and math.isfinite(row["score"])
     assert run(documents, []) == []
+
+
+def test_class_counts_cover_the_whole_of_all_texts(spark, documents, monkeypatch):
+    """A long text counts to its end, has one end only, and words beyond the classes of their own stand in several classes."""
+    monkeypatch.setattr(scoring, "CLASSES", 5)
+    kept = {}
+    learnt = scoring.learnt
+    monkeypatch.setattr(scoring, "learnt", lambda seen, total, share: (kept.update(seen=seen, share=share), learnt(seen, total, share))[1])
+    texts = [t for _, t in corpus(40)] + [" ".join(f"w{k % 700}é{k % 13}" for k in range(9000))]
+    frame = documents([(k, t, "en", "s") for k, t in enumerate(texts)])
+    _, total, distinct, scorer = scoring.learn(frame.select("text"))
+    assert scorer.endings == math.isqrt(distinct) > 10
+    n = scorer.classes + scorer.endings
+    wanted = Counter()
+    for text in texts:
+        classes = [scorer.class_of(w, scorer.places.get(w, -1)) for w in scoring.tokens(text)]
+        opened = [scorer.first()] * 2 + classes
+        wanted.update((a * n + b) * n + c for a, b, c in zip(opened, opened[1:], opened[2:], strict=False))
+    assert {r["code"]: r["n"] for r in kept["seen"].collect()} == wanted
+    assert sum(wanted.values()) == total and len(kept["share"]) == n
+    # words of all classes by ending, as the driver counts them, are those that Spark has found
+    inside = 10**scorer.inside * (total + 0.1 * (distinct + 1))
+    own = Counter()
+    for word, count in Counter(w for t in texts for w in scoring.tokens(t)).items():
+        if scorer.class_of(word, scorer.places[word]) >= scorer.classes:
+            own[scorer.class_of(word, -1) - scorer.classes] += count + 0.1
+    assert inside == pytest.approx([own[k] + 0.1 for k in range(scorer.endings)])
+
+
+def test_every_count_is_in_a_part_and_parts_make_one_model(spark, documents, monkeypatch):
+    seen = spark.createDataFrame([(k, n) for k, n in enumerate([1, 2, 3, 7, 8, 1000])], "code long, n long")
+    dealt = scoring.in_parts(seen, 4).collect()
+    assert {k: sum(r["n"] for r in dealt if r["code"] == k) for k in range(6)} == dict(enumerate([1, 2, 3, 7, 8, 1000]))
+    assert {r["n"] for r in dealt if r["code"] == 5} == {250} and all(r["n"] > 0 for r in dealt)
+    monkeypatch.setattr(scoring, "PART_TOKENS", 3000)
+    found = [r for r in run(documents, corpus(500)) if r["held_out"]]
+    assert sum(r["score"] for r in found) > 0.97 * sum(r["base_score"] for r in found)
