@@ -3,20 +3,24 @@
 Documents are aggregated by membership pattern, the set of sources that hold them. Each pattern offers its words once for
 nothing and again at a cost that grows with every repetition; a flow routes this capacity to the quotas of the sources at
 the least cost, so nothing is repeated before everything else that may serve a quota has been used. Seeded documents then
-fill what the flow takes of each pattern. Only totals by pattern reach the driver.
+fill what the flow takes of each pattern. Totals by pattern reach the driver where there are few; where there are more, targets are
+aggregates over the table of sources, a source that overlaps no other gets its target straight away, and the flow is solved
+in tasks, for each component of overlapping sources by itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.llm.common import WORD
+from jobloom.llm.components import components
 from jobloom.scratch import materialize
 
-#: Patterns that the driver may hold; more are refused, never dropped.
+#: Patterns that the driver may hold; more stay in tables.
 MAX_PATTERNS = 4096
 #: Shares by hash in which the documents of a pattern are added up before single ones are looked at.
 SHARES = 1 << 14
@@ -103,6 +107,102 @@ def route(patterns: Mapping[tuple, float], wanted: Mapping, passes: int) -> dict
         left[end] -= amount
 
 
+PLAN = "pattern array<string>, n long, whole int, quota double, bounds array<double>"
+FACTS = "source string, source_size long, target double"
+
+
+def share_out(p: tuple, n: int, taken: Mapping, passes: int) -> tuple:
+    """A row of PLAN: how often a pattern is taken whole, words wanted beyond that, and the parts of its sources."""
+    q = sum(taken.values())
+    whole = min(passes, int((q + 1e-6) // n)) if n else 0
+    edge, bounds = 0.0, []
+    for s in p:
+        edge += taken[s] / q if q else 0.0
+        bounds.append(edge)
+    return list(p), n, whole, max(0.0, q - whole * n) if whole < passes else 0.0, bounds
+
+
+def planned(patterns: Mapping[tuple, int], weights: Sequence[float], share: float, passes: int) -> tuple[list, list]:
+    """Rows of PLAN and FACTS from all totals by pattern."""
+    sizes: dict = {}
+    for p, n in patterns.items():
+        for s in p:
+            sizes[s] = sizes.get(s, 0) + n
+    wanted = targets(sizes, weights, share, passes)
+    flow = route({p: float(n) for p, n in patterns.items() if n}, wanted, passes)
+    plan = [share_out(p, n, {s: flow.get((p, s), 0.0) for s in p}, passes) for p, n in patterns.items()]
+    return plan, [(s, sizes[s], wanted[s]) for s in sizes]
+
+
+def target_table(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """``targets`` over a table of ``source`` and ``source_size``: FACTS.
+
+    A source's place is its place in its sorted part and the rows of the parts before; the words for a unit of weight grow
+    with each aggregate until no further source has reached its limit.
+    """
+    spark = sizes.sparkSession
+    ordered = sizes.orderBy(F.col("source").isNull(), "source")
+    ordered = materialize(ordered.withColumn("at", F.monotonically_increasing_id()), "sources")
+    part, before, total = F.shiftright("at", 33).cast("int").alias("part"), [], 0
+    for r in sorted(ordered.groupBy(part).agg(F.count("*").alias("rows")).collect()):
+        before.append((r["part"], total))
+        total += r["rows"]
+    before = F.broadcast(spark.createDataFrame(before, "part int, before long"))  # a row for each part of the sort
+    place = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
+    rows = ordered.withColumn("part", part).join(before, "part").withColumn("weight", weight)
+    rows = materialize(rows.select("source", "source_size", "weight", (F.lit(float(most)) * F.col("source_size")).alias("limit")), "sources")
+    words, unit, full = share * (rows.agg(F.sum("source_size")).first()[0] or 0), 0.0, -1
+    while True:
+        over = F.col("weight") * unit > F.col("limit")
+        w, used, n = rows.agg(
+            F.sum(F.when(~over, F.col("weight"))), F.coalesce(F.sum(F.when(over, F.col("limit"))), F.lit(0.0)), F.count_if(over)
+        ).first()
+        if not w or n == full:
+            return rows.select("source", "source_size", F.least(F.col("weight") * unit, "limit").alias("target"))
+        unit, full = (words - used) / w, n
+
+
+def planned_in_tables(totals: DataFrame, weights: Sequence[float], share: float, passes: int) -> tuple[DataFrame, DataFrame]:
+    """PLAN and FACTS as tables from the table of totals (``pattern``, ``n``)."""
+    sizes = totals.select("n", F.explode("pattern").alias("source")).groupBy("source").agg(F.sum("n").alias("source_size"))
+    facts = materialize(target_table(sizes, weights, share, passes), "targets")
+    name = lambda s: F.when(s.isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), s))  # noqa: E731  a null end is no vertex
+    first = name(F.get("pattern", F.lit(0)))
+    links = totals.where(F.size("pattern") > 1).select(first.alias("a"), F.explode(F.transform("pattern", name)).alias("b"))
+    roots = components(links, "a", "b")
+    rooted = totals.withColumn("vertex", first).join(roots, "vertex", "left").drop("vertex")
+    wanted = facts.select(name(F.col("source")).alias("vertex"), "target")
+    alone = rooted.where(F.col("root").isNull()).withColumn("vertex", first).join(wanted, "vertex", "left")
+    q = F.coalesce("target", F.lit(0.0))
+    whole = F.when(F.col("n") > 0, F.least(F.lit(passes), F.floor((q + 1e-6) / F.col("n")))).otherwise(0).cast("int")
+    alone = alone.withColumn("whole", whole).select(
+        "pattern", "n", "whole",
+        F.when(F.col("whole") < passes, F.greatest(F.lit(0.0), q - F.col("whole") * F.col("n"))).otherwise(0.0).alias("quota"),
+        F.transform("pattern", lambda s: F.when(q > 0, 1.0).otherwise(0.0)).alias("bounds"),
+    )
+    each = F.struct("pattern", "n", F.lit(None).cast("string").alias("source"), F.lit(None).cast("double").alias("target"))
+    ends = wanted.withColumn("source", F.expr("IF(vertex = 'null', NULL, substring(vertex, 2))")).join(roots, "vertex")
+    nodes = rooted.where(F.col("root").isNotNull()).select("root", each.alias("node")).unionByName(
+        ends.select("root", F.struct(
+            F.lit(None).cast("array<string>").alias("pattern"), F.lit(None).cast("long").alias("n"), "source", "target",
+        ).alias("node"))
+    ).select("root", "node.*")
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        is_pattern = rows["pattern"].notna()
+        given = sorted(rows[is_pattern][["pattern", "n"]].itertuples(index=False), key=lambda r: [code_points(s) for s in r.pattern])
+        patterns = {tuple(r.pattern): int(r.n) for r in given}
+        ends = rows[~is_pattern]
+        target = {s if isinstance(s, str) else None: t for s, t in zip(ends["source"], ends["target"], strict=True)}
+        flow = route({p: float(n) for p, n in patterns.items() if n}, target, passes)
+        plan = [share_out(p, n, {s: flow.get((p, s), 0.0) for s in p}, passes) for p, n in patterns.items()]
+        return pd.DataFrame(plan, columns=["pattern", "n", "whole", "quota", "bounds"])
+
+    plan = alone.unionByName(nodes.groupBy("root").applyInPandas(solve, PLAN))
+    return materialize(plan, "plan"), facts
+
+
 def fill(rows: DataFrame, quota: Column, order: Sequence[str]) -> DataFrame:
     """``rows`` (pattern, size, hash, ...) with ``in_``: those that, taken in the order of their hash, stay within ``quota``.
 
@@ -132,7 +232,8 @@ def mix(
     and ``credited`` (the source of each copy), a row for each document. The second has ``source``, ``source_size`` and
     ``target``. A null or wordless text has size 0 and is never taken. Repeated rows are documents of their own. The same rows and seed give the same result,
     whatever their order. An empty table gives empty results. Documents are taken whole, so what a source gets stays
-    below its target by less than a small document where it has small ones left, and never goes above it. More than MAX_PATTERNS patterns are refused.
+    below its target by less than a small document where it has small ones left, and never goes above it. Any number of patterns
+    is taken; sources that overlap, directly or by way of others, are one flow, which one task solves.
     """
     spark = docs.sparkSession
     ids = [key, *keep]
@@ -141,29 +242,15 @@ def mix(
         F.xxhash64(F.lit(seed), F.col(key)).alias("hash"),
     )
     light = materialize(light, "sizes")
-    totals = light.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = {tuple(r["pattern"]): r["n"] for r in totals}
-    sizes: dict = {}
-    for p, n in patterns.items():
-        for s in p:
-            sizes[s] = sizes.get(s, 0) + n
-    wanted = targets(sizes, weights, share, passes)
-    flow = route({p: float(n) for p, n in patterns.items() if n}, wanted, passes)
-
-    plan = []
-    for p, n in patterns.items():
-        taken = {s: flow.get((p, s), 0.0) for s in p}
-        q = sum(taken.values())
-        whole = min(passes, int((q + 1e-6) // n)) if n else 0
-        edge, bounds = 0.0, []
-        for s in p:
-            edge += taken[s] / q if q else 0.0
-            bounds.append(edge)
-        plan.append((list(p), n, whole, max(0.0, q - whole * n) if whole < passes else 0.0, bounds))
-    kind = "pattern array<string>, n long, whole int, quota double, bounds array<double>"
-    plan = F.broadcast(spark.createDataFrame(plan, kind))  # at most MAX_PATTERNS rows
+    totals = light.groupBy("pattern").agg(F.sum("size").alias("n"))
+    few = totals.limit(MAX_PATTERNS + 1).collect()
+    if len(few) <= MAX_PATTERNS:
+        plan, facts = planned({tuple(r["pattern"]): r["n"] for r in few}, weights, share, passes)
+        plan, facts = F.broadcast(spark.createDataFrame(plan, PLAN)), F.broadcast(spark.createDataFrame(facts, FACTS))
+        sent = F.broadcast
+    else:
+        plan, facts = planned_in_tables(materialize(totals, "totals"), weights, share, passes)
+        sent = lambda rows: rows
     known = light.join(plan, "pattern").where("size > 0")
     taken = F.col("whole") + F.col("in_").cast("int")
     chosen = materialize(fill(known, F.col("quota"), ["size", *ids]).withColumn("copies", taken).drop("in_"), "filled")
@@ -171,7 +258,7 @@ def mix(
     for round_ in range(ROUNDS):  # what the last document left open goes to smaller ones, at last also to a further copy
         most = F.col("whole") + 1 if round_ < ROUNDS // 2 else F.lit(passes)
         got = chosen.groupBy("pattern").agg(F.sum(F.col("size") * F.col("copies")).alias("got"))
-        rest = chosen.join(F.broadcast(got), "pattern")  # a row for each pattern
+        rest = chosen.join(sent(got), "pattern")  # a row for each pattern
         rest = rest.withColumn("rest", wanted_of - F.col("got")).drop("got")
         small = (F.col("copies") < F.least(most, F.lit(passes))) & (F.col("size") * 2 <= F.col("rest"))
         more = fill(rest.where(small), F.col("rest"), ["size", *ids])
@@ -184,16 +271,12 @@ def mix(
         *ids, "size", "pattern", F.lit(0).alias("copies"), F.lit(None).cast("string").alias("owner")
     )
     found = chosen.unionByName(empty).withColumn("credited", F.array_repeat("owner", F.col("copies")))
-    facts = spark.createDataFrame(
-        [(s, sizes[s], wanted[s]) for s in sizes], "source string, source_size long, target double"
-    )
     return found.select(*ids, "size", "pattern", "copies", "credited"), facts
 
 
 def mix_documents(documents: DataFrame) -> DataFrame:
     """Result of the query: what the mix takes of every document."""
     found, facts = mix(documents.select("doc_id", "text", "source"), "doc_id", "text", F.array("source"))
-    facts = F.broadcast(facts)  # as many rows as sources, which the driver has held already
     return found.join(facts, F.element_at("pattern", 1).eqNullSafe(facts["source"])).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
