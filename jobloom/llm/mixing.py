@@ -24,8 +24,6 @@ from jobloom.scratch import materialize
 MAX_PATTERNS = 4096
 #: Shares by hash in which the documents of a pattern are added up before single ones are looked at.
 SHARES = 1 << 14
-#: What is left of a quota is filled with documents of at most half of it, so many times.
-ROUNDS = 6
 
 
 def word_count(text: Column) -> Column:
@@ -231,8 +229,9 @@ def mix(
     the key, the columns in ``keep`` (which also settle ties), ``size`` (words), ``pattern``, ``copies`` (0 to ``passes``)
     and ``credited`` (the source of each copy), a row for each document. The second has ``source``, ``source_size`` and
     ``target``. A null or wordless text has size 0 and is never taken. Repeated rows are documents of their own. The same rows and seed give the same result,
-    whatever their order. An empty table gives empty results. Documents are taken whole, so what a source gets stays
-    below its target by less than a small document where it has small ones left, and never goes above it. Any number of patterns
+    whatever their order. An empty table gives empty results. Documents are taken whole: when the mix is
+    done no further one fits into what is open of a pattern, and none goes above it, but that a pattern with no document
+    that fits takes its smallest one where this is nearer to what is wanted than nothing. Any number of patterns
     is taken; sources that overlap, directly or by way of others, are one flow, which one task solves.
     """
     spark = docs.sparkSession
@@ -241,7 +240,7 @@ def mix(
         *ids, word_count(F.col(text)).alias("size"), F.array_sort(F.array_distinct(sources)).alias("pattern"),
         F.xxhash64(F.lit(seed), F.col(key)).alias("hash"),
     )
-    light = materialize(light, "sizes")
+    light = materialize(light.withColumn("row_id", F.monotonically_increasing_id()), "sizes")  # tells repeated rows apart
     totals = light.groupBy("pattern").agg(F.sum("size").alias("n"))
     few = totals.limit(MAX_PATTERNS + 1).collect()
     if len(few) <= MAX_PATTERNS:
@@ -255,15 +254,31 @@ def mix(
     taken = F.col("whole") + F.col("in_").cast("int")
     chosen = materialize(fill(known, F.col("quota"), ["size", *ids]).withColumn("copies", taken).drop("in_"), "filled")
     wanted_of = F.col("whole") * F.col("n") + F.col("quota")
-    for round_ in range(ROUNDS):  # what the last document left open goes to smaller ones, at last also to a further copy
-        most = F.col("whole") + 1 if round_ < ROUNDS // 2 else F.lit(passes)
+    big = F.struct("size", "hash", *[F.col(c).isNull() for c in ids], *ids, "row_id")
+    while True:  # each round halves what is open of a pattern at least, or leaves nothing that fits it
         got = chosen.groupBy("pattern").agg(F.sum(F.col("size") * F.col("copies")).alias("got"))
         rest = chosen.join(sent(got), "pattern")  # a row for each pattern
         rest = rest.withColumn("rest", wanted_of - F.col("got")).drop("got")
-        small = (F.col("copies") < F.least(most, F.lit(passes))) & (F.col("size") * 2 <= F.col("rest"))
-        more = fill(rest.where(small), F.col("rest"), ["size", *ids])
+        fits = (F.col("copies") < passes) & (F.col("size") <= F.col("rest"))
+        fresh = F.col("copies") <= F.col("whole")  # these come before a further copy of others
+        best = rest.where(fits).groupBy("pattern").agg(
+            F.coalesce(F.max(F.when(fresh, big)), F.max(big)).alias("best"), F.max(fresh).alias("only_fresh")
+        )
+        best = materialize(best.select("pattern", "only_fresh", F.col("best.size").alias("most"), F.col("best.row_id").alias("best_id")), "best")
+        if best.isEmpty():
+            break
+        rest = rest.join(sent(best), "pattern", "left")
+        # The largest that fits is over half of what is open and enters alone, or all that fit are under it.
+        able = fits & (fresh | ~F.col("only_fresh"))
+        alone = 2 * F.col("most") > F.col("rest")
+        turn = F.coalesce(able & (~alone | (F.col("row_id") == F.col("best_id"))), F.lit(False))
+        more = fill(rest.where(turn), F.col("rest"), ["size", *ids])
         more = more.withColumn("copies", F.col("copies") + F.col("in_").cast("int")).drop("in_")
-        chosen = materialize(rest.where(~small).unionByName(more).drop("rest"), "filled")
+        chosen = materialize(rest.where(~turn).unionByName(more).drop("rest", "only_fresh", "most", "best_id"), "filled")
+    # A pattern that would get nothing, as all its documents are above what it may get, takes its smallest where that is nearer.
+    small = chosen.groupBy("pattern").agg(F.min(big).alias("small"), F.max("copies").alias("any"), F.first("quota").alias("open"))
+    small = small.where((F.col("any") == 0) & (F.col("small.size") < 2 * F.col("open"))).select(F.col("small.row_id").alias("row_id"), F.lit(1).alias("one"))
+    chosen = chosen.join(small, "row_id", "left").withColumn("copies", F.col("copies") + F.coalesce("one", F.lit(0))).drop("one")
     spot = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(1 << 30)) / (1 << 30)
     owner = F.element_at("pattern", F.least(F.size("pattern"), F.size(F.filter("bounds", lambda b: b <= spot)) + 1))
     chosen = chosen.select(*ids, "size", "pattern", "copies", owner.alias("owner"))

@@ -119,3 +119,25 @@ def test_any_number_of_patterns(spark, documents, monkeypatch):
     per = lambda t, held: sum(n for p, n in t.items() if set(p) <= held)
     for held in [{"a", "b", None}, {"c"}, {"d"}, {"é"}]:  # a flow may have several cheapest forms inside a component
         assert per(taken_too, held) == pytest.approx(per(taken, held), abs=10)
+
+
+def test_a_document_that_fits_is_taken(documents):
+    """Sources of one to five documents and one giant: nothing that fits is left, and none vanishes that has a nearer document."""
+    r = random.Random(5)
+    rows, groups = [], {}
+    for k in range(40):
+        groups[f"t{k:02d}"] = [r.randint(100, 900) for _ in range(1 + k % 5)]
+    groups["giant"] = [30_000, 5, 40, 700]
+    for s, sizes in groups.items():
+        rows += [(len(rows) + i, "w " * n, "en", s) for i, n in enumerate(sizes)]
+    found = mixing.mix_documents(documents(rows)).collect()
+    of = {row[0]: row[3] for row in rows}
+    for s, sizes in groups.items():
+        own = [x for x in found if of[x["doc_id"]] == s]
+        taken, target = sum(x["taken"] for x in own), own[0]["target"]
+        left = [x["size"] for x in own if x["taken"] < 2 * x["size"]]
+        if taken <= target:
+            assert not left or target - taken < min(left)
+            assert taken or min(sizes) >= 2 * target
+        else:
+            assert [x["taken"] for x in own if x["taken"]] == [min(sizes)] and taken < 2 * target
