@@ -40,14 +40,21 @@ _digit = re.compile(r"[0-9]")
 _GENERATORS = {
     "account": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "national": re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9]|-[0-9])"),
-    "local_phone": re.compile(r"(?<![0-9+.,)(-])\(?[0-9]{2,5}\)?(?:[\x20./-]{1,2}[0-9]{2,5}){1,4}(?![0-9]|[.,-][0-9])"),
-    "ipv6": re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
+    "local_phone": re.compile(r"(?<![0-9+.,)(-])\(?[0-9]{2,5}\)?(?:[\x20./-]{1,2}[0-9]{2,8}){1,4}(?![0-9]|[.,-][0-9])"),
+    "ipv6": re.compile(
+        r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}"
+        r"|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![0-9A-Za-z:])"
+    ),
     "mac": re.compile(r"(?<![0-9A-Za-z:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Za-z:-])"),
 }
 _WRITTEN = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?"
     r"[A-Za-z0-9-]{1,63}+(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}+){1,4}"
 )
+_TELEPHONE = re.compile(
+    r"\([0-9]{3}\)[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}|([0-9]{3})([.\x20-])[0-9]{3}\2[0-9]{4}"
+    r"|0[0-9]{2,4}[\x20/-](?:[0-9]{3}[\x20-]?[0-9]{2,5}|[0-9]{6,8})|0[0-9](?:[\x20.][0-9]{2}){4}"
+)
 # Words that tell what a number before or after them is.
 CUES = {
     "person": ("call", "phone", "tel", "telephone", "mobile", "cell", "fax", "telefon", "handy", "rufen", "appelez", "tél",
@@ -86,6 +93,17 @@ def iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
 
 
+def sound_ipv6(text: str) -> bool:
+    """Eight groups, or fewer around one '::', which is not all there is."""
+    groups = [g for g in text.split(":") if g]
+    return len(groups) == 8 if "::" not in text else text.count("::") == 1 and 1 <= len(groups) <= 7
+
+
+def telephone_form(text: str) -> bool:
+    """Ten or eleven digits in the groups of a telephone number; a date, a book number or loose numbers are not."""
+    return bool(_TELEPHONE.fullmatch(text))
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the fixed rules, by start, then kind; each kind leftmost and without overlap, in linear time."""
     found = []
@@ -131,9 +149,9 @@ def features(text: str, span: Span) -> list[float]:
     number = digits(inside)
     groups = re.findall("[0-9]+", inside)
     sizes = [len(g) for g in groups] or [0]
-    before = re.findall(r"\w+", text[max(0, span.start - 40) : span.start].lower())
-    after = re.findall(r"\w+", text[span.stop : span.stop + 25].lower())
-    near = [len(set(before[-4:]) & set(words)) + 0.5 * len(set(after[:2]) & set(words)) for words in CUES.values()]
+    before = re.findall(r"\w+", text[max(0, span.start - 80) : span.start].lower())
+    after = re.findall(r"\w+", text[span.stop : span.stop + 50].lower())
+    near = [len(set(before[-8:]) & set(words)) + 0.5 * len(set(after[:4]) & set(words)) for words in CUES.values()]
     last = before[-1] if before else ""
     closest = [float(last in words) for words in CUES.values()]
     return [
@@ -143,7 +161,7 @@ def features(text: str, span: Span) -> list[float]:
         float(1900 <= int(groups[0]) <= 2100 if groups and len(groups[0]) == 4 else 0),
         float(1900 <= int(groups[-1]) <= 2100 if groups and len(groups[-1]) == 4 else 0),
         float(number[:3] in ("000", "666") or number[:1] == "9"), float(number[:1] == "0"), sum(c in "abcdefABCDEF" for c in inside),
-        *near, *closest,
+        float(span.kind == "ipv6" and sound_ipv6(inside)), float(span.kind == "local_phone" and telephone_form(inside)), *near, *closest,
     ]
 
 
@@ -167,9 +185,13 @@ def labelled_lines(seed: int = 11, each: int = 60) -> list[tuple[str, Span, int]
 
     def local() -> str:
         a, b, c = number(3), number(3), number(4)
-        return r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}", f"0{a}/{b}{number(2)}",
+        return r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}", f"0{a}/{b}{number(2)}", f"0{a} {b}{c}",
                          f"0{number(1)} {number(2)} {number(2)} {number(2)} {number(2)}"])
 
+    def short() -> str:
+        head = r.choice(["fe80", "2001:db8", hexa(4), f"{hexa(4)}:{hexa(3)}"])
+        return r.choice([f"{head}::{hexa(r.randint(1, 4))}", f"{head}::{hexa(4)}:{hexa(3)}:{hexa(4)}", f"{head}::", f"::{hexa(4)}"])
+
     hexa = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
     name = lambda: r.choice("anna ben carla dmitri eva farid".split()) + r.choice([".", "_", ""]) + r.choice("lee moss roy sato".split())
     bracket = lambda w: r.choice([f" ({w}) ", f"[{w}]", f" [{w}] ", f"({w})"])
@@ -179,14 +201,16 @@ def labelled_lines(seed: int = 11, each: int = 60) -> list[tuple[str, Span, int]
         ("account", lambda: grouped("DE" + number(20)), [], ["other", "account", None]),
         ("national", lambda: f"{r.randint(100, 665)}-{number(2)}-{number(4)}", ["identity", None], ["other"]),
         ("national", lambda: f"{r.choice(['000', '666', '9' + number(2)])}-{number(2)}-{number(4)}", [], ["identity", "other", None]),
-        ("local_phone", local, ["person"], ["other", None]),
+        ("local_phone", local, ["person", None], ["other"]),
         ("local_phone", date, [], ["other", "person", None]),
         ("local_phone", lambda: " ".join(number(r.randint(2, 5)) for _ in range(3)), [], ["other", None, None]),
         ("local_phone", lambda: f"978-{number(1)}-{number(2)}-{number(5)}", [], ["other", None]),
         ("written_email", lambda: f"{name()}{bracket('at')}mail{number(1)}{bracket('dot')}com", ["person", None, "other"], []),
         ("written_email", lambda: f"{name()} at mail{number(1)} dot com", ["person", None], []),
         ("ipv6", lambda: ":".join(hexa(4) for _ in range(8)), ["device", None], []),
+        ("ipv6", short, ["device", None], []),
         ("ipv6", lambda: ":".join(number(2) for _ in range(r.randint(4, 5))), [], ["other", None]),
+        ("ipv6", lambda: "::", [], ["other", None]),
         ("mac", lambda: r.choice(":-").join(hexa(2) for _ in range(6)), ["device", None], []),
         ("mac", lambda: "-".join(number(2) for _ in range(6)), [], ["other", None]),
     ]

@@ -96,3 +96,15 @@ def test_redaction(documents):
     texts = ["é a@b.co, then 10.0.0.1", None, "nothing", "4111 1111 1111 1111"]
     rows = {r["doc_id"]: r["text"] for r in pii.redact(pii.detect(documents([(k, t, "en", "s") for k, t in enumerate(texts)]))).collect()}
     assert rows == {0: "é [EMAIL], then [IP]", 1: None, 2: "nothing", 3: "[CARD]"}
+
+
+def test_short_addresses_and_numbers_without_a_cue():
+    model = pii.trained()
+    for text, kind, inside in [
+        ("it came from fe80::1 and", "ipv6", "fe80::1"), ("the 2001:db8::8a2e:370:7334 was", "ipv6", "2001:db8::8a2e:370:7334"),
+        ("of the (555) 123-4567 and to", "local_phone", "(555) 123-4567"), ("with 555-123-4567 in", "local_phone", "555-123-4567"),
+        ("phone of the house in the old town by the lake: 0171 2345678 and", "local_phone", "0171 2345678"),
+    ]:
+        assert [(s.kind, text[s.start : s.stop]) for s in pii.find(text, model)] == [(kind, inside)]
+    for text in ["the 2020-10-10 and", "of 12/11/1999 to", "the 978-3-16-14841 and", "std::vector of a::b::c and", "at 10:20:30:40 the", "a :: b"]:
+        assert not pii.find(text, model)
