@@ -19,9 +19,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with a language, which becomes their ``lang``; null texts and texts without a letter go."""
+    """The documents with their language as ``lang``, ``und`` where none could be learnt; null texts and those without a letter go."""
     found = language.identify(docs.select(*COLUMNS), learn_from=remainder(F.col("doc_id"), 4) != 2)
-    found = found.where(F.col("lang_pred") != language.UNDETERMINED)
+    found = found.where((F.col("score") > 0) | F.col("text").rlike(r"\p{L}"))
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -24,7 +24,7 @@ from jobloom.llm.common import appended, modest_batches, remainder
 
 PIECE = 24
 HIDDEN = 12
-#: Bounds of the sample that training collects: labelled rows of each language, characters of each, languages.
+#: Bounds of the sample that training collects: labelled rows of each language, characters of each, languages with so many.
 SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 150, 3000, 256
 #: Distinct pieces that a task remembers before it starts to forget, and characters handled at a time.
 REMEMBERED, GROUP_CHARS = 200_000, 1_000_000
@@ -161,17 +161,16 @@ def train(texts: list[str], langs: list[str], steps: int = 900, rows: int = 192,
 def sample(docs: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, str]]:
     """(text, language) of a bounded sample of the labelled rows: the rows of each language whose key hashes lowest."""
     w = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")
-    rows = (
-        docs.select(F.col(key).alias("key"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.col(lang).alias("lang"))
-        .where("text IS NOT NULL AND lang IS NOT NULL")
-        .withColumn("r", F.row_number().over(w))
-        .where(F.col("r") <= SAMPLE_ROWS)
-        .select("lang", "text", "key")
-        .limit(SAMPLE_ROWS * (MAX_LANGUAGES + 1))
-        .collect()
-    )
-    if len({r["lang"] for r in rows}) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: raise MAX_LANGUAGES, which bounds what the driver collects")
+    known = docs.select(F.col(key).alias("key"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.col(lang).alias("lang"))
+    known = known.where("text IS NOT NULL AND lang IS NOT NULL")
+
+    def lowest(n: int) -> DataFrame:
+        return known.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).select("lang", "text", "key")
+
+    rows = lowest(SAMPLE_ROWS).limit(SAMPLE_ROWS * (MAX_LANGUAGES + 1)).collect()
+    if len({r["lang"] for r in rows}) > MAX_LANGUAGES:  # fewer rows of each, so that all are learnt
+        languages = known.agg(F.count_distinct("lang")).first()[0]
+        rows = lowest(max(1, SAMPLE_ROWS * MAX_LANGUAGES // languages)).collect()
     return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], str(r["key"]), r["text"]))]
 
 
@@ -230,7 +229,8 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
     A null text, one without a letter, and every text where nothing could be learnt (no labelled row) get ``und`` and 0.
     A null language is not learnt from. Repeated rows are predicted each. Other columns stay; columns of these two names
-    are replaced. The sample brought to the driver is at most SAMPLE_ROWS * MAX_LANGUAGES rows of SAMPLE_CHARS characters.
+    are replaced. The sample brought to the driver is at most SAMPLE_ROWS * MAX_LANGUAGES rows of SAMPLE_CHARS characters, or
+    a row of each language where there are more of these; where languages are many, each has fewer rows.
     """
     modest_batches(docs.sparkSession)
     labelled = sample(docs if learn_from is None else docs.where(learn_from), key, text, lang)

@@ -73,3 +73,11 @@ def test_defined_cases(documents):
     none = language.identify_documents(documents([(1, "abc", None, "s")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in none] == [("und", 0.0)]
     assert language.identify_documents(documents([])).count() == 0
+
+
+def test_more_languages_than_the_bound_are_all_learnt_from(documents, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 10)
+    frame = documents([(k, f"text{k}", f"l{k % 5}", "s") for k in range(100)])
+    found = language.sample(frame, "doc_id", "text", "lang")
+    assert sorted(x for _, x in found) == [f"l{k}" for k in range(5) for _ in range(4)]

@@ -62,3 +62,10 @@ def test_repeated_rows_are_kept_by_the_other_stages(spark, documents):
     assert STAGES["near_duplicates"](spark, docs, "").count() == 1
     assert STAGES["personal_data"](spark, docs, "").count() == 5
     assert STAGES["mixing"](spark, docs, "").count() in (7, 8)
+
+
+def test_documents_stay_where_no_language_was_learnt_or_it_is_called_und(spark, documents):
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    for lang in (None, "und"):
+        rows = [(k, "some words" if k % 3 else "123", lang, "s") for k in range(12)]
+        assert {r["doc_id"] for r in stage(spark, documents(rows), "").collect()} == {k for k in range(12) if k % 3}
