@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg textarea select title object canvas noframes xmp".split())
+#: Of these, what runs to the end of the page where it is never closed; of the others only the tag goes.
+TO_THE_END = frozenset("script style xmp iframe noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td "
@@ -129,15 +131,15 @@ def read(source: str) -> Page:
         tags.append(tag)
         page.parents.append(open_[-1])
         page.attributes.append(" ".join(a + b + c for name, a, b, c in found if name.lower() != "data-y"))
-        if tag in VOID or text.endswith("/") and tag not in BLOCK and tag not in RAW:
+        if tag in VOID or text.endswith("/") and (tag == "svg" or tag not in BLOCK and tag not in RAW):
             continue
         if tag in RAW:
             close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b", re.IGNORECASE).search(source, at)
             if close is None:
                 unclosed.add(tag)
-                if tag in ("title", "textarea", "select", "object", "canvas"):
-                    continue  # never closed: its tag alone
-                break
+                if tag in TO_THE_END:
+                    break
+                continue
             end = source.find(">", close.end())
             at = size if end < 0 else end + 1
             continue

@@ -74,3 +74,13 @@ def test_result_of_the_query(spark):
     found = extraction.extract_pages(frame).collect()
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in found)[:4] == [(1, "", 0), (2, "", 0), (3, "Hé\na b", 6), (3, "Hé\na b", 6)]
     assert extraction.extract_pages(frame.where("false")).count() == 0
+
+
+def test_self_closed_and_unclosed_raw_elements_do_not_take_the_page():
+    def words(source):
+        return "".join(t for _, t in html_tree.read(source).pieces).split()
+
+    for tag in ['<svg class="icon"/>', "<svg>", "<noscript>", "<template>"]:
+        assert " ".join(words(f"<p>one {tag} two</p> <p>three</p>")) == "one two three"
+    assert words('<p>a <svg class="i"/> b <svg><path d="x"/></svg> c</p>') == ["a", "b", "c"]
+    assert words("<p>one</p><script>two") == ["one"]
