@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobloom.llm import bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, quality_sql, scoring, urls
+from jobloom.llm import alignment, bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, quality_sql, scoring, urls
 from jobloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": lambda spark, sf_dir: extraction.extract_pages(read(spark, sf_dir, "pages")),
     "op9_pii": lambda spark, sf_dir: pii.detect_documents(read(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.mix_documents(read(spark, sf_dir, "documents")),
+    "op12_alignment": lambda spark, sf_dir: alignment.align_documents(read(spark, sf_dir, "documents")),
     "pipeline": corpus_pipeline.run,
 }
 #: The others rest on models, signatures or seeded hashes, which SQL does not state; tests/llm compares them otherwise.
