@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobloom.llm import alignment, archive, archive_sql, bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, quality_sql, scoring, urls
+from jobloom.llm import alignment, archive, archive_sql, bagminhash, bpe, extraction, fingerprints, language, mixing, pii, quality, quality_sql, scoring, trie, trie_sql, urls
 from jobloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,9 +23,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": lambda spark, sf_dir: mixing.mix_documents(read(spark, sf_dir, "documents")),
     "op11_archive": lambda spark, sf_dir: archive.archive_pages(read(spark, sf_dir, "pages")),
     "op12_alignment": lambda spark, sf_dir: alignment.align_documents(read(spark, sf_dir, "documents")),
+    "op13_trie": lambda spark, sf_dir: trie.trie_conversations(read(spark, sf_dir, "conversations")),
     "pipeline": corpus_pipeline.run,
 }
 #: The others rest on models, signatures or seeded hashes, which SQL does not state; tests/llm compares them otherwise.
-ORACLE: dict[str, str] = {"op2_quality": quality_sql.SQL, "op11_archive": archive_sql.SQL} | (
+ORACLE: dict[str, str] = {"op2_quality": quality_sql.SQL, "op11_archive": archive_sql.SQL, "op13_trie": trie_sql.SQL} | (
     {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 )
