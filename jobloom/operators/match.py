@@ -1,30 +1,28 @@
 """Best fuzzy match between two name columns without a cross join.
 
-With ``n`` insertions and deletions between strings of lengths ``a`` and ``b`` the score is ``1 - n / (a + b)``. A score of
-at least ``t`` bounds ``n`` by ``floor(2 (1 - t) a / t)`` for either length, the *budget* of that length.
+With ``n`` insertions and deletions between strings of lengths ``a`` and ``b`` the score is ``1 - n / (a + b)``; a score of at
+least ``t`` means that they have at least ``t (a + b) / 2`` characters in common.
 
 * Names equal after cleaning score 100 and are matched by an equi-join; only the rest goes on.
-* Two strings are within ``n`` edits if deleting ``i`` characters of one and ``n - i`` of the other gives the same string.
-  Both sides emit such variants: with up to two deletions where the budget is 1 or 2, with up to one where it is larger.
-  The directory side is reduced to its first name per variant before the join, so a probe row meets at most three
-  rows and no group is paired with itself.
-* That settles names with a budget of 1 or 2, and longer ones with a partner one edit away. For a longer name with one
-  character replaced, only an entry two characters longer could still be better; otherwise all lengths are open.
-* Open names: the directory string is cut into budget + 1 pieces, of which at least one survives the edits, displaced by no
-  more than the edits allow. The characters are likewise dealt into budget + 1 classes; in at least one of them every
-  character occurs on both sides with the same parity. Both sides emit a piece with its place and the parities of a
-  class, and meet in an equi-join whose condition also compares the parities of all classes; what remains is scored.
-  Names made after one template share pieces but not parities, so they do not meet.
-
-The probes' variants are written once; directory variants that nobody asks for end in a semi-join with that table, the same way
-at every size. Other joins of unfolded sides ask for a merge join: their size is estimated from the rows before unfolding, so a broadcast
-could be chosen for a table many times larger than the limit. A skewed key is split by adaptive execution.
-
-Every branch is lossless, so the result is that of comparing every pair.
+* Characters are numbered by their occurrence (``abca`` has a1, b1, c1, a2) and ordered by how rare they are in the directory. If
+  two strings have ``c`` numbered characters in common, their ``m`` rarest common ones are among the ``a - c + m`` rarest of the
+  one and the ``b - c + m`` rarest of the other. So a string emits every m of its rarest characters as a key, some tens of rows
+  at a threshold of 95, and strings meet in an equi-join on it. Its condition also bounds the difference of the lengths, the
+  places by rarity, and how many characters may differ in the parity of their number.
+* Pairs that meet are scored. Every pair that reaches the threshold meets, so the result is that of comparing every pair.
+* Low thresholds leave many characters without a counterpart. So they are approached in steps: a name that has found a partner at
+  a higher step is settled, as nothing below can be better, and only the others go on.
+
+The order by rarity may be any order that both sides share; it is taken from the frequencies of the directory's MOST_CHARACTERS
+most frequent characters, which travel in the plan. The join of the unfolded sides asks for a merge join: their size is estimated
+from the rows before unfolding, so a broadcast could be chosen for a table many times larger than the limit. A skewed key is split
+by adaptive execution.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,191 +31,134 @@ from jobloom.operators.joins import left_join
 from jobloom.operators.metrics import value_counts
 from jobloom.scratch import materialize
 
-VARIANT_BUDGET = 2
+#: Lower thresholds would accept unlike names.
+LEAST_THRESHOLD = 60
+#: Thresholds at which names are settled on the way down, and how many rare characters make a key from there on.
+STEPS = ((95, 4), (85, 3), (70, 2), (0, 2))
+#: In a directory of more names than this, a key has one character more.
+LARGE_DIRECTORY = 1_000_000
+MOST_CHARACTERS = 1000
+FIRST_RANK = 0xE000  # ranks of characters are written as characters from here on
 UNFOLDED_PER_TASK = 500_000
 
 
-def _budget(length: Column, t: float) -> Column:
-    return F.floor(length * (2 * (1 - t) / t) + 1e-9).cast("int")
-
-
 def _bit_number(char: Column) -> Column:
     """Which of 37 bits a character flips; the modulus keeps the letters and digits of cleaned names apart."""
     return F.pmod(F.ascii(char), F.lit(37)).cast("int")
 
 
-def _parities(text: Column, class_no: Column | None = None, classes: Column | None = None) -> Column:
-    """One bit per character, flipped by each occurrence, so an edit changes one bit; optionally of one class only."""
+def _parities(text: Column) -> Column:
+    """One bit per character, flipped by each occurrence, so an edit changes one bit."""
 
     def flip(bits: Column, char: Column) -> Column:
-        number = _bit_number(char)
-        flipped = bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), number))
-        return flipped if class_no is None else F.when(F.pmod(number, classes) == class_no, flipped).otherwise(bits)
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit_number(char)))
 
     return F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), flip)
 
 
-def _deletions(text: Column, count: int) -> Column:
-    """Every string left after deleting ``count`` (0, 1 or 2) characters; repeats removed."""
-    if count == 0:
-        return F.array(text)
-    size = F.length(text)
+def _common(a: Column, b: Column, t: float) -> Column:
+    """How many characters two strings of these lengths have in common at least, if they reach the threshold."""
+    return F.ceil((a + b) * t / 2 - 1e-9).cast("int")
 
-    def without(s: Column, pos: Column) -> Column:
-        return F.concat(F.substring(s, F.lit(1), pos - 1), F.substring(s, pos + 1, size))
 
-    if count == 1:
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), size), lambda p: without(text, p)))
-    pairs = F.transform(
-        F.sequence(F.lit(2), size),
-        lambda q: F.transform(F.sequence(F.lit(1), q - 1), lambda p: without(without(text, q), p)),
-    )
-    return F.array_distinct(F.flatten(pairs))
+def _edits(a: Column, b: Column, t: float) -> Column:
+    return F.floor((a + b) * (1 - t) + 1e-9)
 
 
-def _marked_deletions(wanted: Column, count: int, mark: str) -> Column:
-    """Structs of a variant of ``form`` and the number of deleted characters; no elements where not wanted."""
-    variants = F.when(wanted, _deletions(F.col("form"), count)).otherwise(F.array().cast("array<string>"))
-    return F.transform(variants, lambda v: F.struct(v.alias("variant"), F.lit(count).alias(mark)))
+def character_shares(directory: DataFrame) -> dict[str, float]:
+    """The most frequent characters of ``form``, most frequent first, and their share of all."""
+    counts = directory.select(F.explode(F.split("form", "")).alias("char")).groupBy("char").agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), "char").limit(MOST_CHARACTERS).collect()
+    total = sum(r["n"] for r in top)
+    return {r["char"]: r["n"] / total for r in top}
 
 
-def _probe_variants(probes: DataFrame, t: float) -> DataFrame:
-    """(form, size, variant, cut): variants of the probe forms."""
-    budget = _budget(F.col("size"), t)
-    parts = []
-    for cut in range(VARIANT_BUDGET + 1):
-        wanted = (budget >= max(cut, 1)) & (F.col("size") > cut)
-        if cut > 1:
-            wanted = wanted & (budget <= VARIANT_BUDGET)
-        parts.append(_marked_deletions(wanted, cut, "cut"))
-    return probes.select("form", "size", F.inline(F.concat(*parts)))
+def _by_rarity(text: Column, shares: dict[str, float]) -> Column:
+    """The numbered characters of ``text``, the rarest first: the k-th occurrence of one of share p is as rare as p to the power k."""
+    logs = [math.log(p) for p in shares.values()]
+    ranks = "".join(chr(FIRST_RANK + k) for k in range(len(logs)))
+    rarest = min(logs, default=0.0) - 1
+    table = F.array(*[F.lit(x) for x in (*logs, rarest)])
 
+    def numbered(char: Column, place: Column) -> Column:
+        begun = F.substring(text, F.lit(1), place + 1)
+        number = F.length(begun) - F.length(F.replace(begun, char, F.lit("")))
+        rank = F.ascii(F.translate(char, "".join(shares), ranks)) - FIRST_RANK
+        known = (rank >= 0) & (rank < len(logs))
+        share = F.get(table, F.when(known, rank).otherwise(len(logs)))
+        return F.struct((share * number).alias("rarity"), F.concat(char, number).alias("char"))
 
-def _extent(probes: DataFrame, t: float) -> tuple[int, int]:
-    """Largest budget of the probes and an upper bound of the number of their variants, from the lengths alone."""
-    size = F.col("size")
-    pairs = F.when(_budget(size, t) <= VARIANT_BUDGET, size * (size - 1) / 2).otherwise(F.lit(0))
-    extent = probes.agg(F.max(_budget(size, t)).alias("budget"), F.sum(1 + size + pairs).alias("variants")).head()
-    return int(extent["budget"] or 0), int(extent["variants"] or 0)
+    return F.array_sort(F.transform(F.split(text, ""), numbered))["char"]
 
 
-def _directory_variants(directory: DataFrame, t: float) -> DataFrame:
-    """(variant, removed, first): variants of the directory forms that some probe could need."""
-    parts = []
-    for removed in range(VARIANT_BUDGET + 1):
-        useful = F.lit(False)
-        for cut in range(VARIANT_BUDGET + 1 - removed):
-            budget = _budget(F.col("size") - removed + cut, t)
-            if cut + removed > 0:
-                enough = budget >= cut + removed
-                useful = useful | (enough if max(cut, removed) <= 1 else enough & (budget <= VARIANT_BUDGET))
-        parts.append(_marked_deletions(useful & (F.col("size") > removed), removed, "removed"))
-    return directory.select("first", F.inline(F.concat(*parts)))
-
-
-def _variant_matches(
-    probes: DataFrame, directory: DataFrame, t: float, probe_variants: int, directory_variants: int
-) -> DataFrame:
-    """(form, score, first, edits): the best partner of a probe among those with a common variant.
+def _keys(rows: DataFrame, shares: dict[str, float], t: float, most: int) -> DataFrame:
+    """``rows`` (with ``form`` and ``size``) with ``bits``, ``key``, ``m`` and ``last``, the place by rarity of a key's last character.
 
-    The numbers bound how many variants the sides have.
+    The shortest partner within reach has the fewest characters in common, which bounds the places. ``m`` is ``most``, or for short
+    strings as many as they have in common with a partner that has fewer than that.
     """
-    keys = materialize(_probe_variants(probes, t), "match-probe-variants")
-    asked = materialize(keys.select("variant").distinct(), "match-asked")
-    variants = _directory_variants(directory, t).join(asked.hint("shuffle_hash"), "variant", "left_semi")
-    directory_variants = min(directory_variants, probe_variants * (VARIANT_BUDGET + 1))
-    # Partitioned by the variant alone, which serves the grouping and the join after it.
-    variants = _spread(variants, directory_variants, "variant")
-    firsts = variants.groupBy("variant", "removed").agg(F.min("first").alias("first"))
-    edits = F.col("cut") + F.col("removed")
-    total = 2 * F.col("size") - F.col("cut") + F.col("removed")
-    met = (
-        keys.join(firsts.hint("merge"), "variant")
-        .filter((edits <= _budget(F.col("size"), t)) & (total * (1 - t) + 1e-9 >= edits))
-        .select("form", (edits * 100.0 / total).alias("loss"), "first", edits.alias("edits"))
-    )
-    return (
-        met.groupBy("form")
-        .agg(F.min(F.struct("loss", "first", "edits")).alias("best"))
-        .select("form", (100.0 - F.col("best.loss")).alias("score"), "best.first", "best.edits")
-    )
+    size, chars = F.col("size"), F.col("_chars")
+    rows = rows.withColumns({"bits": _parities(F.col("form")), "_chars": _by_rarity(F.col("form"), shares)})
+    fewest = _common(size, F.ceil(size * t / (2 - t) - 1e-9), t)
+    parts = []
+    # Unequal strings with m characters in common at least have 2 m / t characters or fewer, and 1 / (1 - t) or more.
+    for m in [m for m in range(1, most + 1) if m == most or t <= 2 * m * (1 - t)]:
+        reach = size if m < most else F.least(size, size - F.greatest(fewest, F.lit(most)) + most)
+        part = rows.filter((size >= m) & (fewest <= m) if m < most else size >= m)
+        for i in range(1, m + 1):
+            begin = F.lit(1) if i == 1 else F.col(f"_{i - 1}") + 1
+            part = part.withColumn(f"_{i}", F.explode(F.sequence(begin, (reach - m + i).cast("int"))))
+        key = F.xxhash64(*[F.get(chars, F.col(f"_{i}") - 1) for i in range(1, m + 1)]).alias("key")
+        parts.append(part.select(*[c for c in rows.columns if c != "_chars"], key, F.lit(m).alias("m"), F.col(f"_{m}").alias("last")))
+    out = parts[-1]
+    for part in parts[:-1]:
+        out = out.unionByName(part)
+    return out
+
+
+def near_matches(probes: DataFrame, directory: DataFrame, shares: dict[str, float], t: float, most: int) -> DataFrame:
+    """(form, score, first) of all pairs of a probe and a directory string (``form``, ``size``, ``first``) of at least that score."""
+    left = _keys(probes.select("form", "size"), shares, t, most).alias("l")
+    right = _keys(directory.select("form", "size", "first"), shares, t, most).withColumnRenamed("form", "entry").alias("r")
+    a, b, m = F.col("l.size"), F.col("r.size"), F.col("l.m")
+    common, edits = _common(a, b, t), _edits(a, b, t)
+    able = (
+        (m == F.col("r.m")) & (m == F.least(common, F.lit(most))) & (F.abs(a - b) <= edits)
+        & (F.col("l.last") <= a - common + m) & (F.col("r.last") <= b - common + m)
+        & (F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.bits"))) <= edits)
+    )
+    met = left.join(right.hint("merge"), (F.col("l.key") == F.col("r.key")) & able)
+    pairs = met.select("l.form", "r.entry", "r.first").distinct()
+    scored = pairs.withColumn("score", similarity(F.col("form"), F.col("entry")))
+    return scored.filter(F.col("score") >= t * 100 - 1e-9).select("form", "score", "first")
 
 
-def _with_classes(rows: DataFrame, text: str, size: Column, t: float) -> DataFrame:
-    """A row per character class, for a directory string of length ``size``, with the parities of ``text`` in it."""
-    classes = _budget(size, t) + 1
-    numbered = rows.withColumn("class_no", F.explode(F.sequence(F.lit(0), classes - 1)))
-    return numbered.withColumn("class_bits", _parities(F.col(text), F.col("class_no"), classes))
-
-
-def _with_pieces(rows: DataFrame, size: Column, t: float) -> DataFrame:
-    """A row per piece of a directory string of length ``size``: number, start (from 0) and length, longer ones last."""
-    pieces = _budget(size, t) + 1
-    short = F.floor(size / pieces).cast("int")
-    first_long = pieces - size % pieces
-    piece = F.col("piece")
-    return rows.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumns(
-        {
-            "start": piece * short + F.greatest(F.lit(0), piece - first_long),
-            "length": short + F.when(piece >= first_long, 1).otherwise(0),
-        }
-    )
+def _spread(rows: DataFrame, unfolded: int) -> DataFrame:
+    """Rows dealt out for the ``unfolded`` rows they become: few bytes now, many rows later, and a task for each part."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-unfolded // UNFOLDED_PER_TASK)), "size", "form")
 
 
-def _meeting_place(text: Column) -> Column:
-    """The join key of a piece and a class. Two keys that collide only make a pair more to be scored."""
-    return F.xxhash64("other_size", "piece", text, "class_no", "class_bits").alias("place")
+def _emitted(lengths: dict[int, int], t: float, most: int) -> int:
+    """An upper bound of the number of keys of strings of these lengths."""
 
+    def common(a: int, b: int) -> int:
+        return math.ceil((a + b) * t / 2 - 1e-9)
 
-def _piece_matches(probes: DataFrame, directory: DataFrame, t: float) -> DataFrame:
-    """(form, score, first) for probes with a larger budget; ``settled`` is how far their best partner so far is."""
-    size, other, shift, edits = F.col("size"), F.col("other_size"), F.col("shift"), F.col("edits")
-    budget = _budget(size, t)
-    sized = (
-        probes.filter(budget > VARIANT_BUDGET)
-        .withColumn("other_size", F.explode(F.sequence(size - budget, size + budget)))
-        .withColumn("edits", F.coalesce("settled", F.least(budget, _budget(other, t))))
-        .filter((F.abs(size - other) <= edits) & (F.col("settled").isNull() | (other == size + 2)))
-        .withColumn("bits", _parities(F.col("form")))
-    )
-    # The edits before and after the piece add up to at least its displacement and what is left of the difference.
-    shifted = _with_classes(sized, "form", other, t).withColumn(
-        "shift", F.explode(F.sequence(-edits, edits))
-    ).filter(F.abs(shift) + F.abs(size - other - shift) <= edits)
-    start = F.col("start") + shift
-    keys = (
-        _with_pieces(shifted, other, t)
-        .filter((start >= 0) & (start + F.col("length") <= size))
-        .select(
-            "form", "bits", "edits", _meeting_place(F.substring("form", start + 1, F.col("length")))
-        )
-    )
-    # Directory strings that only probes with a small budget can reach are not needed here.
-    reach = _budget(size + budget, t) > VARIANT_BUDGET
-    sides = directory.filter(reach).select(
-        F.col("form").alias("entry"), size.alias("other_size"), "first", _parities(F.col("form")).alias("entry_bits")
-    )
-    entries = _with_pieces(_with_classes(sides, "entry", other, t), other, t).select(
-        "entry", "entry_bits", "first", _meeting_place(F.substring("entry", F.col("start") + 1, F.col("length")))
-    )
-    near = F.bit_count(F.col("bits").bitwiseXOR(F.col("entry_bits"))) <= edits
-    pairs = (
-        keys.alias("l").join(entries.hint("merge").alias("r"), (F.col("l.place") == F.col("r.place")) & near)
-        .select("form", "entry", "first")
-        .distinct()
-    )
-    scored = pairs.withColumn("score", similarity(F.col("form"), F.col("entry")))
-    return scored.filter(F.col("score") >= t * 100 - 1e-9).select("form", "score", "first")
+    return sum(n * math.comb(min(a, a - common(a, math.ceil(a * t / (2 - t) - 1e-9)) + most), most) for a, n in lengths.items())
 
 
-def _spread(rows: DataFrame, unfolded: int, *keys: str) -> DataFrame:
-    """Rows dealt out for the ``unfolded`` rows they become: few bytes now, many rows later, and a task for each part.
+def _lengths(rows: DataFrame) -> dict[int, int]:
+    """How many strings have each length; there are no more of these than the longest has characters."""
+    return {r["size"]: r["count"] for r in rows.groupBy("size").count().collect()}
 
-    The keys must differ from those the rows are already partitioned by. Otherwise the request is dropped as redundant,
-    and adaptive execution joins the small partitions of the earlier shuffle into few.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(cores, -(-unfolded // UNFOLDED_PER_TASK)), *keys)
+
+def _best(found: DataFrame) -> DataFrame:
+    """(_form, matches, score): the first of the highest scored partners of each form."""
+    best = found.groupBy("form").agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))
+    return best.select(
+        F.col("form").alias("_form"), F.col("best.first.processed").alias("matches"), (-F.col("best.loss")).alias("score")
+    )
 
 
 def best_matches(
@@ -230,15 +171,13 @@ def best_matches(
 ) -> DataFrame:
     """``names`` (one row per name) with ``processed``, ``matches`` and ``score`` of the best directory entry.
 
-    ``matches`` is the cleaned form of the entry, empty if none reaches the threshold. Equal scores go to the entry that
-    is first by ``entry_order``, by default the entry itself. Names and entries that are null or empty after cleaning
-    take no part. The cleaned names of both sides are written once, as every branch reads them, and so
-    are the best entries; what is returned only joins the written tables. The work per long name
-    grows steeply as the threshold falls below 90.
+    ``matches`` is the cleaned form of the entry, empty if none reaches the threshold, which lies between 60 and 100. Equal scores
+    go to the entry that is first by ``entry_order``, by default the entry itself. Names and entries that are null or empty after
+    cleaning take no part. The cleaned names of both sides are written once, as every step reads them, and so are the best
+    entries; what is returned only joins the written tables. The work per name grows as the threshold falls.
     """
-    if not 80 <= threshold <= 100:
-        raise ValueError("threshold must lie between 80 and 100; below, pieces get too short to select anything")
-    t = threshold / 100
+    if not LEAST_THRESHOLD <= threshold <= 100:
+        raise ValueError(f"threshold must lie between {LEAST_THRESHOLD} and 100")
     order = F.col(entry_order or entry)
     processed = match_form(F.col(name))
     left = materialize(
@@ -257,32 +196,19 @@ def best_matches(
         .withColumn("size", F.length("form")),
         "match-entries",
     )
-    exact = probes.join(entries, "form").select("form", F.lit(100.0).alias("score"), "first")
-    found = exact
-    if t < 1:
-        left_over = probes.join(entries.select("form"), "form", "left_anti").filter(_budget(F.col("size"), t) > 0)
-        rest = materialize(left_over, "match-open")
-        budget, variants = _extent(rest, t)
-        if budget > 0:
-            _, entry_variants = _extent(entries, t)
-            rest, others = _spread(rest, variants, "form"), _spread(entries, entry_variants, "form")
-            close = materialize(_variant_matches(rest, others, t, variants, entry_variants), "match-variants")
-            found = found.unionByName(close.drop("edits"))
-        if budget > VARIANT_BUDGET:
-            still_open = rest.join(close.select("form", F.col("edits").alias("settled")), "form", "left").filter(
-                F.col("settled").isNull() | (F.col("settled") > 1)
-            )
-            found = found.unionByName(_piece_matches(_spread(still_open, variants, "form", "size"), others, t))
-    best = materialize(
-        found.groupBy("form")
-        .agg(F.min(F.struct((-F.col("score")).alias("loss"), "first")).alias("best"))
-        .select(
-            F.col("form").alias("_form"),
-            F.col("best.first.processed").alias("matches"),
-            (-F.col("best.loss")).alias("score"),
-        ),
-        "match-best",
-    )
+    best = _best(probes.join(entries, "form").select("form", F.lit(100.0).alias("score"), "first"))
+    if threshold < 100:
+        still_open = probes.join(entries.select("form"), "form", "left_anti")
+        shares, sizes = character_shares(entries), [_lengths(probes), _lengths(entries)]
+        more = int(sum(sizes[1].values()) > LARGE_DIRECTORY)
+        for step, most in STEPS:
+            t, most = max(step, threshold) / 100, most + more
+            here, there = (_spread(rows, _emitted(n, t, most)) for rows, n in zip((still_open, entries), sizes, strict=True))
+            found = materialize(_best(near_matches(here, there, shares, t, most)), "match-found")
+            best = best.unionByName(found)
+            if step <= threshold:
+                break
+            still_open = materialize(still_open.join(found, F.col("form") == F.col("_form"), "left_anti"), "match-open")
     return (
         left.join(best, "_form", "left")
         .withColumn("matches", F.coalesce("matches", F.lit("")))

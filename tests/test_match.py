@@ -62,7 +62,7 @@ def random_names(seed, longest, count=120):
     return lefts, rights
 
 
-@pytest.mark.parametrize("seed,longest,threshold", [(1, 28, 95), (2, 60, 95), (3, 45, 90), (4, 20, 85), (5, 40, 100)])
+@pytest.mark.parametrize("seed,longest,threshold", [(1, 28, 95), (2, 60, 95), (3, 45, 90), (4, 20, 85), (5, 40, 100), (6, 45, 80), (7, 30, 70), (8, 12, 60)])
 def test_best_matches_equal_comparing_every_pair(spark, seed, longest, threshold):
     lefts, rights = random_names(seed, longest)
     left = spark.createDataFrame([(x,) for x in lefts], "name string")
@@ -92,34 +92,54 @@ def test_ties_go_to_the_first_entry(spark):
 
 
 def test_threshold_is_checked(spark):
-    with pytest.raises(ValueError):
-        match.best_matches(spark.range(1), spark.range(1), "id", "id", 50)
-
-
-def test_no_cross_join_and_no_broadcast_of_unfolded_rows(spark):
-    lefts, rights = random_names(9, 60)
-    sides = [
-        spark.createDataFrame([(form(x),) for x in names], "form string").withColumn("size", F.length("form"))
-        for names in (lefts, rights)
-    ]
-    probes, entries = sides[0], sides[1].withColumn("first", F.struct(F.col("form").alias("position")))
-    variants = match._variant_matches(probes, entries, 0.95, 10**9, 10**6)
-    pieces = match._piece_matches(probes.withColumn("settled", F.lit(None).cast("int")), entries, 0.95)
-    for found in (variants, pieces):
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "Broadcast" not in plan and "SortMergeJoin" in plan
-
-
-def test_few_and_many_probes_give_the_same(spark):
-    """The switch by the number of probes is gone; a name's partner must not depend on what other names there are."""
-    lefts, rights = random_names(11, 45)
+    for threshold in (50, 101):
+        with pytest.raises(ValueError):
+            match.best_matches(spark.range(1), spark.range(1), "id", "id", threshold)
+
+
+@pytest.mark.parametrize("threshold", [60, 66, 75])
+def test_short_names_at_low_thresholds(spark, threshold):
+    rights = ["a", "b", "ab", "ba", "abc", "cab", "xyz", "aaa", "aab", "zz"]
+    lefts = rights + ["aa", "abx", "xa", "c", "axbycz", "zyx", "q"]
+    left = spark.createDataFrame([(x,) for x in lefts], "name string")
+    right = spark.createDataFrame([(x,) for x in rights], "company_name string")
+    found = match.best_matches(left, right, "name", "company_name", threshold).collect()
+    assert {r["name"]: r["matches"] for r in found} == brute_force(lefts, rights, threshold)
+
+
+def test_very_long_names(spark):
+    rng = random.Random(5)
+    rights = ["".join(rng.choice("abcdefgh") for _ in range(400)) for _ in range(6)]
+    lefts = [r[:50] + r[55:300] + "hg" + r[300:] for r in rights] + ["ab" * 200]
+    left = spark.createDataFrame([(x,) for x in lefts], "name string")
     right = spark.createDataFrame([(x,) for x in rights], "company_name string")
-    results = []
-    for names in (lefts, lefts[::7]):
-        left = spark.createDataFrame([(x,) for x in names], "name string")
-        found = match.best_matches(left, right, "name", "company_name").collect()
-        results.append({r["name"]: (r["matches"], r["score"]) for r in found})
-    assert results[1] and all(results[0][name] == found for name, found in results[1].items())
+    found = match.best_matches(left, right, "name", "company_name", 95).collect()
+    assert {r["name"]: r["matches"] for r in found} == brute_force(lefts, rights, 95)
+
+
+#: Rows that a name of 30, 60 and 80 characters emits, by threshold; the README states them.
+EMITTED = {95: [15, 126, 330], 85: [120, 816, 1771], 70: [105, 406, 703], 60: [171, 630, 1081]}
+
+
+def test_rows_emitted_for_a_name(spark):
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (30, 60, 80)]
+    rows = spark.createDataFrame([(n, len(n)) for n in names], "form string, size int")
+    for threshold, wanted in EMITTED.items():
+        most = next(m for step, m in match.STEPS if step <= threshold)
+        emitted = match._keys(rows, {"a": 0.5, "b": 0.5}, threshold / 100, most).groupBy("size").count().orderBy("size").collect()
+        assert [r["count"] for r in emitted] == wanted
+        assert sum(wanted) == match._emitted({30: 1, 60: 1, 80: 1}, threshold / 100, most)
+
+
+def test_rarity_of_unknown_characters_and_few_shares(spark, monkeypatch):
+    """The order by rarity is only a matter of speed."""
+    lefts, rights = random_names(12, 30, 60)
+    monkeypatch.setattr(match, "MOST_CHARACTERS", 2)
+    left = spark.createDataFrame([(x,) for x in [*lefts, "\ue000\ue001x🙂🙂", "🙂y"]], "name string")
+    right = spark.createDataFrame([(x,) for x in [*rights, "\ue000\ue001x🙂", "🙂yz"]], "company_name string")
+    found = {r["name"]: r["matches"] for r in match.best_matches(left, right, "name", "company_name", 75).collect()}
+    assert {n: found[n] for n in lefts} == brute_force(lefts, [*rights], 75)
 
 
 def test_directory_and_counts(spark):

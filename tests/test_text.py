@@ -98,3 +98,23 @@ def test_token_sort_ratio(evaluate):
     assert evaluate(ratio("salsa"), ["salla", "", None]) == [80.0, 0.0, None]
     assert evaluate(ratio("b  a"), ["a b", "a"]) == [100.0, 50.0]
     assert evaluate(ratio(""), [""]) == [100.0]
+
+
+def test_common_subsequence_lengths_equal_the_table():
+    import random
+
+    from jobloom.functions.subsequence import common_lengths
+
+    def table(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    rng = random.Random(1)
+    sides = [["".join(rng.choice("abcé🙂 ") for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 129]))) for _ in range(120)] for _ in range(2)]
+    assert common_lengths(*sides).tolist() == [table(a, b) for a, b in zip(*sides)]
+    assert common_lengths([], []).tolist() == [] and common_lengths(["", "a"], ["", ""]).tolist() == [0, 0]
