@@ -2,9 +2,10 @@
 
 Both read a text after one space, so their tokens are spans of the same bytes. Texts are split into segments before every space
 that follows a character other than white space; neither tokenizer joins bytes across such a place, which is checked for the
-given vocabularies (otherwise a text is one segment). Equal segments of a group of texts are encoded and aligned once: token ids
-are flattened with the index of their segment, byte lengths are summed up from each segment's start, and a hash join of Acero on
-(segment, end) finds where tokens of both end together. Every such place closes a group and links the two tokens that end there.
+given vocabularies (otherwise a text is one segment). Equal segments of a group of texts are encoded and aligned once, many
+segments to a call: token ids are flattened with the index of their segment, byte lengths are summed up from each segment's
+start, and a hash join of Acero on (segment, end) finds where tokens of both end together. Every such place closes a group and
+links the two tokens that end there.
 
 The links of a text are kept as distinct pairs of ids with their number. Tasks count pairs with ``Table.group_by`` and Spark adds
 these counts up. Pairs that hold at least a 2**-20 part of all links, so at most 2**20 of them, are sent to the tasks; the counts
@@ -19,6 +20,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,9 @@ from jobloom.scratch import materialize
 
 GROUP_CHARS = 1_000_000
 #: Segments whose alignment a task remembers before it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
+#: Segments that are put together for one call of a tokenizer.
+TOGETHER = 2000
 #: Pairs that are sent to all tasks have at least this share of all links.
 COMMON_SHARE = 2.0**-20
 SPACE = "▁"  # how pieces write a space
@@ -44,6 +48,12 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+#: Fixed value: how byte-level vocabularies cut a text into words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Below this character both libraries agree on what a letter is, whatever their edition of Unicode.
+SETTLED = "\u0250"
+
+
 @dataclass
 class Vocabularies:
     """What travels to the tasks: the contents of the two files."""
@@ -56,32 +66,72 @@ class Vocabularies:
         with open(byte_level_path, encoding="utf-8") as a, open(pieces_path, "rb") as b:
             return cls(a.read(), b.read())
 
-    def encoders(self) -> tuple:
-        """The two encoders, the bytes of all their tokens, and whether texts may be split at spaces."""
+
+class ByteLevel:
+    """The first tokenizer: ids of texts, and the bytes of its tokens."""
+
+    def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        import sentencepiece
         import tokenizers
 
-        left = tokenizers.Tokenizer.from_str(self.byte_level)
-        left.encode_special_tokens = True
-        left.no_truncation()
-        left.no_padding()
-        right = sentencepiece.SentencePieceProcessor(model_proto=self.pieces)
-        of_char = byte_characters()
-        named = left.get_vocab(with_added_tokens=False)
-        left_bytes = [b""] * (max(named.values(), default=-1) + 1)
+        self.library = tokenizers.Tokenizer.from_str(content)
+        self.library.encode_special_tokens = True
+        self.library.no_truncation()
+        self.library.no_padding()
+        spec, of_char = json.loads(content), byte_characters()
+        named = self.library.get_vocab(with_added_tokens=False)
+        self.bytes = [b""] * (max(named.values(), default=-1) + 1)
         for token, k in named.items():
             if all(c in of_char for c in token):
-                left_bytes[k] = bytes(of_char[c] for c in token)
-        names = [right.id_to_piece(k) for k in range(right.get_piece_size())]
-        right_bytes = [
-            bytes([int(name[3:5], 16)]) if right.is_byte(k) else name.replace(SPACE, " ").encode() for k, name in enumerate(names)
-        ]
-        spec = json.loads(self.byte_level)
+                self.bytes[k] = bytes(of_char[c] for c in token)
         cut = spec.get("pre_tokenizer") or {}
-        whole_words = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
-        plain = spec.get("normalizer") is None and not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in names)
-        return left, right, left_bytes, right_bytes, bool(whole_words and plain)
+        self.by_words = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and spec.get("normalizer") is None
+        self.quick = self._quick(spec["model"], named)
+
+    def _quick(self, model: dict, named: dict[str, int]):
+        """An encoder by ranks that gives the same ids. It needs ids in the order of the merges, each token by a single merge: then
+
+        where two neighbours make a token, all earlier merges inside it are done, so they are the parts of its own merge.
+        """
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        made = [named.get(a + b, -1) for a, b in pairs]
+        single = [k for token, k in named.items() if len(token) == 1]
+        in_order = all(x < y for x, y in zip([max(single, default=-1), *made], made, strict=False))
+        if not (self.by_words and in_order and len(single) == 256 and len(single) + len(made) == sum(map(bool, self.bytes))):
+            return None
+        import tiktoken
+
+        ranks = {self.bytes[k]: k for k in [*single, *made]}
+        return tiktoken.Encoding("byte-level", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __call__(self, text: str) -> list[int]:
+        if self.quick and (text.isascii() or max(text) < SETTLED):
+            return self.quick(text)
+        return self.library.encode(text, add_special_tokens=False).ids
+
+
+class Pieces:
+    """The second tokenizer, which puts a space before each text."""
+
+    def __init__(self, content: bytes):
+        import sentencepiece
+
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=content)
+        names = [self.library.id_to_piece(k) for k in range(self.library.get_piece_size())]
+        self.bytes = [
+            bytes([int(name[3:5], 16)]) if self.library.is_byte(k) else name.replace(SPACE, " ").encode() for k, name in enumerate(names)
+        ]
+        self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in names)
+
+    def __call__(self, text: str) -> list[int]:
+        return self.library.encode(text)
+
+
+def _odd(segment: str) -> int:
+    """2: by itself, as it may not give back its bytes or stand before another; 1: of other scripts; 0: of settled letters."""
+    if SPACE in segment or segment[-1:].isspace() or not segment:
+        return 2
+    return 0 if segment.isascii() or max(segment) < SETTLED else 1
 
 
 def _lists(rows: list[list[int]]) -> pa.ListArray:
@@ -126,11 +176,11 @@ class Aligner:
     """Aligns groups of texts; segments already met are remembered, up to a bound."""
 
     def __init__(self, vocabularies: Vocabularies):
-        self.left, self.right, left_bytes, right_bytes, self.splits = vocabularies.encoders()
-        self.left_bytes, self.right_bytes = pa.array(left_bytes, pa.binary()), pa.array(right_bytes, pa.binary())
-        self.left_sizes = np.array([len(b) for b in left_bytes], np.int64)
-        self.right_sizes = np.array([len(b) for b in right_bytes], np.int64)
-        self.pairs = len(right_bytes)  # a pair of ids is written as a * pairs + b
+        self.encoders = [ByteLevel(vocabularies.byte_level), Pieces(vocabularies.pieces)]
+        self.splits = all(e.by_words for e in self.encoders)
+        self.tokens = [pa.array(e.bytes, pa.binary()) for e in self.encoders]
+        self.token_sizes = [np.array([len(b) for b in e.bytes], np.int64) for e in self.encoders]
+        self.pairs = len(self.tokens[1])  # a pair of ids is written as a * pairs + b
         self.forget()
 
     def forget(self) -> None:
@@ -163,20 +213,51 @@ class Aligner:
             out[k] = len(distinct) + joined.setdefault(text, len(joined))
         return owner[start], out, distinct + list(joined)
 
+    def encoded(self, segments: list[str]) -> list[pa.ListArray]:
+        """Ids of every segment by either tokenizer.
+
+        Where texts may be split, the other way round segments are put together and encoded at once; token ends that do not fall on
+        the ends of all segments, or tokens that do not give back the bytes, show segments that are encoded one by one instead.
+        """
+        out = []
+        together = " " + " ".join(segments)
+        whole = together.encode()
+        ends = np.cumsum(pc.binary_length(pa.array(segments, pa.string())).to_numpy() + 1)
+        for encode, tokens, sizes, text in zip(self.encoders, self.tokens, self.token_sizes, (together, together[1:]), strict=True):
+            if self.splits and len(segments) > 1:  # none of which ends with white space
+                ids = np.array(encode(text), np.int32)
+                reached = np.cumsum(sizes[ids])
+                at = np.searchsorted(reached, ends)
+                if reached[-1] == len(whole) and (reached[at] == ends).all():
+                    once = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))
+                    if _joined(once, tokens)[0].as_py() == whole:
+                        out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], at + 1]).astype(np.int32)), once.values))
+                        continue
+            space = " " if encode is self.encoders[0] else ""
+            out.append(_lists([encode(space + s) for s in segments]))
+        return out
+
     def learn(self, fresh: list[str]) -> None:
         """Encode and align segments that were not met before."""
-        left = _lists([e.ids for e in self.left.encode_batch_fast([" " + s for s in fresh], add_special_tokens=False)])
-        right = _lists(self.right.encode(fresh, num_threads=1))
-        whole = pa.array([(" " + s).encode() for s in fresh], pa.binary())
-        fits = pc.and_(pc.equal(_joined(left, self.left_bytes), whole), pc.equal(_joined(right, self.right_bytes), whole))
-        texts, groups, a, b = aligned(left.filter(fits), right.filter(fits), self.left_sizes, self.right_sizes)
+        fresh.sort(key=_odd)
+        parts = []
+        for kind, same in groupby(fresh, _odd):
+            same = list(same)
+            step = 1 if kind == 2 else TOGETHER
+            parts += [self.encoded(same[k : k + step]) for k in range(0, len(same), step)]
+        left, right = (pa.concat_arrays(lists) for lists in zip(*parts, strict=True))
+        whole = pc.binary_join_element_wise(b"", pa.array(fresh, pa.string()).cast(pa.binary()), b" ")
+        fits = pc.and_(pc.equal(_joined(left, self.tokens[0]), whole), pc.equal(_joined(right, self.tokens[1]), whole))
+        texts, groups, a, b = aligned(left.filter(fits), right.filter(fits), *self.token_sizes)
         fit = fits.to_numpy(zero_copy_only=False)
         sizes = np.zeros((4, len(fresh)), np.int64)
         sizes[:, fit] = [np.ones(int(fit.sum()), np.int64), pc.list_value_length(left).to_numpy()[fit], pc.list_value_length(right).to_numpy()[fit], groups]
-        kept = iter(texts.to_pylist())
-        self.texts += [next(kept).encode() if f else b"" for f in fit.tolist()]
-        for s in fresh:
-            self.places[s] = len(self.places)
+        kept = texts.cast(pa.binary()).to_pylist()
+        if not fit.all():
+            given = iter(kept)
+            kept = [next(given) if f else b"" for f in fit.tolist()]
+        self.texts += kept
+        self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh)), strict=True))
         self.sizes = np.concatenate([self.sizes, sizes], axis=1)
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[3])])
         self.links = np.concatenate([self.links, a.astype(np.int64) * self.pairs + b])
@@ -331,10 +412,8 @@ def public_vocabularies() -> Vocabularies:
 
 def align_documents(documents: DataFrame, vocabularies: Vocabularies | None = None) -> DataFrame:
     """Result of the query: token, group and link numbers of every document, and what its links count in the whole corpus."""
-    import sentencepiece
-
     vocabularies = vocabularies or public_vocabularies()
-    pieces = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.pieces).get_piece_size()
+    pieces = len(Pieces(vocabularies.pieces).bytes)
     found = materialize(align(documents, vocabularies), "links")
     return with_pair_counts(found, pieces).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
