@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import bz2
 import gzip
 
 from pyspark.sql import functions as F
@@ -421,19 +422,20 @@ def csv_pruned(spark, sf_dir):
 
 
 @query(
-    """SELECT count(*) AS n, 'row' AS what FROM customer UNION ALL SELECT 1, 'file cannot be read'
+    """SELECT count(*) AS n, 'row' AS what FROM customer UNION ALL SELECT 2, 'file cannot be read'
     UNION ALL SELECT 1, 'file is empty' UNION ALL SELECT 1, 'file does not fit the schema'"""
 )
 def csv_bad_files(spark, sf_dir):
-    """A damaged, a blank and an unlike file beside good ones: all good rows, and a report for each of the three."""
+    """Two damaged, a blank and an unlike file beside good ones: all good rows, and a report for each of the four."""
     path = scratch_path(spark, "bad-files")
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     files.write_csv(rows, f"{path}/good")
     files.write_csv(rows.limit(1).select(F.lit("1").alias("elsewhere")), f"{path}/unlike")
     # The writer of text can make neither a damaged nor a blank file by itself: bytes go through the session's file system.
     context = spark.sparkContext
-    packed = gzip.compress(b"c_custkey,c_name\n" + b"1,x\n" * 5000)
-    for name, content in (("damaged/part.csv.gz", packed[: len(packed) // 2]), ("blank/part.csv", b"\n \n")):
+    plain = b"c_custkey,c_name\n" + b"1,x\n" * 5000
+    cut = {f"damaged/part.csv.{end}": pack(plain) for end, pack in (("gz", gzip.compress), ("bz2", bz2.compress))}
+    for name, content in [(name, packed[: len(packed) // 2]) for name, packed in cut.items()] + [("blank/part.csv", b"\n \n")]:
         target = context._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
         stream.write(bytearray(content))
@@ -443,6 +445,20 @@ def csv_bad_files(spark, sf_dir):
     return found.unionByName(bad.groupBy(F.col("msg").alias("what")).agg(F.count("*").alias("n")))
 
 
+@query(
+    """SELECT doc_id, source || ', "' || lang || '"' AS label, text || chr(10) || '"' || chr(13) || chr(10) || source AS body FROM documents"""
+)
+def csv_quoted_breaks(spark, sf_dir):
+    """One file whose header and fields hold line breaks, quotes and delimiters; many tasks read it once it is large."""
+    path = scratch_path(spark, "quoted-breaks")
+    label = F.concat("source", F.lit(', "'), "lang", F.lit('"'))
+    body = F.concat("text", F.lit('\n"\r\n'), "source")
+    rows = table(spark, sf_dir, "documents").select(label.alias('the "short"\nlabel'), body.alias("body\n, all of it"), "doc_id")
+    files.write_csv(rows.coalesce(1), path)
+    back = files.read_csv(spark, path, rows.schema)
+    return back.toDF("label", "body", "doc_id")
+
+
 @query("SELECT c_name AS company_url FROM customer")
 def headerless_csv(spark, sf_dir):
     path = scratch_path(spark, "headerless")

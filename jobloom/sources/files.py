@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+import bz2
 import csv
 import gzip
 import io
-import re
 import sys
 import zlib
-from collections.abc import Iterable, Iterator
-from urllib.parse import unquote
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +20,7 @@ from pyspark.sql import types as T
 from jobloom.functions.dates import iso_date
 from jobloom.functions.text import list_to_text, role_label, text_to_list
 from jobloom.scratch import materialize
+from jobloom.sources.records import MOST_SENT, blocks_of, lines, records
 
 # Quotes are doubled inside quoted fields, which may span lines.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
@@ -44,66 +44,79 @@ def read_csv(
 
     With a header, columns are found by name in each file: their order may differ, a missing one is null, others (a row
     index, say) are not read. Without one, columns are bound by position. An unreadable file is an error. ``with_file``
-    adds the column ``_file``, the path that a row came from.
+    adds the column ``_file``, the path that a row came from. Large files are read by many tasks, quoted line breaks or not.
     """
     fields = _struct(schema).fields
+    rows = lines(spark, path)
+    blocks = blocks_of(rows)
+    found = records(rows, blocks)
     if header:
-        rows = _by_name(spark, _headers(spark, path), fields, {})
-        return _lists_from_text(rows if with_file else rows.drop(FILE), fields)
-    raw = spark.read.options(**{**CSV_OPTIONS, "header": "false"}).schema(_text_schema(fields)).csv(path)
-    return _lists_from_text(raw, fields)
+        parsed = _by_name(found, blocks, fields, {})
+    else:
+        parsed = _parsed(found, [(None, [f.name for f in fields])], fields, {})
+    return _lists_from_text(parsed if with_file else parsed.drop(FILE), fields)
 
 
 def _text_schema(fields: list[T.StructField]) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType() if _is_list(f) else f.dataType) for f in fields])
 
 
-def _plain_path(file: str) -> str:
-    """A path to read from a ``_metadata.file_path``, with what a path pattern would take as a sign escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+def _names(header: str) -> list[str]:
+    return next(csv.reader(io.StringIO(header.lstrip("\ufeff"), newline="")))
 
 
-def _headers(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], list[str]]]:
-    """Names of columns and the files that begin with them, for each header line that occurs.
+def _headers(blocks: DataFrame) -> list[tuple[str, list[str]]]:
+    """The distinct headers of the files, and the names in them."""
+    found = blocks.where("header IS NOT NULL").select("header").distinct().collect()
+    return sorted((r["header"], _names(r["header"])) for r in found)
 
-    One pass over the lines finds the first of each file; only distinct headers and file names, which the session lists
-    anyway, reach the driver.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
-    )
-    lines = lines.where(F.trim("value") != "").withColumn("n", F.monotonically_increasing_id())
-    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "n")).alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return [
-        (next(csv.reader([r["header"].lstrip("\ufeff")])), [_plain_path(f) for f in r["files"]])
-        for r in sorted(groups, key=lambda r: r["header"])
-    ]
 
+def _by_name(found: DataFrame, blocks: DataFrame, fields: list[T.StructField], options: dict[str, str], named: bool = False) -> DataFrame:
+    """Rows of all files in the columns of ``fields`` by their headers; with ``named`` of files only that name one of the columns."""
+    headers = _headers(blocks)
+    fitting = [h for h in headers if not named or {f.name for f in fields} & set(h[1])]
+    found = found.where("NOT first")
+    if len(headers) > 1:
+        of_file = blocks.where("header IS NOT NULL").select("file", "header")
+        few = of_file.limit(MOST_SENT + 1).count() <= MOST_SENT
+        found = found.join(F.broadcast(of_file) if few else of_file, "file")
+    return _parsed(found, fitting, fields, options)
 
-def _by_name(
-    spark: SparkSession, headers: list[tuple[list[str], list[str]]], fields: list[T.StructField], options: dict[str, str]
-) -> DataFrame:
-    """Rows of all groups of files with one header each, in the columns of ``fields``; others that options add stay."""
+
+def _parsed(found: DataFrame, headers: list[tuple[str | None, list[str]]], fields: list[T.StructField], options: dict[str, str]) -> DataFrame:
+    """Rows of the records, each read once by the names that its file's ``header`` has; others that options add stay."""
     types = {f.name: f.dataType for f in _text_schema(fields).fields}
     extra = [T.StructField(options["columnNameOfCorruptRecord"], T.StringType())] if options else []
-    parts = []
-    for names, paths in headers:
-        seen: dict[str, int] = {}
-        columns = []
-        for name in names:  # the first column of a name counts
-            seen[name] = seen.get(name, 0) + 1
-            columns.append(T.StructField(name if seen[name] == 1 and name else f"_unread_{len(columns)}", types.get(name, T.StringType())))
-        read = spark.read.options(**CSV_OPTIONS, **options).schema(T.StructType(columns + extra)).csv(paths)
-        held = set(read.columns)
-        chosen = [_col(f.name) if f.name in held else F.lit(None).cast(types[f.name]).alias(f.name) for f in fields]
-        parts.append(read.select(*chosen, *[_col(f.name) for f in extra], F.col("_metadata.file_path").alias(FILE)))
-    if not parts:
-        return empty_table(spark, T.StructType([*_text_schema(fields).fields, *extra, T.StructField(FILE, T.StringType())]))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows
+    wanted = T.StructType([*_text_schema(fields).fields, *extra])
+    row = None
+    for header, names in headers:
+        place: dict[str, str] = {}
+        for k, name in enumerate(names):  # the first column of a name counts
+            place.setdefault(name, f"_{k}")
+        kinds = {place[name]: kind for name, kind in types.items() if name in place}
+        columns = [T.StructField(f"_{k}", kinds.get(f"_{k}", T.StringType())) for k in range(len(names))]
+        place |= {f.name: f.name for f in extra}
+        parsed = _from_csv([*columns, *extra], options)
+        one = F.transform(F.array(parsed), _chosen(place, wanted))  # so that the record is parsed once for all its columns
+        row = one if row is None else F.when(F.col("header") == header, one).otherwise(row)
+    found = found.where(F.col("text") != "")
+    if row is None:
+        return empty_table(found.sparkSession, T.StructType([*wanted.fields, T.StructField(FILE, T.StringType())]))
+    if len(headers) > 1 or "header" in found.columns:
+        found = found.where(F.col("header").isin([h for h, _ in headers]))
+    return found.select(F.col("file").alias(FILE), F.inline(row)).select(*[_col(f.name) for f in wanted.fields], FILE)
+
+
+def _chosen(place: dict[str, str], wanted: T.StructType) -> Callable[[Column], Column]:
+    """From a parsed record, the wanted columns that its file has, and nulls for the others."""
+    return lambda s: F.struct(
+        *[(s[place[f.name]] if f.name in place else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields]
+    )
+
+
+def _from_csv(fields: list[T.StructField], options: dict[str, str]) -> Column:
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return F.from_csv("text", ddl, {**CSV_OPTIONS, **options})
 
 
 def _lists_from_text(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -117,19 +130,58 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _damaged(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Names of the compressed files that cannot be read to their end."""
-    for frame in frames:
-        bad = []
-        for name, content in zip(frame["path"], frame["content"], strict=True):
-            try:
-                with gzip.open(io.BytesIO(content)) as file:
-                    while file.read(1 << 20):
-                        pass
-            except (OSError, EOFError, zlib.error):
-                bad.append(name)
-        if bad:
-            yield pd.DataFrame({"file": bad})
+def _sound(content: bytes, suffix: str) -> bool:
+    """Whether compressed content can be read to its end, a piece at a time."""
+    try:
+        with CODECS[suffix](io.BytesIO(content)) as file:
+            while file.read(1 << 20):
+                pass
+    except (OSError, EOFError, zlib.error):
+        return False
+    return True
+
+
+class _Deflate(io.RawIOBase):
+    """The plain bytes of a zlib stream; its end must be there."""
+
+    def __init__(self, file: io.BytesIO):
+        self.file, self.unpacker = file, zlib.decompressobj()
+
+    def read(self, size: int = -1) -> bytes:
+        out = b""
+        while not out and not self.unpacker.eof:
+            data = self.unpacker.unconsumed_tail or self.file.read(1 << 16)
+            if not data:
+                raise EOFError
+            out = self.unpacker.decompress(data, size)
+        return out
+
+
+#: Compressed files that are looked through before they are read, by the end of their name.
+CODECS = {".gz": gzip.open, ".bz2": bz2.open, ".deflate": _Deflate}
+MOST_CHECKED = (1 << 31) - 1  # bytes of a compressed file that a row can hold; larger ones are read unchecked
+MOST_LEFT_OUT = 10_000
+
+
+def _outcomes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, path, content in zip(*(batch.column(c) for c in ("file", "path", "content")), strict=True):
+            suffix = "." + path.as_py().rsplit(".", 1)[-1].lower()
+            yield pa.RecordBatch.from_pydict({"file": [name.as_py()], "sound": [_sound(content.as_py(), suffix)]})
+
+
+def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file`` of every compressed file that cannot be read to its end. Names are dealt out to tasks, which open the files."""
+    kinds = "|".join(suffix[1:] for suffix in CODECS)
+    packed = spark.read.format("binaryFile").load(path).where(F.lower("path").rlike(rf"\.({kinds})$") & (F.col("length") <= MOST_CHECKED))
+    packed = packed.select(F.col("_metadata.file_path").alias("file"), "path", "content")
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return packed.mapInArrow(_outcomes, "file string, sound boolean").where("NOT sound").select("file")
+
+
+def _file_name(file: Column) -> Column:
+    """The name in a ``_metadata.file_path``, which is percent-encoded."""
+    return F.url_decode(F.replace(F.element_at(F.split(file, "/"), -1), F.lit("+"), F.lit("%2B")))
 
 
 def read_csv_checked(
@@ -137,39 +189,36 @@ def read_csv_checked(
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows with their file name, and an error row for each row and each file that does not fit the schema.
 
-    A compressed file is opened whole in one task to see whether it is sound, so it should not exceed two gigabytes.
-
     Columns are found by name, as ``read_csv`` does. A file is reported, and none of its rows read, if it is a compressed
-    file that is damaged, if it holds nothing but blanks, or if its header names no column of the schema. The files are
-    read once into an intermediate table, from which both sides come.
+    file that is damaged (gzip, bzip2 or deflate, up to two gigabytes; larger ones are read unchecked, and damage there is an error), if it holds nothing but blanks, or if its header names
+    no column of the schema. The rows are read once into an intermediate table, from which both sides come.
     """
     fields = _struct(schema).fields
-    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "content")
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    packed = listed.where(F.lower("path").endswith(".gz"))
-    damaged = {r["file"] for r in packed.mapInPandas(_damaged, "file string").collect()}
-    every = [r["path"] for r in listed.select("path").collect()]
-    sound = [_plain_path(f) for f in every if f not in damaged]
-    headers = _headers(spark, sound) if sound else []
-    names = {f.name for f in fields}
-    fitting = [(columns, paths) for columns, paths in headers if names & set(columns)]
-    begun = {p for _, paths in headers for p in paths}
-    reports = (
-        [("file cannot be read", f) for f in sorted(damaged)]
-        + [("file does not fit the schema", p) for columns, paths in headers if not names & set(columns) for p in paths]
-        + [("file is empty", p) for p in sound if p not in begun]
-    )
+    damaged = materialize(damaged_files(spark, path), "csv-damaged")
+    bad_names = [r["file"] for r in damaged.limit(MOST_LEFT_OUT + 1).collect()]
+    if len(bad_names) > MOST_LEFT_OUT:  # too many for a condition that keeps Spark from opening them
+        rows = lines(spark, path, skip_damaged=True).join(damaged, "file", "left_anti")
+    else:
+        rows = lines(spark, path, bad_names)
+    blocks = blocks_of(rows)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW}
-    raw = materialize(_by_name(spark, fitting, fields, options), "csv-rows")
-    name = F.element_at(F.split(FILE, "/"), -1)
-    raw = raw.withColumn("file_name", name).drop(FILE)
+    raw = materialize(_by_name(records(rows, blocks), blocks, fields, options, named=True), "csv-rows")
+    raw = raw.withColumn("file_name", _file_name(F.col(FILE))).drop(FILE)
     good = _lists_from_text(raw.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW), fields)
     bad = raw.filter(F.col(BAD_ROW).isNotNull()).select(
-        F.concat(F.lit("row does not fit the schema: "), F.col(BAD_ROW)).alias("msg"),
-        F.col("file_name").alias("urls"),
+        F.concat(F.lit("row does not fit the schema: "), F.col(BAD_ROW)).alias("msg"), F.col("file_name").alias("urls")
     )
-    files = spark.createDataFrame([(m, f.rsplit("/", 1)[-1]) for m, f in reports], "msg string, urls string")
-    return good, bad.unionByName(files)
+    known = {f.name for f in fields}
+    unlike = [header for header, names in _headers(blocks) if not known & set(names)]
+    begun = blocks.where("header IS NOT NULL").select("file", "header")
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    empty = listed.join(begun, "file", "left_anti").join(damaged, "file", "left_anti")
+    reports = damaged.select(F.lit("file cannot be read").alias("msg"), "file")
+    reports = reports.unionByName(empty.select(F.lit("file is empty").alias("msg"), "file"))
+    if unlike:
+        misfit = begun.where(F.col("header").isin(unlike))
+        reports = reports.unionByName(misfit.select(F.lit("file does not fit the schema").alias("msg"), "file"))
+    return good, bad.unionByName(reports.select("msg", _file_name(F.col("file")).alias("urls")))
 
 
 # Fixed value: how a detail file name carries the role and the date of the scrape.
