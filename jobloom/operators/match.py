@@ -233,11 +233,16 @@ def employers(postings: DataFrame, name: str = "name") -> DataFrame:
 
 
 def merge_matches(matched: DataFrame, directory: DataFrame, name: str = "name") -> DataFrame:
-    """Matched employers with every company that has the matched cleaned name."""
-    companies = directory.select(
-        "company_name", "Company_name_url", match_form(F.col("company_name")).alias("processed_company_name")
+    """Matched employers with every company that has the matched cleaned name.
+
+    Both sides are written once, as the join reads them twice; the directory is cleaned once for each of its rows.
+    """
+    companies = materialize(
+        directory.select("company_name", "Company_name_url", match_form(F.col("company_name")).alias("processed_company_name")),
+        "match-companies",
     )
     hits = matched.filter(F.col("matches") != "").select(F.col(name).alias("employer_name"), "matches")
+    hits = materialize(hits, "match-hits")
     return left_join(hits, companies, "matches", "processed_company_name").select(
         "employer_name", "company_name", "Company_name_url"
     )

@@ -57,21 +57,51 @@ def consolidate_a(postings: DataFrame, out: str, tiebreak: Sequence[str], includ
     return paths
 
 
-def run_board_a(
-    passes: Sequence[DataFrame], details: DataFrame, out: str, run_date: dt.date, tiebreak: Sequence[str] = ("title",),
-    site: str = "",
-) -> dict[str, str]:
-    """From stored pages to the five tables of board A.
+def board_a_details(
+    passes: Sequence[DataFrame], details: DataFrame, run_date: dt.date, site: str = ""
+) -> DataFrame:
+    """Detail rows of one run over stored pages, with the date and the role of the search.
 
     ``passes`` are the search pages (html, ``Job Role``) of each pass, ``details`` the detail pages (html). A listing counts
-    once for a role; its page's details are joined to it, then come relevance, skills and the consolidated tables.
+    once for a role; its page's details are joined to it.
     """
     role = ["Job Role"]
     listed = [boards.listing_rows(boards.parse_listing_pages(pages), [F.col("`Job Role`")]) for pages in passes]
     listings = dedupe.merge_passes(listed, ["title"], within=role)
     rows = contacts.with_details(listings, boards.parse_detail_pages(details, site=site))
-    dated = rows.withColumn("date_of_scrape", F.lit(run_date))
-    return consolidate_a(postings_a(dated), out, tiebreak)
+    return rows.withColumn("date_of_scrape", F.lit(run_date))
+
+
+def export_searches(rows: DataFrame, out: str, roles: Sequence[str] = tuple(lexicon.ROLE_INDEX_A)) -> list[str]:
+    """Write the detail rows of a run as CSV, a folder for each role and date, in the order of age, and return the folders.
+
+    The folders are named as ``with_file_columns`` reads them. ``rows`` should be a written table: it is read for each role.
+    """
+    folders = []
+    dates = sorted(r["d"] for r in rows.select(F.col("date_of_scrape").cast("string").alias("d")).distinct().collect())
+    for role in roles:
+        for date in dates:
+            folder = f"{out}/jobs_detail_{role.lower().replace(' ', '_')}_{date}.csv"
+            own = rows.where((F.col("Job Role") == role) & (F.col("date_of_scrape") == F.lit(date).cast("date")))
+            write_csv(own.sort(F.col("days_ago").asc_nulls_last(), "key"), folder)
+            folders.append(folder)
+    return folders
+
+
+def run_board_a(
+    passes: Sequence[DataFrame], details: DataFrame, out: str, run_date: dt.date, tiebreak: Sequence[str] = ("title",),
+    site: str = "",
+) -> dict[str, str]:
+    """One run from stored pages to the five tables of board A, which hold the postings of all runs.
+
+    The relevant postings of a run, their skills extracted, become its partition of ``postings``; a repeated run replaces
+    it. The five tables are then made anew from all partitions, so no text of an earlier run is searched again.
+    """
+    rows = board_a_details(passes, details, run_date, site)
+    runs = f"{out}/postings"
+    incremental.write_run(postings_a(rows), runs, run_date)
+    found = rows.sparkSession.read.option("mergeSchema", "true").parquet(runs).drop(incremental.RUN)
+    return consolidate_a(found, out, tiebreak)
 
 
 def postings_b(

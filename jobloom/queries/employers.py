@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from jobloom import lexicon
 from jobloom.functions import names
-from jobloom.functions.text import SPACE
 from jobloom.operators import match, metrics
+from jobloom.queries.patterns import SPACE
 from jobloom.queries.registry import Derived, literal, query
 
 # Names of three lengths out of parts; the directory and the postings take different lengths of a part's name.

@@ -14,7 +14,8 @@ from jobloom.queries.extraction import POSTINGS, _count_sql, _delimited_tests, _
 from jobloom.queries.pages import _ABOUT, _URL, _clean_sql, _company_pages, _detail_pages, _script
 from jobloom.queries import patterns
 from jobloom.queries.registry import Derived, literal, query
-from jobloom.scratch import scratch_path
+from jobloom.scratch import materialize, scratch_path
+from jobloom.sources import files
 
 FIRST, SECOND = dt.date(2024, 7, 26), dt.date(2024, 7, 27)
 
@@ -88,8 +89,8 @@ _BOARD_A = f"""(SELECT key, job_role, {_count_sql(lexicon.ROLE_TERMS_A)} AS keyw
 _OUTPUTS_A = f"(SELECT * FROM {_BOARD_A} WHERE keyword_count > {plans.RELEVANT_A})"
 
 
-def _board_a(spark, sf_dir):
-    """Search pages of two passes, the second over all listings, and detail pages, to the five tables."""
+def _pages_a(spark, sf_dir):
+    """Search pages with the document's number, and detail pages."""
     listed = POSTINGS.frame(spark, sf_dir)
     card = F.struct(
         F.lit("employer").alias("company"), (F.col("doc_id") - F.col("doc_id") % 2).cast("string").alias("jobkey"),
@@ -102,6 +103,12 @@ def _board_a(spark, sf_dir):
     )
     searches = listed.select("doc_id", F.col("job_role").alias("Job Role"), html.alias("html"))
     details = _detail_pages(spark, sf_dir, "doc_id").filter(F.col("doc_id") % 2 == 0).select("html")
+    return searches, details
+
+
+def _board_a(spark, sf_dir):
+    """Search pages of two passes, the second over all listings, and detail pages, to the five tables."""
+    searches, details = _pages_a(spark, sf_dir)
     passes = [searches.filter(F.col("doc_id") % 3 > 0).drop("doc_id"), searches.drop("doc_id")]
     return plans.run_board_a(passes, details, scratch_path(spark, "board-a"), FIRST)
 
@@ -118,6 +125,38 @@ def board_a_outputs(spark, sf_dir):
     return _shown_a(spark.read.parquet(_board_a(spark, sf_dir)["outputs"]))
 
 
+_RUN_A = f"CASE WHEN CAST(key AS BIGINT) % 4 = 0 THEN '{FIRST}' ELSE '{SECOND}' END"
+
+
+def _two_runs_a(spark, sf_dir):
+    """A run over every other pair of listings, then one a day later over all, repeated."""
+    searches, details = _pages_a(spark, sf_dir)
+    out = scratch_path(spark, "board-a-runs")
+    for run_date, found in ((FIRST, searches.filter(F.col("doc_id") % 4 < 2)), (SECOND, searches), (SECOND, searches)):
+        paths = plans.run_board_a([found.drop("doc_id")], details, out, run_date)
+    return paths
+
+
+@query(f"SELECT key, job_role, CAST(keyword_count AS BIGINT) AS keyword_count, tools, {_RUN_A} AS scraped FROM {_OUTPUTS_A}")
+def board_a_two_runs(spark, sf_dir):
+    """What the first run has found keeps its date; the second adds the rest."""
+    return _shown_a(spark.read.parquet(_two_runs_a(spark, sf_dir)["outputs"]))
+
+
+@query(
+    f"""SELECT key, job_role, '{FIRST}' AS scraped FROM {_BOARD_A}
+    WHERE job_role IN ({', '.join(literal(r) for r in lexicon.ROLE_INDEX_A)})"""
+)
+def board_a_search_files(spark, sf_dir):
+    """The detail rows of a run as a file for each search, read back with role and date from the names."""
+    searches, details = _pages_a(spark, sf_dir)
+    rows = materialize(plans.board_a_details([searches.drop("doc_id")], details, FIRST), "board-a-details")
+    folders = plans.export_searches(rows, scratch_path(spark, "searches"))
+    back = files.read_csv(spark, folders, "key string, description string", with_file=True)
+    named = files.with_file_columns(back, F.element_at(F.split("_file", "/"), -2)).where("description IS NOT NULL")
+    return named.select("key", F.col("Job Role").alias("job_role"), F.col("date_of_scrape").cast("string").alias("scraped"))
+
+
 @query(
     f"""SELECT key, job_role, CAST(keyword_count AS BIGINT) AS keyword_count, tools, '{FIRST}' AS scraped FROM {_OUTPUTS_A}
     QUALIFY row_number() OVER (PARTITION BY key ORDER BY job_role) = 1"""
