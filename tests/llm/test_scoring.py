@@ -6,7 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from jobloom.llm import scoring
 
@@ -78,13 +80,10 @@ def test_no_training_text(documents):
     assert run(documents, []) == []
 
 
-def test_class_counts_cover_the_whole_of_all_texts(spark, documents, monkeypatch):
+def test_classes_cover_the_whole_of_all_texts(spark, documents, monkeypatch):
     """A long text counts to its end, has one end only, and words beyond the classes of their own stand in several classes."""
     monkeypatch.setattr(scoring, "CLASSES", 5)
-    kept = {}
-    learnt = scoring.learnt
-    monkeypatch.setattr(scoring, "learnt", lambda seen, total, share: (kept.update(seen=seen, share=share), learnt(seen, total, share))[1])
-    texts = [t for _, t in corpus(40)] + [" ".join(f"w{k % 700}é{k % 13}" for k in range(9000))]
+    texts = [t for _, t in corpus(40)] + [" ".join(f"w{k % 700}é{k % 13}" for k in range(9000)), "", " A\tb\x0bC\x0c", "x\x1cy\x85z\xa0w"]
     frame = documents([(k, t, "en", "s") for k, t in enumerate(texts)])
     _, total, distinct, scorer = scoring.learn(frame.select("text"))
     assert scorer.endings == math.isqrt(distinct) > 10
@@ -93,9 +92,11 @@ def test_class_counts_cover_the_whole_of_all_texts(spark, documents, monkeypatch
     for text in texts:
         classes = [scorer.class_of(w, scorer.places.get(w, -1)) for w in scoring.tokens(text)]
         opened = [scorer.first()] * 2 + classes
-        wanted.update((a * n + b) * n + c for a, b, c in zip(opened, opened[1:], opened[2:], strict=False))
-    assert {r["code"]: r["n"] for r in kept["seen"].collect()} == wanted
-    assert sum(wanted.values()) == total and len(kept["share"]) == n
+        wanted.update(zip(opened, opened[1:], opened[2:], strict=False))
+    *_, older, last, word = scorer.read(pa.array([*texts[:7], None, *texts[7:]]))
+    wanted[(scorer.first(),) * 3] += 1  # the null
+    assert Counter(zip(older.tolist(), last.tolist(), word.tolist(), strict=True)) == wanted
+    assert sum(wanted.values()) == total + 1 and len(scorer.model.bias) == n
     # words of all classes by ending, as the driver counts them, are those that Spark has found
     inside = 10**scorer.inside * (total + 0.1 * (distinct + 1))
     own = Counter()
@@ -105,11 +106,44 @@ def test_class_counts_cover_the_whole_of_all_texts(spark, documents, monkeypatch
     assert inside == pytest.approx([own[k] + 0.1 for k in range(scorer.endings)])
 
 
-def test_every_count_is_in_a_part_and_parts_make_one_model(spark, documents, monkeypatch):
-    seen = spark.createDataFrame([(k, n) for k, n in enumerate([1, 2, 3, 7, 8, 1000])], "code long, n long")
-    dealt = scoring.in_parts(seen, 4).collect()
-    assert {k: sum(r["n"] for r in dealt if r["code"] == k) for k in range(6)} == dict(enumerate([1, 2, 3, 7, 8, 1000]))
-    assert {r["n"] for r in dealt if r["code"] == 5} == {250} and all(r["n"] > 0 for r in dealt)
+def test_every_token_is_trained_on_and_parts_make_one_model(spark, documents, monkeypatch):
+    frame = documents([(k, t, "en", "s") for k, t in corpus(100)]).select("text").repartition(3)
+    _, total, _, scorer = scoring.learn(frame)
+    share = np.full(len(scorer.model.bias), 1 / len(scorer.model.bias))
+    start, sums = scoring.first_model(frame, scorer, share, 1)
+    models = scoring.further_models(frame, scorer, share, start, sums).collect()
+    assert len(models) == 3 and sum(r["tokens"] for r in models) == total
+    seen = []
+    fit = scoring.Fit(start, [np.full_like(w, 1e-3) for w in start.weights], share, 1)
+    monkeypatch.setattr(fit, "step", lambda a, b, word, rate: seen.extend(zip(a, b, word, strict=True)))
+    fit.read(np.arange(50), np.arange(50) + 1, np.arange(50) + 2, 7, 0.1)
+    assert sorted(seen) == [(k, k + 1, k + 2) for k in range(50)]
     monkeypatch.setattr(scoring, "PART_TOKENS", 3000)
     found = [r for r in run(documents, corpus(500)) if r["held_out"]]
     assert sum(r["score"] for r in found) > 0.97 * sum(r["base_score"] for r in found)
+
+
+def test_score_equals_sums_over_tokens(spark, documents):
+    """The neural score of whole texts, token by token from the scorer's own parts."""
+    texts = [t for _, t in corpus(60)]
+    frame = documents([(k, t, "en", "s") for k, t in enumerate(texts)])
+    _, total, distinct, scorer = scoring.learn(frame.select("text"))
+    table = scorer.score(pa.table({"id": list(range(len(texts))), "text": texts}))
+    for text, neural in zip(texts, table.column("neural").to_pylist(), strict=True):
+        classes = [scorer.class_of(w, scorer.places.get(w, -1)) for w in scoring.tokens(text)]
+        opened, wanted = [scorer.first()] * 2 + classes, 0.0
+        for k, word in enumerate(scoring.tokens(text)):
+            a, b, c = (np.array([x]) for x in opened[k : k + 3])
+            every = scorer.model.predicted(a, b) @ scorer.model.target.T + scorer.model.bias
+            wanted += (every[0, c[0]] - np.log(np.exp(every[0].astype(float)).sum())) / math.log(10)
+            if c[0] >= scorer.classes:
+                wanted += scorer.log_share[scorer.places[word]] - scorer.inside[c[0] - scorer.classes]
+        assert neural == pytest.approx(wanted, rel=1e-4)
+
+
+def test_keys_of_any_name(spark):
+    rows = spark.createDataFrame([("a", "x y"), ("a", "x y"), (None, None)], "known string, base string")
+    for key in ("known", "rare"):
+        frame = rows.withColumnRenamed("known", key).withColumns({"n_tokens": F.lit("z"), "id": F.lit(0)})
+        found = scoring.score(frame, F.lit(True), key, "base").orderBy(F.col(key).desc()).collect()
+        assert [(r[key], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in found] == [("a", 3, 3, 7), ("a", 3, 3, 7), (None, 1, 1, 7)]
