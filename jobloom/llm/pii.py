@@ -1,8 +1,9 @@
 """Personal data: generators of high recall propose spans, boosted trees score them, calibrated thresholds choose.
 
 Four base kinds are found by fixed rules and always stay. Beside them the generators propose, in all places where the form
-could be meant, account numbers, national numbers, telephone numbers without a country code, written-out mail addresses and
-two kinds of device addresses; proposals may overlap. Features of the form (digits, groups, check sums) and of the words
+could be meant, account numbers, national numbers, telephone numbers without a country code, written-out mail addresses, two
+kinds of device addresses, and secrets: long values that something is set to, and forms that services give their keys; proposals
+may overlap. Features of the form (digits, groups, check sums) and of the words
 around it go to gradient-boosted trees, learnt from labelled lines that ``labelled_lines`` writes by rule. A third of the
 lines, kept out of the fit, sets each kind's threshold. Among chosen spans that overlap, the likeliest stays.
 """
@@ -14,6 +15,7 @@ import random
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +27,7 @@ from jobloom.llm.boosting import Trees, fit
 from jobloom.llm.common import give_back, modest_batches
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("account", "national", "local_phone", "written_email", "ipv6", "mac")
+ADDED = ("account", "national", "local_phone", "written_email", "ipv6", "mac", "secret")
 KINDS = BASE + ADDED
 PRECISION = 0.98
 SPAN = "array<struct<kind:string,start:int,stop:int,score:double>>"
@@ -51,9 +53,16 @@ _WRITTEN = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?"
     r"[A-Za-z0-9-]{1,63}+(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}+){1,4}"
 )
+# The value of an assignment, without its quotes, and keys that tell themselves by their form.
+_ASSIGNED = re.compile(r"""["']?[\x20\t]{0,2}(?:=>|:=|[:=])[\x20\t]{0,2}["']?([A-Za-z0-9+/_~.-]{12,}+={0,2})""")
+_ISSUED = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[a-z]_[A-Za-z0-9]{36,}+|xox[a-z]-[A-Za-z0-9-]{10,}+"
+    r"|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}+)(?![A-Za-z0-9_-])"
+)
 _TELEPHONE = re.compile(
     r"\([0-9]{3}\)[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}|([0-9]{3})([.\x20-])[0-9]{3}\2[0-9]{4}"
     r"|0[0-9]{2,4}[\x20/-](?:[0-9]{3}[\x20-]?[0-9]{2,5}|[0-9]{6,8})|0[0-9](?:[\x20.][0-9]{2}){4}"
+    r"|0[0-9]{1,4}[\x20/-][0-9]{3,4}(?:[\x20-][0-9]{2,4}){2}"
 )
 # Words that tell what a number before or after them is.
 CUES = {
@@ -62,6 +71,9 @@ CUES = {
     "identity": ("ssn", "social", "security", "passport", "national", "identity", "id", "ausweis", "identité", "identidad",
                  "dni", "insurance", "taxpayer"),
     "account": ("iban", "account", "bank", "konto", "compte", "cuenta", "transfer", "bic"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "passphrase", "key", "apikey", "api_key", "access_key", "secret_key",
+               "private_key", "auth", "auth_token", "access_token", "credential", "credentials", "bearer", "signature"),
+    "digest": ("checksum", "sha", "sha1", "sha256", "md5", "commit", "hash", "digest", "uuid", "etag", "revision", "build", "file", "path", "url"),
     "device": ("mac", "device", "address", "host", "ipv6", "adapter", "router", "client"),
     "other": ("order", "isbn", "version", "invoice", "ref", "no", "nr", "page", "pages", "price", "total", "date", "section",
               "chapter", "score", "serial", "part", "model", "model", "room", "year", "years", "time", "at"),
@@ -138,6 +150,9 @@ def proposals(text: str) -> list[Span]:
     if _digit.search(text):
         found = [Span(kind, *m.span(), 0.0) for kind, g in _GENERATORS.items() for m in g.finditer(text)]
         found = [s for s in found if s.kind != "local_phone" or 7 <= len(digits(text[s.start : s.stop])) <= 12]
+    if "=" in text or ":" in text:
+        found += [Span("secret", *m.span(1), 0.0) for m in _ASSIGNED.finditer(text)]
+    found += [Span("secret", *m.span(), 0.0) for m in _ISSUED.finditer(text)]
     if "dot" in text and ("at)" in text or "at]" in text or " at " in text):
         found += [Span("written_email", *m.span(), 0.0) for m in _WRITTEN.finditer(text)]
     return found
@@ -154,6 +169,9 @@ def features(text: str, span: Span) -> list[float]:
     near = [len(set(before[-8:]) & set(words)) + 0.5 * len(set(after[:4]) & set(words)) for words in CUES.values()]
     last = before[-1] if before else ""
     closest = [float(last in words) for words in CUES.values()]
+    counts = np.unique(list(inside), return_counts=True)[1] / len(inside)
+    entropy = float(-(counts * np.log2(counts)).sum())
+    signs = [sum(test(c) for c in inside) / len(inside) for test in (str.isupper, str.islower, str.isdigit)]
     return [
         float(KINDS.index(span.kind)), len(inside), len(number), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1],
         len(set(number)), float("(" in inside), inside.count("-"), inside.count("."), inside.count(" "), inside.count("/"),
@@ -162,6 +180,7 @@ def features(text: str, span: Span) -> list[float]:
         float(1900 <= int(groups[-1]) <= 2100 if groups and len(groups[-1]) == 4 else 0),
         float(number[:3] in ("000", "666") or number[:1] == "9"), float(number[:1] == "0"), sum(c in "abcdefABCDEF" for c in inside),
         float(span.kind == "ipv6" and sound_ipv6(inside)), float(span.kind == "local_phone" and telephone_form(inside)), *near, *closest,
+        entropy, *signs, float(span.kind == "secret" and _ISSUED.fullmatch(inside) is not None),
     ]
 
 
@@ -186,13 +205,24 @@ def labelled_lines(seed: int = 11, each: int = 60) -> list[tuple[str, Span, int]
     def local() -> str:
         a, b, c = number(3), number(3), number(4)
         return r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}", f"0{a}/{b}{number(2)}", f"0{a} {b}{c}",
-                         f"0{number(1)} {number(2)} {number(2)} {number(2)} {number(2)}"])
+                         f"0{number(1)} {number(2)} {number(2)} {number(2)} {number(2)}", f"0{number(2)} {number(3)} {number(2)} {number(2)}"])
+
+    def loose() -> str:
+        """Numbers side by side that are no telephone number."""
+        while telephone_form(text := " ".join(number(r.randint(2, 5)) for _ in range(3))):
+            pass
+        return text
 
     def short() -> str:
         head = r.choice(["fe80", "2001:db8", hexa(4), f"{hexa(4)}:{hexa(3)}"])
         return r.choice([f"{head}::{hexa(r.randint(1, 4))}", f"{head}::{hexa(4)}:{hexa(3)}:{hexa(4)}", f"{head}::", f"::{hexa(4)}"])
 
     hexa = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    mixed = lambda n, more="": "".join(r.choice(signs + more) for _ in range(n))
+    secret = lambda: r.choice([hexa(r.choice([32, 40, 64])), mixed(r.randint(16, 48)), mixed(r.randint(20, 44), "+/_-") + r.choice(["", "=", "=="])])
+    issued = lambda: r.choice(["AKIA" + mixed(16).upper(), "ghp_" + mixed(36), f"eyJ{mixed(20)}.{mixed(30)}.{mixed(20)}"])
+    wordy = lambda: r.choice("-_./").join(r.choice("north river stone maple report chapter general index".split()) for _ in range(3))
     name = lambda: r.choice("anna ben carla dmitri eva farid".split()) + r.choice([".", "_", ""]) + r.choice("lee moss roy sato".split())
     bracket = lambda w: r.choice([f" ({w}) ", f"[{w}]", f" [{w}] ", f"({w})"])
     plain = [w for words in ("the of and to in with that", "der die und das mit", "le la et que pour", "el los que con para") for w in words.split()]
@@ -203,7 +233,7 @@ def labelled_lines(seed: int = 11, each: int = 60) -> list[tuple[str, Span, int]
         ("national", lambda: f"{r.choice(['000', '666', '9' + number(2)])}-{number(2)}-{number(4)}", [], ["identity", "other", None]),
         ("local_phone", local, ["person", None], ["other"]),
         ("local_phone", date, [], ["other", "person", None]),
-        ("local_phone", lambda: " ".join(number(r.randint(2, 5)) for _ in range(3)), [], ["other", None, None]),
+        ("local_phone", loose, [], ["other", None, None]),
         ("local_phone", lambda: f"978-{number(1)}-{number(2)}-{number(5)}", [], ["other", None]),
         ("written_email", lambda: f"{name()}{bracket('at')}mail{number(1)}{bracket('dot')}com", ["person", None, "other"], []),
         ("written_email", lambda: f"{name()} at mail{number(1)} dot com", ["person", None], []),
@@ -213,6 +243,11 @@ def labelled_lines(seed: int = 11, each: int = 60) -> list[tuple[str, Span, int]
         ("ipv6", lambda: "::", [], ["other", None]),
         ("mac", lambda: r.choice(":-").join(hexa(2) for _ in range(6)), ["device", None], []),
         ("mac", lambda: "-".join(number(2) for _ in range(6)), [], ["other", None]),
+        ("secret", secret, ["secret", "secret"], ["digest", "other"]),
+        ("secret", lambda: hexa(r.choice([32, 40, 64])), ["secret", "secret", "secret"], ["digest", "digest"]),
+        ("secret", issued, ["secret", "other", None], []),
+        ("secret", wordy, [], ["secret", "digest", "other", None]),
+        ("secret", lambda: number(r.randint(12, 16)), [], ["other", None]),
     ]
     lines = []
     for kind, form, yes, no in forms:
@@ -220,10 +255,15 @@ def labelled_lines(seed: int = 11, each: int = 60) -> list[tuple[str, Span, int]
             for cue in cues:
                 for _ in range(each if cue else each // 2):
                     words = [r.choice(plain) for _ in range(4)] + ([r.choice(CUES[cue])] if cue else [])
-                    words += [r.choice(plain)] * (r.random() < 0.3)
-                    head = " ".join(words) + r.choice([" ", ": ", " "])
+                    mark = ""
+                    if kind == "secret":  # the value of an assignment
+                        mark = r.choice(['"', "'", "", ""])
+                        head = " ".join(words) + r.choice([" = ", "=", ": ", " := ", " => "]) + mark
+                    else:
+                        words += [r.choice(plain)] * (r.random() < 0.3)
+                        head = " ".join(words) + r.choice([" ", ": ", " "])
                     inside = form()
-                    text = head + inside + r.choice([" ", ". ", ", "]) + r.choice(plain)
+                    text = head + inside + mark + r.choice([" ", ". ", ", "] if mark or kind != "secret" else [" ", "\n", ", "]) + r.choice(plain)
                     lines.append((text, Span(kind, len(head), len(head) + len(inside), 0.0), label))
     r.shuffle(lines)
     return lines
@@ -261,8 +301,9 @@ def find(text: str, model: Model) -> list[Span]:
     scores = model.trees.probability(np.array([features(text, s) for s in offered]))
     chosen = [s._replace(score=float(p)) for s, p in zip(offered, scores, strict=True) if p >= model.thresholds[s.kind]]
     kept: list[Span] = []
-    taken = sorted((s.start, s.stop) for s in base)
-    free = [s for s in chosen if not _meets(taken, s)]
+    starts = [s.start for s in base]
+    stops = list(accumulate((s.stop for s in base), max))  # the furthest that any span up to here reaches
+    free = [s for s in chosen if not _meets(starts, stops, s)]
     last: list[Span] = []
     for s in sorted(free, key=lambda s: (s.start, -s.score)):  # groups of overlapping spans, one after another
         if last and s.start >= max(t.stop for t in last):
@@ -273,9 +314,10 @@ def find(text: str, model: Model) -> list[Span]:
     return sorted(base + kept, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
-def _meets(taken: list[tuple[int, int]], span: Span) -> bool:
-    k = bisect.bisect_left(taken, (span.stop, 0))
-    return any(stop > span.start for _, stop in taken[max(0, k - 4) : k])
+def _meets(starts: list[int], stops: list[int], span: Span) -> bool:
+    """Whether one of the spans that begin before the end of ``span`` reaches beyond its start."""
+    k = bisect.bisect_left(starts, span.stop)
+    return k > 0 and stops[k - 1] > span.start
 
 
 def _likeliest(group: list[Span]) -> list[Span]:
@@ -289,8 +331,8 @@ def _likeliest(group: list[Span]) -> list[Span]:
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans``: kind, start, stop (code points, stop exclusive) and score, by start, then kind.
 
-    A null or empty text has no spans. Whole texts are searched; repeated rows each get theirs; other columns stay, a column
-    ``spans`` is replaced.
+    A null or empty text has no spans. Whole texts are searched; repeated rows each get theirs; other columns stay, whatever their
+    names, but for a column ``spans``, which is replaced. An empty table gives an empty result.
     """
     modest_batches(docs.sparkSession)
     model = trained()
@@ -334,5 +376,5 @@ def detect_documents(documents: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     return found.select(
         "doc_id", *[count(kind) for kind in BASE], F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
-        listed(F.col("spans")).alias("spans"),
+        listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"),
     )
