@@ -3,21 +3,29 @@
 A document's histogram of character classes and its histogram of common words are compared by Jensen-Shannon distance with
 the references of its language, which are the mean histograms of the language's sound documents. Short texts say little
 about a distribution, so a histogram is only judged from a least number of words on.
+
+How far common words may be from the reference depends on how many of them a language has and on the length of a text. So the
+limit is taken from the distances themselves, for each language and class of length: the median and three times what lies between
+it and the lowest tenth. Both hold still while a good part of the documents is junk, as junk is far off on the other side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.llm.common import WORD
 from jobloom.once import computed_once
 from jobloom.scratch import materialize
 
-#: Least words of a text: for any verdict, for the classes of characters, for the common words.
-LEAST_WORDS, LEAST_FOR_CLASSES, LEAST_FOR_COMMON = 50, 50, 150
-#: Greatest Jensen-Shannon distance (base 2, 0 to 1) from the reference.
-FAR_CLASSES, FAR_COMMON = 0.30, 0.50
+#: Least words of a text: for any verdict, for either histogram.
+LEAST_WORDS, LEAST_FOR_CLASSES, LEAST_FOR_COMMON = 50, 50, 50
+#: Greatest Jensen-Shannon distance (base 2, 0 to 1) of the classes of characters from their reference.
+FAR_CLASSES = 0.30
+#: Words from which on a text is in the next class of length; distances are counted in steps of a thousandth.
+LENGTHS, STEPS = (75, 100, 150, 250, 500, 1000), 1000
+#: The limit of the common words: so many times what lies between the lowest tenth and the median, and steps above the median.
+SPREADS, MARGIN = 3, 10
 #: Languages whose references are sent to all tasks; a reference is some ninety numbers.
 MOST_SENT = 10_000
 #: A text fails if windows found again cover more than this share of its words.
@@ -139,12 +147,27 @@ def measured(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     }, keep=["key", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines"])
 
 
+def common_limits(rows: DataFrame) -> DataFrame:
+    """``of``, ``length_of`` and ``limit``, in steps, from the distances (``lang``, ``length``, ``steps``) of sound documents.
+
+    Distances are counted by their step first, so a group is as many rows as there are steps.
+    """
+    counts = rows.where("steps IS NOT NULL").groupBy("lang", "length", "steps").agg(F.count("*").alias("n"))
+    below = Window.partitionBy("lang", "length").orderBy("steps")
+    counts = counts.withColumn("up_to", F.sum("n").over(below)).withColumn("all", F.sum("n").over(Window.partitionBy("lang", "length")))
+    step_at = lambda part: F.min(F.when(F.col("up_to") * part >= F.col("all"), F.col("steps")))
+    limits = counts.groupBy("lang", "length").agg(step_at(2).alias("median"), step_at(10).alias("low"))
+    limit = F.col("median") + SPREADS * (F.col("median") - F.col("low")) + MARGIN
+    return limits.select(F.col("lang").alias("of"), F.col("length").alias("length_of"), limit.alias("limit"))
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Key, counts, ``base_failed``, the two distances and ``kept`` for every row.
 
     A null or empty text has no words and fails the base rule. A distance is null, and speaks against no one, where the text
     is shorter than the guard, where it has no characters or no letters, and where the language has no sound document. A
-    null language is a language of its own. Repeated rows are judged each; an empty table gives an empty result.
+    null language is a language of its own. Repeated rows are judged each; other columns are not read, whatever their names; an
+    empty table gives an empty result.
     """
     rows = measured(docs, key, text, lang)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
@@ -170,8 +193,14 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         "class_distance": F.when(F.col("n_words") >= LEAST_FOR_CLASSES, distance(F.col("classes"), F.col("classes_of"))),
         "common_distance": F.when(F.col("n_words") >= LEAST_FOR_COMMON, sparse_distance(F.col("common"), F.col("common_of"))),
     })
+    length = sum((F.when(F.col("n_words") >= n, 1).otherwise(0) for n in LENGTHS), F.lit(0))
+    rows = rows.withColumns({"length": length, "steps": F.floor(F.col("common_distance") * STEPS)})
+    limits = materialize(common_limits(rows.where(~F.col("base_failed"))), "limits")
+    if limits.count() <= MOST_SENT:
+        limits = F.broadcast(limits)
+    rows = rows.join(limits, F.col("lang").eqNullSafe(F.col("of")) & (F.col("length") == F.col("length_of")), "left")
     near = F.coalesce(F.col("class_distance") <= FAR_CLASSES, F.lit(True))
-    near &= F.coalesce(F.col("common_distance") <= FAR_COMMON, F.lit(True))
+    near &= F.coalesce(F.col("steps") <= F.col("limit"), F.lit(True))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return rows.select(
         F.col("key").alias(key), *counts, "base_failed", (~F.col("base_failed") & near).alias("kept"),

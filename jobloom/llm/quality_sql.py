@@ -37,8 +37,13 @@ spoken AS (SELECT DISTINCT r, lang FROM plain),
 both_sides AS (SELECT spoken.r, coalesce(shares.p, 0) AS p, word_means.q FROM spoken JOIN word_means USING (lang)
     LEFT JOIN shares ON shares.r = spoken.r AND shares.w = word_means.w
     UNION ALL SELECT shares.r, shares.p, 0 FROM shares JOIN speaking USING (lang) LEFT JOIN word_means USING (lang, w) WHERE word_means.q IS NULL),
-word_far AS (SELECT r, sqrt(greatest(sum({_PART}), 0)) AS far FROM both_sides GROUP BY r)
+word_far AS (SELECT r, sqrt(greatest(sum({_PART}), 0)) AS far FROM both_sides GROUP BY r),
+stepped AS (SELECT r, floor(far * 1000) AS steps FROM word_far),
+sized AS (SELECT *, list_count(list_filter([75, 100, 150, 250, 500, 1000], lambda x: n_words >= x)) AS size FROM judged LEFT JOIN stepped USING (r)),
+spread AS (SELECT lang, size, steps, sum(count(*)) OVER (PARTITION BY lang, size ORDER BY steps) AS up_to,
+    sum(count(*)) OVER (PARTITION BY lang, size) AS n FROM sized WHERE NOT base_failed AND steps IS NOT NULL GROUP BY lang, size, steps),
+limits AS (SELECT lang, size, 4 * min(steps) FILTER (up_to * 2 >= n) - 3 * min(steps) FILTER (up_to * 10 >= n) + 10 AS most FROM spread GROUP BY lang, size)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
     CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-    NOT base_failed AND (n_words < 50 OR coalesce(class_far.far <= 0.30, true)) AND (n_words < 150 OR coalesce(word_far.far <= 0.50, true)) AS kept
-FROM judged LEFT JOIN class_far USING (r) LEFT JOIN word_far USING (r)"""
+    NOT base_failed AND (n_words < 50 OR coalesce(class_far.far <= 0.30, true)) AND (n_words < 50 OR coalesce(steps <= most, true)) AS kept
+FROM sized LEFT JOIN class_far USING (r) LEFT JOIN limits USING (lang, size)"""

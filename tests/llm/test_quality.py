@@ -44,5 +44,24 @@ def test_sound_texts_are_kept_and_odd_ones_go(documents):
     assert not any(found[200 + k] for k in range(len(odd)))
 
 
+def test_texts_without_common_words_go_and_others_stay(documents):
+    """Also where a good part of the texts is such junk, and from fifty words on."""
+    r = random.Random(3)
+    rows = [(k, " ".join(sentence(r, 12) for _ in range(r.choice([5, 10, 17, 30]))), r.choice(["en", "fr"]), "s") for k in range(400)]
+    junk = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(3, 9))) for _ in range(9000)]
+    rows += [(1000 + k, " ".join(r.sample(junk, r.choice([60, 120, 200, 360]))), "en", "s") for k in range(60)]
+    found = {x["doc_id"]: x["kept"] for x in quality.judge_documents(documents(rows)).collect()}
+    assert not any(found[1000 + k] for k in range(60))
+    assert sum(found[k] for k in range(400)) >= 396
+
+
+def test_repeated_rows_and_other_columns(documents):
+    r = random.Random(4)
+    text = " ".join(sentence(r, 12) for _ in range(10))
+    rows = documents([(1, text, "en", "s")] * 3 + [(2, None, None, None)]).selectExpr("*", "1 AS steps", "'x' AS `limit`", "2 AS n_words", "'y' AS `key`")
+    found = sorted((x["doc_id"], x["n_words"], x["kept"]) for x in quality.judge(rows).collect())
+    assert found == [(1, 120, True)] * 3 + [(2, 0, False)]
+
+
 def test_empty_table(documents):
     assert quality.judge_documents(documents([])).count() == 0
