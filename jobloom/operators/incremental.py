@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobloom.operators.digests import RUN, DigestIndex
 from jobloom.sources.files import table_or_empty
 
-RUN = "run_date"
-
 
 def new_rows(rows: DataFrame, seen: DataFrame, key: str, seen_key: str | None = None) -> DataFrame:
     """Rows whose key is not in ``seen``; null counts as a key. All rows if ``seen`` lacks the column."""
@@ -81,19 +80,22 @@ def write_run(rows: DataFrame, path: str, run_date: dt.date) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{RUN}={run_date.isoformat()}")
 
 
+def _write_indexed(rows: DataFrame, index: DigestIndex, path: str, run_date: dt.date) -> None:
+    index.forget(run_date)
+    write_run(rows, path, run_date)
+    index.add(rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/{RUN}={run_date.isoformat()}"), run_date)
+
+
 def add_run(rows: DataFrame, path: str, key: str, run_date: dt.date) -> None:
-    """Write the rows whose key no other run has; rows of one run that share a new key are all written."""
-    others = table_without(rows.sparkSession, path, rows.schema, run_date)
-    write_run(new_rows(rows, others, key), path, run_date)
+    """Write the rows whose key no other run has; rows of one run that share a new key are all written. Null is a key."""
+    index = DigestIndex(rows.sparkSession, path, [key])
+    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != RUN])
+    _write_indexed(index.unknown_rows(rows, run_date), index, path, run_date)
 
 
 def upsert_run(rows: DataFrame, path: str, run_date: dt.date, columns: Sequence[str] | None = None) -> None:
     """Write the distinct rows that no other run has written."""
-    columns = list(columns or rows.columns)
-    before = table_without(rows.sparkSession, path, rows.schema, run_date).select(*[f"`{c}`" for c in columns])
-    fresh = rows.select(*[f"`{c}`" for c in columns]).distinct()
-    known = before.distinct().select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(columns)])
-    same = F.lit(True)
-    for i, c in enumerate(columns):
-        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}"))
-    write_run(fresh.join(known, same, "left_anti"), path, run_date)
+    columns = list(columns or [c for c in rows.columns if c != RUN])
+    index = DigestIndex(rows.sparkSession, path, columns)
+    fresh = rows.select(*[F.col(f"`{c}`") for c in columns]).distinct()
+    _write_indexed(index.unknown_rows(fresh, run_date), index, path, run_date)
