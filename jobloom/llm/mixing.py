@@ -10,6 +10,7 @@ in tasks, for each component of overlapping sources by itself.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -59,12 +60,19 @@ def targets(sizes: Mapping[str | None, int], weights: Sequence[float], share: fl
 def route(patterns: Mapping[tuple, float], wanted: Mapping, passes: int) -> dict[tuple[tuple, object], float]:
     """Words that each pattern gives to each of its sources, by successive cheapest paths.
 
-    The k-th pass over a pattern costs k, so costs are convex. The residual network is small: patterns and sources.
+    The k-th pass over a pattern costs k, so costs are convex. A pattern and a source that have only each other need no path. Of
+    the others the residual network is small: patterns and sources.
     """
+    tiny = 1e-6
+    holders = Counter(s for p in patterns for s in p)
+    alone = [p for p in patterns if len(p) == 1 and holders[p[0]] == 1]
+    direct = {(p, p[0]): min(float(wanted.get(p[0], 0.0)), passes * patterns[p]) for p in alone}
+    direct = {k: f for k, f in direct.items() if f > tiny}
+    patterns = {p: n for p, n in patterns.items() if len(p) > 1 or holders[p[0]] > 1}
     used = dict.fromkeys(patterns, 0.0)
     flow: dict[tuple[tuple, object], float] = {}
-    left = dict(wanted)
-    tiny = 1e-6
+    among = {s for p in patterns for s in p}
+    left = {s: w for s, w in wanted.items() if s in among}
     while True:
         # Cheapest way from a pattern with words to offer to each node; moving words between patterns takes back a flow.
         cost = {p: int(used[p] // patterns[p] if patterns[p] - used[p] % patterns[p] > tiny else used[p] // patterns[p] + 1) + 1
@@ -86,7 +94,7 @@ def route(patterns: Mapping[tuple, float], wanted: Mapping, passes: int) -> dict
                     changed = True
         open_ = [s for s in left if left[s] > tiny and s in source_cost]
         if not open_:
-            return {k: f for k, f in flow.items() if f > tiny}
+            return direct | {k: f for k, f in flow.items() if f > tiny}
         end = min(open_, key=lambda s: (source_cost[s], code_points(s)))
         steps, s = [], end
         while True:
@@ -219,6 +227,9 @@ def fill(rows: DataFrame, quota: Column, order: Sequence[str]) -> DataFrame:
     return outside.unionByName(inside).drop("share", "here", "base")
 
 
+RESULT = ("size", "pattern", "copies", "credited")
+
+
 def mix(
     docs: DataFrame, key: str, text: str, sources: Column, weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5, passes: int = 2, seed: int = 42, keep: Sequence[str] = (),
@@ -232,13 +243,16 @@ def mix(
     whatever their order. An empty table gives empty results. Documents are taken whole: when the mix is
     done no further one fits into what is open of a pattern, and none goes above it, but that a pattern with no document
     that fits takes its smallest one where this is nearer to what is wanted than nothing. Any number of patterns
-    is taken; sources that overlap, directly or by way of others, are one flow, which one task solves.
+    is taken; sources that overlap, directly or by way of others, are one flow, which one task solves. The key and the kept
+    columns may have any names; one that is called as a column of the result comes back with an underscore behind it. Other
+    columns are not read.
     """
     spark = docs.sparkSession
-    ids = [key, *keep]
+    named = [key, *keep]
+    ids = [f"_id{k}" for k in range(len(named))]
     light = docs.select(
-        *ids, word_count(F.col(text)).alias("size"), F.array_sort(F.array_distinct(sources)).alias("pattern"),
-        F.xxhash64(F.lit(seed), F.col(key)).alias("hash"),
+        *[F.col(f"`{name}`").alias(i) for name, i in zip(named, ids, strict=True)], word_count(F.col(f"`{text}`")).alias("size"),
+        F.array_sort(F.array_distinct(sources)).alias("pattern"), F.xxhash64(F.lit(seed), F.col(f"`{key}`")).alias("hash"),
     )
     light = materialize(light.withColumn("row_id", F.monotonically_increasing_id()), "sizes")  # tells repeated rows apart
     totals = light.groupBy("pattern").agg(F.sum("size").alias("n"))
@@ -279,14 +293,15 @@ def mix(
     small = chosen.groupBy("pattern").agg(F.min(big).alias("small"), F.max("copies").alias("any"), F.first("quota").alias("open"))
     small = small.where((F.col("any") == 0) & (F.col("small.size") < 2 * F.col("open"))).select(F.col("small.row_id").alias("row_id"), F.lit(1).alias("one"))
     chosen = chosen.join(small, "row_id", "left").withColumn("copies", F.col("copies") + F.coalesce("one", F.lit(0))).drop("one")
-    spot = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(1 << 30)) / (1 << 30)
+    spot = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(ids[0])), F.lit(1 << 30)) / (1 << 30)
     owner = F.element_at("pattern", F.least(F.size("pattern"), F.size(F.filter("bounds", lambda b: b <= spot)) + 1))
     chosen = chosen.select(*ids, "size", "pattern", "copies", owner.alias("owner"))
     empty = light.where("size = 0").select(
         *ids, "size", "pattern", F.lit(0).alias("copies"), F.lit(None).cast("string").alias("owner")
     )
     found = chosen.unionByName(empty).withColumn("credited", F.array_repeat("owner", F.col("copies")))
-    return found.select(*ids, "size", "pattern", "copies", "credited"), facts
+    back = [F.col(i).alias(name if name not in RESULT else f"{name}_") for name, i in zip(named, ids, strict=True)]
+    return found.select(*back, *RESULT), facts
 
 
 def mix_documents(documents: DataFrame) -> DataFrame:

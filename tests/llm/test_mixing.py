@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,23 @@ def test_a_document_that_fits_is_taken(documents):
             assert taken or min(sizes) >= 2 * target
         else:
             assert [x["taken"] for x in own if x["taken"]] == [min(sizes)] and taken < 2 * target
+
+
+def test_columns_of_any_name(documents):
+    rows = documents([(k, "a b c " * (k + 1), "en", "s" if k % 2 else None) for k in range(6)])
+    plain, _ = mixing.mix(rows, "doc_id", "text", F.array("source"))
+    wanted = {r["doc_id"]: (r["size"], r["copies"]) for r in plain.collect()}
+    odd = rows.withColumnsRenamed({"doc_id": "size"}).withColumns({c: F.lit(c) for c in ("pattern", "hash", "copies", "share", "base", "rest")})
+    found, _ = mixing.mix(odd, "size", "text", F.array("source"), keep=["hash", "pattern", "copies", "share"])
+    assert {r["size_"]: (r["size"], r["copies"]) for r in found.collect()} == wanted
+    assert {(r["hash"], r["pattern_"], r["copies_"], r["share"]) for r in found.collect()} == {("hash", "pattern", "copies", "share")}
+
+
+def test_many_single_patterns_are_routed_at_once():
+    patterns = {(f"s{k}",): float(k + 1) for k in range(4096)} | {("x", "y"): 50.0, ("y",): 10.0}
+    wanted = {f"s{k}": 1.5 * (k + 1) for k in range(4096)} | {"x": 40.0, "y": 30.0}
+    start = time.perf_counter()
+    flow = mixing.route(patterns, wanted, 2)
+    assert time.perf_counter() - start < 2
+    assert all(flow[(f"s{k}",), f"s{k}"] == 1.5 * (k + 1) for k in range(4096))
+    assert sum(f for (_, s), f in flow.items() if s in "xy") == pytest.approx(70)
