@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobloom.operators import dedupe, facts, incremental, metrics
@@ -54,6 +55,26 @@ def test_keep_first_with_one_hot_key(spark):
     assert rows_of(kept) == sorted(((k, i) for k, v in wanted.items() for i in v[:3]), key=repr)
 
 
+@pytest.mark.parametrize("kind", ["int", "date", "string"])
+def test_large_caps_equal_the_plain_window(spark, monkeypatch, kind):
+    monkeypatch.setattr(dedupe, "GROUP_LIMIT", 10)
+    rng = random.Random(7)
+    data = [(rng.choice(["hot", "hot", "hot", "warm", None, "k"]), None if rng.random() < 0.05 else rng.randrange(200), i) for i in range(6000)]
+    data += [("nulls", None, 7000 + i) for i in range(200)] + [("few", 1, 8000 + i) for i in range(30)]
+    rows = spark.createDataFrame(data, "`a key` string, at int, id int")
+    rows = rows.withColumn("at", {"int": F.col("at"), "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("at")), "string": F.lpad(F.col("at").cast("string"), 3, "0")}[kind])
+    kept = dedupe.keep_first_n(rows, ["a key"], ["at", "id"], 40)
+    wanted = {}
+    for key, at, i in sorted(data, key=lambda x: (x[1] is None, x[1] or 0, x[2])):
+        wanted.setdefault(key, []).append(i)
+    assert rows_of(kept.select("a key", "id")) == sorted(((k, i) for k, v in wanted.items() for i in v[:40]), key=repr)
+    if kind != "string":  # of the hot key, little more than the cap is left before anything is ranked
+        left = dedupe._within_bounds(rows, ["a key"], "at", 40).where("`a key` = 'hot'").count()
+        assert 40 <= left < 120
+    monkeypatch.setattr(dedupe, "MOST_BOUNDED", 0)
+    assert dedupe._within_bounds(rows, ["a key"], "at", 40).count() == rows.count()
+
+
 def test_merge_passes_and_duplicate_count(spark):
     schema = "name string, key string, title string, location string"
     first = spark.createDataFrame([("b", "1", "t", "l"), ("a", "1", "t", "l"), (None, "2", "t", "l")], schema)
