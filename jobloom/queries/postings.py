@@ -449,12 +449,15 @@ def csv_bad_files(spark, sf_dir):
     """SELECT doc_id, source || ', "' || lang || '"' AS label, text || chr(10) || '"' || chr(13) || chr(10) || source AS body FROM documents"""
 )
 def csv_quoted_breaks(spark, sf_dir):
-    """One file whose header and fields hold line breaks, quotes and delimiters; many tasks read it once it is large."""
+    """Files whose header and fields hold line breaks, quotes and delimiters; many tasks read a large one.
+
+    Each task of the scan writes a file of its own, so no task reads more of the table than its part.
+    """
     path = scratch_path(spark, "quoted-breaks")
     label = F.concat("source", F.lit(', "'), "lang", F.lit('"'))
     body = F.concat("text", F.lit('\n"\r\n'), "source")
     rows = table(spark, sf_dir, "documents").select(label.alias('the "short"\nlabel'), body.alias("body\n, all of it"), "doc_id")
-    files.write_csv(rows.coalesce(1), path)
+    files.write_csv(rows, path)
     back = files.read_csv(spark, path, rows.schema)
     return back.toDF("label", "body", "doc_id")
 

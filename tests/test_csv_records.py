@@ -10,6 +10,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from jobloom.queries import postings
 from jobloom.sources import files, records
 
 
@@ -106,3 +107,20 @@ def test_no_list_of_files_in_the_plan(spark, tmp_path):
         (tmp_path / f"{k}.csv").write_text(f"k,n\n{k},1\n")
     good, bad = files.read_csv_checked(spark, str(tmp_path), "k string, n int")
     assert good.agg(F.sum("n")).first()[0] == 30 and bad.count() == 0
+
+
+def test_no_task_reads_the_whole_table_of_the_quoted_breaks(spark, tmp_path, monkeypatch):
+    rows = [(k, f'a, "b"\n{k}', "en", "web", 9) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    written = []
+    write = files.write_csv
+    monkeypatch.setattr(files, "write_csv", lambda df, path: (written.append(path), write(df, path)))
+    default = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        back = postings.csv_quoted_breaks(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", default)
+    assert sorted((r["doc_id"], r["label"], r["body"]) for r in back) == sorted((k, 'web, "en"', t + '\n"\r\nweb') for k, t, *_ in rows)
+    assert spark.read.format("binaryFile").load(f"{written[0]}/*.csv").count() == 4
