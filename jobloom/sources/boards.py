@@ -14,7 +14,7 @@ from jobloom.functions.text import (
     clean_text, days_since_posted, experience_years, prefixed, salaries, without_employer,
 )
 from jobloom.once import computed_once
-from jobloom.sources.job_page import job_page_fields
+from jobloom.sources.job_page import FIELDS, with_job_page_fields
 
 # Where board A pages carry their data. (?d) makes the dot stop at line feeds only. Data that may hold any text
 # reach to the end of the script; the JSON reader stops by itself where the value ends.
@@ -189,12 +189,12 @@ def parse_job_pages(
     pages: DataFrame, url: str = "url", html: str = "html", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Board B job pages to detail rows. The nesting of the fields needs a parser, hence the Arrow-batched function."""
-    kept = [F.col(f"`{c}`") for c in keep]
-    record = pages.select(*kept, F.col(url).alias("feed"), job_page_fields()(F.col(html)).alias("r"))
+    names = {f"_{i}": c for i, c in enumerate(keep)}  # what is kept may have the name of a field
+    kept = [F.col(f"`{c}`").alias(n) for n, c in names.items()]
+    record = with_job_page_fields(pages.select(*kept, F.col(url).alias("feed"), F.col(html).alias("_page")), "_page")
     return record.select(
-        *kept,
-        "r.posted", "r.Experience", "r.location", "r.jobType", "r.Education", "r.description", "r.name",
-        without_employer(F.col("r.title"), F.col("r.name")).alias("title"), "feed",
+        *[F.col(n).alias(c) for n, c in names.items()], *FIELDS[:-1],
+        without_employer(F.col("title"), F.col("name")).alias("title"), "feed",
     )
 
 

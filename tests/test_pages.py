@@ -3,6 +3,7 @@ import gzip
 import json
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,3 +236,23 @@ def test_links_in_any_quoting(spark):
     assert sorted((r["role"], r["job_listing_url"]) for r in found) == [
         (role, url) for role in ("R1", "R2") for url in ("/1?a=1&b=2", "/2", "/3")
     ]
+
+
+def test_few_job_pages_are_objects_at_a_time(spark, monkeypatch):
+    page = '<h1 class="info-position">Title {}</h1>'
+    taken, whole = [], job_page._board_b_record
+    monkeypatch.setattr(job_page, "_board_b_record", lambda html: taken.append(html) or whole(html))
+    pages = [None if k % 7 == 0 else page.format(k) for k in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"feed": [str(k) for k in range(1000)], "page": pages})
+    out = job_page._fields_of_batches([batch], "page")
+    first = next(out)
+    assert len(taken) == first.num_rows == job_page.SLICE
+    titles = [t for part in [first, *out] for t in part.column("title").to_pylist()]
+    assert titles == [None if p is None else f"Title {k}" for k, p in enumerate(pages)]
+
+
+def test_kept_columns_may_be_named_like_fields(spark):
+    rows = [("u1", '<h1 class="info-position">Title</h1>', "kept")]
+    found = boards.parse_job_pages(spark.createDataFrame(rows, "url string, html string, posted string"), keep=["posted"])
+    assert found.columns[0] == "posted" and found.drop("posted").columns[:2] == ["Experience", "location"]
+    assert found.select("title", "feed").first() == ("Title", "u1")
