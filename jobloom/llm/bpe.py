@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from jobloom.llm.common import appended, modest_batches
 
 #: Characters of text handled at a time, and distinct words a task remembers.
-GROUP_CHARS, REMEMBERED = 1_500_000, 200_000
+GROUP_CHARS, REMEMBERED = 500_000, 100_000
 END = "</w>"
 
 

@@ -118,7 +118,7 @@ def appended(
 
 
 #: Rows of a batch between Spark and Python where the session has left Spark's default of ten thousand: whole texts are long.
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def modest_batches(spark: SparkSession) -> None:

@@ -3,6 +3,7 @@ import random
 import struct
 import unicodedata
 
+import pyarrow as pa
 import pytest
 
 from jobloom.llm import bpe
@@ -61,3 +62,16 @@ def test_clashing_columns_are_replaced(spark):
     frame = spark.createDataFrame([("a b", "x", 1)], "text string, ids string, extra int")
     row = bpe.encode(frame, bpe.public_vocabulary()).first()
     assert row["extra"] == 1 and row["n_tokens"] == 2
+
+
+def test_groups_of_texts_are_small(spark, monkeypatch):
+    texts = pa.array([f"word{k} " * 1000 for k in range(200)])
+    sizes = []
+    whole = bpe.Encoder.encode
+    monkeypatch.setattr(bpe.Encoder, "encode", lambda self, group: sizes.append(sum(map(len, group))) or whole(self, group))
+    tasks = []
+    frame = spark.createDataFrame([("a",)], "text string")
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, of_task, schema: tasks.append(of_task))
+    bpe.encode(frame, bpe.public_vocabulary())
+    rows = sum(b.num_rows for b in tasks[0]([pa.RecordBatch.from_arrays([texts], ["text"])]))
+    assert rows == 200 and max(sizes) < 550_000 < sum(sizes)
