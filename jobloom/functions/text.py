@@ -11,6 +11,11 @@ from jobloom.functions.terms import WORD_CHAR
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 TAG = "<[^>]+>"
 
+# Runs of white space but for a single blank before a visible ASCII character, which may stay. That is most of a text, so it is
+# settled by classes of single characters, which Java looks up in a table.
+_VISIBLE = "".join(("\\" if not chr(c).isalnum() else "") + chr(c) for c in range(0x21, 0x7F))
+RUN_OF_SPACE = rf"[^{_VISIBLE}](?:(?<! )|(?![{_VISIBLE}]))(?<={SPACE}){SPACE}*+"
+
 # The shapes of an experience and of a salary statement.
 EXPERIENCE = rf"\d+\+?|\d+-\d+|\d+{SPACE}*to{SPACE}*\d+"
 AMOUNT = r"\$[\d,]+(?:\.\d{1,2})?"
@@ -18,7 +23,7 @@ SALARY = rf"({AMOUNT}(?:{SPACE}*[-–]{SPACE}*{AMOUNT})?){SPACE}*(a|per){SPACE}*
 
 
 def squash_spaces(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(text, RUN_OF_SPACE, " "))
 
 
 def clean_text(html: Column) -> Column:
@@ -37,7 +42,7 @@ def days_since_posted(age: Column) -> Column:
 
 def experience_years(text: Column) -> Column:
     """Board A: every ``N``, ``N+``, ``N-M`` or ``N to M`` that precedes the word ``years``."""
-    pattern = rf"(?<!{WORD_CHAR})({EXPERIENCE}){SPACE}*years(?!{WORD_CHAR})"
+    pattern = rf"(?=[0123456789])(?<!{WORD_CHAR})({EXPERIENCE}){SPACE}*years(?!{WORD_CHAR})"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 

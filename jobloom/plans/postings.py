@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from jobloom import lexicon
 from jobloom.functions.dates import days_since_posted_text, short_stamp, with_date_parts
 from jobloom.functions.terms import (
-    delimited_terms, delimited_terms_squeezed, role_term_count, substring_terms,
+    delimited_terms, delimited_terms_squeezed, role_term_count, substring_terms, term_counts,
 )
 from jobloom.functions.text import experience_range
 from jobloom.once import computed_once
@@ -22,6 +24,7 @@ from jobloom.sources.files import write_csv, write_table
 
 RELEVANT_A = 3
 RELEVANT_B = 0
+COUNTS, _TOOLS = "_counts", "_tools"
 
 
 def postings_a(
@@ -37,11 +40,15 @@ def postings_a(
     """
     text, role = F.col("description"), F.col("Job Role")
     counted = computed_once(details, {"keyword_count": role_term_count(text, role, role_terms)})
-    indexed = facts.relevant(counted, more_than).withColumn("Job_ind", facts.lookup(role, lexicon.ROLE_INDEX_A))
-    dated = with_date_parts(indexed)
+    dated = _relevant_a(counted, more_than)
     return computed_once(dated, {"Tools": delimited_terms(text, tools)}) if with_tools else dated
 
 
+def _relevant_a(counted: DataFrame, more_than: int) -> DataFrame:
+    indexed = facts.relevant(counted, more_than)
+    return with_date_parts(indexed.withColumn("Job_ind", facts.lookup(F.col("Job Role"), lexicon.ROLE_INDEX_A)))
+
+
 def consolidate_a(postings: DataFrame, out: str, tiebreak: Sequence[str], include_year: bool = False) -> dict[str, str]:
     """Write the consolidated postings and, from that table, the deduplicated postings and the three fact tables."""
     spark = postings.sparkSession
@@ -65,11 +72,44 @@ def board_a_details(
     ``passes`` are the search pages (html, ``Job Role``) of each pass, ``details`` the detail pages (html). A listing counts
     once for a role; its page's details are joined to it.
     """
+    return _listed(passes, boards.parse_detail_pages(details, site=site), run_date)
+
+
+def _listed(passes: Sequence[DataFrame], details: DataFrame, run_date: dt.date) -> DataFrame:
     role = ["Job Role"]
     listed = [boards.listing_rows(boards.parse_listing_pages(pages), [F.col("`Job Role`")]) for pages in passes]
     listings = dedupe.merge_passes(listed, ["title"], within=role)
-    rows = contacts.with_details(listings, boards.parse_detail_pages(details, site=site))
-    return rows.withColumn("date_of_scrape", F.lit(run_date))
+    return contacts.with_details(listings, details).withColumn("date_of_scrape", F.lit(run_date))
+
+
+def pages_a(
+    details: DataFrame,
+    site: str = "",
+    role_terms: Mapping[str, Sequence[str]] = lexicon.ROLE_TERMS_A,
+    tools: Sequence[str] = lexicon.TOOLS,
+    more_than: int = RELEVANT_A,
+) -> DataFrame:
+    """Detail pages (html) read for ``board_a_postings``: detail rows with the count of each role's terms and the tools.
+
+    A page is read once for all roles, however many list it, and its terms come first. One that has too few for any role has no
+    relevant posting; what is searched for lists, and later sent to the join, are the others.
+    """
+    read, text = boards.read_detail_pages(details, site=site), F.col("description")
+    counted = computed_once(read, {COUNTS: term_counts(text, role_terms)})
+    enough = reduce(or_, [F.col(COUNTS)[role] > more_than for role in role_terms])
+    found = counted.where(F.col("key").isNotNull() & enough)
+    return computed_once(boards.with_lists(found), {_TOOLS: delimited_terms(text, tools)})
+
+
+def board_a_postings(
+    passes: Sequence[DataFrame], pages: DataFrame, run_date: dt.date, more_than: int = RELEVANT_A
+) -> DataFrame:
+    """``postings_a`` of ``board_a_details``, out of ``pages_a``."""
+    rows = _listed(passes, pages, run_date)
+    counts = [F.when(F.col("Job Role") == role, F.col(COUNTS)[role]) for role in pages.schema[COUNTS].dataType.names]
+    dated = _relevant_a(rows.withColumn("keyword_count", F.coalesce(*counts)), more_than)
+    others = [F.col(f"`{c}`") for c in dated.columns if c not in (COUNTS, _TOOLS, "Tools")]
+    return dated.select(*others, F.col(_TOOLS).alias("Tools"))
 
 
 def export_searches(rows: DataFrame, out: str, roles: Sequence[str] = tuple(lexicon.ROLE_INDEX_A)) -> list[str]:
@@ -94,12 +134,14 @@ def run_board_a(
 ) -> dict[str, str]:
     """One run from stored pages to the five tables of board A, which hold the postings of all runs.
 
+    ``details`` are detail pages (html), or ``pages_a`` of them, written once where several runs have the same pages.
     The relevant postings of a run, their skills extracted, become its partition of ``postings``; a repeated run replaces
     it. The five tables are then made anew from all partitions, so no text of an earlier run is searched again.
     """
-    rows = board_a_details(passes, details, run_date, site)
+    pages = details if COUNTS in details.columns else pages_a(details, site)
+    rows = board_a_postings(passes, pages, run_date)
     runs = f"{out}/postings"
-    incremental.write_run(postings_a(rows), runs, run_date)
+    incremental.write_run(rows, runs, run_date)
     found = rows.sparkSession.read.option("mergeSchema", "true").parquet(runs).drop(incremental.RUN)
     return consolidate_a(found, out, tiebreak)
 

@@ -129,8 +129,9 @@ _RUN_A = f"CASE WHEN CAST(key AS BIGINT) % 4 = 0 THEN '{FIRST}' ELSE '{SECOND}'
 
 
 def _two_runs_a(spark, sf_dir):
-    """A run over every other pair of listings, then one a day later over all, repeated."""
+    """A run over every other pair of listings, then one a day later over all, repeated; the pages are read once for all."""
     searches, details = _pages_a(spark, sf_dir)
+    details = materialize(plans.pages_a(details), "board-a-pages")
     out = scratch_path(spark, "board-a-runs")
     for run_date, found in ((FIRST, searches.filter(F.col("doc_id") % 4 < 2)), (SECOND, searches), (SECOND, searches)):
         paths = plans.run_board_a([found.drop("doc_id")], details, out, run_date)

@@ -20,7 +20,7 @@ from jobloom.sources.job_page import FIELDS, with_job_page_fields
 # reach to the end of the script; the JSON reader stops by itself where the value ends.
 LISTING_DATA = r'(?s)window.mosaic.providerData\["mosaic-provider-jobcards"\]=(\{.*?)(?:</script>|\z)'
 LISTING_TOTAL = r'(?d)_initialData=(\{.*"zonedProviders":\{\}\});'
-DETAIL_DATA = r"(?s)_initialData=(\{.*?)(?:</script>|\z)"
+DETAIL_START = "_initialData="
 
 _STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
 
@@ -49,6 +49,12 @@ def embedded(html: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
+def script_data(html: Column, start: str) -> Column:
+    """What follows the first ``start`` with a brace behind it, from the brace to the end of the script; null without one."""
+    at = F.locate(start + "{", html)
+    return F.when(at > 0, F.substring_index(F.substr(html, at + F.lit(len(start))), "</script>", 1))
+
+
 def parse_listing_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``listing`` (job cards and total) and ``parse_error`` to stored search pages."""
     kept = [c for c in pages.columns if c != html]
@@ -87,33 +93,23 @@ def listing_rows(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def parse_detail_pages(
-    pages: DataFrame,
-    html: str = "html",
-    site: str = "",
-    tools: Sequence[str] = lexicon.TOOLS_WORDS,
-    soft_skills: Sequence[str] = lexicon.SOFT_SKILLS,
-    industry_skills: Sequence[str] = lexicon.INDUSTRY_SKILLS,
-    education: Sequence[str] = lexicon.EDUCATION,
-) -> DataFrame:
-    """Board A detail pages to detail rows; a page without valid data yields a row with a null key.
+def read_detail_pages(pages: DataFrame, html: str = "html", site: str = "") -> DataFrame:
+    """Board A detail pages to their data and the clean ``description``; nulls, but for ``parsed``, without valid data.
 
-    ``site`` precedes the employer's relative address in ``link``. The description is read once for the four lists.
+    ``_about`` is the description as the page has it, for ``with_lists``. ``site`` precedes the employer's relative address
+    in ``link``.
     """
     names = [c for c in pages.columns if c != html]
     kept = [F.col(f"`{c}`") for c in names]
-    parsed = parse_json(embedded(F.col(html), DETAIL_DATA), schemas.DETAIL_STATE)
+    parsed = parse_json(script_data(F.col(html), DETAIL_START), schemas.DETAIL_STATE)
     state = computed_once(pages, {"state": parsed}, names)
     valid = F.col("state").isNotNull() & ~is_broken("state")
     info, employer_page = "state.jobInfoWrapperModel.jobInfoModel", (
         F.col("state.hostQueryExecutionResult.data.jobData.results")[0]["job"]
     )
-    groups = {
-        "Tools": tools, "Soft Skills": soft_skills, "Industry Skills": industry_skills, "education": education,
-    }
     fields = state.select(
         *kept,
-        valid.alias("_valid"),
+        valid.alias("parsed"),
         F.col("state.jobKey").alias("key"),
         F.col(f"{info}.jobInfoHeaderModel.companyName").alias("companyName"),
         F.col(f"{info}.jobMetadataHeaderModel.jobType").alias("jobType"),
@@ -123,8 +119,7 @@ def parse_detail_pages(
         F.coalesce(employer_page["employer"]["relativeCompanyPageUrl"], F.lit("")).alias("_employer_page"),
         F.coalesce(F.col(f"{info}.sanitizedJobDescription"), F.lit("")).alias("_about"),
     )
-    flat = computed_once(fields, {"_terms": word_term_groups(F.col("_about"), groups)})
-    ok = F.col("_valid")
+    flat = computed_once(fields, {"description": F.when(F.col("parsed"), clean_text(F.col("_about")))})
     columns = {
         "key": F.col("key"),
         "companyName": F.col("companyName"),
@@ -132,17 +127,53 @@ def parse_detail_pages(
         "posted": F.col("posted"),
         "days_ago": days_since_posted(F.col("posted")),
         "rating": F.col("rating"),
-        "experience": experience_years(F.col("_about")),
-        "salary": salaries(F.col("_about")),
-        "education": F.col("_terms.education"),
         "feed": F.col("feed"),
         "link": prefixed(site, F.col("_employer_page")),
+        "_about": F.col("_about"),
+    }
+    values = [F.when(F.col("parsed"), c).alias(n) for n, c in columns.items()]
+    return flat.select(*kept, "parsed", *values, "description")
+
+
+def with_lists(
+    read: DataFrame,
+    tools: Sequence[str] = lexicon.TOOLS_WORDS,
+    soft_skills: Sequence[str] = lexicon.SOFT_SKILLS,
+    industry_skills: Sequence[str] = lexicon.INDUSTRY_SKILLS,
+    education: Sequence[str] = lexicon.EDUCATION,
+) -> DataFrame:
+    """Detail rows out of ``read_detail_pages``: the description is read once for the four lists."""
+    groups = {
+        "Tools": tools, "Soft Skills": soft_skills, "Industry Skills": industry_skills, "education": education,
+    }
+    about = F.col("_about")
+    found = computed_once(read, {"_terms": word_term_groups(about, groups)})
+    lists = {
+        "experience": experience_years(about),
+        "salary": salaries(about),
+        "education": F.col("_terms.education"),
         "Tools": F.col("_terms.Tools"),
         "Soft Skills": F.col("_terms.`Soft Skills`"),
         "Industry Skills": F.col("_terms.`Industry Skills`"),
-        "description": clean_text(F.col("_about")),
     }
-    return flat.select(*kept, ok.alias("parsed"), *[F.when(ok, c).alias(n) for n, c in columns.items()])
+    shown = {n: F.when(F.col("parsed"), c) for n, c in lists.items()}
+    first, last = ["experience", "salary", "education"], ["Tools", "Soft Skills", "Industry Skills"]
+    others = [c for c in read.columns if c not in ("_about", "feed", "link", "description")]
+    order = [*others, *first, "feed", "link", *last, "description"]
+    return found.select(*[shown[c].alias(c) if c in shown else F.col(f"`{c}`") for c in order])
+
+
+def parse_detail_pages(
+    pages: DataFrame,
+    html: str = "html",
+    site: str = "",
+    tools: Sequence[str] = lexicon.TOOLS_WORDS,
+    soft_skills: Sequence[str] = lexicon.SOFT_SKILLS,
+    industry_skills: Sequence[str] = lexicon.INDUSTRY_SKILLS,
+    education: Sequence[str] = lexicon.EDUCATION,
+) -> DataFrame:
+    """Board A detail pages to detail rows; a page without valid data yields a row with a null key."""
+    return with_lists(read_detail_pages(pages, html, site), tools, soft_skills, industry_skills, education)
 
 
 def _attribute(tag: Column, name: str) -> Column:

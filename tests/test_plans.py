@@ -53,6 +53,29 @@ def test_board_a_from_pages_to_facts(spark, tmp_path):
     assert {r["Soft Skills"] for r in tables["soft_skills"].collect()} == {"communication", "communication skills"}
 
 
+def test_board_a_counts_pages_once_for_all_roles(spark, tmp_path):
+    bodies = {
+        "k0": BODY, "k1": "<b>Python</b>,  R; SQL\u00a0 and statistics; airflow for 3+ years", "k2": "SQL, Python, R", "k3": "",
+        "k4": "kafka, airflow. redshift; snowflake, spark. ETL", "k5": BODY,
+    }
+    pages = spark.createDataFrame([*[(detail_page(k, b),) for k, b in bodies.items()], ("none",), (None,)], "html string")
+    roles = ["DATA ENGINEER", "DATA SCIENTIST", "DATA ANALYST", "CLOUD ENGINEER", None]
+    cards = [{"company": "a", "jobkey": f"k{i}", "displayTitle": "t", "formattedLocation": "l"} for i in (0, 1, 2, 3, 4, 9)]
+    found = search_page(json.dumps({"metaData": {"mosaicProviderJobCardsModel": {"results": cards}}}))
+    passes = [spark.createDataFrame([(found, r) for r in roles], "html string, `Job Role` string")]
+    day = dt.date(2024, 7, 22)
+    wanted = plans.postings_a(plans.board_a_details(passes, pages, day))
+    read = plans.pages_a(pages)
+    assert {r["key"] for r in read.collect()} == {"k0", "k1", "k4", "k5"}  # the others have too few terms of any role
+    rows = plans.board_a_postings(passes, read, day)
+    assert rows.dtypes == wanted.dtypes and wanted.count() > 4
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, wanted.collect()))
+    raw, once = (plans.run_board_a(passes, d, str(tmp_path / n), day) for n, d in (("raw", pages), ("once", read)))
+    for name in raw:
+        tables = [sorted(map(repr, spark.read.parquet(paths[name]).collect())) for paths in (raw, once)]
+        assert tables[0] == tables[1] and tables[0]
+
+
 BOARD_B = (
     "posted string, location string, jobType string, description string, name string, title string, feed string, "
     "`Job Role` string, date_of_scrape date, Job_ind int, keyword_count int, days_ago int, experience string, "

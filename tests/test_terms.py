@@ -98,3 +98,17 @@ def test_list_sizes():
     assert [len(x) for x in (lexicon.TOOLS, lexicon.SOFT_SKILLS, lexicon.INDUSTRY_SKILLS, lexicon.EDUCATION)] == [
         77, 67, 62, 10,
     ]
+
+
+def test_counts_of_several_lists_equal_single_counts(evaluate):
+    texts = [*samples(6), None]
+    groups = {"a": TERMS[:9], "b b": TERMS[6:], "c": ["absent"]}
+    together = evaluate(lambda s: terms.term_counts(s, groups), texts)
+    for name, words in groups.items():
+        assert [row[name] for row in together] == evaluate(lambda s, w=words: terms.term_count(s, w), texts)
+
+
+def test_word_search_begins_with_a_plain_class():
+    """Java settles most positions by a table of single characters, before classes of all Unicode letters."""
+    assert terms.word_pattern(["sql", "r"]).startswith("[^abc")
+    assert terms.delimited_pattern(["sql"]).startswith(terms.DELIMITER)

@@ -118,3 +118,12 @@ def test_common_subsequence_lengths_equal_the_table():
     sides = [["".join(rng.choice("abcé🙂 ") for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 129]))) for _ in range(120)] for _ in range(2)]
     assert common_lengths(*sides).tolist() == [table(a, b) for a, b in zip(*sides)]
     assert common_lengths([], []).tolist() == [] and common_lengths(["", "a"], ["", ""]).tolist() == [0, 0]
+
+
+def test_squashed_spaces_and_single_blanks(evaluate):
+    signs = ["a", " ", " ", "\t", "\n", "\x1c", "\x85", "\u00a0", "\u2003", "\u3000", "\u200b", "\u00e9", "\U0001d400", "-"]
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    space = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+    assert evaluate(text.squash_spaces, texts) == [re.sub(space, " ", t).strip(" ") for t in texts]
+    assert not re.search(text.RUN_OF_SPACE.split("(?<=")[0], "single blanks (and signs) stay")
